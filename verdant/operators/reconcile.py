@@ -73,38 +73,58 @@ def _truthy(c: Column) -> Column:
     return c.isNotNull() & (c.cast("string") != "")
 
 
-def merge_scalars(facts: DataFrame, profile: L.Profile = L.REFERENCE_PROFILE) -> DataFrame:
-    """REC1, REC3, REC4: identity from the first record, OR of flags, gap fill."""
-    first_fields = ["scientific_name", "family", "genus", "confidence", "name_he", "source_id",
-                    "_life_form_raw", "life_form", "statuses_he"] + list(profile.scalar_labels)
-    ordc = F.col("_ord")
-    aggs = [F.min_by(F.struct(*[F.col(c) for c in first_fields]), ordc).alias("_first")]
-    aggs += [F.max(F.col(f)).alias(f) for f in profile.status_flags]
+def _first_fields(profile: L.Profile) -> list[str]:
+    return ["scientific_name", "family", "genus", "confidence", "name_he", "source_id",
+            "_life_form_raw", "life_form", "statuses_he"] + list(profile.scalar_labels)
+
+
+def merge(facts: DataFrame, profile: L.Profile = L.REFERENCE_PROFILE,
+          fields=LIST_FIELDS) -> DataFrame:
+    """REC1-REC4 in one linear plan over the record facts.
+
+    Every record contributes one scalar row and one row per list element.
+    Aggregate 1 groups by (key, field, item): the scalar row of a key takes
+    the first record's values, the OR of flags and the gap fills (all
+    ``min_by``/``max``, combined map-side); an element row takes the first
+    (record, position) where the element occurs.  Aggregate 2 groups by key
+    and gathers the distinct elements per list in that order (REC2).  The
+    facts are read once; nothing collects a key's records.
+    """
     gaps = ["life_form", "name_he"] + list(profile.scalar_labels)
-    for g in gaps:
-        aggs.append(F.min_by(F.col(g), F.when(_truthy(F.col(g)), ordc)).alias(f"_gap_{g}"))
-    out = facts.groupBy(KEY).agg(*aggs)
-    for g in gaps:
-        out = out.withColumn(g, F.coalesce(F.col(f"_gap_{g}"), F.col(f"_first.{g}"))).drop(f"_gap_{g}")
-    return out
-
+    scal = F.struct(*[F.col(c) for c in _first_fields(profile)])
+    rows = [F.array(F.struct(F.lit("_s").alias("field"), F.lit(None).cast("string").alias("item"),
+                             F.lit(0).alias("pos")))]
+    def tagged(name):
+        return lambda x, i: F.struct(F.lit(name).alias("field"), x.alias("item"), i.alias("pos"))
 
-def merge_lists(facts: DataFrame, fields=LIST_FIELDS) -> DataFrame:
-    """REC2: order-keeping union of list fields per key.
-
-    Element order = (first record holding it, its position there).
-    """
-    arr = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("items")) for f in fields])
-    ex = facts.select(KEY, "_ord", F.explode(arr).alias("_l"))
-    ex = ex.select(KEY, "_ord", F.col("_l.field").alias("field"),
-                   F.posexplode(F.col("_l.items")).alias("pos", "item"))
-    firsts = ex.groupBy(KEY, "field", "item").agg(F.min(F.struct("_ord", "pos")).alias("_at"))
-    aggs = []
+    for f in fields:
+        rows.append(F.transform(F.coalesce(F.col(f), F.array().cast("array<string>")), tagged(f)))
+    ex = facts.select(KEY, "_ord", scal.alias("_scal"), *profile.status_flags, *gaps,
+                      F.explode(F.concat(*rows)).alias("_e"))
+    is_s = F.col("_e.field") == "_s"
+    ex = ex.select(KEY, "_ord", F.col("_e.field").alias("field"), F.col("_e.item").alias("item"),
+                   F.col("_e.pos").alias("pos"),
+                   F.when(is_s, F.col("_scal")).alias("_scal"),
+                   *[F.when(is_s, F.col(f)).alias(f) for f in profile.status_flags],
+                   *[F.when(is_s, F.col(g)).alias(g) for g in gaps])
+    ordc = F.col("_ord")
+    a1 = ex.groupBy(KEY, "field", "item").agg(
+        F.min(F.struct("_ord", "pos")).alias("_at"),
+        F.min_by("_scal", ordc).alias("_first"),
+        *[F.max(f).alias(f) for f in profile.status_flags],
+        *[F.min_by(F.col(g), F.when(_truthy(F.col(g)), ordc)).alias(f"_gap_{g}") for g in gaps])
+    s_row = F.col("field") == "_s"
+    aggs = [F.max(F.when(s_row, F.col("_first"))).alias("_first"),
+            *[F.max(F.when(s_row, F.col(f))).alias(f) for f in profile.status_flags],
+            *[F.max(F.when(s_row, F.col(f"_gap_{g}"))).alias(f"_gap_{g}") for g in gaps]]
     for f in fields:
         picked = F.array_sort(F.collect_list(F.when(F.col("field") == f,
                                                     F.struct(F.col("_at"), F.col("item")))))
         aggs.append(F.transform(picked, lambda x: x["item"]).alias(f))
-    return firsts.groupBy(KEY).agg(*aggs)
+    out = a1.groupBy(KEY).agg(*aggs)
+    for g in gaps:
+        out = out.withColumn(g, F.coalesce(F.col(f"_gap_{g}"), F.col(f"_first.{g}"))).drop(f"_gap_{g}")
+    return out
 
 
 def reconcile(resolved: DataFrame, status: DataFrame | None = None,
@@ -115,11 +135,8 @@ def reconcile(resolved: DataFrame, status: DataFrame | None = None,
     label columns; ``status`` is (canonical_taxon_id, invasive_status,
     status_source) from ``status.status_frame``.
     """
-    facts = record_facts(resolved, profile)
-    scal = merge_scalars(facts, profile)
-    lists = merge_lists(facts)
+    out = merge(record_facts(resolved, profile), profile)
     empty = F.array().cast("array<string>")
-    out = scal.join(lists, KEY, "left")
     if status is not None:
         out = out.join(status.select(KEY, "invasive_status", "status_source"), KEY, "left")
     else:

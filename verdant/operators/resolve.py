@@ -71,13 +71,24 @@ def ladder(profile: L.Profile = L.REFERENCE_PROFILE) -> Column:
 
 def resolve_names(names: DataFrame, match: DataFrame,
                   profile: L.Profile = L.REFERENCE_PROFILE) -> DataFrame:
-    """RES2-RES5 per distinct (input_name, input_lang)."""
+    """RES2-RES5 per distinct (input_name, input_lang).
+
+    One pass: each name becomes two probe rows (first key, retry key), the
+    probes meet the match table in one left join, and one regroup by name
+    puts the two answers side by side.  The probe side is distinct names,
+    so AQE can broadcast whichever side is small.
+    """
     keys = lookup_keys(names, profile)
-    resp = needed_responses(keys, match).select(
-        "name_key", F.struct(*[F.col(c) for c in MATCH_FIELDS]).alias("resp"))
-    r1 = resp.select(F.col("name_key").alias("_k1"), F.col("resp").alias("_a"))
-    r2 = resp.select(F.col("name_key").alias("_k2"), F.col("resp").alias("_b"))
-    j = keys.join(r1, "_k1", "left").join(r2, "_k2", "left")
+    probes = keys.select("input_name", "input_lang", "_name", "_k1", "_k2",
+                         F.explode(F.array(F.struct(F.lit(1).alias("which"), F.col("_k1").alias("name_key")),
+                                           F.struct(F.lit(2).alias("which"), F.col("_k2").alias("name_key"))))
+                          .alias("_p"))
+    probes = probes.select("*", F.col("_p.which").alias("_which"), F.col("_p.name_key").alias("name_key")).drop("_p")
+    resp = match.select("name_key", F.struct(*[F.col(c) for c in MATCH_FIELDS]).alias("_resp"))
+    hit = probes.join(resp, "name_key", "left")
+    j = hit.groupBy("input_name", "input_lang", "_name", "_k1", "_k2").agg(
+        F.max(F.when(F.col("_which") == 1, F.col("_resp"))).alias("_a"),
+        F.max(F.when(F.col("_which") == 2, F.col("_resp"))).alias("_b"))
     # RES3: a weak or missing first answer is *replaced* by the retry answer.
     weak = (F.coalesce(F.col("_a.matchType"), F.lit("NONE")) == "NONE") | \
            (F.coalesce(F.col("_a.confidence"), F.lit(0)) < profile.threshold)

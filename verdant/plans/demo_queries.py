@@ -339,7 +339,7 @@ def search_text(spark, sf):
 
 def filter_combo(spark, sf):
     cat = _catalog(spark, sf)
-    q = Q.CatalogQuery(zone="round", special="edible", month="1", search="o")
+    q = Q.CatalogQuery(zone="round", special="edible", month="4", search="e")
     return q.matches(cat).select("id", "name_he", "life_form", "zones", "bloom_months_he")
 
 

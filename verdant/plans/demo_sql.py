@@ -622,9 +622,9 @@ WITH {CATALOG}
 SELECT CAST(canonical_taxon_id AS VARCHAR) AS id, name_he, life_form, array_to_string(climate_zone, ', ') AS zones,
        bloom_months_he
 FROM catalog
-WHERE (name_he ILIKE '%o%' OR scientific_name ILIKE '%o%' OR name_ar ILIKE '%o%' OR family ILIKE '%o%'
-       OR habitat_he ILIKE '%o%')
-  AND bloom_months_he LIKE '%1%' AND list_contains(climate_zone, 'round') AND edible = true"""
+WHERE (name_he ILIKE '%e%' OR scientific_name ILIKE '%e%' OR name_ar ILIKE '%e%' OR family ILIKE '%e%'
+       OR habitat_he ILIKE '%e%')
+  AND bloom_months_he LIKE '%4%' AND list_contains(climate_zone, 'round') AND edible = true"""
 
 ORACLE_SQL["sorted_page"] = f"""
 WITH {CATALOG},
