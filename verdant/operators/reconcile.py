@@ -65,8 +65,8 @@ def record_facts(resolved: DataFrame, profile: L.Profile = L.REFERENCE_PROFILE)
     for col, label in profile.scalar_labels.items():
         cols.append(_attr(label).alias(col))
     df = resolved.select(*cols)
-    df = df.withColumn("climate_zone", zones(F.col("distribution_regions"), profile.region_zone))
-    return df.select("*", *status_flags(F.col("statuses_he"), profile.status_map, profile.status_flags))
+    return df.select("*", zones(F.col("distribution_regions"), profile.region_zone).alias("climate_zone"),
+                     *status_flags(F.col("statuses_he"), profile.status_map, profile.status_flags))
 
 
 def _truthy(c: Column) -> Column:
@@ -122,9 +122,8 @@ def merge(facts: DataFrame, profile: L.Profile = L.REFERENCE_PROFILE,
                                                     F.struct(F.col("_at"), F.col("item")))))
         aggs.append(F.transform(picked, lambda x: x["item"]).alias(f))
     out = a1.groupBy(KEY).agg(*aggs)
-    for g in gaps:
-        out = out.withColumn(g, F.coalesce(F.col(f"_gap_{g}"), F.col(f"_first.{g}"))).drop(f"_gap_{g}")
-    return out
+    return out.select(KEY, "_first", *profile.status_flags, *fields,
+                      *[F.coalesce(F.col(f"_gap_{g}"), F.col(f"_first.{g}")).alias(g) for g in gaps])
 
 
 def reconcile(resolved: DataFrame, status: DataFrame | None = None,

@@ -34,13 +34,12 @@ def lookup_keys(names: DataFrame, profile: L.Profile = L.REFERENCE_PROFILE) -> D
     """
     n = names.select(F.coalesce(F.col("input_name"), F.lit("")).alias("input_name"),
                      F.coalesce(F.col("input_lang"), F.lit("lat")).alias("input_lang")).distinct()
-    n = n.withColumn("_name", normalize_name(F.col("input_name")))
+    n = n.select("*", normalize_name(F.col("input_name")).alias("_name"))
+    n = n.select("*", normalize_name(strip_cultivar(F.col("_name"))).alias("_stripped"))
     looked = (F.col("_name") != "") & (F.col("input_lang") != "he") & is_latin(F.col("_name"))
-    n = n.withColumn("_stripped", normalize_name(strip_cultivar(F.col("_name"))))
-    return (n.withColumn("_k1", F.when(looked, F.lower("_name")))
-             .withColumn("_k2", F.when(looked & (F.col("_stripped") != "") &
-                                       (F.col("_stripped") != F.col("_name")),
-                                       F.lower("_stripped"))))
+    return n.select("*", F.when(looked, F.lower("_name")).alias("_k1"),
+                    F.when(looked & (F.col("_stripped") != "") & (F.col("_stripped") != F.col("_name")),
+                           F.lower("_stripped")).alias("_k2"))
 
 
 def needed_responses(keys: DataFrame, match: DataFrame) -> DataFrame:
@@ -92,8 +91,8 @@ def resolve_names(names: DataFrame, match: DataFrame,
     # RES3: a weak or missing first answer is *replaced* by the retry answer.
     weak = (F.coalesce(F.col("_a.matchType"), F.lit("NONE")) == "NONE") | \
            (F.coalesce(F.col("_a.confidence"), F.lit(0)) < profile.threshold)
-    j = j.withColumn("_r", F.when(F.col("_k2").isNotNull() & weak, F.col("_b")).otherwise(F.col("_a")))
-    j = j.withColumn("reason", ladder(profile))
+    j = j.select("*", F.when(F.col("_k2").isNotNull() & weak, F.col("_b")).otherwise(F.col("_a")).alias("_r"))
+    j = j.select("*", ladder(profile).alias("reason"))
     looked = F.col("_k1").isNotNull()
     resolved = F.col("reason").isNull()
     return j.select(
@@ -117,8 +116,8 @@ def resolve_records(records: DataFrame, match: DataFrame, name_col: str = "name_
                     profile: L.Profile = L.REFERENCE_PROFILE) -> DataFrame:
     """Attach the resolution of ``name_col`` to every record (JON1)."""
     lang_c = F.lit(lang) if isinstance(lang, str) else lang
-    recs = records.withColumn("_in", F.coalesce(F.col(name_col), F.lit(""))) \
-                  .withColumn("_lang", F.coalesce(lang_c, F.lit("lat")))
+    recs = records.select("*", F.coalesce(F.col(name_col), F.lit("")).alias("_in"),
+                          F.coalesce(lang_c, F.lit("lat")).alias("_lang"))
     names = recs.select(F.col("_in").alias("input_name"), F.col("_lang").alias("input_lang"))
     res = resolve_names(names, match, profile)
     out = recs.join(res, (recs["_in"] == res["input_name"]) & (recs["_lang"] == res["input_lang"]), "left")
