@@ -396,6 +396,19 @@ def gates(spark, sf):
     return R.build_summary(recs, ok, canon, review, prov, PARTS_PROFILE)
 
 
+def phase1_gate(spark, sf):
+    part = table(spark, sf, "part")
+    recs = S.pivot_records(part_eav(part), PARTS_PROFILE.labels)
+    res = RS.resolve_records(recs, match_table(part), "name_lat", "lat", PARTS_PROFILE)
+    ok, review = RS.split_review(res)
+    rec = R.reconcile(ok, None, PARTS_PROFILE)
+    return G.phase1_gate(recs, ok, R.canonical_table(rec), review, R.provenance(rec, PARTS_PROFILE))
+
+
+def phase2_gate(spark, sf):
+    return G.phase2_gate(R.canonical_table(_reconciled(spark, sf)))
+
+
 def resolver_gate(spark, sf):
     part = table(spark, sf, "part")
     lab = (part.select(F.col("p_name").alias("input_name"), F.lit("lat").alias("input_lang"))
@@ -450,4 +463,6 @@ QUERIES = {
     "precedence": precedence,
     "gates": gates,
     "resolver_gate": resolver_gate,
+    "phase1_gate": phase1_gate,
+    "phase2_gate": phase2_gate,
 }

@@ -707,3 +707,22 @@ SELECT *, round(resolve_ok * 100.0 / resolve_total, 0) AS resolve_pct,
        round(review_ok * 100.0 / review_total, 0) AS review_pct,
        (round(resolve_ok * 100.0 / resolve_total, 0) >= 90.0 AND review_ok = review_total) AS pass
 FROM g"""
+
+ORACLE_SQL["phase1_gate"] = f"""
+WITH {RECONCILE}, {PROVENANCE},
+g AS (SELECT (SELECT count(*) FROM part_rec) AS staged, (SELECT count(*) FROM res WHERE reason IS NULL) AS resolved,
+             (SELECT count(*) FROM canon) AS canonical_rows, (SELECT count(*) FROM res WHERE reason IS NOT NULL) AS review,
+             (SELECT count(*) FROM prov) AS provenance_rows)
+SELECT *, round(resolved * 100.0 / staged, 0) AS resolved_pct, round(review * 100.0 / staged, 0) AS review_pct FROM g"""
+
+ORACLE_SQL["phase2_gate"] = f"""
+WITH {RECONCILE}
+SELECT count(*) AS canonical,
+       count(*) FILTER (WHERE invasive_status IN ('listed', 'potential', 'not_listed')) AS covered,
+       count(*) FILTER (WHERE invasive_status = 'listed') AS listed,
+       count(*) FILTER (WHERE invasive_status = 'potential') AS potential,
+       count(*) FILTER (WHERE invasive_status = 'not_listed') AS not_listed,
+       """ + ", ".join(f"count(*) FILTER (WHERE {f}) AS {f}" for f in FLAGS) + """,
+       count(*) FILTER (WHERE len(distribution_regions) > 0) AS with_region,
+       count(*) FILTER (WHERE invasive_status IN ('listed', 'potential', 'not_listed')) = count(*) AS coverage_ok
+FROM canon"""

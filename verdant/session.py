@@ -37,16 +37,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names reliable shared storage and is used as
-    is.  Only when it is unset (local tests) a private temporary folder is
-    created and registered.
+    is.  Only when neither the setting nor an explicit checkpoint folder is
+    present (local tests) a private temporary folder is registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="verdant-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
