@@ -24,6 +24,7 @@ from verdant.operators.layers import OFFER_COLUMNS, attach_layer, replace_proven
 from verdant.lookups import Profile
 from verdant.plans import gates as G
 from verdant.plans import surface as Q
+from verdant.plans.demo_store import published
 from verdant.plans.demo_inputs import (PARTS_PROFILE, SELLER, checklist_pages, match_table,
                                        media_inputs, offer_spine, offers, part_eav,
                                        part_records, table)
@@ -228,7 +229,7 @@ def resolve_crosswalk(spark, sf):
 
 # -------------------------------------------------------------- reconciling
 
-def _reconciled(spark, sf, with_status=False):
+def _build_reconciled(spark, sf):
     part = table(spark, sf, "part")
     eav = part_eav(part)
     recs = S.pivot_records(eav, PARTS_PROFILE.labels)
@@ -237,6 +238,11 @@ def _reconciled(spark, sf, with_status=False):
     return R.reconcile(ok, None, PARTS_PROFILE)
 
 
+def _reconciled(spark, sf):
+    """The reconciled part spine (built once per process, then scanned)."""
+    return published(spark, sf, "reconciled", lambda: _build_reconciled(spark, sf))
+
+
 def reconcile_rows(spark, sf):
     return _lists_as_text(R.canonical_table(_reconciled(spark, sf)))
 
@@ -261,8 +267,11 @@ def checklist(spark, sf):
 # ------------------------------------------------------------------- offers
 
 def _matched(spark, sf):
+    """Line-item offers matched onto the (name, brand) spine (published once)."""
     part = table(spark, sf, "part")
-    return O.match_offers(offers(table(spark, sf, "lineitem"), part), offer_spine(part)), part
+    m = published(spark, sf, "matched_offers", lambda: O.match_offers(
+        offers(table(spark, sf, "lineitem"), part), offer_spine(part)))
+    return m, part
 
 
 def match_exact(spark, sf):
@@ -321,8 +330,7 @@ def media_coverage(spark, sf):
 
 # ------------------------------------------------------------------ surface
 
-def _catalog(spark, sf):
-    """Reconciled part spine with its offers attached (the published table)."""
+def _build_catalog(spark, sf):
     rec = R.canonical_table(_reconciled(spark, sf))
     part = table(spark, sf, "part")
     o = offers(table(spark, sf, "lineitem"), part)
@@ -331,6 +339,11 @@ def _catalog(spark, sf):
     return attach_layer(rec, O.offers_by_key(m, SELLER), OFFER_COLUMNS)
 
 
+def _catalog(spark, sf):
+    """Reconciled part spine with its offers attached: the published table."""
+    return published(spark, sf, "catalog", lambda: _build_catalog(spark, sf))
+
+
 def search_text(spark, sf):
     docs = table(spark, sf, "documents")
     q = Q.CatalogQuery(search="th_t ", search_columns=("text", "source"))

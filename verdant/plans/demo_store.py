@@ -1,0 +1,37 @@
+"""Published intermediate tables for the registered queries.
+
+The original publishes its build once (one Parquet file) and every surface
+query scans that file.  The registry does the same: the reconciled spine,
+the matched offers and the catalogue are built by Spark from the driver's
+tables once per process, written as versioned tables under the session's
+checkpoint folder (``spark.checkpoint.dir`` on a cluster), and read back by
+the queries that need them.  A written table also cuts the lineage, so a
+lost executor never re-runs the build from the raw tables.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from verdant.plans.publish import write_version
+from verdant.session import checkpoint_dir
+
+_RUN = uuid.uuid4().hex[:12]
+_PATHS: dict[tuple, str] = {}
+
+
+def published(spark: SparkSession, sf_dir: str, name: str,
+              build: Callable[[], DataFrame]) -> DataFrame:
+    """Read table ``name`` for ``sf_dir``, building and writing it on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    path = _PATHS.get(key)
+    if path is None:
+        tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+        base = f"{checkpoint_dir(spark).rstrip('/')}/verdant-published-{_RUN}/{tag}"
+        path = write_version(build(), base, name)
+        _PATHS[key] = path
+    return spark.read.parquet(path)
