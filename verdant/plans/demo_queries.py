@@ -229,12 +229,17 @@ def resolve_crosswalk(spark, sf):
 
 # -------------------------------------------------------------- reconciling
 
+def _resolved(spark, sf):
+    """Every part record with its resolution (published once): one row per record."""
+    def build():
+        part = table(spark, sf, "part")
+        recs = S.pivot_records(part_eav(part), PARTS_PROFILE.labels)
+        return RS.resolve_records(recs, match_table(part), "name_lat", "lat", PARTS_PROFILE)
+    return published(spark, sf, "resolved", build)
+
+
 def _build_reconciled(spark, sf):
-    part = table(spark, sf, "part")
-    eav = part_eav(part)
-    recs = S.pivot_records(eav, PARTS_PROFILE.labels)
-    res = RS.resolve_records(recs, match_table(part), "name_lat", "lat", PARTS_PROFILE)
-    ok, _ = RS.split_review(res)
+    ok, _ = RS.split_review(_resolved(spark, sf))
     return R.reconcile(ok, None, PARTS_PROFILE)
 
 
@@ -398,24 +403,18 @@ def precedence(spark, sf):
 
 
 def gates(spark, sf):
-    part = table(spark, sf, "part")
-    eav = part_eav(part)
-    recs = S.pivot_records(eav, PARTS_PROFILE.labels)
-    res = RS.resolve_records(recs, match_table(part), "name_lat", "lat", PARTS_PROFILE)
+    res = _resolved(spark, sf)
     ok, review = RS.split_review(res)
-    rec = R.reconcile(ok, None, PARTS_PROFILE)
-    canon = R.canonical_table(rec)
-    prov = R.provenance(rec, PARTS_PROFILE)
-    return R.build_summary(recs, ok, canon, review, prov, PARTS_PROFILE)
+    rec = _reconciled(spark, sf)
+    return R.build_summary(res, ok, R.canonical_table(rec), review, R.provenance(rec, PARTS_PROFILE),
+                           PARTS_PROFILE)
 
 
 def phase1_gate(spark, sf):
-    part = table(spark, sf, "part")
-    recs = S.pivot_records(part_eav(part), PARTS_PROFILE.labels)
-    res = RS.resolve_records(recs, match_table(part), "name_lat", "lat", PARTS_PROFILE)
+    res = _resolved(spark, sf)
     ok, review = RS.split_review(res)
-    rec = R.reconcile(ok, None, PARTS_PROFILE)
-    return G.phase1_gate(recs, ok, R.canonical_table(rec), review, R.provenance(rec, PARTS_PROFILE))
+    rec = _reconciled(spark, sf)
+    return G.phase1_gate(res, ok, R.canonical_table(rec), review, R.provenance(rec, PARTS_PROFILE))
 
 
 def phase2_gate(spark, sf):
