@@ -108,21 +108,36 @@ def unmatched(matched: DataFrame) -> DataFrame:
 def offers_by_key(matched: DataFrame, seller: str) -> DataFrame:
     """OFR1-OFR3, OFR6: one row per key.
 
-    Sets are aggregated with ``collect_set`` (deduplicated map-side); their
-    size is bounded by the distinct values in the output row.
+    Two aggregates, as in reconciliation: every offer contributes one stats
+    row plus one row per pot size and one for its URL; aggregate 1 over
+    (key, kind, value) computes the stats (map-side combinable) and
+    deduplicates sizes and URLs; aggregate 2 over the key gathers the
+    distinct values, so a key with many listings never holds more than its
+    output row.
     """
     m = matched.where(F.col(KEY).isNotNull())
-    sizes = F.array_sort(F.array_distinct(F.flatten(F.collect_set("pot_sizes"))))
-    agg = m.groupBy(KEY).agg(
-        F.array_sort(F.collect_set(F.lit(seller))).alias("sold_by"),
-        sizes.alias("pot_sizes"),
-        F.min("price").alias("price_ils"),
-        F.max(F.col("availability") == "in_stock").alias("_any_in"),
-        F.array_sort(F.collect_set("url")).alias("source_urls"),
-        F.count(F.lit(1)).alias("listings"),
-        F.count("price").alias("n_prices"))
+    tag = lambda kind, v: F.struct(F.lit(kind).alias("kind"), v.cast("string").alias("value"))
+    rows = F.concat(F.array(tag("_o", F.lit(None)), tag("url", F.col("url"))),
+                    F.transform(F.coalesce(F.col("pot_sizes"), F.array().cast("array<string>")),
+                                lambda x: tag("size", x)))
+    ex = m.select(KEY, "price", "availability", F.explode(rows).alias("_t"))
+    is_o = F.col("_t.kind") == "_o"
+    a1 = ex.groupBy(KEY, F.col("_t.kind").alias("kind"), F.col("_t.value").alias("value")).agg(
+        F.min(F.when(is_o, F.col("price"))).alias("price_ils"),
+        F.max(F.when(is_o, F.col("availability") == "in_stock")).alias("_any_in"),
+        F.count(F.when(is_o, F.lit(1))).alias("listings"),
+        F.count(F.when(is_o, F.col("price"))).alias("n_prices"))
+    o = F.col("kind") == "_o"
+    agg = a1.groupBy(KEY).agg(
+        F.max(F.when(o, F.col("price_ils"))).alias("price_ils"),
+        F.max(F.when(o, F.col("_any_in"))).alias("_any_in"),
+        F.sum(F.when(o, F.col("listings"))).alias("listings"),
+        F.sum(F.when(o, F.col("n_prices"))).alias("n_prices"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "size", F.col("value")))).alias("pot_sizes"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "url", F.col("value")))).alias("source_urls"))
     return agg.select(
-        KEY, "sold_by", "pot_sizes", "price_ils", price_band(F.col("price_ils")).alias("price_band"),
+        KEY, F.array(F.lit(seller)).alias("sold_by"), "pot_sizes", "price_ils",
+        price_band(F.col("price_ils")).alias("price_band"),
         F.when(F.coalesce("_any_in", F.lit(False)), "in_stock").otherwise("out_of_stock")
          .alias("availability"),
         "source_urls", "listings", "n_prices",

@@ -252,11 +252,11 @@ def precedence(prov: DataFrame, ranks: dict = DEFAULT_PRECEDENCE) -> DataFrame:
 
 def conflicts(prov: DataFrame) -> DataFrame:
     """REC10: (key, field) with more than one distinct value."""
-    return (prov.where(F.col("value").isNotNull())
-                .groupBy(KEY, "field")
-                .agg(F.count_distinct("value").alias("n_values"),
-                     F.array_sort(F.collect_set("value")).alias("values"))
-                .where(F.col("n_values") > 1))
+    distinct = prov.where(F.col("value").isNotNull()).select(KEY, "field", "value").distinct()
+    return (distinct.groupBy(KEY, "field")
+                    .agg(F.count(F.lit(1)).alias("n_values"),
+                         F.array_sort(F.collect_list("value")).alias("values"))
+                    .where(F.col("n_values") > 1))
 
 
 def metrics(df: DataFrame, **named: Column) -> DataFrame:
