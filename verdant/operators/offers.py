@@ -63,21 +63,23 @@ def match_names(names: DataFrame, spine: DataFrame, name_col: str = "name_he",
     idx = spine_index(spine, name_col)
     q = names.select("name").distinct().withColumn("n", norm_local_name(F.col("name")))
     t = F.array_distinct(tokens(F.col("n")))
-    q = (q.withColumn("_first", F.element_at(t, 1))
-          .withColumn("_toks", t)
-          .withColumn("_sk", F.when(F.col("n") != "", _subset_key(
-              F.col("_first"), F.array_sort(F.array_remove(t, F.element_at(t, 1)))))))
+    first = F.get(t, 0)
+    q = q.select("*", first.alias("_first"), t.alias("_toks"),
+                 F.when(F.col("n") != "", _subset_key(first, F.array_sort(F.array_remove(t, first))))
+                  .alias("_sk"))
     q = q.join(exact_index(idx), "n", "left")
     q = q.join(containment_index(idx, max_subset_tokens), "_sk", "left")
-    # exact check of the long spine names, only for names still open
+    # exact check against the (rare) long spine names, in the same chain:
+    # left join on the first token with the containment test as residual,
+    # then one regroup per distinct name
     long_names = idx.where(F.size("rest") > max_subset_tokens).select(
-        F.col(KEY).alias("_lk"), F.col("first").alias("_first"),
+        F.col(KEY).alias("_lk"), F.col("first").alias("_lfirst"),
         F.array_union(F.array("first"), F.col("rest")).alias("_stoks"))
-    open_q = q.where(F.col("_exact_key").isNull() & (F.col("n") != "")).select("name", "_first", "_toks")
-    long_hits = (open_q.join(long_names, "_first")
-                       .where(F.size(F.array_except("_toks", "_stoks")) == 0)
-                       .groupBy("name").agg(F.min("_lk").alias("_lmin"), F.max("_lk").alias("_lmax")))
-    q = q.join(long_hits, "name", "left")
+    cond = ((F.col("_first") == F.col("_lfirst")) & F.col("_exact_key").isNull() &
+            (F.size(F.array_except(F.col("_toks"), F.col("_stoks"))) == 0))
+    q = (q.join(long_names, cond, "left")
+          .groupBy("name", "n", "_exact_key", "_cmin", "_cmax")
+          .agg(F.min("_lk").alias("_lmin"), F.max("_lk").alias("_lmax")))
     cmin = F.least("_cmin", "_lmin")
     cmax = F.greatest("_cmax", "_lmax")
     unique = cmin.isNotNull() & (cmin == cmax)
