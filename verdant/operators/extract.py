@@ -67,14 +67,16 @@ def extract_records(pages: DataFrame, source: str, scraped_at: str,
                     profile: L.Profile = L.REFERENCE_PROFILE,
                     pair_pattern: str = L.PAIR_PATTERN,
                     status_pattern: str = L.STATUS_ALT_PATTERN,
-                    block_marker: str = L.BLOCK_MARKER) -> DataFrame:
+                    block_marker: str = L.BLOCK_MARKER, keep=()) -> DataFrame:
     """EXT1-EXT6: pages -> snapshot records plus an ``outcome`` column.
 
     Rows with outcome 'ok' are records; the others are the rejects table.
     ``fields`` is a map in page order with the synthetic statuses entry last.
+    ``keep`` names input columns passed through (e.g. the HTML for a second
+    extraction in the same pass).
     """
     df = pages.select(F.col(id_col).cast("string").alias("source_id"), F.col(url_col).alias("url"),
-                      F.col(html_col).alias("html"))
+                      F.col(html_col).alias("html"), *[F.col(c).alias(f"_keep_{c}") for c in keep])
     df = with_status_text(with_page_fields(df, "html", pair_pattern), "html", status_pattern, "_st")
     st = F.col("_st")
     extra = F.when(st.isNotNull(), F.array(F.struct(F.lit(profile.label_statuses).alias("k"),
@@ -89,7 +91,7 @@ def extract_records(pages: DataFrame, source: str, scraped_at: str,
         F.lit(scraped_at).cast("date").alias("scraped_at"),
         F.try_element_at(m, F.lit(profile.label_name_he)).alias("name_he"),
         F.try_element_at(m, F.lit(profile.label_name_lat)).alias("name_lat"),
-        m.alias("fields"), "outcome")
+        m.alias("fields"), "outcome", *[F.col(f"_keep_{c}").alias(c) for c in keep])
 
 
 def outcome_counts(records: DataFrame) -> DataFrame:
@@ -122,8 +124,11 @@ def extract_products(pages: DataFrame, source: str, scraped_at: str,
                      block_pattern: str = L.PRICE_BLOCK_PATTERN,
                      amount_pattern: str = L.AMOUNT_PATTERN,
                      pot_pattern: str = L.POT_PATTERN,
-                     out_marker: str = L.OUT_OF_STOCK_MARKER) -> DataFrame:
-    """EXT7-EXT11: product pages -> seller records; no title -> outcome 'no_name'."""
+                     out_marker: str = L.OUT_OF_STOCK_MARKER, keep=()) -> DataFrame:
+    """EXT7-EXT11: product pages -> seller records; no title -> outcome 'no_name'.
+
+    ``keep`` names input columns passed through unchanged.
+    """
     html = F.col(html_col)
     title = F.nullif(clean_text(F.regexp_extract(html, title_pattern, 1)), F.lit(""))
     cat = F.col(category_col) if category_col else F.lit(None).cast("string")
@@ -137,5 +142,6 @@ def extract_products(pages: DataFrame, source: str, scraped_at: str,
                       block_pattern, amount_pattern).alias("price"),
         F.lit("ILS").alias("currency"),
         F.col("__pots").alias("pot_sizes"),
-        F.when(html.contains(out_marker), "out_of_stock").otherwise("in_stock").alias("availability"))
+        F.when(html.contains(out_marker), "out_of_stock").otherwise("in_stock").alias("availability"),
+        *[F.col(c) for c in keep])
     return out.withColumn("outcome", F.when(F.col("name_he").isNull(), "no_name").otherwise("ok"))

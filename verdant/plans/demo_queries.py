@@ -67,19 +67,21 @@ def extract_status_list(spark, sf):
 def extract_record(spark, sf):
     pages = table(spark, sf, "pages")
     prof = Profile(label_name_he=NAME_LABELS[0], label_name_lat=NAME_LABELS[1])
+    # one pass: record fields first, then the product fields from the kept HTML and URL
     recs = X.extract_records(pages, "pages", "2026-06-25", profile=prof,
                              pair_pattern=NAV_PAIR, status_pattern=NAV_HREF,
-                             block_marker=SPAM_MARKER)
+                             block_marker=SPAM_MARKER, keep=("html",))
+    recs = recs.select(F.col("source_id").alias("rec_id"), F.col("url").alias("rec_url"), "html",
+                       F.col("outcome").alias("rec_outcome"), F.col("name_he").alias("label_and"),
+                       F.col("name_lat").alias("label_the"))
     prods = X.extract_products(
-        pages.withColumn("category", F.lit(None).cast("string")), "pages", "2026-06-25",
-        id_col="page_id", title_pattern=H1, price_text=F.col("url"),
-        block_pattern=URL_PRICE_BLOCK, amount_pattern=WHOLE, pot_pattern=NUMBER_TOKENS,
-        out_marker=STOCK_MARKER)
-    return (recs.select("source_id", "outcome", F.col("name_he").alias("label_and"),
-                        F.col("name_lat").alias("label_the"))
-                .join(prods.select("source_id", F.col("name_he").alias("title"), "price",
-                                   "availability", F.col("outcome").alias("product_outcome")),
-                      "source_id"))
+        recs, "pages", "2026-06-25", id_col="rec_id", url_col="rec_url", category_col=None,
+        title_pattern=H1, price_text=F.col("rec_url"), block_pattern=URL_PRICE_BLOCK,
+        amount_pattern=WHOLE, pot_pattern=NUMBER_TOKENS, out_marker=STOCK_MARKER,
+        keep=("rec_outcome", "label_and", "label_the"))
+    return prods.select("source_id", F.col("rec_outcome").alias("outcome"), "label_and", "label_the",
+                        F.col("name_he").alias("title"), "price", "availability",
+                        F.col("outcome").alias("product_outcome"))
 
 
 def clean_text(spark, sf):
