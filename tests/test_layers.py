@@ -133,3 +133,32 @@ def test_occurrence_limit(spark):
                                "identifier string, license string, rightsHolder string, creator string")
     got = {r[KEY]: r.thumb for r in M.occurrence_media(df).collect()}
     assert got == {2: "https://a"}          # key 1's media sits in its 6th occurrence
+
+
+def test_underscore_titles_flag(spark):
+    sp = spark.createDataFrame([(1, "Rosa canina L.")], "canonical_taxon_id long, scientific_name string")
+    pairs = spark.createDataFrame([("Rosa canina", "http://x/wiki/Special:FilePath/Rosa_canina.jpg")],
+                                  "n string, img string")
+    files = spark.createDataFrame([("File:Rosa canina.jpg", [("http://t/r.jpg", None, "p", (("CC",), ("me",)))])],
+                                  "title string, imageinfo array<struct<thumburl:string,url:string,"
+                                  "descriptionurl:string,extmetadata:struct<LicenseShortName:struct<value:string>,"
+                                  "Artist:struct<value:string>>>>")
+    occ = spark.createDataFrame([], "taxon_key long, occ_order struct<p:int>, references string, media_pos int, "
+                                "identifier string, license string, rightsHolder string, creator string")
+    assert M.pick_media(sp, pairs, files, occ).count() == 0          # parity: exact title match
+    assert M.pick_media(sp, pairs, files, occ, normalize_underscores=True).first().thumb == "https://t/r.jpg"
+
+
+def test_hot_key_offers_and_reconcile(spark):
+    """One key holds a third of all offers: results stay whole and exact."""
+    sp = spine(spark, [(1, "הדס"), (2, "אלון"), (3, "זית")])
+    data = []
+    for i in range(3000):
+        name = "הדס" if i % 3 == 0 else ("אלון" if i % 3 == 1 else "זית")
+        data.append((str(i), name, "c", float(i % 97 + 1), [f"{i % 7} ליטר"], "in_stock" if i % 5 else None,
+                     f"u{i}"))
+    offers = spark.createDataFrame(data, "source_id string, name_he string, category string, price double, "
+                                   "pot_sizes array<string>, availability string, url string")
+    by = {r[KEY]: r for r in O.offers_by_key(O.match_offers(offers, sp), "azur").collect()}
+    assert by[1].listings == 1000 and len(by[1].source_urls) == 1000 and by[1].price_ils == 1.0
+    assert len(by[1].pot_sizes) == 7

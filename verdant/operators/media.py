@@ -83,20 +83,29 @@ def occurrence_media(flat: DataFrame, limit: int = L.OCCURRENCE_LIMIT) -> DataFr
 
 
 def pick_media(spine: DataFrame, pairs: DataFrame, files: DataFrame, occ: DataFrame,
-               illustration_pattern: str = L.ILLUSTRATION_PATTERN) -> DataFrame:
+               illustration_pattern: str = L.ILLUSTRATION_PATTERN,
+               normalize_underscores: bool = False) -> DataFrame:
     """MED1-MED3: one record per key (thumb, source, license, credit, page).
 
     Preference: a photo from the first source, else an occurrence photo, else
     the first source's illustration.  Keys with nothing get no row.
+    File names match the metadata titles exactly, as in the original (a title
+    spelled with spaces misses a URL spelled with underscores);
+    ``normalize_underscores=True`` compares both with '_' read as ' '.
     """
     keys = spine.select(KEY, "scientific_name").where(F.col("scientific_name").isNotNull())
     keys = keys.withColumn("bare", bare_name(F.col("scientific_name")))
     # MED1 + JON8: distinct names -> file -> metadata, then back to keys
     names = keys.select("bare").distinct()
     wd = first_image_per_name(pairs)
+    meta = file_metadata(files)
+    fn = file_name(F.col("img"))
+    if normalize_underscores:
+        fn = F.replace(fn, F.lit("_"), F.lit(" "))
+        meta = meta.withColumn("fn", F.replace(F.col("fn"), F.lit("_"), F.lit(" ")))
     per_name = (names.join(wd, names["bare"] == wd["n"], "inner")
-                     .select("bare", file_name(F.col("img")).alias("fn"))
-                     .join(file_metadata(files), "fn", "inner")
+                     .select("bare", fn.alias("fn"))
+                     .join(meta, "fn", "inner")
                      .where(F.col("thumb").isNotNull() & (F.col("thumb") != ""))
                      .select("bare", F.struct(
                          "thumb", F.lit("wikimedia").alias("source"), "license", "credit", "page",
