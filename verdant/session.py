@@ -24,6 +24,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """Session for tests and benchmarks on one machine (UI off)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
+         # the plans are built from many small Column expressions; capturing a
+         # Python call site for each one costs a JVM round trip per function
+         # (it only enriches error messages)
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.driver.memory", "8g")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in SCALE_CONF.items():
