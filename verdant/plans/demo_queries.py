@@ -25,9 +25,9 @@ from verdant.lookups import Profile
 from verdant.plans import gates as G
 from verdant.plans import surface as Q
 from verdant.plans.demo_store import published
-from verdant.plans.demo_inputs import (PARTS_PROFILE, SELLER, checklist_pages, match_table,
-                                       media_inputs, offer_spine, offers, part_eav,
-                                       part_records, table)
+from verdant.plans.demo_inputs import (PARTS_PROFILE, SELLER, checklist_pages, media_inputs,
+                                       offer_spine, offers, part_eav, part_match, part_records,
+                                       part_records_of, table)
 from verdant.sources.sitemap import products_from_urls
 
 KEY = "canonical_taxon_id"
@@ -170,24 +170,24 @@ def price_bands(spark, sf):
 
 # ---------------------------------------------------------------- resolving
 
-def _resolve_inputs(part):
-    recs = part_records(part)
+def _resolve_inputs(spark, sf):
+    recs = part_records_of(spark, sf)
     lang = F.when(F.col("fields")["size"] == "1", F.lit("he")).otherwise(F.lit("lat"))
     return recs.withColumn("lang", lang)
 
 
 def resolve_ladder(spark, sf):
     part = table(spark, sf, "part")
-    recs = _resolve_inputs(part)
-    res = RS.resolve_records(recs, match_table(part), "name_lat", F.col("lang"), PARTS_PROFILE)
+    recs = _resolve_inputs(spark, sf)
+    res = RS.resolve_records(recs, part_match(spark, sf), "name_lat", F.col("lang"), PARTS_PROFILE)
     return res.select("source_id", *RS.RESULT_COLUMNS)
 
 
 def resolve_incremental(spark, sf):
     part = table(spark, sf, "part")
-    recs = _resolve_inputs(part)
+    recs = _resolve_inputs(spark, sf)
     names = recs.select(F.col("name_lat").alias("input_name"), F.col("lang").alias("input_lang"))
-    m = match_table(part)
+    m = part_match(spark, sf)
     first = RS.cache_stats(names, m, PARTS_PROFILE)
     misses = RS.unseen_keys(names, m, PARTS_PROFILE)
     answered = misses.select("name_key", *[F.lit(None).cast(f.dataType).alias(f.name)
@@ -213,7 +213,7 @@ def resolve_listed(spark, sf):
                                  F.lit(","), F.col("p_brand")).alias("value"))
     names = ST.curated_names(lines)
     res = RS.resolve_names(names.select(F.col("name").alias("input_name"),
-                                        F.lit("lat").alias("input_lang")), match_table(part),
+                                        F.lit("lat").alias("input_lang")), part_match(spark, sf),
                            PARTS_PROFILE)
     return res.select(F.col("input_name").alias("name"), "status", KEY, "reason")
 
@@ -225,7 +225,7 @@ def resolve_crosswalk(spark, sf):
     # SMALL parts arrive with their local name only
     loc = recs.select("source_id", "name_he",
                       F.when(F.col("fields")["type"] != "SMALL", F.col("name_lat")).alias("name_lat"))
-    res = RS.resolve_via_crosswalk(loc, xw, match_table(part), PARTS_PROFILE)
+    res = RS.resolve_via_crosswalk(loc, xw, part_match(spark, sf), PARTS_PROFILE)
     return res.select("source_id", "status", KEY, "reason")
 
 
@@ -236,7 +236,7 @@ def _resolved(spark, sf):
     def build():
         part = table(spark, sf, "part")
         recs = S.pivot_records(part_eav(part), PARTS_PROFILE.labels)
-        return RS.resolve_records(recs, match_table(part), "name_lat", "lat", PARTS_PROFILE)
+        return RS.resolve_records(recs, part_match(spark, sf), "name_lat", "lat", PARTS_PROFILE)
     return published(spark, sf, "resolved", build)
 
 
@@ -430,7 +430,7 @@ def resolver_gate(spark, sf):
                .withColumn("expected_bucket",
                            F.when(F.split_part("input_name", F.lit(" "), F.lit(1))
                                    .isin("cold", "large", "red"), "review").otherwise("resolve")))
-    res = RS.resolve_names(lab.select("input_name", "input_lang"), match_table(part), PARTS_PROFILE)
+    res = RS.resolve_names(lab.select("input_name", "input_lang"), part_match(spark, sf), PARTS_PROFILE)
     return G.resolver_gate(lab, res)
 
 
