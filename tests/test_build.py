@@ -1,5 +1,3 @@
-import tempfile
-
 from pyspark.sql import functions as F
 
 from verdant import lookups as L

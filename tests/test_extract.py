@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from verdant import lookups as L
 from verdant.functions import text as T
 from verdant.operators import extract as X

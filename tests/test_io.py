@@ -2,8 +2,6 @@ import json
 import os
 import tempfile
 
-from pyspark.sql import functions as F
-
 from verdant.operators.matcher import match_names_fuzzy
 from verdant.operators.status import curated_names
 from verdant.plans import publish as P

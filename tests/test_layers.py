@@ -1,6 +1,4 @@
-import os
 import random
-import tempfile
 
 from pyspark.sql import functions as F
 

@@ -5,11 +5,13 @@ per looked-up name key (``lower(normalised name)``) with the response fields
 ``usageKey, acceptedUsageKey, scientificName, accepted, rank, status,
 matchType, confidence, kingdom, family, genus``.
 
-Plan shape: distinct input names -> distinct look-up keys -> semi-join the
-(possibly huge) match table against those keys -> ladder per distinct name ->
+Plan shape: distinct input names -> two probe rows per name (first and retry
+key) -> one left join with the match table -> ladder per distinct name ->
 join the per-name result back to the records.  The big records table never
-meets the big match table directly, and every step is keyed, so AQE can
-broadcast whichever side turns out small at run time.
+meets the big match table directly.  When the probes are small AQE
+broadcasts them away from a shuffle; when the match table is the big side of
+a shuffle join, Spark's runtime bloom filter (on by default) prunes it to the
+probed keys before the shuffle.
 """
 
 from __future__ import annotations
@@ -42,14 +44,6 @@ def lookup_keys(names: DataFrame, profile: L.Profile = L.REFERENCE_PROFILE) -> D
                            F.lower("_stripped")).alias("_k2"))
 
 
-def needed_responses(keys: DataFrame, match: DataFrame) -> DataFrame:
-    """Rows of the match table whose key is asked for (semi-join)."""
-    wanted = (keys.select(F.col("_k1").alias("name_key"))
-                  .union(keys.select(F.col("_k2").alias("name_key")))
-                  .where(F.col("name_key").isNotNull()).distinct())
-    return match.join(wanted, "name_key", "left_semi")
-
-
 def ladder(profile: L.Profile = L.REFERENCE_PROFILE) -> Column:
     """RES4: the review reason in ladder order; null means resolved."""
     mt = F.coalesce(F.col("_r.matchType"), F.lit("NONE"))

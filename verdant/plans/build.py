@@ -15,7 +15,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from verdant import lookups as L
 from verdant.operators import offers as O
