@@ -8,10 +8,10 @@ matchType, confidence, kingdom, family, genus``.
 Plan shape: distinct input names -> two probe rows per name (first and retry
 key) -> one left join with the match table -> ladder per distinct name ->
 join the per-name result back to the records.  The big records table never
-meets the big match table directly.  When the probes are small AQE
-broadcasts them away from a shuffle; when the match table is the big side of
-a shuffle join, Spark's runtime bloom filter (on by default) prunes it to the
-probed keys before the shuffle.
+meets the big match table directly.  A small match table is broadcast by
+AQE (a left outer join can only build on its right side); a large one goes
+through a shuffle join in which Spark's runtime bloom filter (on by default)
+prunes it to the probed keys before it is shuffled.
 """
 
 from __future__ import annotations
@@ -68,8 +68,8 @@ def resolve_names(names: DataFrame, match: DataFrame,
 
     One pass: each name becomes two probe rows (first key, retry key), the
     probes meet the match table in one left join, and one regroup by name
-    puts the two answers side by side.  The probe side is distinct names,
-    so AQE can broadcast whichever side is small.
+    puts the two answers side by side.  The probe side holds distinct names
+    only.
     """
     keys = lookup_keys(names, profile)
     probes = keys.select("input_name", "input_lang", "_name", "_k1", "_k2",
