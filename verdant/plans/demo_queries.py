@@ -189,11 +189,13 @@ def resolve_incremental(spark, sf):
     names = recs.select(F.col("name_lat").alias("input_name"), F.col("lang").alias("input_lang"))
     m = part_match(spark, sf)
     first = RS.cache_stats(names, m, PARTS_PROFILE)
+    # RES7 + RES8: the misses are answered by the matcher against a backbone
+    # made from the part names, and appended to the match table
+    from verdant.operators.matcher import responses_for
     misses = RS.unseen_keys(names, m, PARTS_PROFILE)
-    answered = misses.select("name_key", *[F.lit(None).cast(f.dataType).alias(f.name)
-                                           for f in m.schema.fields if f.name != "name_key"])
-    answered = answered.withColumn("matchType", F.lit("NONE")).withColumn("confidence", F.lit(100))
-    m2 = RS.extend_match_table(m, answered)
+    backbone = part.groupBy(F.col("p_name").alias("name")).agg(
+        F.min("p_partkey").alias("key"))
+    m2 = RS.extend_match_table(m, responses_for(misses, backbone))
     second = RS.cache_stats(names, m2, PARTS_PROFILE)
     return first.unionByName(second).withColumn("run", F.when(F.col("misses") > 0, 1).otherwise(2))
 
