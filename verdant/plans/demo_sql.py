@@ -378,10 +378,12 @@ FROM i WHERE i > 0 AND len(parts) >= i + 2"""
 
 ORACLE_SQL["stage_eav"] = f"""
 WITH {PART_REC},
-pj AS (SELECT *, json_object('name', p_name, 'brand', p_brand, 'type', p_type, 'size', CAST(p_size AS VARCHAR),
-                             'price', CAST(p_retailprice AS VARCHAR), 'regions', regions_txt) AS raw_text FROM part_rec),
-cj AS (SELECT *, json_object('name', c_name, 'nation', CAST(c_nationkey AS VARCHAR),
-                             'balance', CAST(c_acctbal AS VARCHAR), 'segment', c_mktsegment) AS raw_text FROM customer)
+pj AS (SELECT *, CAST(json_object('name', p_name, 'brand', p_brand, 'type', p_type, 'size', CAST(p_size AS VARCHAR),
+                             'price', CAST(p_retailprice AS VARCHAR), 'regions', regions_txt) AS VARCHAR) AS raw_text
+       FROM part_rec),
+cj AS (SELECT *, CAST(json_object('name', c_name, 'nation', CAST(c_nationkey AS VARCHAR),
+                             'balance', CAST(c_acctbal AS VARCHAR), 'segment', c_mktsegment) AS VARCHAR) AS raw_text
+       FROM customer)
 SELECT 'part' AS source, source_id, name_he AS raw_name_he, name_lat AS raw_name_lat, a.attribute, a.value, raw_text
 FROM pj, (VALUES ('name'), ('brand'), ('type'), ('size'), ('price'), ('regions')) a0(attribute),
      LATERAL (SELECT a0.attribute, CASE a0.attribute WHEN 'name' THEN p_name WHEN 'brand' THEN p_brand
@@ -462,7 +464,7 @@ best AS (SELECT q, first(matched_name ORDER BY d, b, key) AS matched_name, first
 g AS (SELECT DISTINCT {TOKS('b')}[1] AS g FROM b)
 SELECT qn.input_name,
        CASE WHEN best.d IS NOT NULL THEN best.matched_name WHEN g.g IS NOT NULL THEN g.g END AS matched_name,
-       best.key AS key, best.d AS distance,
+       best.key AS key, CAST(best.d AS INTEGER) AS distance,
        CASE WHEN best.d = 0 THEN 'EXACT' WHEN best.d IS NOT NULL THEN 'FUZZY'
             WHEN g.g IS NOT NULL THEN 'HIGHERRANK' ELSE 'NONE' END AS matchType,
        CAST(CASE WHEN best.d = 0 THEN 99 WHEN best.d IS NOT NULL THEN 100 - 6 * best.d
