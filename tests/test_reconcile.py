@@ -111,3 +111,21 @@ def test_conflicts_and_precedence(spark):
     assert c == {"price": ["10", "12"], "family": ["A", "B"]}
     w = {r.field: (r.value, r.source) for r in R.precedence(prov).collect()}
     assert w == {"price": ("10", "azur"), "family": ("A", "gbif")}
+
+
+def test_all_values_provenance(spark):
+    facts = R.record_facts(resolved(spark, DATA), P)
+    prov = R.all_values_provenance(facts, P).where("canonical_taxon_id = 1")
+    got = {(r.field, r.value) for r in prov.collect()}
+    assert ("name_ar", "تين") in got and ("habitat_he", "חורש") in got
+    assert ("status", "צמח מוגן") in got and ("status", "צמח רעיל") in got
+    assert ("name_ar", "") not in got                      # empty values are not provenance
+    assert prov.count() == len(got)                        # one row per (field, value)
+
+
+def test_cluster_conf_sizes():
+    from verdant.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert c["spark.sql.adaptive.enabled"] == "true"
+    assert int(cluster_conf(1, 8)["spark.sql.shuffle.partitions"]) == 16
