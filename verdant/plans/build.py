@@ -4,10 +4,11 @@ Phase 1+2: records -> EAV -> pivot -> resolve -> reconcile (+status)
 Phase 3:   offers matched onto the published spine
 Media:     media records attached by key
 
-Only the resolved records are materialised (they feed both the canonical
-rows and the review queue); the materialisation is a reliable checkpoint in
-the folder named by ``spark.checkpoint.dir``, so a lost executor does not
-force the resolve to re-run from the raw pages.
+Two frames are materialised, each read twice downstream: the pivoted
+records (distinct names and the join back of the resolve) and the resolved
+records (canonical rows and review queue).  The materialisation is a
+reliable checkpoint in the folder named by ``spark.checkpoint.dir``, so a
+lost executor does not force a re-run from the raw pages.
 """
 
 from __future__ import annotations
@@ -40,6 +41,10 @@ def build_catalog(eav: DataFrame, match: DataFrame, status: DataFrame | None = N
                   materialize: bool = True) -> CatalogBuild:
     """STG3 -> RES -> REC (+STA3): the spine, its provenance and review queue."""
     records = pivot_records(eav, profile.labels)
+    if materialize:
+        # the pivot is the largest aggregate of the build and resolve reads
+        # its output twice (distinct names, then the join back): keep it once
+        records = cut_lineage(records)
     res = resolve_records(records, match, "name_lat", "lat", profile)
     if materialize:
         res = cut_lineage(res)

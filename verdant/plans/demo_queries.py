@@ -235,9 +235,12 @@ def resolve_crosswalk(spark, sf):
 
 def _resolved(spark, sf):
     """Every part record with its resolution (published once): one row per record."""
+    def pivoted():
+        return S.pivot_records(part_eav(table(spark, sf, "part")), PARTS_PROFILE.labels)
+
     def build():
-        part = table(spark, sf, "part")
-        recs = S.pivot_records(part_eav(part), PARTS_PROFILE.labels)
+        # the pivot output is read twice by the resolve: published once
+        recs = published(spark, sf, "records", pivoted)
         return RS.resolve_records(recs, part_match(spark, sf), "name_lat", "lat", PARTS_PROFILE)
     return published(spark, sf, "resolved", build)
 
