@@ -28,8 +28,11 @@ def with_page_fields(df: DataFrame, html_col: str = "html", pattern: str = L.PAI
     Labels are cleaned and lose a trailing ':'; empty labels are dropped.
     Row-local: a page's pairs never leave its row.
     """
-    df = df.withColumn("__k", F.regexp_extract_all(F.col(html_col), F.lit(pattern), 1))
-    df = df.withColumn("__v", F.regexp_extract_all(F.col(html_col), F.lit(pattern), 2))
+    # one regex pass over the page for whole pair matches; both groups are
+    # then taken from the short match strings, not from the page again
+    df = df.withColumn("__m", F.regexp_extract_all(F.col(html_col), F.lit(pattern), 0))
+    df = df.withColumn("__k", F.transform("__m", lambda m: F.regexp_extract(m, pattern, 1)))
+    df = df.withColumn("__v", F.transform("__m", lambda m: F.regexp_extract(m, pattern, 2))).drop("__m")
     df = with_clean_list(with_clean_list(df, "__k", "__k"), "__v", "__v")
     k = F.transform(F.col("__k"), lambda x: F.trim(F.regexp_replace(x, ":+$", "")))
     return df.withColumn(out, _first_per_label(k, F.col("__v"))).drop("__k", "__v")
