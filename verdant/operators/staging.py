@@ -17,12 +17,16 @@ def eav_from_records(records: DataFrame) -> DataFrame:
     ``records``: source, source_id, name_he, name_lat, fields map, scraped_at.
     A narrow map-side explode; partition the sink by source and date.
     """
-    return records.select(
+    # the audit text is computed once per record, below the explode, not once
+    # per exploded attribute
+    per_record = records.select(
         "source", "source_id", F.col("name_he").alias("raw_name_he"),
-        F.col("name_lat").alias("raw_name_lat"),
-        F.explode("fields").alias("attribute", "value"),
+        F.col("name_lat").alias("raw_name_lat"), "fields",
         record_json(F.col("fields")).alias("raw_text"),
         F.col("scraped_at").cast("date").alias("scraped_at"))
+    return per_record.select(
+        "source", "source_id", "raw_name_he", "raw_name_lat",
+        F.explode("fields").alias("attribute", "value"), "raw_text", "scraped_at")
 
 
 def records_from_table(df: DataFrame, source: str, id_col: str, name_he_col: str,
