@@ -10,6 +10,8 @@ after an executor loss the micro-batch is replayed from the checkpoint.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,11 +20,24 @@ from verdant.session import checkpoint_dir
 from verdant.sources.snapshots import RECORD_SCHEMA
 
 
+def default_checkpoint(spark: SparkSession, raw_dir: str, eav_path: str) -> str:
+    """A stream checkpoint that is stable across applications.
+
+    ``SparkContext.getCheckpointDir`` carries a per-application suffix, which
+    would make every new run re-stage all files; the stream's state lives
+    under the configured ``spark.checkpoint.dir`` itself, keyed by its source
+    and sink.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    tag = hashlib.sha1(f"{raw_dir}|{eav_path}".encode()).hexdigest()[:16]
+    return f"{base.rstrip('/')}/verdant-stage-eav/{tag}"
+
+
 def stage_new_snapshots(spark: SparkSession, raw_dir: str, eav_path: str,
                         checkpoint: str | None = None,
                         max_files_per_trigger: int = 10000) -> StreamingQuery:
     """Start the incremental staging stream (trigger: available now)."""
-    ck = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/stage-eav"
+    ck = checkpoint or default_checkpoint(spark, raw_dir, eav_path)
     stream = (spark.readStream.schema(RECORD_SCHEMA).option("multiLine", True)
                    .option("maxFilesPerTrigger", max_files_per_trigger)
                    .option("recursiveFileLookup", True)
