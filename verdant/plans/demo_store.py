@@ -32,6 +32,6 @@ def published(spark: SparkSession, sf_dir: str, name: str,
     if path is None:
         tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
         base = f"{checkpoint_dir(spark).rstrip('/')}/verdant-published-{_RUN}/{tag}"
-        path = write_version(build(), base, name)
+        path = write_version(build(), base, name, repoint=False)
         _PATHS[key] = path
     return spark.read.parquet(path)

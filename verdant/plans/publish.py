@@ -25,8 +25,12 @@ def _pointer(base: str, name: str) -> str:
 
 def write_version(df: DataFrame, base: str, name: str, fmt: str = "parquet",
                   partition_by: list[str] | None = None, version: str | None = None,
-                  **options) -> str:
-    """Write ``df`` as a new version and repoint; returns the version path."""
+                  repoint: bool = True, **options) -> str:
+    """Write ``df`` as a new version and repoint; returns the version path.
+
+    ``repoint=False`` writes the version only, for callers that keep the
+    returned path themselves.
+    """
     v = version or new_version()
     path = f"{base.rstrip('/')}/{name}/v={v}"
     w = df.write.mode("errorifexists").format(fmt)
@@ -35,6 +39,8 @@ def write_version(df: DataFrame, base: str, name: str, fmt: str = "parquet",
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
+    if not repoint:
+        return path
     spark = df.sparkSession
     spark.createDataFrame([(path,)], "path string").coalesce(1) \
          .write.mode("overwrite").text(_pointer(base, name))
