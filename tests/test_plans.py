@@ -15,7 +15,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "CollectLi
 def test_no_pairwise_joins_or_windows(spark):
     if not os.path.isdir(SF):
         return
-    for name, q in E.queries().items():
+    for name, q in E.QUERIES.items():
         plan = q(spark, SF)._jdf.queryExecution().executedPlan().toString()
         for bad in FORBIDDEN:
             assert bad not in plan, (name, bad)
