@@ -199,3 +199,12 @@ def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN, words: i
     return (base.join(comps.withColumnRenamed("id", "set_id"), "set_id", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.coalesce("component", "set_id").alias("component_id"), "set_id"))
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of each component: its smallest id.
+
+    Rows that repeat a kept ``doc_id`` stay; rows without an id stay too, as
+    nothing is known to equal them."""
+    gone = jaccard_components(docs, **options).where("component_id != doc_id").select(F.col("doc_id").alias("__id"))
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col("__id"), "left_anti")

@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from verdant.llm import decontaminate, line_dedup, ngram_jaccard, quality_rules
+from verdant.llm import (decontaminate, html_main, language_id, license_scan, line_dedup, ngram_jaccard, packing,
+                         quality_model, quality_rules, secret_scan)
 from verdant.llm.common import read_table
 
 
+# the vocabulary of byte_bpe_50k.json as ranks
+TOKENIZER = "byte_bpe_50k.tiktoken"
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as a tree of files: ``source/lang/shard/<doc_id>.txt``; a
+    document that opens with a licence notice is its directory's LICENSE file."""
+    docs = read_table(spark, sf_dir, "documents")
+    opens = F.lower(F.substring_index("text", "\n", 1)).rlike("licen[cs]e")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 500).cast("string"),
+                       F.when(opens, F.concat(F.lit("LICENSE-"), F.col("doc_id").cast("string")))
+                       .otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))))
+    return license_scan.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
 
@@ -20,9 +38,32 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op5_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_model.score(docs, quality_model.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.duplicate_lines(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_ngram_jaccard, op3_decontaminate, op4_quality_rules, op9_line_dedup)}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op2_ngram_jaccard, op3_decontaminate, op4_quality_rules, op5_html_main, op6_secret_scan,
+    op7_language_id, op8_quality_model, op9_line_dedup, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
