@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -9,7 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from verdant.session import local_session
-    s = local_session(cores=4, shuffle_partitions=4, app="verdant-tests")
+    s = local_session(cores=4, shuffle_partitions=4, app="verdant-tests",
+                      checkpoint=tempfile.mkdtemp(prefix="verdant-tests-"))
     yield s
     s.stop()
 

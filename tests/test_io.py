@@ -52,7 +52,7 @@ def test_curated_list_and_sitemap(spark):
     d = tempfile.mkdtemp(prefix="verdant-test-")
     p = os.path.join(d, "list.csv")
     with open(p, "w", encoding="utf-8") as f:
-        f.write("name_lat,note\nAcacia saligna,x, y\n\n  Ailanthus altissima ,z\nAcacia saligna,dup\n")
+        f.write("name_lat,note\nAcacia saligna,x, y\n\n\t\n  Ailanthus altissima ,z\nAcacia saligna,dup\n")
     names = curated_names(SN.read_list_lines(spark, p))
     assert rows(names) == [("Acacia saligna",), ("Ailanthus altissima",)]
     xml = spark.createDataFrame([("<loc>https://s.co/%D7%97%D7%A0%D7%95%D7%AA/%D7%A2%D7%A6%D7%99%D7%9D/a+b/</loc>"
@@ -94,3 +94,62 @@ def test_fuzzy_matcher_equals_brute_force(spark):
             assert r.matchType == "HIGHERRANK"
         else:
             assert r.matchType == "NONE" and r.confidence == 0
+
+
+def test_fuzzy_distance_argument_is_honoured(spark):
+    import random
+    rnd = random.Random(3)
+    long = "".join(rnd.choice("abcd") for _ in range(500))
+    back = ["abcdefgh", "ab", "a", long] + ["".join(rnd.choice("abc") for _ in range(rnd.randint(1, 9))) for _ in range(40)]
+    back = sorted(set(back))
+    bdf = spark.createDataFrame([(n, i) for i, n in enumerate(back)], "name string, key long")
+    qs = sorted({"abcxyzgh", "b", long[:250] + "x" + long[252:], "zzzz"}
+                | {"".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 10))) for _ in range(40)})
+    qdf = spark.createDataFrame([(q,) for q in qs], "input_name string")
+    for k in (0, 1, 3):
+        got = {r.input_name: r for r in match_names_fuzzy(qdf, bdf, max_distance=k).collect()}
+        for q in qs:
+            near = sorted((_lev(q, b), b) for b in back if abs(len(q) - len(b)) <= k and _lev(q, b) <= k)
+            assert (got[q].distance, got[q].matched_name) == near[0] if near else got[q].distance is None, (k, q)
+
+
+def test_backbone_fields_are_carried(spark):
+    from verdant.operators.matcher import responses_for
+    back = spark.createDataFrame([("Felis catus", 5, "SPECIES", "SYNONYM", "Animalia", 6, "Felis silvestris")],
+                                 "name string, key long, rank string, status string, kingdom string, "
+                                 "acceptedUsageKey long, accepted string")
+    r = responses_for(spark.createDataFrame([("felis catuz",), ("nothing",)], "name_key string"), back).collect()
+    by = {x.name_key: x for x in r}
+    hit = by["felis catuz"]
+    assert (hit.kingdom, hit.status, hit.acceptedUsageKey, hit.accepted, hit.rank) == \
+        ("Animalia", "SYNONYM", 6, "Felis silvestris", "SPECIES")
+    assert by["nothing"].matchType == "NONE" and by["nothing"].kingdom is None
+
+
+def test_failed_repoint_keeps_the_live_version(spark):
+    import tempfile
+    base = tempfile.mkdtemp(prefix="verdant-sink-")
+    one = spark.createDataFrame([(1,)], "a int")
+    first = P.write_version(one, base, "t", version="b")
+    P.write_version(one.union(one), base, "t", version="a", repoint=False)     # written, never pointed at
+    assert P.current_path(spark, base, "t") == first
+    P.write_version(one.union(one), base, "t", version="c")
+    assert P.read_current(spark, base, "t").count() == 2
+
+
+def test_no_checkpoint_folder_raises():
+    import pytest
+    from verdant.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from verdant.operators import media as M
@@ -30,16 +32,18 @@ def test_exact_and_containment(spark):
     assert got[""] == (None, None) and got["לא קיים"] == (None, None)
 
 
-def test_containment_long_path_equals_subset_path(spark):
+@pytest.mark.parametrize("vocabulary, longest", [(6, 5), (60, 40)])
+def test_containment_equals_brute_force_at_every_length(spark, vocabulary, longest):
     rnd = random.Random(7)
-    vocab = [f"t{i}" for i in range(6)]
-    sp_rows = [(i, " ".join(rnd.sample(vocab, rnd.randint(1, 5)))) for i in range(60)]
-    q_rows = [(" ".join(rnd.sample(vocab, rnd.randint(1, 3))),) for _ in range(80)]
+    vocab = [f"t{i}" for i in range(vocabulary)]
+    heads = vocab[:4]
+    sp_rows = [(i, " ".join(dict.fromkeys([rnd.choice(heads), *rnd.sample(vocab, rnd.randint(0, longest - 1))])))
+               for i in range(60)]
+    q_rows = [(" ".join(dict.fromkeys([n.split()[0], *rnd.sample(n.split(), min(len(n.split()), rnd.randint(0, 30)))])),)
+              for _, n in sp_rows] + [(" ".join(rnd.sample(vocab, rnd.randint(1, 3))),) for _ in range(80)]
     sp = spine(spark, sp_rows)
     q = spark.createDataFrame(q_rows, "name string")
-    a = rows(O.match_names(q, sp, max_subset_tokens=10), "name", KEY, "how")
-    b = rows(O.match_names(q, sp, max_subset_tokens=0), "name", KEY, "how")
-    assert a == b
+    a = rows(O.match_names(q, sp), "name", KEY, "how")
     # brute force
     exact = {}
     for k, n in sp_rows:
@@ -129,8 +133,29 @@ def test_occurrence_limit(spark):
             (2, (1,), "q1", 0, "http://a", "L", "rh", "c")]
     df = spark.createDataFrame(occ, "taxon_key long, occ_order struct<p:int>, references string, media_pos int, "
                                "identifier string, license string, rightsHolder string, creator string")
-    got = {r[KEY]: r.thumb for r in M.occurrence_media(df).collect()}
+    got = {r[KEY]: r.thumb for r in M.occurrence_media(df, limit=5).collect()}
     assert got == {2: "https://a"}          # key 1's media sits in its 6th occurrence
+    got = {r[KEY]: r.thumb for r in M.occurrence_media(df).collect()}
+    assert got == {1: "https://late", 2: "https://a"}
+
+
+def test_media_edge_rows(spark):
+    """Two records of one file, an empty thumb, a key without a name."""
+    sp = spark.createDataFrame([(1, "Rosa canina L."), (2, None), (3, "Olea europaea")],
+                               "canonical_taxon_id long, scientific_name string")
+    pairs = spark.createDataFrame([("Rosa canina", "http://x/wiki/Special:FilePath/R.jpg"), ("Olea europaea", "http://x/wiki/Special:FilePath/O.jpg")],
+                                  "n string, img string")
+    ext = (("CC",), ("me",))
+    files = spark.createDataFrame([("File:R.jpg", [("http://t/2.jpg", None, "p", ext)]),
+                                   ("File:R.jpg", [("http://t/1.jpg", None, "p", ext)]),
+                                   ("File:O.jpg", [("", "http://u/o.jpg", "p", ext)])],
+                                  "title string, imageinfo array<struct<thumburl:string,url:string,descriptionurl:string,"
+                                  "extmetadata:struct<LicenseShortName:struct<value:string>,Artist:struct<value:string>>>>")
+    occ = spark.createDataFrame([(2, (0,), "r", 0, "http://occ", "L", None, "c")],
+                                "taxon_key long, occ_order struct<p:int>, references string, media_pos int, "
+                                "identifier string, license string, rightsHolder string, creator string")
+    got = sorted((r[KEY], r.thumb) for r in M.pick_media(sp, pairs, files, occ).collect())
+    assert got == [(1, "https://t/1.jpg"), (2, "https://occ"), (3, "https://u/o.jpg")]
 
 
 def test_underscore_titles_flag(spark):

@@ -85,7 +85,9 @@ def extract_records(pages: DataFrame, source: str, scraped_at: str,
     extra = F.when(st.isNotNull(), F.array(F.struct(F.lit(profile.label_statuses).alias("k"),
                                                     st.alias("v")))) \
              .otherwise(F.array().cast("array<struct<k:string,v:string>>"))
-    df = df.withColumn("_entries", F.concat(F.col("_entries"), extra))
+    # the synthetic entry replaces a page's own label of that name
+    own = F.when(st.isNotNull(), F.filter("_entries", lambda e: e["k"] != profile.label_statuses)).otherwise(F.col("_entries"))
+    df = df.withColumn("_entries", F.concat(own, extra))
     df = df.withColumn("outcome", page_outcome(
         F.col("html"), F.col("_entries"), [profile.label_name_he, profile.label_name_lat], block_marker))
     m = F.map_from_entries("_entries")

@@ -9,13 +9,13 @@ service whose formula is not published):
 * HIGHERRANK  only the first token (genus) is known        confidence 90
 * NONE        nothing                                      confidence 0
 
-Candidates come from deletion neighbourhoods: a string within distance 2 of
-another shares with it a variant obtained by deleting at most two
-characters from each.  Both sides emit their variants, one equi-join on the
-variant finds every pair within distance 2 (and only pairs that share a
-variant), and ``levenshtein(a, b, 2)`` verifies them.  This is exact, needs
-no blocking key that a common genus could overload, and never pairs every
-name of a block with every other.
+Equal names are found by an equi-join.  The names left are found by segments:
+a backbone name is cut into ``max_distance + 1`` even segments, and a string
+within that many edits keeps at least one of them whole, shifted by at most
+``max_distance`` places.  A query name therefore probes (length, segment, text)
+for every length and shift in reach: at most ``(2k + 1)^2 (k + 1)`` keys a name,
+whatever its length.  ``levenshtein`` verifies the pairs that meet.  This is exact
+for every distance and needs no block that a common genus could overload.
 """
 
 from __future__ import annotations
@@ -25,29 +25,57 @@ from pyspark.sql import functions as F
 
 from verdant.functions.text import normalize_name, tokens
 
-_DEL1 = "transform(sequence(1, greatest(length({s}), 1)), i -> concat(substr({s}, 1, i - 1), substr({s}, i + 1)))"
+# the columns of a backbone that answers carry through, where it has them
+CARRIED = ["acceptedUsageKey", "accepted", "rank", "status", "kingdom", "family", "genus"]
 
 
-def deletion_variants(col: str) -> Column:
-    """The string and every string made by deleting one or two characters."""
-    d1 = _DEL1.format(s=col)
-    d2 = "flatten(transform({d1}, x -> {inner}))".format(d1=d1, inner=_DEL1.format(s="x"))
-    return F.expr(f"array_distinct(concat(array({col}), {d1}, {d2}))")
+def _segment(n: str, i: str, k: int) -> tuple[str, str]:
+    """(start, length) of segment ``i`` of ``k + 1`` in a string of length ``n``;
+    the last ``n % (k + 1)`` segments are one longer."""
+    longer = f"greatest(0, {i} - ({k + 1} - {n} % {k + 1}))"
+    return f"({i} * ({n} div {k + 1}) + {longer})", f"({n} div {k + 1} + IF({i} >= {k + 1} - {n} % {k + 1}, 1, 0))"
+
+
+def segments(col: str, k: int) -> Column:
+    """The ``k + 1`` segments of a backbone name: array<struct<len, i, sub>>."""
+    n = f"length({col})"
+    start, size = _segment(n, "i", k)
+    return F.expr(f"transform(sequence(0, {k}), i -> named_struct('len', {n}, 'i', i, "
+                  f"'sub', substr({col}, cast({start} + 1 AS int), cast({size} AS int))))")
+
+
+def probes(col: str, k: int) -> Column:
+    """The segments that a backbone name within ``k`` edits may share with a name."""
+    n = f"length({col})"
+    start, size = _segment("m", "i", k)
+    inner = (f"transform(sequence(-{k}, {k}), d -> named_struct('len', m, 'i', i, 'sub', "
+             f"IF({start} + d >= 0 AND {start} + d + {size} <= {n}, "
+             f"substr({col}, cast({start} + d + 1 AS int), cast({size} AS int)), NULL)))")
+    return F.expr(f"array_distinct(filter(flatten(flatten(transform(sequence(greatest(0, {n} - {k}), {n} + {k}), "
+                  f"m -> transform(sequence(0, {k}), i -> {inner})))), x -> x.sub IS NOT NULL))")
 
 
 def match_names_fuzzy(queries: DataFrame, backbone: DataFrame, max_distance: int = 2) -> DataFrame:
     """Distinct ``input_name`` -> (input_name, matched_name, key, distance,
-    matchType, confidence).  ``backbone``: (name, key)."""
+    matchType, confidence) and the :data:`CARRIED` columns that ``backbone``
+    (name, key, ...) has."""
+    carried = [c for c in CARRIED if c in backbone.columns]
     q = (queries.select("input_name").distinct()
                 .withColumn("q", F.lower(normalize_name(F.col("input_name")))))
-    b = backbone.select(F.col("name").alias("matched_name"), "key",
+    b = backbone.select(F.col("name").alias("matched_name"), "key", *carried,
                         F.lower(F.col("name")).alias("b"))
-    qv = q.select("q", F.explode(deletion_variants("q")).alias("v")).distinct()
-    bv = b.select("b", F.explode(deletion_variants("b")).alias("v")).distinct()
-    pairs = qv.join(bv, "v").select("q", "b").distinct()
-    pairs = pairs.withColumn("d", F.levenshtein("q", "b", max_distance)).where(F.col("d") >= 0)
+    asked, known = q.select("q").distinct(), b.select("b").distinct()
+    same = asked.join(known, F.col("q") == F.col("b")).select("q", "b", F.lit(0).alias("d"))
+    pairs = same
+    if max_distance > 0:
+        left = asked.join(known, F.col("q") == F.col("b"), "left_anti")
+        qs = left.select("q", F.explode(probes("q", max_distance)).alias("p")).select("q", "p.*")
+        bs = known.select("b", F.explode(segments("b", max_distance)).alias("p")).select("b", "p.*")
+        near = qs.join(bs, ["len", "i", "sub"]).select("q", "b").distinct()
+        pairs = same.unionByName(
+            near.withColumn("d", F.levenshtein("q", "b", max_distance)).where(F.col("d") >= 0))
     cand = pairs.join(b, "b")
-    best = (cand.groupBy("q").agg(F.min_by(F.struct("matched_name", "key", "d"),
+    best = (cand.groupBy("q").agg(F.min_by(F.struct("matched_name", "key", "d", *carried),
                                            F.struct("d", "b", "key")).alias("m")))
     genus = (b.select(F.element_at(tokens(F.col("b")), 1).alias("g")).distinct())
     out = (q.join(best, "q", "left")
@@ -63,18 +91,28 @@ def match_names_fuzzy(queries: DataFrame, backbone: DataFrame, max_distance: int
         F.when(d.isNotNull(), F.col("m.matched_name")).when(F.col("_genus_known"), F.col("g"))
          .alias("matched_name"),
         F.col("m.key").alias("key"), d.alias("distance"), mt.alias("matchType"),
-        conf.cast("int").alias("confidence"))
+        conf.cast("int").alias("confidence"), *[F.col(f"m.{c}").alias(c) for c in carried])
 
 
 def responses_for(misses: DataFrame, backbone: DataFrame) -> DataFrame:
-    """Match-table rows for unseen keys (RES7 + RES8): ``misses``: (name_key)."""
+    """Match-table rows for unseen keys (RES7 + RES8): ``misses``: (name_key).
+
+    Rank, status, kingdom, family, genus and the accepted name are those of the
+    backbone row that answered; a backbone without these columns counts as
+    accepted species of unstated kingdom."""
     m = match_names_fuzzy(misses.select(F.col("name_key").alias("input_name")), backbone)
+    has = set(backbone.columns)
+    hit = F.col("matchType").isin("EXACT", "FUZZY")
+
+    def field(name: str, default) -> Column:
+        return (F.col(name) if name in has else F.when(hit, F.lit(default))).alias(name)
+
     return m.select(
         F.col("input_name").alias("name_key"), F.col("key").cast("bigint").alias("usageKey"),
-        F.lit(None).cast("bigint").alias("acceptedUsageKey"),
-        F.col("matched_name").alias("scientificName"), F.lit(None).cast("string").alias("accepted"),
-        F.when(F.col("matchType") == "HIGHERRANK", "GENUS")
-         .when(F.col("matchType") != "NONE", "SPECIES").alias("rank"),
-        F.lit("ACCEPTED").alias("status"), "matchType", "confidence",
-        F.lit(None).cast("string").alias("kingdom"), F.lit(None).cast("string").alias("family"),
-        F.lit(None).cast("string").alias("genus"))
+        F.col("acceptedUsageKey").cast("bigint").alias("acceptedUsageKey") if "acceptedUsageKey" in has
+        else F.lit(None).cast("bigint").alias("acceptedUsageKey"),
+        F.col("matched_name").alias("scientificName"), field("accepted", None).cast("string"),
+        F.when(F.col("matchType") == "HIGHERRANK", "GENUS").when(hit, field("rank", "SPECIES")).alias("rank"),
+        F.coalesce(field("status", "ACCEPTED"), F.lit("ACCEPTED")).alias("status"), "matchType", "confidence",
+        field("kingdom", None).cast("string"), field("family", None).cast("string"),
+        field("genus", None).cast("string"))

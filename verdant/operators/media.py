@@ -31,11 +31,11 @@ def first_image_per_name(pairs: DataFrame) -> DataFrame:
 
 
 def file_metadata(files: DataFrame) -> DataFrame:
-    """SRC7: flatten the first imageinfo entry; thumb falls back to the url."""
+    """SRC7: flatten the first imageinfo entry; an empty thumb falls back to the url."""
     ii = F.get(F.col("imageinfo"), 0)
     return files.select(
         F.replace(F.col("title"), F.lit("File:"), F.lit("")).alias("fn"),
-        https(F.coalesce(ii["thumburl"], ii["url"])).alias("thumb"),
+        https(F.coalesce(F.nullif(ii["thumburl"], F.lit("")), ii["url"])).alias("thumb"),
         ii["extmetadata"]["LicenseShortName"]["value"].alias("license"),
         clean_credit(ii["extmetadata"]["Artist"]["value"]).alias("credit"),
         ii["descriptionurl"].alias("page"))
@@ -58,9 +58,10 @@ def flatten_occurrences(occ: DataFrame) -> DataFrame:
                     F.col("m.rightsHolder").alias("rightsHolder"), F.col("m.creator").alias("creator"))
 
 
-def occurrence_media(flat: DataFrame, limit: int = L.OCCURRENCE_LIMIT) -> DataFrame:
-    """First media item with an identifier among each key's first ``limit``
-    occurrences (in ``occ_order``).
+def occurrence_media(flat: DataFrame, limit: int | None = None) -> DataFrame:
+    """First media item with an identifier among each key's occurrences (in
+    ``occ_order``): all of them, or the first ``limit`` (the original asked its
+    service for pages of ``lookups.OCCURRENCE_LIMIT``).
 
     No per-key sort or window: the earliest occurrence holding media is a
     ``min`` (map-side combinable); it qualifies when fewer than ``limit``
@@ -73,6 +74,8 @@ def occurrence_media(flat: DataFrame, limit: int = L.OCCURRENCE_LIMIT) -> DataFr
     first = (has.groupBy(F.col("taxon_key").alias(KEY))
                 .agg(F.min_by(rec, F.struct("occ_order", "media_pos")).alias("g"),
                      F.min("occ_order").alias("_at")))
+    if limit is None:
+        return first.select(KEY, "g.*")
     occs = flat.select(F.col("taxon_key").alias(KEY), "occ_order").distinct()
     before = (occs.join(first.select(KEY, "_at"), KEY)
                   .where(F.col("occ_order") < F.col("_at"))
@@ -84,7 +87,7 @@ def occurrence_media(flat: DataFrame, limit: int = L.OCCURRENCE_LIMIT) -> DataFr
 
 def pick_media(spine: DataFrame, pairs: DataFrame, files: DataFrame, occ: DataFrame,
                illustration_pattern: str = L.ILLUSTRATION_PATTERN,
-               normalize_underscores: bool = False) -> DataFrame:
+               normalize_underscores: bool = False, occurrence_limit: int | None = None) -> DataFrame:
     """MED1-MED3: one record per key (thumb, source, license, credit, page).
 
     Preference: a photo from the first source, else an occurrence photo, else
@@ -93,20 +96,23 @@ def pick_media(spine: DataFrame, pairs: DataFrame, files: DataFrame, occ: DataFr
     spelled with spaces misses a URL spelled with underscores);
     ``normalize_underscores=True`` compares both with '_' read as ' '.
     """
-    keys = spine.select(KEY, "scientific_name").where(F.col("scientific_name").isNotNull())
-    keys = keys.withColumn("bare", bare_name(F.col("scientific_name")))
+    # a key without a name has no first source, but may have an occurrence photo
+    keys = spine.select(KEY, bare_name(F.col("scientific_name")).alias("bare"))
     # MED1 + JON8: distinct names -> file -> metadata, then back to keys
-    names = keys.select("bare").distinct()
+    names = keys.select("bare").where(F.col("bare").isNotNull()).distinct()
     wd = first_image_per_name(pairs)
     meta = file_metadata(files)
     fn = file_name(F.col("img"))
     if normalize_underscores:
         fn = F.replace(fn, F.lit("_"), F.lit(" "))
         meta = meta.withColumn("fn", F.replace(F.col("fn"), F.lit("_"), F.lit(" ")))
+    # one record a file: the first with a thumb, by (thumb, page, license, credit)
+    record = F.struct("thumb", "page", "license", "credit")
+    meta = (meta.where(F.col("thumb").isNotNull() & (F.col("thumb") != ""))
+            .groupBy("fn").agg(F.min(record).alias("m")).select("fn", "m.*"))
     per_name = (names.join(wd, names["bare"] == wd["n"], "inner")
                      .select("bare", fn.alias("fn"))
                      .join(meta, "fn", "inner")
-                     .where(F.col("thumb").isNotNull() & (F.col("thumb") != ""))
                      .select("bare", F.struct(
                          "thumb", F.lit("wikimedia").alias("source"), "license", "credit", "page",
                          F.col("fn").rlike("(?iU)" + illustration_pattern).alias("illu")).alias("w")))
@@ -114,7 +120,7 @@ def pick_media(spine: DataFrame, pairs: DataFrame, files: DataFrame, occ: DataFr
     # JON9: the fallback source is joined only for keys without a photo
     need = k.where(F.col("w").isNull() | F.col("w.illu")).select(KEY)
     occ_needed = occ.join(need.select(F.col(KEY).alias("taxon_key")), "taxon_key", "left_semi")
-    gb = (occurrence_media(occ_needed)
+    gb = (occurrence_media(occ_needed, occurrence_limit)
           .where(F.col("thumb").isNotNull() & (F.col("thumb") != ""))
           .select(KEY, F.struct("thumb", F.lit("gbif").alias("source"), "license", "credit", "page")
                   .alias("g")))

@@ -3,32 +3,25 @@
 Matching works on distinct normalised seller names:
 
 * exact: normalised spine name -> lowest key (JON3);
-* containment (JON4): same first token and every seller token present in
-  the spine name, accepted only if exactly one distinct key qualifies.
-  Instead of pairing every seller with every spine name of its first-token
-  block (quadratic in a hot block), each spine name emits the keys of the
-  token subsets it *contains* (first token + any subset of the other
-  tokens); the index is aggregated to (min key, max key) per subset, map-side.
-  A seller name is then one equi-join probe.  Spine names with many tokens
-  (more than ``max_subset_tokens`` besides the first) would emit too many
-  subsets; they are checked by a direct blocked join instead, which is exact
-  and only sees those rare long names.
+* containment (JON4), for the names left: same first token and every seller
+  token present in the spine name, accepted only if exactly one distinct key
+  qualifies.  A name of one token takes the (min key, max key) of its first
+  token.  Any other name probes one posting list: the spine names that hold
+  its first token and the *rarest* of its other tokens beside it.  The tokens
+  of a candidate are then compared.  The lists are as short as the data
+  allows, every length of name takes the same path, and the answers of a name
+  are folded to (min key, max key) map-side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdant.functions.enums import price_band
 from verdant.functions.text import norm_local_name, tokens
 
 KEY = "canonical_taxon_id"
-SEP = "\u0001"
-
-
-def _subset_key(first: Column, rest_sorted: Column) -> Column:
-    return F.concat(first, F.lit(SEP), F.array_join(rest_sorted, " "))
 
 
 def spine_index(spine: DataFrame, name_col: str = "name_he") -> DataFrame:
@@ -37,8 +30,8 @@ def spine_index(spine: DataFrame, name_col: str = "name_he") -> DataFrame:
         KEY, norm_local_name(F.col(name_col)).alias("n"))
     s = s.where(F.col("n") != "")
     t = F.array_distinct(tokens(F.col("n")))
-    return s.select(KEY, "n", F.element_at(t, 1).alias("first"),
-                    F.array_sort(F.array_remove(t, F.element_at(t, 1))).alias("rest"))
+    return s.select(KEY, "n", F.get(t, 0).alias("first"),
+                    F.array_sort(F.array_remove(t, F.get(t, 0))).alias("rest"))
 
 
 def exact_index(idx: DataFrame) -> DataFrame:
@@ -46,42 +39,40 @@ def exact_index(idx: DataFrame) -> DataFrame:
     return idx.groupBy("n").agg(F.min(KEY).alias("_exact_key"))
 
 
-def containment_index(idx: DataFrame, max_subset_tokens: int = 10) -> DataFrame:
-    """Subset key -> (min key, max key) over short spine names."""
-    short = idx.where(F.size("rest") <= max_subset_tokens)
-    # every subset of ``rest`` (kept in sorted order), one bit mask per subset
-    subsets = F.expr("transform(sequence(0, shiftleft(1, size(rest)) - 1), "
-                     "m -> filter(rest, (x, i) -> (shiftright(m, i) & 1) = 1))")
-    ex = short.select(KEY, "first", F.explode(subsets).alias("sub"))
-    return (ex.groupBy(_subset_key(F.col("first"), F.col("sub")).alias("_sk"))
-              .agg(F.min(KEY).alias("_cmin"), F.max(KEY).alias("_cmax")))
-
-
-def match_names(names: DataFrame, spine: DataFrame, name_col: str = "name_he",
-                max_subset_tokens: int = 10) -> DataFrame:
+def containment_keys(q: DataFrame, idx: DataFrame) -> DataFrame:
+    """JON4: ``q`` (n, first, rest) -> (n, _cmin, _cmax), the least and greatest
+    key of the spine names that contain all tokens of ``n``."""
+    single = (q.where(F.size("rest") == 0)
+              .join(idx.groupBy("first").agg(F.min(KEY).alias("_cmin"), F.max(KEY).alias("_cmax")), "first")
+              .select("n", "_cmin", "_cmax"))
+    posts = idx.select(KEY, "first", "rest", F.explode("rest").alias("tok"))
+    count = posts.groupBy("first", "tok").agg(F.count(F.lit(1)).alias("c"))
+    probe = (q.select("n", "first", F.col("rest").alias("_want"), F.explode("rest").alias("tok"))
+             .join(count, ["first", "tok"])
+             .groupBy("n", "first", "_want")
+             .agg(F.min(F.struct("c", "tok")).alias("rarest"), F.count(F.lit(1)).alias("known"))
+             .where(F.col("known") == F.size("_want"))            # every token occurs beside the first
+             .select("n", "first", "_want", F.col("rarest.tok").alias("tok")))
+    several = (probe.join(posts, ["first", "tok"])
+               .where(F.size(F.array_except("_want", "rest")) == 0)
+               .groupBy("n").agg(F.min(KEY).alias("_cmin"), F.max(KEY).alias("_cmax")))
+    return single.unionByName(several)
+
+
+def match_names(names: DataFrame, spine: DataFrame, name_col: str = "name_he") -> DataFrame:
     """JON5 on distinct seller names: (name, n, key, how)."""
     idx = spine_index(spine, name_col)
     q = names.select("name").distinct().withColumn("n", norm_local_name(F.col("name")))
     t = F.array_distinct(tokens(F.col("n")))
     first = F.get(t, 0)
-    q = q.select("*", first.alias("_first"), t.alias("_toks"),
-                 F.when(F.col("n") != "", _subset_key(first, F.array_sort(F.array_remove(t, first))))
-                  .alias("_sk"))
-    q = q.join(exact_index(idx), "n", "left")
-    q = q.join(containment_index(idx, max_subset_tokens), "_sk", "left")
-    # exact check against the (rare) long spine names, in the same chain:
-    # left join on the first token with the containment test as residual,
-    # then one regroup per distinct name
-    long_names = idx.where(F.size("rest") > max_subset_tokens).select(
-        F.col(KEY).alias("_lk"), F.col("first").alias("_lfirst"),
-        F.array_union(F.array("first"), F.col("rest")).alias("_stoks"))
-    cond = ((F.col("_first") == F.col("_lfirst")) & F.col("_exact_key").isNull() &
-            (F.size(F.array_except(F.col("_toks"), F.col("_stoks"))) == 0))
-    q = (q.join(long_names, cond, "left")
-          .groupBy("name", "n", "_exact_key", "_cmin", "_cmax")
-          .agg(F.min("_lk").alias("_lmin"), F.max("_lk").alias("_lmax")))
-    cmin = F.least("_cmin", "_lmin")
-    cmax = F.greatest("_cmax", "_lmax")
+    # empty names meet nothing: they are kept out of the joins' keys
+    asked = (q.where(F.col("n") != "").select("n").distinct()
+             .join(exact_index(idx), "n", "left"))
+    left = asked.where(F.col("_exact_key").isNull()).select(
+        "n", first.alias("first"), F.array_sort(F.array_remove(t, first)).alias("rest"))
+    answers = asked.join(containment_keys(left, idx), "n", "left").withColumnRenamed("n", "_n")
+    q = q.join(answers, F.nullif(F.col("n"), F.lit("")) == F.col("_n"), "left")
+    cmin, cmax = F.col("_cmin"), F.col("_cmax")
     unique = cmin.isNotNull() & (cmin == cmax)
     key = (F.when(F.col("n") == "", F.lit(None))
              .when(F.col("_exact_key").isNotNull(), F.col("_exact_key"))

@@ -67,18 +67,20 @@ def crosswalk(eav: DataFrame, source: str | None = None) -> DataFrame:
 def pivot_records(eav: DataFrame, labels: list[str]) -> DataFrame:
     """STG3: one row per source record with one column per requested label.
 
-    First value per attribute in (scraped_at, attribute) order; the names come
-    from the record's first row.  The explicit label list turns the pivot into
+    First value per attribute by snapshot date, ties by value (a null last);
+    the names come from the record's first row by (date, attribute, value, names).  The explicit label list turns the pivot into
     conditional aggregates in one pass (partial aggregation keeps hot records
     map-side).
     """
-    ordk = F.struct(F.col("scraped_at"), F.col("attribute"))
+    ordk = F.struct("scraped_at", "attribute", F.col("value").isNull().alias("none"), "value",
+                    "raw_name_lat", "raw_name_he")
     aggs = [F.min_by(F.struct(F.col("raw_name_he").alias("name_he"),
                               F.col("raw_name_lat").alias("name_lat")), ordk).alias("_names"),
             F.min("scraped_at").alias("scraped_at")]
     for lab in labels:
         aggs.append(F.min_by(F.col("value"),
-                             F.when(F.col("attribute") == lab, F.struct("scraped_at"))).alias(lab))
+                             F.when(F.col("attribute") == lab, F.struct(
+                                 "scraped_at", F.col("value").isNull().alias("none"), "value"))).alias(lab))
     out = eav.groupBy("source", "source_id").agg(*aggs)
     return out.select("source", "source_id", "scraped_at", "_names.name_he", "_names.name_lat",
                       *[F.col(f"`{lab}`") for lab in labels])

@@ -14,14 +14,11 @@ KEY = "canonical_taxon_id"
 def curated_names(lines: DataFrame) -> DataFrame:
     """SRC3: text lines (``value``) of a list file -> distinct names.
 
-    Header and blank lines are skipped; the name is the text before the
-    first comma, stripped.  ``lines`` needs a ``line_no`` column (1-based)
-    when read from a file with a header.
+    Blank lines are skipped; the name is the text before the first comma,
+    stripped.  The reader has dropped the header.
     """
     df = lines
-    if "line_no" in df.columns:
-        df = df.where(F.col("line_no") > 1)
-    df = df.where(F.trim(F.col("value")) != "")
+    df = df.where(F.col("value").rlike(r"(?U)\S"))
     return (df.select(F.regexp_replace(F.substring_index(F.col("value"), ",", 1),
                                        r"(?U)^\s+|\s+$", "").alias("name"))
               .distinct())

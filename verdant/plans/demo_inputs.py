@@ -52,31 +52,18 @@ PARTS_PROFILE = Profile(
 SELLER = "shop"
 
 
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def shared(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """One DataFrame object per (session, scale dir, input): a plan is
-    immutable, so queries can share it instead of rebuilding it."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return _PLANS[key]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return shared(spark, sf_dir, f"table:{name}",
-                  lambda: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def part_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The name-match table derived from ``part`` (shared plan)."""
-    return shared(spark, sf_dir, "match", lambda: match_table(table(spark, sf_dir, "part")))
+    """The name-match table derived from ``part``."""
+    return match_table(table(spark, sf_dir, "part"))
 
 
 def part_records_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``part`` as source records (shared plan)."""
-    return shared(spark, sf_dir, "records", lambda: part_records(table(spark, sf_dir, "part")))
+    """``part`` as source records."""
+    return part_records(table(spark, sf_dir, "part"))
 
 
 def adjective(c) -> F.Column:

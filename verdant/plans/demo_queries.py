@@ -21,10 +21,9 @@ from verdant.operators import resolve as RS
 from verdant.operators import staging as S
 from verdant.operators import status as ST
 from verdant.operators.layers import OFFER_COLUMNS, attach_layer, replace_provenance
-from verdant.lookups import Profile
+from verdant.lookups import OCCURRENCE_LIMIT, Profile
 from verdant.plans import gates as G
 from verdant.plans import surface as Q
-from verdant.plans.demo_store import published
 from verdant.plans.demo_inputs import (PARTS_PROFILE, SELLER, checklist_pages, media_inputs,
                                        offer_spine, offers, part_eav, part_match, part_records,
                                        part_records_of, table)
@@ -197,7 +196,7 @@ def resolve_incremental(spark, sf):
         F.min("p_partkey").alias("key"))
     m2 = RS.extend_match_table(m, responses_for(misses, backbone))
     second = RS.cache_stats(names, m2, PARTS_PROFILE)
-    return first.unionByName(second).withColumn("run", F.when(F.col("misses") > 0, 1).otherwise(2))
+    return (first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2))))
 
 
 def resolve_fuzzy(spark, sf):
@@ -234,27 +233,17 @@ def resolve_crosswalk(spark, sf):
 # -------------------------------------------------------------- reconciling
 
 def _resolved(spark, sf):
-    """Every part record with its resolution (published once): one row per record."""
-    def pivoted():
-        return S.pivot_records(part_eav(table(spark, sf, "part")), PARTS_PROFILE.labels)
+    """Every part record with its resolution: one row per record."""
+    recs = S.pivot_records(part_eav(table(spark, sf, "part")), PARTS_PROFILE.labels)
+    return RS.resolve_records(recs, part_match(spark, sf), "name_lat", "lat", PARTS_PROFILE)
 
-    def build():
-        # the pivot output is read twice by the resolve: published once
-        recs = published(spark, sf, "records", pivoted)
-        return RS.resolve_records(recs, part_match(spark, sf), "name_lat", "lat", PARTS_PROFILE)
-    return published(spark, sf, "resolved", build)
 
-
-def _build_reconciled(spark, sf):
+def _reconciled(spark, sf):
+    """The reconciled part spine."""
     ok, _ = RS.split_review(_resolved(spark, sf))
     return R.reconcile(ok, None, PARTS_PROFILE)
 
 
-def _reconciled(spark, sf):
-    """The reconciled part spine (built once per process, then scanned)."""
-    return published(spark, sf, "reconciled", lambda: _build_reconciled(spark, sf))
-
-
 def reconcile_rows(spark, sf):
     return _lists_as_text(R.canonical_table(_reconciled(spark, sf)))
 
@@ -279,11 +268,9 @@ def checklist(spark, sf):
 # ------------------------------------------------------------------- offers
 
 def _matched(spark, sf):
-    """Line-item offers matched onto the (name, brand) spine (published once)."""
+    """Line-item offers matched onto the (name, brand) spine."""
     part = table(spark, sf, "part")
-    m = published(spark, sf, "matched_offers", lambda: O.match_offers(
-        offers(table(spark, sf, "lineitem"), part), offer_spine(part)))
-    return m, part
+    return O.match_offers(offers(table(spark, sf, "lineitem"), part), offer_spine(part)), part
 
 
 def match_exact(spark, sf):
@@ -311,8 +298,11 @@ def offers_by_key(spark, sf):
 def offer_provenance(spark, sf):
     m, _ = _matched(spark, sf)
     new = O.offer_provenance(m, SELLER)
-    # re-running the layer replaces its own rows: applying it twice == once
-    return replace_provenance(new, new, source=SELLER)
+    # the table before: an older run of the seller and the same rows of a market;
+    # re-running the layer replaces the seller's rows and leaves the market's
+    old = (O.offer_provenance(m.withColumn("availability", F.lit("stale")), SELLER)
+           .unionByName(O.offer_provenance(m, "market").where(F.col("field") == "match_method")))
+    return replace_provenance(old, new, source=SELLER)
 
 
 def attach_layer_q(spark, sf):
@@ -332,17 +322,18 @@ def offer_gate(spark, sf):
 
 def media_pick(spark, sf):
     spine, pairs, files, occ = media_inputs(table(spark, sf, "part"), table(spark, sf, "events"))
-    return M.pick_media(spine, pairs, files, occ)
+    return M.pick_media(spine, pairs, files, occ, occurrence_limit=OCCURRENCE_LIMIT)
 
 
 def media_coverage(spark, sf):
     spine, pairs, files, occ = media_inputs(table(spark, sf, "part"), table(spark, sf, "events"))
-    return M.media_coverage(spine, M.pick_media(spine, pairs, files, occ))
+    return M.media_coverage(spine, M.pick_media(spine, pairs, files, occ, occurrence_limit=OCCURRENCE_LIMIT))
 
 
 # ------------------------------------------------------------------ surface
 
-def _build_catalog(spark, sf):
+def _catalog(spark, sf):
+    """Reconciled part spine with its offers attached."""
     rec = R.canonical_table(_reconciled(spark, sf))
     part = table(spark, sf, "part")
     o = offers(table(spark, sf, "lineitem"), part)
@@ -351,11 +342,6 @@ def _build_catalog(spark, sf):
     return attach_layer(rec, O.offers_by_key(m, SELLER), OFFER_COLUMNS)
 
 
-def _catalog(spark, sf):
-    """Reconciled part spine with its offers attached: the published table."""
-    return published(spark, sf, "catalog", lambda: _build_catalog(spark, sf))
-
-
 def search_text(spark, sf):
     docs = table(spark, sf, "documents")
     q = Q.CatalogQuery(search="th_t ", search_columns=("text", "source"))

@@ -532,8 +532,8 @@ SELECT canonical_taxon_id, array_to_string(sold_by, '|') AS sold_by, array_to_st
        n_prices, conflict FROM bk"""
 
 ORACLE_SQL["offer_provenance"] = f"""
-WITH {MATCHED}, {OFFER_PROV('matched', 'shop', 'op')}
-SELECT * FROM op"""
+WITH {MATCHED}, {OFFER_PROV('matched', 'shop', 'op')}, {OFFER_PROV('matched', 'market', 'mp')}
+SELECT * FROM op UNION ALL SELECT * FROM mp WHERE field = 'match_method'"""
 
 ORACLE_SQL["attach_layer"] = f"""
 WITH {MATCHED}, {BY_KEY('matched', 'bk')}

@@ -77,7 +77,7 @@ def resolver_gate(labelled: DataFrame, results: DataFrame,
         F.count_if(exp_rev & (F.col("status") == "review")).alias("review_ok"))
     return (g.withColumn("resolve_pct", _pct(F.col("resolve_ok"), F.col("resolve_total")))
              .withColumn("review_pct", _pct(F.col("review_ok"), F.col("review_total")))
-             .withColumn("pass", (F.col("resolve_pct") >= resolve_floor) &
+             .withColumn("pass", (F.col("resolve_ok") * 100.0 >= resolve_floor * F.col("resolve_total")) &
                          (F.col("review_ok") == F.col("review_total"))))
 
 

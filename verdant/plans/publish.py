@@ -1,10 +1,11 @@
 """Sinks (SNK1-SNK9) with versioned directories.
 
 A table is never overwritten in place (a job cannot overwrite the path it is
-reading).  Each write goes to ``<base>/<name>/v=<version>``; a one-line
-pointer table ``<base>/<name>/_current`` names the live version.  Readers
-resolve the pointer, so a half-written version is never seen and a failed
-job leaves the previous version live.
+reading).  Each write goes to ``<base>/<name>/v=<version>``; then a one-line
+pointer of its own, ``<base>/<name>/_pointers/v=<version>``, names it.  The live
+version is the latest pointer.  Nothing is ever overwritten or deleted, so a
+half-written version is never seen and a failed job, or a failed repoint,
+leaves the previous version live.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ def new_version() -> str:
     return time.strftime("%Y%m%dT%H%M%S") + f"{int(time.time() * 1000) % 1000:03d}"
 
 
-def _pointer(base: str, name: str) -> str:
-    return f"{base.rstrip('/')}/{name}/_current"
+def _pointers(base: str, name: str) -> str:
+    return f"{base.rstrip('/')}/{name}/_pointers"
 
 
 def write_version(df: DataFrame, base: str, name: str, fmt: str = "parquet",
@@ -42,13 +43,17 @@ def write_version(df: DataFrame, base: str, name: str, fmt: str = "parquet",
     if not repoint:
         return path
     spark = df.sparkSession
-    spark.createDataFrame([(path,)], "path string").coalesce(1) \
-         .write.mode("overwrite").text(_pointer(base, name))
+    spark.createDataFrame([(f"{time.time_ns():020d}\t{path}",)], "pointer string").coalesce(1) \
+         .write.mode("errorifexists").text(f"{_pointers(base, name)}/v={v}")
     return path
 
 
 def current_path(spark: SparkSession, base: str, name: str) -> str:
-    return spark.read.text(_pointer(base, name)).first()[0]
+    """Path of the latest version whose pointer was written (one small file a version)."""
+    latest = spark.read.text(f"{_pointers(base, name)}/*").agg(F.max("value")).first()[0]
+    if latest is None:
+        raise FileNotFoundError(f"no version of {name} under {base}")
+    return latest.split("\t", 1)[1]
 
 
 def read_current(spark: SparkSession, base: str, name: str, fmt: str = "parquet",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at any scale: AQE re-plans joins from runtime sizes
@@ -20,7 +18,7 @@ SCALE_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "verdant") -> SparkSession:
+                  app: str = "verdant", checkpoint: str | None = None) -> SparkSession:
     """Session for tests and benchmarks on one machine (UI off)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
@@ -30,6 +28,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.driver.memory", "8g")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+    if checkpoint:
+        b = b.config("spark.checkpoint.dir", checkpoint)
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -38,18 +38,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this setting names reliable shared storage and is used as
-    is.  Only when neither the setting nor an explicit checkpoint folder is
-    present (local tests) a private temporary folder is registered.
-    """
+    """The shared checkpoint folder: ``spark.checkpoint.dir``, or the folder
+    set on the context.  Without either this raises: a machine-local folder
+    would be read back incompletely on a cluster, and a stream would lose its state."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="verdant-ckpt-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return d
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -58,22 +56,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def cluster_conf(input_bytes: int, total_cores: int,
-                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 ** 2,
+                 shuffled_share: float = 0.1) -> dict[str, str]:
     """Settings that size scan splits and shuffle partitions for a given input.
 
     * scan splits of ``target_partition_bytes`` (row groups permitting);
-    * an initial shuffle width so that each partition starts near the target
-      size (at least two waves of the cluster's cores), which AQE then
-      coalesces from measured sizes;
+    * a shuffle width from the bytes expected in a shuffle, ``shuffled_share``
+      of the input after pruning and map-side aggregation (extraction is
+      map-only, names are reduced to distinct ones).  It lies between two and
+      eight waves of the cluster's cores: map tasks times reduce tasks is what
+      the driver must track, and AQE only coalesces;
     * skew handling for partitions five times the median and above twice
       the target, split by AQE instead of spilling one task;
     * broadcasts only for build sides AQE has measured below 64 MB.
 
-    For 100 TB on 8000 cores: 256 MB splits, about 400k initial shuffle
-    partitions, coalesced at run time.
+    For 100 TB on 8000 cores: 256 MB splits, about 39k shuffle partitions.
     """
-    width = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    wanted = -(-int(input_bytes * shuffled_share) // target_partition_bytes)
+    width = min(max(2 * total_cores, wanted), 8 * total_cores)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(width),

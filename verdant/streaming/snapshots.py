@@ -28,7 +28,7 @@ def default_checkpoint(spark: SparkSession, raw_dir: str, eav_path: str) -> str:
     under the configured ``spark.checkpoint.dir`` itself, keyed by its source
     and sink.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    base = checkpoint_dir(spark)
     tag = hashlib.sha1(f"{raw_dir}|{eav_path}".encode()).hexdigest()[:16]
     return f"{base.rstrip('/')}/verdant-stage-eav/{tag}"
 
