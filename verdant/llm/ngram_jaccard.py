@@ -13,6 +13,10 @@ documents link when ``100 |A & B| >= 85 |A | B|``.
   count sketch over all documents, so elements of passages that many
   documents share come last and rarely enter a prefix.  The sketch only
   orders, so its errors cost time, never links.
+* Prefixes are half as long again.  A linked pair shares not one but
+  :func:`needed` elements of these, so a document with fewer elements that any
+  other document's prefix holds has no partner and leaves all lists: a
+  passage that many documents share does not bring them together.
 * The lists of a shared element are cut into size bands (documents whose
   sizes differ by more than the threshold never meet): a document stands in
   the tile of its own band and of the band below.
@@ -111,6 +115,24 @@ def order_sketch(docs: DataFrame, bits: int = SKETCH_BITS, words: int = WORDS) -
 _HEADS = "doc_id long, n long, digest binary, prefix array<long>"
 
 
+def core(n: int, num: int, den: int) -> int:
+    """Elements of which a linked pair shares one: ``n - ceil(t n) + 1``."""
+    return n - -(-num * n // den) + 1
+
+
+def extra(n: int, num: int, den: int) -> int:
+    """Further elements of a prefix."""
+    return -(-core(n, num, den) // 2)
+
+
+def needed(n: int, num: int, den: int) -> int:
+    """Prefix elements that a set of ``n`` shares with any linked one: the
+    first ``k + 1`` common elements stand in both prefixes, ``k`` the fewer of
+    their further elements; the least is that of the smallest partner."""
+    least = -(-num * n // den)
+    return min(extra(least, num, den) + 1, -(-num * least // den))
+
+
 def _heads(sketch, bits: int, words: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
@@ -119,7 +141,7 @@ def _heads(sketch, bits: int, words: int, num: int, den: int):
             for doc_id, text in _texts(batch):
                 s = shingles(text, words)
                 n = len(s)
-                k = n - -(-num * n // den) + 1 if n else 0
+                k = core(n, num, den) + extra(n, num, den) if n else 0
                 if k < n:
                     rank = counts[(s >> np.uint64(64 - bits)).astype(np.int64)]
                     first = s[np.lexsort((s, rank))[:k]]
@@ -178,9 +200,16 @@ def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN, words: i
 
     own = base.where("n > 0 and doc_id = set_id").select("doc_id", "digest")
     posts = (heads.join(own, ["doc_id", "digest"], "left_semi")
-             .select("doc_id", "n", F.explode("prefix").alias("element")))
+             .select("doc_id", "n", F.posexplode("prefix").alias("place", "element")))
     ends = posts.groupBy("element").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    met = posts.join(ends.select("element"), "element")
+    met = staged(posts.join(ends.select("element"), "element"), "met")
+    # the bounds of core() and needed() as expressions, in whole numbers
+    up = "((({num}) * {n} + {den} - 1) div {den})"
+    least = up.format(num=num, den=den, n="n")
+    least2 = up.format(num=num, den=den, n=least)
+    need = f"least((({least} - {least2} + 1) + 1) div 2 + 1, {least2})"
+    open_docs = met.groupBy("doc_id", "n").agg(F.count("*").alias("c")).where(f"c >= {need}").select("doc_id")
+    met = met.where(f"place < n - {least} + 1").join(open_docs, "doc_id")
     # sizes of a linked pair differ by the threshold at most: same or neighbouring band
     # (a thousandth wider, so that rounding cannot part a pair at the very threshold)
     band = F.floor(F.log("n") / float(np.log(den / num) * 1.001))
