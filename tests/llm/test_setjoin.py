@@ -92,6 +92,23 @@ def test_threshold_is_exact(spark):
         assert (got[2] == 1) is linked
 
 
+def test_prefixes_of_linked_pairs_share_what_is_needed():
+    rng = random.Random(4)
+    for _ in range(4000):
+        n, m = rng.randint(1, 90), rng.randint(1, 90)
+        if 85 * max(n, m) > 100 * min(n, m):
+            continue
+        common = -(-85 * (n + m) // 185)
+        if common > min(n, m):
+            continue
+        order = rng.sample(range(1000), n + m - common)
+        both, a, b = order[:common], order[common:n], order[n:]
+        x, y = sorted(both + a), sorted(both + b)
+        prefix = [s[:J.core(len(s), 85, 100) + J.extra(len(s), 85, 100)] for s in (x, y)]
+        assert len(set(prefix[0]) & set(prefix[1])) >= max(J.needed(len(x), 85, 100), J.needed(len(y), 85, 100))
+        assert set(x[:J.core(len(x), 85, 100)]) & set(y[:J.core(len(y), 85, 100)])
+
+
 def test_empty_null_and_repeated_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert J.jaccard_components(empty).count() == 0 and J.keep_one(empty).count() == 0
