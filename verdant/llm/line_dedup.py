@@ -8,8 +8,10 @@ first by (doc_id, line number).
 * MinHash: 60 values a line, 12 bands of 5.  A pair at similarity 0.8 meets
   in a band with probability ``1 - (1 - 0.8**5)**12`` = 0.9916, at 0.9 with
   0.9998.
-* Copies of one line share all their bands; their lists hold one id and are
-  dropped by a map-side ``min < max``.
+* A task sends a line's bands once; further copies point at that first row.
+  Rows are numbered densely, so the shuffled lists are small.
+* What the join moves and verifies is the line itself; its shingles are cut
+  where two lines meet.
 * :mod:`verdant.llm.setjoin` verifies candidates by the exact Jaccard of the
   shingle sets and :mod:`verdant.llm.graph` joins them to components.
 
@@ -30,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,19 +46,12 @@ _SEEN = 1 << 20                     # line ids a task remembers
 
 _rng = np.random.RandomState(20240229)
 _MUL = (_rng.randint(0, 1 << 31, BANDS * ROWS).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
-_ADD = _rng.randint(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
 
 
 def normal(line: str) -> str:
     return " ".join(line.lower().split())
 
 
-def line_id(line: str) -> int:
-    """Signed 64-bit id of a raw line."""
-    x = xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass"), 42)
-    return x - (1 << 64) if x >= 1 << 63 else x
-
-
 def gram_hashes(lines: list[str], gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """uint64 hashes of all character n-grams of normalised lines, and where
     each line's hashes start; a line shorter than ``gram`` counts as padded
@@ -80,11 +76,11 @@ def band_keys(lines: list[str]) -> np.ndarray:
     full, starts = gram_hashes(lines)
     h = (full >> np.uint64(32)).astype(np.uint32)
     keys = np.empty((len(lines), BANDS), dtype=np.uint64)
+    x = np.empty_like(h)
     for band in range(BANDS):
         key = np.full(len(lines), band + 1, dtype=np.uint64)
         for k in range(band * ROWS, band * ROWS + ROWS):
-            x = h * _MUL[k]
-            x += _ADD[k]
+            np.multiply(h, _MUL[k], out=x)
             key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(x, starts))
         keys[:, band] = key
     return keys.view(np.int64)
@@ -98,14 +94,17 @@ def _lines(batch: pa.RecordBatch, min_chars: int):
                     yield doc_id, no, line
 
 
-_HEADS = "line_id long, doc_id long, line_no int, keys array<long>"
+_HEADS = "unit long, doc_id long, line_no int, keys array<long>"
 
 
 def _heads(min_chars: int):
+    """One row a line: its unit (the first row of the same line in this task)
+    and, in that first row, its band keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: dict[bytes, int] = {}
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            ids, docs, nos, keys, fresh, fresh_at, size = [], [], [], [], [], [], 0
+            units, docs, nos, keys, fresh, fresh_at, size = [], [], [], [], [], [], 0
 
             def sign():
                 for row, key in zip(fresh_at, band_keys(fresh) if fresh else ()):
@@ -114,51 +113,64 @@ def _heads(min_chars: int):
                 fresh_at.clear()
 
             for doc_id, no, line in _lines(batch, min_chars):
-                i = line_id(line)
-                ids.append(i)
+                digest = xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
                 docs.append(doc_id)
                 nos.append(no)
                 keys.append(None)
-                if i in seen:                    # its bands were sent by this task
+                unit = seen.get(digest)
+                if unit is not None:
+                    units.append(unit)
                     continue
                 if len(seen) >= _SEEN:
                     seen.clear()
-                seen.add(i)
+                seen[digest] = number
+                units.append(number)
+                number += 1
                 x = normal(line)
                 fresh.append(x)
-                fresh_at.append(len(ids) - 1)
+                fresh_at.append(len(units) - 1)
                 size += len(x)
                 if size > _STEP:
                     sign()
                     size = 0
             sign()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(docs, pa.int64()), pa.array(nos, pa.int32()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["line_id", "doc_id", "line_no", "keys"])
+                [pa.array(units, pa.int64()), pa.array(docs, pa.int64()), pa.array(nos, pa.int32()),
+                 pa.array(keys, pa.list_(pa.int64()))], names=["unit", "doc_id", "line_no", "keys"])
     return run
 
 
+def grams(payload: bytes) -> np.ndarray:
+    """Sorted distinct gram hashes of a normalised line."""
+    return np.unique(gram_hashes([payload.decode("utf-8", "surrogatepass")])[0].view(np.int64))
+
+
+def _spot(doc_id, line_no):
+    """Place of a line for the id filter (columns or arrays alike)."""
+    return doc_id * 4096 + line_no
+
+
+_FOUND = "doc_id long, line_no int, n long, bits binary, payload binary"
+
+
 def _sets(wanted, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, seen = wanted.value, set()
+        bitmap = wanted.value
         for batch in batches:
-            todo = [(line_id(line), line) for _, _, line in _lines(batch, min_chars)]
-            hit = in_filter(bitmap, np.array([i for i, _ in todo], dtype=np.int64)) if todo else ()
-            ids, ns, bits, elems = [], [], [], []
-            for (i, line), ok in zip(todo, hit):
-                if not ok or i in seen:
-                    continue
-                if len(seen) >= _SEEN:
-                    seen.clear()
-                seen.add(i)
-                s = np.unique(gram_hashes([normal(line)])[0].view(np.int64))
-                ids.append(i)
+            todo = list(_lines(batch, min_chars))
+            docs = np.array([d for d, _, _ in todo], dtype=np.int64)
+            nos = np.array([n for _, n, _ in todo], dtype=np.int64)
+            hit = np.flatnonzero(in_filter(bitmap, _spot(docs % (1 << 40), nos % 4096)))
+            ns, bits, payloads = [], [], []
+            for i in hit:
+                payloads.append(normal(todo[i][2]).encode("utf-8", "surrogatepass"))
+                s = grams(payloads[-1])
                 ns.append(len(s))
                 bits.append(bitmap_of(s))
-                elems.append(s)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(bits, pa.binary()),
-                 pa.array(elems, pa.list_(pa.int64()))], names=["id", "n", "bits", "elems"])
+                [pa.array(docs[hit]), pa.array(nos[hit].astype(np.int32)), pa.array(ns, pa.int64()),
+                 pa.array(bits, pa.binary()), pa.array(payloads, pa.binary())],
+                names=["doc_id", "line_no", "n", "bits", "payload"])
     return run
 
 
@@ -168,17 +180,20 @@ def duplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS, num: int = NUM,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
         "doc_id is not null and text is not null")
     heads = staged(docs.mapInArrow(_heads(min_chars), _HEADS), "lines")
-    members = heads.where("keys is not null").select(F.explode("keys").alias("key"), F.col("line_id").alias("id"))
+    signed = heads.where("keys is not null")
+    members = signed.select(F.explode("keys").alias("key"), F.col("unit").alias("id"))
 
     def fetch(ids: DataFrame) -> DataFrame:
-        ids = staged(ids, "ids")
-        wanted = spark.sparkContext.broadcast(id_filter(ids, "id"))
-        rows = docs.mapInArrow(_sets(wanted, min_chars), SETS)
-        return rows.join(ids, "id", "left_semi").dropDuplicates(["id"])
-
-    comps = resolve(members, fetch, num, den).withColumnRenamed("id", "line_id")
-    lines = (heads.select("line_id", "doc_id", "line_no").join(comps, "line_id", "left")
-             .select("doc_id", "line_no", F.coalesce("component", "line_id").alias("component")))
+        places = staged(signed.select(F.col("unit").alias("id"), "doc_id", "line_no").join(ids, "id", "left_semi"), "places")
+        spots = places.select(_spot(F.pmod("doc_id", F.lit(1 << 40)), F.pmod("line_no", F.lit(4096))).alias("spot"))
+        wanted = spark.sparkContext.broadcast(id_filter(spots, "spot"))
+        rows = docs.mapInArrow(_sets(wanted, min_chars), _FOUND)
+        return rows.join(places, ["doc_id", "line_no"]).select("id", "n", "bits", "payload")
+
+    comps = resolve(members, fetch, num, den, grams).withColumnRenamed("id", "unit")
+    # the place of each line among the copies it stands for
+    lines = (heads.select("unit", "doc_id", "line_no").join(comps, "unit", "left")
+             .select("doc_id", "line_no", F.coalesce("component", "unit").alias("component")))
     groups = (lines.groupBy("component")
               .agg(F.min(F.struct("doc_id", "line_no")).alias("kept"), F.max(F.struct("doc_id", "line_no")).alias("last"))
               .where("kept < last").select("component", "kept"))

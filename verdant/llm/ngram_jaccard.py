@@ -162,19 +162,19 @@ def _sets(wanted, words: int):
         bitmap = wanted.value
         for batch in batches:
             batch = batch.filter(pa.array(in_filter(bitmap, batch.column("doc_id").to_numpy())))
-            ids, ns, bits, elems, digests = [], [], [], [], []
+            ids, ns, bits, payloads, digests = [], [], [], [], []
             for doc_id, text in _texts(batch):
                 u = shingles(text, words)
                 s = np.sort(u.view(np.int64))
                 ids.append(doc_id)
                 ns.append(len(s))
                 bits.append(bitmap_of(s))
-                elems.append(s)
+                payloads.append(s.tobytes())
                 digests.append(xxhash.xxh3_128_digest(u.tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(bits, pa.binary()),
-                 pa.array(elems, pa.list_(pa.int64())), pa.array(digests, pa.binary())],
-                names=["id", "n", "bits", "elems", "digest"])
+                 pa.array(payloads, pa.binary()), pa.array(digests, pa.binary())],
+                names=["id", "n", "bits", "payload", "digest"])
     return run
 
 

@@ -11,7 +11,9 @@ share at least one key.  Pairs are never expanded within a key.
    outside the list's largest component).  Size bounds and hashed bitmaps
    (``|A ^ B| >= popcount(bits A ^ bits B)``) discard pairs inside the tile,
    and only pairs of different components leave it.
-4. Survivors are verified by intersecting the sorted arrays.
+4. Survivors are verified by intersecting the sorted arrays that the sets'
+   payloads decode to (the elements themselves, or a text to cut up again:
+   whatever is smaller to move).
 
 A pair left unverified is one whose ends are connected already, so the
 components are those of the full join over all pairs that share a key.
@@ -30,7 +32,7 @@ from verdant.llm.common import staged
 from verdant.llm.graph import components
 
 TILE = 512          # members of a tile's block
-SETS = "id long, n long, bits binary, elems array<long>"
+SETS = "id long, n long, bits binary, payload binary"
 
 
 def _fold(bits: np.ndarray, width: int) -> np.ndarray:
@@ -115,16 +117,17 @@ def _tiles(num: int, den: int):
     return run
 
 
-def _verifier(num: int, den: int):
+def stored(payload: bytes) -> np.ndarray:
+    """Payload of the sorted elements themselves."""
+    return np.frombuffer(payload, dtype="<i8")
+
+
+def _verifier(num: int, den: int, decode: Callable[[bytes], np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ea, eb = batch.column("ea"), batch.column("eb")
-            oa, ob = ea.offsets.to_numpy(), eb.offsets.to_numpy()
-            # `values` ignores the slice offset, as `offsets` does
-            va, vb = ea.values.to_numpy(), eb.values.to_numpy()
             keep = []
-            for i in range(batch.num_rows):
-                x, y = va[oa[i]:oa[i + 1]], vb[ob[i]:ob[i + 1]]
+            for a, b in zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist()):
+                x, y = decode(a), decode(b)
                 if den * min(len(x), len(y)) < num * max(len(x), len(y)):
                     keep.append(False)
                     continue
@@ -136,19 +139,24 @@ def _verifier(num: int, den: int):
     return run
 
 
-def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs ``(a, b)`` with ``den * |A & B| >= num * |A | B|``."""
-    sa = sets.select(F.col("id").alias("a"), F.col("elems").alias("ea"))
-    sb = sets.select(F.col("id").alias("b"), F.col("elems").alias("eb"))
-    return pairs.join(sa, "a").join(sb, "b").select("a", "b", "ea", "eb").mapInArrow(
-        _verifier(num, den), "a long, b long")
+def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int,
+           decode: Callable[[bytes], np.ndarray] = stored) -> DataFrame:
+    """The pairs ``(a, b)`` with ``den * |A & B| >= num * |A | B|``; sizes that
+    exclude it end a pair before its payloads meet."""
+    sa = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("payload").alias("pa"))
+    sb = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("payload").alias("pb"))
+    fits = F.expr(f"{den} * least(na, nb) >= {num} * greatest(na, nb)")
+    return pairs.join(sa, "a").join(sb, "b").where(fits).select("a", "b", "pa", "pb").mapInArrow(
+        _verifier(num, den, decode), "a long, b long")
 
 
-def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame:
+def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, den: int,
+            decode: Callable[[bytes], np.ndarray] = stored) -> DataFrame:
     """``(id, component)`` of every id linked with another one.
 
-    ``fetch(ids)`` returns the :data:`SETS` rows of the given ids (sorted,
-    distinct elements).  Ids without a link are absent from the result.
+    ``fetch(ids)`` returns the :data:`SETS` rows of the given ids; ``decode``
+    turns a payload into the sorted, distinct elements.  Ids without a link
+    are absent from the result.
     """
     ends = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
     shared = staged(members.join(ends.select("key", "lo"), "key").select("key", "id", "lo").distinct(), "shared")
@@ -156,7 +164,7 @@ def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: in
 
     together = shared.where("id != lo").groupBy("id", "lo").agg(F.count("*").alias("lists"))
     pivot = together.groupBy("id").agg(F.max_by("lo", F.struct(F.col("lists"), -F.col("lo"))).alias("b"))
-    first = staged(verify(pivot.select(F.col("id").alias("a"), "b"), sets, num, den), "first")
+    first = staged(verify(pivot.select(F.col("id").alias("a"), "b"), sets, num, den, decode), "first")
     comps = staged(components(first), "comps")
 
     marked = staged(shared.join(comps, "id", "left")
@@ -185,5 +193,5 @@ def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: in
              .select("key", "p", "q", "id", "comp", "n", "bits", "resident", "visitor")
              .repartition("key", "p", "q").sortWithinPartitions("key", "p", "q"))
     cand = staged(tiles.mapInArrow(_tiles(num, den), "a long, b long").distinct(), "cand")
-    second = verify(cand, sets, num, den)
+    second = verify(cand, sets, num, den, decode)
     return components(first.unionByName(second))
