@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from verdant.llm import (decontaminate, html_main, language_id, license_scan, line_dedup, ngram_jaccard, packing,
                          quality_model, quality_rules, secret_scan)
 from verdant.llm.common import read_table
+from verdant.llm.sql import ORACLE_SQL  # noqa: F401 - registered beside QUERIES
 
 
 # the vocabulary of byte_bpe_50k.json as ranks
@@ -35,7 +36,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(read_table(spark, sf_dir, "documents"))
+    return quality_rules.judge(read_table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
 def op5_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,4 +67,3 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_ngram_jaccard, op3_decontaminate, op4_quality_rules, op5_html_main, op6_secret_scan,
     op7_language_id, op8_quality_model, op9_line_dedup, op10_packing)}
-ORACLE_SQL: dict[str, str] = {}
