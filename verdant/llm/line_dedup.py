@@ -27,6 +27,7 @@ Lines repeated within a document count as copies.  Ties go to the smaller
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -145,9 +146,9 @@ def grams(payload: bytes) -> np.ndarray:
     return np.unique(gram_hashes([payload.decode("utf-8", "surrogatepass")])[0].view(np.int64))
 
 
-def _spot(doc_id, line_no):
-    """Place of a line for the id filter (columns or arrays alike)."""
-    return doc_id * 4096 + line_no
+def _spot(doc_id: int, line_no: int) -> int:
+    """Place of a line for the id filter; the query writes the same in SQL."""
+    return zlib.crc32(b"%d:%d" % (doc_id, line_no))
 
 
 _FOUND = "doc_id long, line_no int, n long, bits binary, payload binary"
@@ -158,9 +159,8 @@ def _sets(wanted, min_chars: int):
         bitmap = wanted.value
         for batch in batches:
             todo = list(_lines(batch, min_chars))
-            docs = np.array([d for d, _, _ in todo], dtype=np.int64)
-            nos = np.array([n for _, n, _ in todo], dtype=np.int64)
-            hit = np.flatnonzero(in_filter(bitmap, _spot(docs % (1 << 40), nos % 4096)))
+            spots = np.array([_spot(d, n) for d, n, _ in todo], dtype=np.int64)
+            hit = np.flatnonzero(in_filter(bitmap, spots))
             ns, bits, payloads = [], [], []
             for i in hit:
                 payloads.append(normal(todo[i][2]).encode("utf-8", "surrogatepass"))
@@ -168,7 +168,8 @@ def _sets(wanted, min_chars: int):
                 ns.append(len(s))
                 bits.append(bitmap_of(s))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs[hit]), pa.array(nos[hit].astype(np.int32)), pa.array(ns, pa.int64()),
+                [pa.array([todo[i][0] for i in hit], pa.int64()), pa.array([todo[i][1] for i in hit], pa.int32()),
+                 pa.array(ns, pa.int64()),
                  pa.array(bits, pa.binary()), pa.array(payloads, pa.binary())],
                 names=["doc_id", "line_no", "n", "bits", "payload"])
     return run
@@ -185,7 +186,7 @@ def duplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS, num: int = NUM,
 
     def fetch(ids: DataFrame) -> DataFrame:
         places = staged(signed.select(F.col("unit").alias("id"), "doc_id", "line_no").join(ids, "id", "left_semi"), "places")
-        spots = places.select(_spot(F.pmod("doc_id", F.lit(1 << 40)), F.pmod("line_no", F.lit(4096))).alias("spot"))
+        spots = places.select(F.crc32(F.concat_ws(":", "doc_id", "line_no").cast("binary")).alias("spot"))
         wanted = spark.sparkContext.broadcast(id_filter(spots, "spot"))
         rows = docs.mapInArrow(_sets(wanted, min_chars), _FOUND)
         return rows.join(places, ["doc_id", "line_no"]).select("id", "n", "bits", "payload")
