@@ -7,6 +7,8 @@ engines.  The matching oracle SQL is in ``demo_sql``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -364,6 +366,32 @@ def sorted_page(spark, sf):
                         .alias("badge"))
 
 
+SURFACE_FILTERS = {
+    "life_form": dict(life_form="device"), "invasive_status": dict(invasive_status="not_listed"),
+    "habitat": dict(habitat="PROMO"), "region": dict(region="ring"), "month": dict(month="4"),
+    "for_sale": dict(for_sale=True), "poisonous": dict(special="poisonous"),
+}
+
+
+def surface_filters(spark, sf):
+    """The ids that each filter of the surface lets through, in one pass."""
+    hits = [F.when(reduce(lambda a, b: a & b, Q.CatalogQuery(**kw).predicates()), F.lit(name))
+            for name, kw in SURFACE_FILTERS.items()]
+    return _catalog(spark, sf).select(
+        F.col(KEY).cast("string").alias("id"),
+        F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("filter"))
+
+
+def two_pages(spark, sf):
+    """Two short pages by scientific name: the limit bites."""
+    q = Q.CatalogQuery(sort="scientific_name", limit=5)
+    return q.page(_catalog(spark, sf), pages=2).select("id", "scientific_name", "name_he", "availability")
+
+
+def facets_ranked(spark, sf):
+    return Q.facet_ranked(table(spark, sf, "orders"), "o_orderpriority")
+
+
 def facets(spark, sf):
     return Q.facet(table(spark, sf, "orders"), "o_orderpriority")
 
@@ -460,7 +488,10 @@ QUERIES = {
     "search_text": search_text,
     "filter_combo": filter_combo,
     "sorted_page": sorted_page,
+    "surface_filters": surface_filters,
+    "two_pages": two_pages,
     "facets": facets,
+    "facets_ranked": facets_ranked,
     "facet_array": facet_array,
     "stats": stats,
     "lookup_one": lookup_one,

@@ -645,6 +645,25 @@ SELECT id, name_he, price_ils, price_band, sold_by, statuses, regions,
        WHEN protected THEN 'prot' END AS badge
 FROM pg"""
 
+ORACLE_SQL["surface_filters"] = f"""
+WITH {CATALOG}
+SELECT CAST(canonical_taxon_id AS VARCHAR) AS id, 'life_form' AS filter FROM catalog WHERE life_form = 'device'
+UNION ALL SELECT CAST(canonical_taxon_id AS VARCHAR), 'invasive_status' FROM catalog WHERE invasive_status = 'not_listed'
+UNION ALL SELECT CAST(canonical_taxon_id AS VARCHAR), 'habitat' FROM catalog WHERE habitat_he = 'PROMO'
+UNION ALL SELECT CAST(canonical_taxon_id AS VARCHAR), 'region' FROM catalog WHERE list_contains(distribution_regions, 'ring')
+UNION ALL SELECT CAST(canonical_taxon_id AS VARCHAR), 'month' FROM catalog WHERE bloom_months_he LIKE '%4%'
+UNION ALL SELECT CAST(canonical_taxon_id AS VARCHAR), 'for_sale' FROM catalog WHERE sold_by IS NOT NULL
+UNION ALL SELECT CAST(canonical_taxon_id AS VARCHAR), 'poisonous' FROM catalog WHERE poisonous = true"""
+
+ORACLE_SQL["two_pages"] = f"""
+WITH {CATALOG}
+SELECT CAST(canonical_taxon_id AS VARCHAR) AS id, scientific_name, name_he, availability FROM catalog
+ORDER BY scientific_name NULLS LAST, id LIMIT 10"""
+
+ORACLE_SQL["facets_ranked"] = """
+SELECT o_orderpriority, count(*) AS c, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) AS rank
+FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1"""
+
 ORACLE_SQL["facets"] = """
 SELECT o_orderpriority, count(*) AS c FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1"""
 

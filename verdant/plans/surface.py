@@ -133,6 +133,14 @@ def facet_sorted(table: DataFrame, col: str) -> DataFrame:
     return facet(table, col).orderBy(F.col("c").desc(), F.col(col).asc())
 
 
+def facet_ranked(table: DataFrame, col: str) -> DataFrame:
+    """QRY12 with its order as a column: rank 1 is the most frequent value,
+    ties by value.  The list holds a facet's distinct values, as the surface does."""
+    rows = facet(table, col).agg(F.array_sort(F.collect_list(F.struct((-F.col("c")).alias("minus"), col))).alias("v"))
+    return rows.select(F.posexplode("v").alias("p", "x")).select(
+        F.col(f"x.{col}").alias(col), (-F.col("x.minus")).alias("c"), (F.col("p") + 1).cast("bigint").alias("rank"))
+
+
 def array_facet(table: DataFrame, col: str, alias: str) -> DataFrame:
     """QRY13: unnest a list column and count its elements."""
     return (table.select(F.explode(col).alias(alias)).groupBy(alias)
