@@ -127,6 +127,9 @@ def _verifier(num: int, den: int, decode: Callable[[bytes], np.ndarray]):
         for batch in batches:
             keep = []
             for a, b in zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist()):
+                if a == b:
+                    keep.append(True)
+                    continue
                 x, y = decode(a), decode(b)
                 if den * min(len(x), len(y)) < num * max(len(x), len(y)):
                     keep.append(False)
