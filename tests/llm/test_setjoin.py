@@ -144,5 +144,5 @@ def test_long_path(spark):
 
 def test_resolve_without_members(spark):
     none = spark.createDataFrame([], "key long, id long")
-    sets = spark.createDataFrame([], "id long, n long, bits binary, payload binary")
+    sets = spark.createDataFrame([], "id long, payload binary")
     assert resolve(none, lambda ids: sets, 85, 100).count() == 0

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import bitmap_of, id_filter, in_filter, mix64, staged
+from verdant.llm.common import id_filter, in_filter, mix64, staged
 from verdant.llm.setjoin import SETS, resolve
 
 NUM, DEN = 80, 100
@@ -151,7 +151,7 @@ def _spot(doc_id: int, line_no: int) -> int:
     return zlib.crc32(b"%d:%d" % (doc_id, line_no))
 
 
-_FOUND = "doc_id long, line_no int, n long, bits binary, payload binary"
+_FOUND = "doc_id long, line_no int, payload binary"
 
 
 def _sets(wanted, min_chars: int):
@@ -161,17 +161,10 @@ def _sets(wanted, min_chars: int):
             todo = list(_lines(batch, min_chars))
             spots = np.array([_spot(d, n) for d, n, _ in todo], dtype=np.int64)
             hit = np.flatnonzero(in_filter(bitmap, spots))
-            ns, bits, payloads = [], [], []
-            for i in hit:
-                payloads.append(normal(todo[i][2]).encode("utf-8", "surrogatepass"))
-                s = grams(payloads[-1])
-                ns.append(len(s))
-                bits.append(bitmap_of(s))
+            payloads = [normal(todo[i][2]).encode("utf-8", "surrogatepass") for i in hit]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([todo[i][0] for i in hit], pa.int64()), pa.array([todo[i][1] for i in hit], pa.int32()),
-                 pa.array(ns, pa.int64()),
-                 pa.array(bits, pa.binary()), pa.array(payloads, pa.binary())],
-                names=["doc_id", "line_no", "n", "bits", "payload"])
+                 pa.array(payloads, pa.binary())], names=["doc_id", "line_no", "payload"])
     return run
 
 
@@ -189,7 +182,7 @@ def duplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS, num: int = NUM,
         spots = places.select(F.crc32(F.concat_ws(":", "doc_id", "line_no").cast("binary")).alias("spot"))
         wanted = spark.sparkContext.broadcast(id_filter(spots, "spot"))
         rows = docs.mapInArrow(_sets(wanted, min_chars), _FOUND)
-        return rows.join(places, ["doc_id", "line_no"]).select("id", "n", "bits", "payload")
+        return rows.join(places, ["doc_id", "line_no"]).select("id", "payload")
 
     comps = resolve(members, fetch, num, den, grams).withColumnRenamed("id", "unit")
     # the place of each line among the copies it stands for

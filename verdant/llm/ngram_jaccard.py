@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import bitmap_of, id_filter, in_filter, mix64, staged
+from verdant.llm.common import id_filter, in_filter, mix64, staged
 from verdant.llm.setjoin import SETS, resolve
 
 NUM, DEN, WORDS = 85, 100, 4
@@ -162,19 +162,15 @@ def _sets(wanted, words: int):
         bitmap = wanted.value
         for batch in batches:
             batch = batch.filter(pa.array(in_filter(bitmap, batch.column("doc_id").to_numpy())))
-            ids, ns, bits, payloads, digests = [], [], [], [], []
+            ids, payloads, digests = [], [], []
             for doc_id, text in _texts(batch):
                 u = shingles(text, words)
-                s = np.sort(u.view(np.int64))
                 ids.append(doc_id)
-                ns.append(len(s))
-                bits.append(bitmap_of(s))
-                payloads.append(s.tobytes())
+                payloads.append(np.sort(u.view(np.int64)).tobytes())
                 digests.append(xxhash.xxh3_128_digest(u.tobytes()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(bits, pa.binary()),
-                 pa.array(payloads, pa.binary()), pa.array(digests, pa.binary())],
-                names=["id", "n", "bits", "payload", "digest"])
+                [pa.array(ids, pa.int64()), pa.array(payloads, pa.binary()), pa.array(digests, pa.binary())],
+                names=["id", "payload", "digest"])
     return run
 
 

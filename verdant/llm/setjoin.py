@@ -4,8 +4,10 @@ Input is a membership table ``(key, id)``: two sets that may be similar
 share at least one key.  Pairs are never expanded within a key.
 
 1. Lists with one id only are dropped (``min < max``, combined map-side).
-2. Every id is compared with one pivot: the list head it shares most lists
-   with.  That is one pair an id, and it joins dense groups of copies.
+2. Each list has a hub, the member whose lists are longest in sum (in a group of
+   edits, the text they come from).  Every id is compared with one hub: the one
+   it shares most lists with.  That is one pair an id, and it joins dense groups
+   of copies.
 3. Lists that still hold several components are compared exactly in tiles:
    blocks of residents (all members) against blocks of visitors (members
    outside the list's largest component).  Size bounds and hashed bitmaps
@@ -28,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import staged
+from verdant.llm.common import bitmap_of, staged
 from verdant.llm.graph import components
 
 TILE = 512          # members of a tile's block
-SETS = "id long, n long, bits binary, payload binary"
+SETS = "id long, payload binary"
 
 
 def _fold(bits: np.ndarray, width: int) -> np.ndarray:
@@ -144,15 +146,23 @@ def _verifier(num: int, den: int, decode: Callable[[bytes], np.ndarray]):
 
 def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int,
            decode: Callable[[bytes], np.ndarray] = stored) -> DataFrame:
-    """The pairs ``(a, b)`` with ``den * |A & B| >= num * |A | B|``; sizes that
-    exclude it end a pair before its payloads meet."""
-    sa = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("payload").alias("pa"))
-    sb = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("payload").alias("pb"))
-    fits = F.expr(f"{den} * least(na, nb) >= {num} * greatest(na, nb)")
-    return pairs.join(sa, "a").join(sb, "b").where(fits).select("a", "b", "pa", "pb").mapInArrow(
+    """The pairs ``(a, b)`` with ``den * |A & B| >= num * |A | B|``."""
+    sa = sets.select(F.col("id").alias("a"), F.col("payload").alias("pa"))
+    sb = sets.select(F.col("id").alias("b"), F.col("payload").alias("pb"))
+    return pairs.join(sa, "a").join(sb, "b").select("a", "b", "pa", "pb").mapInArrow(
         _verifier(num, den, decode), "a long, b long")
 
 
+def _signer(decode: Callable[[bytes], np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [decode(p) for p in batch.column("payload").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array([len(x) for x in got], pa.int64()),
+                 pa.array([bitmap_of(x) for x in got], pa.binary())], names=["id", "n", "bits"])
+    return run
+
+
 def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, den: int,
             decode: Callable[[bytes], np.ndarray] = stored) -> DataFrame:
     """``(id, component)`` of every id linked with another one.
@@ -162,11 +172,16 @@ def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: in
     are absent from the result.
     """
     ends = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    shared = staged(members.join(ends.select("key", "lo"), "key").select("key", "id", "lo").distinct(), "shared")
+    shared = staged(members.join(ends.select("key"), "key").distinct(), "shared")
     sets = staged(fetch(shared.select("id").distinct()), "sets")
 
-    together = shared.where("id != lo").groupBy("id", "lo").agg(F.count("*").alias("lists"))
-    pivot = together.groupBy("id").agg(F.max_by("lo", F.struct(F.col("lists"), -F.col("lo"))).alias("b"))
+    length = shared.groupBy("key").agg(F.count("*").alias("c"))
+    weight = shared.join(length, "key").groupBy("id").agg(F.sum("c").alias("w"))
+    hubs = (shared.join(weight, "id").groupBy("key")
+            .agg(F.max_by("id", F.struct(F.col("w"), -F.col("id"))).alias("hub")))
+    together = (shared.join(hubs, "key").where("id != hub")
+                .groupBy("id", "hub").agg(F.count("*").alias("lists")))
+    pivot = together.groupBy("id").agg(F.max_by("hub", F.struct(F.col("lists"), -F.col("hub"))).alias("b"))
     first = staged(verify(pivot.select(F.col("id").alias("a"), "b"), sets, num, den, decode), "first")
     comps = staged(components(first), "comps")
 
@@ -184,6 +199,8 @@ def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: in
             .withColumn("p", F.pmod(F.xxhash64("id"), F.col("np")).cast("int"))
             .withColumn("q", F.when(F.col("comp") != F.col("main"),
                                     F.pmod(F.xxhash64("id", F.lit(1)), F.col("nq")).cast("int"))))
+    signs = sets.join(rows.select("id").distinct(), "id", "left_semi").mapInArrow(
+        _signer(decode), "id long, n long, bits binary")
     # a resident meets every block of visitors, a visitor every block of residents
     res = rows.select("key", "id", "comp", "p", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("q"),
                       F.lit(True).alias("resident"), F.lit(False).alias("visitor"))
@@ -192,7 +209,7 @@ def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: in
         F.lit(False).alias("resident"), F.lit(True).alias("visitor"))
     tiles = (res.unionByName(vis).groupBy("key", "p", "q", "id", "comp")
              .agg(F.max("resident").alias("resident"), F.max("visitor").alias("visitor"))
-             .join(sets.select("id", "n", "bits"), "id")
+             .join(signs, "id")
              .select("key", "p", "q", "id", "comp", "n", "bits", "resident", "visitor")
              .repartition("key", "p", "q").sortWithinPartitions("key", "p", "q"))
     cand = staged(tiles.mapInArrow(_tiles(num, den), "a long, b long").distinct(), "cand")
