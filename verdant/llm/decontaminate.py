@@ -112,7 +112,7 @@ class Index:
         for j in range(3 * size):
             sym = padded[row, at]
             out[:, :, j] = sym
-            bit = mix64(self.seeds[:, None] + np.uint64(j) * np.uint64(0x9E3779B97F4A7C15)
+            bit = mix64(self.seeds[:, None] + np.uint64(j * 0x9E3779B97F4A7C15 % (1 << 64))
                         + sym.view(np.uint64) * np.uint64(0xD1B54A32D192ED03)) & np.uint64(1)
             at = np.minimum(at + bit.astype(np.int64), windows.shape[1])
         return out
