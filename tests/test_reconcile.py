@@ -126,6 +126,8 @@ def test_all_values_provenance(spark):
 def test_cluster_conf_sizes():
     from verdant.session import cluster_conf
     c = cluster_conf(100 * 1024 ** 4, 8000)
-    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    # a tenth of the input in 256 MB partitions: sized by the bytes a shuffle holds, not by the scan
+    assert int(c["spark.sql.shuffle.partitions"]) == 40960
+    assert int(cluster_conf(10 ** 18, 1000)["spark.sql.shuffle.partitions"]) == 8000
     assert c["spark.sql.adaptive.enabled"] == "true"
     assert int(cluster_conf(1, 8)["spark.sql.shuffle.partitions"]) == 16

@@ -70,7 +70,7 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
       the target, split by AQE instead of spilling one task;
     * broadcasts only for build sides AQE has measured below 64 MB.
 
-    For 100 TB on 8000 cores: 256 MB splits, about 39k shuffle partitions.
+    For 100 TB on 8000 cores: 256 MB splits, about 40k shuffle partitions.
     """
     wanted = -(-int(input_bytes * shuffled_share) // target_partition_bytes)
     width = min(max(2 * total_cores, wanted), 8 * total_cores)
