@@ -23,7 +23,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One line of each group of near-duplicate lines stays; a document all of
     whose words went with its lines goes."""
-    return line_dedup.dedup_lines(docs, drop_emptied=True)
+    return line_dedup.dedup_lines(docs, drop_emptied=True, min_chars=0)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

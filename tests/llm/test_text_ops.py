@@ -161,6 +161,54 @@ def test_line_dedup_brute_force(spark):
     assert L.duplicate_lines(docs.limit(0)).count() == 0
 
 
+def test_short_lines_are_deduplicated(spark):
+    """With min_chars=0 no line that holds a word is skipped, whatever its length."""
+    rng = random.Random(19)
+    rows = []
+    for d in range(30):
+        lines = [prose(rng, 30), "All rights reserved.", "  ALL  rights Reserved. ", "", " \t", "}", f"n{d}"]
+        if d % 2:
+            lines.append("Released under the MIT License." if d % 4 == 1 else "Released under the MIT License")
+        rng.shuffle(lines)
+        rows.append((d, "\n".join(lines)))
+    rows += [(50, "ab"), (51, "ab\0\0\0\0"), (52, "Home\nHome"), (53, "Contents of the chapter, p. 17.."),
+             (54, "Contents of the chapter, p. 17."), (None, "}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    flat = [((d, n), x) for d, t in rows if d is not None for n, x in enumerate(t.split("\n")) if x.strip()]
+    sets = [grams(x) for _, x in flat]
+    comp = list(range(len(flat)))
+    for i in range(len(flat)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= .8 * len(sets[i] | sets[j]):
+                a, b = sorted((comp[i], comp[j]))
+                comp = [a if c == b else c for c in comp]
+    first = {}
+    for k, (where, _) in enumerate(flat):
+        first.setdefault(comp[k], []).append(where)
+    want = {w: min(ws) for ws in first.values() for w in ws if w != min(ws)}
+    got = {(r.doc_id, r.line_no): (r.kept_doc_id, r.kept_line_no)
+           for r in L.duplicate_lines(docs, min_chars=0).collect()}
+    assert got == want and (52, 1) in got and (54, 0) in got and len(got) > 100
+    out = {r.doc_id: r.text for r in L.dedup_lines(docs, min_chars=0).collect()}
+    assert sum("reserved." in t.lower() for t in out.values()) == 1
+    assert out[50] == "ab" and out[51] == "ab\0\0\0\0" and out[None] == "}"
+    assert all("\n\n" in f"\n{out[d]}\n" for d in range(30))        # blank lines stay
+    left = {r.doc_id for r in L.dedup_lines(docs, min_chars=0, drop_emptied=True).collect()}
+    assert 54 not in left and {0, 50, 52, 53, None} <= left
+
+
+def test_op9_and_the_pipeline_treat_short_lines(spark, tmp_path):
+    import corpus_pipeline as C
+    from verdant.llm import queries
+    rows = [(i, f"{prose(random.Random(i), 60)}\nAll rights reserved.", "en", "s", 1) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {tuple(r) for r in queries.op9_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {(i, 1, 0, 1) for i in range(1, 4)}
+    kept = C.lines(spark, docs, str(tmp_path)).collect()
+    assert len(kept) == 4 and sum("reserved" in r.text for r in kept) == 1
+
+
 def test_minhash_recall_at_threshold():
     """Bands of pairs at a similarity of about 0.8 to 0.85 meet."""
     rng, met, pairs = random.Random(1), 0, 0

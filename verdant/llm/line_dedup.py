@@ -15,8 +15,14 @@ first by (doc_id, line number).
 * :mod:`verdant.llm.setjoin` verifies candidates by the exact Jaccard of the
   shingle sets and :mod:`verdant.llm.graph` joins them to components.
 
-Guard: lines of fewer than ``min_chars`` code points (trimmed) are headings,
-markers or blank lines; they are never removed.  Lines are split at ``\\n``.
+* Short lines (normalised, under 32 code points: footers, menus, headings)
+  repeat most.  They travel as themselves: equal ones fold to one row by their
+  text, combined map-side, and only that row is signed and enters the same
+  components as the longer lines.
+
+Guard: lines of fewer than ``min_chars`` code points (trimmed) are never
+removed; with ``min_chars=0``, as op9 and the pipeline call it, that is no
+line that holds a word.  Blank lines always stay.  Lines are split at ``\\n``.
 
 Edge cases: null text has no lines and stays null; rows with a null
 ``doc_id`` are never changed; rows that repeat a ``doc_id`` count as one
@@ -42,6 +48,7 @@ from verdant.llm.setjoin import SETS, resolve
 
 NUM, DEN = 80, 100
 GRAM, BANDS, ROWS, MIN_CHARS = 6, 12, 5, 32
+SHORT = 32                          # code points under which equal lines fold by their text
 _STEP = 1 << 16                     # characters hashed at once
 _SEEN = 1 << 20                     # line ids a task remembers
 
@@ -55,9 +62,9 @@ def normal(line: str) -> str:
 
 def gram_hashes(lines: list[str], gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """uint64 hashes of all character n-grams of normalised lines, and where
-    each line's hashes start; a line shorter than ``gram`` counts as padded
-    with zeros to one gram."""
-    padded = [x if len(x) >= gram else x + "\0" * (gram - len(x)) for x in lines]
+    each line's hashes start; a line shorter than ``gram`` counts as padded to
+    one gram with line feeds, which no line holds."""
+    padded = [x if len(x) >= gram else x + "\n" * (gram - len(x)) for x in lines]
     size = np.array([len(x) for x in padded], dtype=np.int64)
     code = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     h = code[:len(code) - gram + 1].copy()
@@ -91,21 +98,21 @@ def _lines(batch: pa.RecordBatch, min_chars: int):
     for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
         if text:
             for no, line in enumerate(text.split("\n")):
-                if len(line) >= min_chars and len(line.strip()) >= min_chars:
+                if len(line) >= min_chars and len(line.strip()) >= max(min_chars, 1):
                     yield doc_id, no, line
 
 
-_HEADS = "unit long, doc_id long, line_no int, keys array<long>"
+_HEADS = "unit long, doc_id long, line_no int, keys array<long>, short binary"
 
 
 def _heads(min_chars: int):
     """One row a line: its unit (the first row of the same line in this task)
-    and, in that first row, its band keys."""
+    and, in that first row, its band keys or, of a short line, itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            units, docs, nos, keys, fresh, fresh_at, size = [], [], [], [], [], [], 0
+            units, docs, nos, keys, shorts, fresh, fresh_at, size = [], [], [], [], [], [], [], 0
 
             def sign():
                 for row, key in zip(fresh_at, band_keys(fresh) if fresh else ()):
@@ -118,6 +125,7 @@ def _heads(min_chars: int):
                 docs.append(doc_id)
                 nos.append(no)
                 keys.append(None)
+                shorts.append(None)
                 unit = seen.get(digest)
                 if unit is not None:
                     units.append(unit)
@@ -128,6 +136,9 @@ def _heads(min_chars: int):
                 units.append(number)
                 number += 1
                 x = normal(line)
+                if len(x) < SHORT:
+                    shorts[-1] = x.encode("utf-8", "surrogatepass")
+                    continue
                 fresh.append(x)
                 fresh_at.append(len(units) - 1)
                 size += len(x)
@@ -137,10 +148,19 @@ def _heads(min_chars: int):
             sign()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(units, pa.int64()), pa.array(docs, pa.int64()), pa.array(nos, pa.int32()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["unit", "doc_id", "line_no", "keys"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(shorts, pa.binary())],
+                names=["unit", "doc_id", "line_no", "keys", "short"])
     return run
 
 
+def _sign_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lines = [x.decode("utf-8", "surrogatepass") for x in batch.column("short").to_pylist()]
+        keys = list(band_keys(lines)) if lines else []
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(keys, pa.list_(pa.int64()))],
+                                         names=["id", "keys"])
+
+
 def grams(payload: bytes) -> np.ndarray:
     """Sorted distinct gram hashes of a normalised line."""
     return np.unique(gram_hashes([payload.decode("utf-8", "surrogatepass")])[0].view(np.int64))
@@ -175,16 +195,26 @@ def duplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS, num: int = NUM,
         "doc_id is not null and text is not null")
     heads = staged(docs.mapInArrow(_heads(min_chars), _HEADS), "lines")
     signed = heads.where("keys is not null")
-    members = signed.select(F.explode("keys").alias("key"), F.col("unit").alias("id"))
+    # equal short lines of all tasks: one row a text, signed after the fold
+    firsts = heads.where("short is not null").select("unit", "short")
+    folded = staged(firsts.groupBy("short").agg(F.min("unit").alias("rep")), "short")
+    members = signed.select(F.explode("keys").alias("key"), F.col("unit").alias("id")).unionByName(
+        folded.mapInArrow(_sign_short, "id long, keys array<long>").select(F.explode("keys").alias("key"), "id"))
 
     def fetch(ids: DataFrame) -> DataFrame:
         places = staged(signed.select(F.col("unit").alias("id"), "doc_id", "line_no").join(ids, "id", "left_semi"), "places")
         spots = places.select(F.crc32(F.concat_ws(":", "doc_id", "line_no").cast("binary")).alias("spot"))
         wanted = spark.sparkContext.broadcast(id_filter(spots, "spot"))
         rows = docs.mapInArrow(_sets(wanted, min_chars), _FOUND)
-        return rows.join(places, ["doc_id", "line_no"]).select("id", "payload")
+        short = folded.select(F.col("rep").alias("id"), F.col("short").alias("payload")).join(ids, "id", "left_semi")
+        return rows.join(places, ["doc_id", "line_no"]).select("id", "payload").unionByName(short)
 
     comps = resolve(members, fetch, num, den, grams).withColumnRenamed("id", "unit")
+    # a short line's unit has the component of the text it folds to
+    of_short = (firsts.join(folded, "short").select("unit", "rep")
+                .join(comps.withColumnRenamed("unit", "rep"), "rep", "left")
+                .select("unit", F.coalesce("component", "rep").alias("component")))
+    comps = comps.join(folded.select(F.col("rep").alias("unit")), "unit", "left_anti").unionByName(of_short)
     # the place of each line among the copies it stands for
     lines = (heads.select("unit", "doc_id", "line_no").join(comps, "unit", "left")
              .select("doc_id", "line_no", F.coalesce("component", "unit").alias("component")))

@@ -57,7 +57,7 @@ def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.duplicate_lines(read_table(spark, sf_dir, "documents"))
+    return line_dedup.duplicate_lines(read_table(spark, sf_dir, "documents"), min_chars=0)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
