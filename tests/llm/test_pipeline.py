@@ -74,6 +74,24 @@ def test_near_copies_stage_alone(spark):
     assert sorted(r.doc_id for r in C.near_copies(spark, d, "")  .collect()) == [0, 9]
 
 
+def test_near_copies_stage_takes_five_words_and_eighty_percent(spark):
+    """Pairs at a 5-word similarity between 0.80 and 0.82, whose 4-word one is under 0.85."""
+    def jaccard(a, b, n):
+        a, b = ({tuple(t[i:i + n]) for i in range(len(t) - n + 1)} for t in (a, b))
+        return len(a & b) / len(a | b)
+
+    rows = []
+    for k, (n, edits) in enumerate([(1000, 21), (1000, 22), (50, 1), (1000, 24)]):
+        one = [f"w{k}x{i}" for i in range(n)]
+        two = list(one)
+        for e in range(edits):
+            two[(2 * e + 1) * n // (2 * edits)] = f"edit{k}x{e}"
+        assert .80 <= jaccard(one, two, 5) < .82 and jaccard(one, two, 4) < .85 or k == 3 and jaccard(one, two, 5) < .8
+        rows += [(10 * k, " ".join(one), "en", "s", 1), (10 * k + 1, " ".join(two), "en", "s", 1)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in C.near_copies(spark, d, "").collect()) == [0, 10, 20, 30, 31]
+
+
 def test_empty_documents(spark):
     d = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for name, stage in C.STAGES[:3]:
