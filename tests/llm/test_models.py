@@ -32,6 +32,22 @@ def test_token_ids_equal_the_tokenizers_library():
         assert P.token_ids(t, PATH).tolist() == [*tok.encode(t, add_special_tokens=False).ids, 1], t[:50]
 
 
+def test_long_white_space_runs(spark):
+    """Runs on which tiktoken's split pattern raises are encoded by tokenizers."""
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    blank = " " * 2_000_000
+    rows = [(1, blank), (2, "a" + "\n" * 2_000_000 + "b <|endoftext|>"), (3, "plain text"), (4, "x \t" * 1000)]
+    for _, t in rows:
+        assert P.token_ids(t, PATH).tolist() == [*tok.encode(t, add_special_tokens=False).ids, 1]
+    with pytest.raises(ValueError):
+        P.encoder(PATH).encode(blank)
+    # under the limit both libraries give the same ids
+    short = "a" + " " * 500_000 + "b"
+    assert P.encoder(PATH).encode(short) == P.plain_encoder(PATH).encode(short, add_special_tokens=False).ids
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check_packing(P.pack(docs, PATH).collect(), rows)
+
+
 def check_packing(rows, docs_rows, capacity=2048):
     pieces = {}
     for r in rows:

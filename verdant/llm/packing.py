@@ -21,7 +21,9 @@ Edge cases: a null or empty text is the end id alone; rows with a null or
 repeated ``doc_id`` are packed each; an empty table gives an empty result;
 ties between equal pieces are broken by (doc_id, start, checksum) and equal
 rows are interchangeable.  Texts are read whole; only ``doc_id`` and
-``text`` are read.
+``text`` are read.  ``tiktoken`` raises on a text with a white-space run of
+some 700,000 characters and more; exactly these texts are encoded by
+``tokenizers`` from the vocabulary's JSON file, which gives the same ids.
 """
 
 from __future__ import annotations
@@ -56,9 +58,21 @@ def encoder(path: str):
     return _ENCODERS[path]
 
 
+def plain_encoder(path: str):
+    """The same BPE by ``tokenizers``, from the JSON file beside the rank file."""
+    path = path.removesuffix(".tiktoken") + ".json"
+    if path not in _ENCODERS:
+        from tokenizers import Tokenizer
+        _ENCODERS[path] = Tokenizer.from_file(path)
+    return _ENCODERS[path]
+
+
 def token_ids(text: str | None, path: str) -> np.ndarray:
     """The ids of a text and the end id; the special token's string is its id."""
-    ids = encoder(path).encode(text, allowed_special="all", disallowed_special=()) if text else []
+    try:
+        ids = encoder(path).encode(text, allowed_special="all", disallowed_special=()) if text else []
+    except ValueError:                   # the split pattern's stack ends on a long white-space run
+        ids = plain_encoder(path).encode(text, add_special_tokens=False).ids
     ids.append(END_ID)
     return np.array(ids, dtype="<u4")
 
@@ -241,8 +255,9 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, unit: i
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset`` (and ``ids`` with ``with_ids``).
 
-    ``tokenizer_path`` is a rank file that every executor has (vocabularies
-    are installed, not shipped); ``capacity`` is a multiple of ``unit``."""
+    ``tokenizer_path`` is a rank file that every executor has, with its JSON
+    file beside it (vocabularies are installed, not shipped); ``capacity`` is a
+    multiple of ``unit``."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = PIECES + (", ids array<int>" if with_ids else "")
