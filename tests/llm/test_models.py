@@ -216,6 +216,44 @@ def test_main_text():
     assert H.main_text("<article>" + "<div>" * 3000 + LONG + "</article>") == long
 
 
+def test_hint_words_count_as_whole_tokens():
+    long = LONG.strip()
+    for attr in ("class='has-sidebar'", "class='no-sidebar x'", "class='with-comments'", "class='legal-news'",
+                 "class='social-issues'", "class='search-page'", "id='related-work'", "id=page-search"):
+        assert H.main_text(f"<body><div {attr}><p>{LONG}</p></div></body>") == long, attr
+    for attr in ("class='sidebar'", "class='x sidebar-1'", "class='site-footer'", "id='cookie-notice'", "class='ad-300x250'",
+                 "class='main-nav'", "class='comment-body'", "class='related-posts'", "class='social_links'",
+                 "class='sidebar__inner'", "id=newsletter-form", "class='legal-notice'"):
+        assert H.main_text(f"<body><p>{LONG}</p><div {attr}><p>{LONG}</p></div></body>") == long, attr
+
+
+def test_article_inside_a_hinted_wrapper():
+    long = LONG.strip()
+    for tag in ("article", "main"):
+        inside = f"<div class='overlay'><p>{LONG}</p><{tag}><p>{LONG}</p></{tag}><p>{LONG}</p></div>"
+        assert H.main_text(f"<body>{inside}</body>") == long
+        # not in boilerplate elements, and not where the article itself is a comment
+        assert H.main_text(f"<body><aside><{tag}><p>{LONG}</p></{tag}></aside></body>") == ""
+    comment = f"<div class='comments'><article class='comment-body'><p>{LONG}</p></article></div>"
+    assert H.main_text(f"<body><article><p>{LONG}</p></article>{comment}</body>") == long
+    # a hinted block inside the article stays out, and so does what follows the wrapper's article
+    assert H.main_text(f"<div class='modal'><main><p>{LONG}</p><div class='share'>{LONG}</div></main>{LONG}</div>") == long
+
+
+def test_head_without_an_end_tag():
+    long = LONG.strip()
+    for start in ("<head><title>x</title><body>", "<html><head><title>x</title><meta charset=utf-8><script>a<b</script>",
+                  "<head><noscript><img src=x></noscript><title>x</title><body>", "<title>x</title>", "<head><title>x<body>",
+                  "<head><title>x</title></head><body>"):
+        assert H.main_text(f"{start}<p>{LONG}</p>") == long, start
+    assert H.main_text(f"<head><title>x</title>{LONG}") == long
+
+
+def test_formulas_are_text():
+    math = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x^2</annotation></semantics></math>"
+    assert H.main_text(f"<article><p>{LONG} where {math} holds.</p></article>") == f"{LONG.strip()} where x=2 holds."
+
+
 def test_extract_query_rows(spark):
     pages = spark.createDataFrame([(1, "u", page(f"<p>{LONG}</p>"), "t"), (2, None, None, "t"), (2, None, "", "t"), (None, "v", "<p>", "t")],
                                   "page_id long, url string, html string, text string")

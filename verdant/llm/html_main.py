@@ -4,7 +4,11 @@ A page is read once, tag by tag, into blocks: runs of text between
 block-level tags, with their length, words, stop words, link characters and
 containers.  Scripts, styles, forms' controls and the head hold no text;
 menus, page headers, footers, sidebars, notices, adverts, forms and comments
-are recognised by element, role, class or id.
+are recognised by element, role, class or id.  Of a class or id only whole
+tokens count: a hint word, alone or with words of place and form
+(``site-footer``, ``cookie-notice``, ``sidebar-1``), not any compound
+(``has-sidebar``, ``legal-news``); an ``article`` or ``main`` inside a plain
+element with such a token is not part of it.  Formulas (``math``) are text.
 
 Pass one decides a block from itself: boilerplate containers, many link
 characters or a copyright line are bad; long blocks with few link characters, and
@@ -16,7 +20,8 @@ neighbours, so a page of short lines keeps them.
 
 Edge cases: a null or empty page, or one without good blocks, gives the empty
 string; unclosed and truncated markup is read as far as it goes (an unclosed
-tag at the end is dropped); rows with null or repeated ids are extracted each;
+tag at the end is dropped; a head or title that is not closed ends at the
+first element or text that only a body holds); rows with null or repeated ids are extracted each;
 an empty table gives an empty result.  Pages are read whole and further
 columns are ignored.
 """
@@ -27,6 +32,7 @@ import html as _html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,19 +45,33 @@ LONG, MIDDLE = 200, 70                # characters
 MAX_LINKS, MIN_STOP = 0.25, 0.15      # shares of characters / words
 
 # fixed values: elements of HTML
-_SKIP = frozenset("script style head noscript template svg math iframe object embed audio video canvas "
-                  "select button textarea input datalist".split())
+_SKIP = frozenset("script style head title noscript template svg annotation annotation-xml iframe object embed audio "
+                  "video canvas select button textarea input datalist".split())
+_HEAD = frozenset("head title".split())
+_IN_HEAD = frozenset("html head title base basefont bgsound link meta noscript script style template".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol "
                    "optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 _BAD = frozenset("nav footer aside form menu dialog".split())
 _MAIN = frozenset("article main".split())
+_PLAIN = frozenset("div span center font table tbody tr td".split())     # hold an article as well as anything else
 _HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|popup|modal|overlay|notices?|"
-    r"sidebar|side|nav|navbar|navigation|menu|breadcrumbs?|footer|masthead|topbar|toolbar|comments?|disqus|repl(?:y|ies)|"
-    r"share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search|pagination|pager|widget|"
-    r"copyright|legal|disclaimer|skip)(?:$|[\s_-])", re.I)
+    r"ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|popup|modal|overlay|notices?|"
+    r"sidebar\d*|side|nav|navbar|navigation|menu|breadcrumbs?|footer|masthead|topbar|toolbar|comments?|disqus|"
+    r"repl(?:y|ies)|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search|pagination|pager|"
+    r"widget|copyright|legal|disclaimer|skip", re.I)
+# words of place and form that may stand before and after a hint word in one token
+_BEFORE = frozenset("site page main global top bottom left right primary secondary sub mobile desktop sticky fixed "
+                    "post entry article blog user js id the google div".split())
+_AFTER = frozenset("container wrapper wrap outer inner box bar list links link item items section area block blocks button "
+                   "buttons btn icon icons form field panel col column row slot unit group widget widgets header heading "
+                   "title body content contents text meta author thread top bottom left right primary secondary main "
+                   "posts articles stories media to".split())
+# topics as well as parts of a page: "legal-content" and "page-search" may be the page itself
+_TOPIC = frozenset("search legal social related share sharing notice notices copyright disclaimer login signup side "
+                   "subscribe promo banner".split())
+_OWN = frozenset("page main body content contents text title".split())
 _ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 _TAG = re.compile(r"""<!--.*?(?:-->|$)|<(?:(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|[!?][^>]*>)""", re.S)
 _ATTR = re.compile(r"""([A-Za-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -68,28 +88,51 @@ class Block:
     label: str = ""
 
 
-def _boilerplate(tag: str, attrs: str, in_main: bool) -> bool:
+@lru_cache(1 << 14)
+def _hinted(token: str) -> bool:
+    """Whether a class token or an id names a boilerplate container."""
+    parts = [p for p in re.split(r"[-_]+", token.lower()) if p]
+    hits = [k for k, p in enumerate(parts) if _HINT.fullmatch(p)]
+    if not hits:
+        return False
+    rest = [p for k, p in enumerate(parts) if k not in hits]
+    if _OWN.intersection(rest) and all(parts[k] in _TOPIC for k in hits):
+        return False
+    return (all(p in _BEFORE for p in parts[:hits[0]])
+            and all(p in _BEFORE or p in _AFTER or p[0].isdigit() or k in hits
+                    for k, p in enumerate(parts[:hits[-1]]) if k > hits[0])
+            and all(p in _AFTER or p[0].isdigit() for p in parts[hits[-1] + 1:]))
+
+
+def _named(attrs: str) -> bool:
+    """Whether a class token or the id of the attributes is a hint."""
+    return "=" in attrs and any(_hinted(token) for name, a, b, c in _ATTR.findall(attrs)
+                                if name.lower() in ("class", "id") for token in (a or b or c).split())
+
+
+def _boilerplate(tag: str, attrs: str, in_main: bool) -> str:
+    """``hard`` for a boilerplate element or role, ``hint`` for a plain element
+    with a hint token, else the empty string."""
     if tag in _BAD or (tag == "header" and not in_main):
-        return True
+        return "hard"
     if "=" not in attrs or tag in ("html", "body", "article", "main"):
-        return False
+        return ""
     for name, a, b, c in _ATTR.findall(attrs):
-        value = a or b or c
+        value = (a or b or c).lower()
         name = name.lower()
-        if name in ("class", "id") and _HINT.search(value):
-            return True
-        if name == "role" and value.lower() in _ROLE:
-            return True
-        if name == "aria-hidden" and value.lower() == "true":
-            return True
-    return False
+        if (name == "role" and value in _ROLE) or (name == "aria-hidden" and value == "true"):
+            return "hard"
+    if _named(attrs):
+        return "hint" if tag in _PLAIN else "hard"
+    return ""
 
 
 def blocks(page: str) -> list[Block]:
     """The non-empty text blocks of a page in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []      # open elements: name, bad, main
-    bad = main = links = skipping = 0
+    # open elements: name, boilerplate, main, hints outside an article that are put aside
+    stack: list[tuple[str, str, bool, int]] = []
+    hard = hints = main = links = skipping = 0
     container = containers = 0
     held: list[str] = []
     linked: list[str] = []
@@ -100,11 +143,13 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(_html.unescape("".join(held)).split())
             if text:
                 inside = " ".join(_html.unescape("".join(linked)).split()) if linked else ""
-                out.append(Block(text, len(inside), container, main > 0, bad > 0))
+                out.append(Block(text, len(inside), container, main > 0, hard + hints > 0))
             held.clear()
             linked.clear()
 
     def text_to(end: int) -> None:
+        if skipping and stack[-1][0] == "head" and page[at:end].strip():
+            leave(len(stack) - 1)                 # text ends an open head
         if not skipping and end > at:
             part = page[at:end]
             held.append(part)
@@ -112,10 +157,11 @@ def blocks(page: str) -> list[Block]:
                 linked.append(part)
 
     def leave(k: int) -> None:
-        nonlocal bad, main, links, skipping, container
+        nonlocal hard, hints, main, links, skipping, container
         while len(stack) > k:
-            name, was_bad, was_main = stack.pop()
-            bad -= was_bad
+            name, was_bad, was_main, aside = stack.pop()
+            hard -= was_bad == "hard"
+            hints += aside - (was_bad == "hint")
             main -= was_main
             links -= name == "a"
             skipping -= name in _SKIP
@@ -142,6 +188,9 @@ def blocks(page: str) -> list[Block]:
         name = (m[2] or "").lower()
         if not name:
             continue
+        if not m[1] and name not in _IN_HEAD:
+            while stack and stack[-1][0] in _HEAD:
+                leave(len(stack) - 1)             # an open head ends where the body begins
         if name in _BLOCK:
             close()
         elif name == "br" and not skipping:
@@ -156,8 +205,10 @@ def blocks(page: str) -> list[Block]:
                 leave(len(stack) - 1)             # implied end
             is_main = name in _MAIN
             is_bad = _boilerplate(name, m[3], main > 0)
-            stack.append((name, is_bad, is_main))
-            bad += is_bad
+            aside = hints if is_main and not _named(m[3]) else 0
+            stack.append((name, is_bad, is_main, aside))
+            hard += is_bad == "hard"
+            hints += (is_bad == "hint") - aside
             main += is_main
             links += name == "a"
             skipping += name in _SKIP
