@@ -1,4 +1,5 @@
 """Operators 1, 5, 7, 8 and 10: round trips, brute force and held-out accuracy."""
+import os
 import random
 import zlib
 from collections import Counter
@@ -289,6 +290,27 @@ def test_license_scan_and_inheritance(spark):
     assert LS.scan(files.limit(0)).count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="the given tables are not there")
+def test_op1_runs_the_whole_method_on_the_given_tables(spark):
+    from verdant.llm.queries import op1_license_scan
+    got = op1_license_scan(spark, "/root/testdata/sf0.01").collect()
+    assert len(got) == spark.read.parquet("/root/testdata/sf0.01/documents.parquet").count()
+    assert {r.via for r in got} == {"file", "header", "inherited", "none"}
+    given = {}
+    for r in got:
+        if r.via == "file":
+            given.setdefault(r.path.rpartition("/")[0], set()).add(r.license)
+    steps = Counter()
+    for r in got:
+        folder = r.path.rpartition("/")[0].split("/")
+        up = ["/".join(folder[:k]) for k in range(len(folder), 0, -1)]
+        nearest = next((d for d in up if d in given), None)
+        if r.via in ("inherited", "none"):
+            assert r.origin == nearest and (nearest is None or r.license in given[nearest])
+            steps[nearest and up.index(nearest)] += 1
+    assert all(steps[k] for k in (0, 1, 2, None)), steps
+
+
 def test_leading_terms_lose_no_match():
     rng = random.Random(3)
     vocabulary = sorted({t for v in LS.TEMPLATES.values() for x in v for t in LS.terms(x)})

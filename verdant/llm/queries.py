@@ -17,12 +17,18 @@ TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as a tree of files: ``source/lang/shard/<doc_id>.txt``; a
-    document that opens with a licence notice is its directory's LICENSE file."""
+    """``documents`` as a tree of files: ``source/lang/shard/<doc_id>.txt``.
+
+    A document whose first or last non-blank line is a licence notice is, by a
+    hash of its id, the LICENSE file of its source, of its language or of its
+    shard, or (one in four) an ordinary file with a notice of its own."""
     docs = read_table(spark, sf_dir, "documents")
-    opens = F.lower(F.substring_index("text", "\n", 1)).rlike("licen[cs]e")
-    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 500).cast("string"),
-                       F.when(opens, F.concat(F.lit("LICENSE-"), F.col("doc_id").cast("string")))
+    body = F.lower(F.btrim("text", F.lit(" \t\n\r\f\v")))
+    notice = F.substring_index(body, "\n", 1).rlike("licen[cs]e") | F.substring_index(body, "\n", -1).rlike("licen[cs]e")
+    level = F.when(notice, F.pmod(F.xxhash64("doc_id"), F.lit(4)))
+    path = F.concat_ws("/", "source", F.when(level.isNull() | (level != 0), F.col("lang")),
+                       F.when(level.isNull() | (level > 1), F.floor(F.col("doc_id") / 500).cast("string")),
+                       F.when(level < 3, F.concat(F.lit("LICENSE-"), F.col("doc_id").cast("string")))
                        .otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))))
     return license_scan.scan(docs.select("doc_id", path.alias("path"), "text"))
 
