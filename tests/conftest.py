@@ -14,9 +14,3 @@ def spark():
                       checkpoint=tempfile.mkdtemp(prefix="verdant-tests-"))
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Collected rows as plain tuples, sorted (order-insensitive compare)."""
-    sel = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in sel.collect()), key=repr)

@@ -1,4 +1,6 @@
 import os
+import shutil
+import subprocess
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -39,3 +41,14 @@ def test_oracle_small(spark):
         b = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=repr)
         assert sorted(ocols) == cols, name
         assert a == b, name
+
+
+def test_without_training_data_operators(tmp_path):
+    """Without both llm folders (and with corpus_pipeline.py still there) the rest imports and plans."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(root, tmp_path / "tree", ignore=shutil.ignore_patterns("llm", ".git", "__pycache__"))
+    code = ("import __spark_entry__ as E; q, o = E.queries(), E.oracle_sql(); "
+            "assert set(o) == set(q) == set(E.QUERIES); print(len(q), E.__file__)")
+    done = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path / "tree", capture_output=True, text=True,
+                          env=os.environ | {"PYTHONPATH": str(tmp_path / "tree")})
+    assert done.returncode == 0 and str(tmp_path) in done.stdout, done.stderr

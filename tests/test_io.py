@@ -9,7 +9,7 @@ from verdant.sources import sitemap as SM
 from verdant.sources import snapshots as SN
 from verdant.streaming.snapshots import stage_new_snapshots
 
-from conftest import rows
+from helpers import rows
 
 
 def _write_snap(d, date, sid, fields):

@@ -8,7 +8,7 @@ from verdant.operators import media as M
 from verdant.operators import offers as O
 from verdant.operators.layers import OFFER_COLUMNS, attach_layer, replace_provenance
 
-from conftest import rows
+from helpers import rows
 
 KEY = "canonical_taxon_id"
 

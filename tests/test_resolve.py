@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from verdant.operators import resolve as RS
 from verdant.sources.services import MATCH_SCHEMA
 
-from conftest import rows
+from helpers import rows
 
 
 def match_df(spark):
