@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import (decontaminate, html_main, language_id, license_scan, line_dedup, ngram_jaccard, packing,
-                         quality_model, quality_rules, secret_scan)
+from verdant.llm import (decontaminate, html_main, language_id, lexical_search, license_scan, line_dedup,
+                         ngram_jaccard, packing, quality_model, quality_rules, secret_scan, vector_search, whitening)
 from verdant.llm.common import read_table
 from verdant.llm.sql import ORACLE_SQL  # noqa: F401 - registered beside QUERIES
 
@@ -70,6 +70,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    return vector_search.search(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_ngram_jaccard, op3_decontaminate, op4_quality_rules, op5_html_main, op6_secret_scan,
-    op7_language_id, op8_quality_model, op9_line_dedup, op10_packing)}
+    op7_language_id, op8_quality_model, op9_line_dedup, op10_packing, op11_vector_search, op12_whitening,
+    op13_lexical_search)}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from verdant.llm import ngram_jaccard as J, quality_rules as Q
+from verdant.llm import lexical_search as X, ngram_jaccard as J, quality_rules as Q, vector_search as V
 
 _WS = r"[\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -91,4 +91,38 @@ SELECT n.doc_id, n.n AS n_shingles, CASE WHEN n.n = 0 THEN n.doc_id ELSE comp.c
 FROM n LEFT JOIN comp ON comp.id = n.rep"""
 
 
-ORACLE_SQL = {"op2_ngram_jaccard": ngram_jaccard(), "op4_quality_rules": quality_rules()}
+def vector_search() -> str:
+    """The exact neighbours: what the search finds where its sample holds the whole table."""
+    return f"""
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: isfinite(e))) = len(embedding)
+             AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+q AS (SELECT vec_id AS query_id, min(x) AS y FROM v WHERE vec_id % 100 = 0 GROUP BY vec_id),
+d AS (SELECT query_id, vec_id, min(sqrt(list_sum(list_transform(list_zip(x, y), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))) AS score
+      FROM q JOIN v ON vec_id <> query_id GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM d)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {V.TOP}"""
+
+
+def lexical_search() -> str:
+    def terms(text: str) -> str:
+        lower = f"translate({text}, '{_UPPER}', '{_UPPER.lower()}')"
+        return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {terms('text')} AS t FROM documents WHERE text IS NOT NULL),
+n AS (SELECT rid, doc_id, len(t)::BIGINT AS n FROM d WHERE len(t) > 0),
+g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+f AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, g GROUP BY term),
+i AS (SELECT item_id, min(text) AS text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL GROUP BY item_id),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({terms('text')}) AS term FROM i) GROUP BY ALL),
+s AS (SELECT item_id, rid, doc_id,
+             sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // terms)))))::BIGINT AS score
+      FROM q JOIN f USING (term) JOIN w USING (term) JOIN n USING (rid), g WHERE doc_id IS NOT NULL GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= {X.TOP}"""
+
+
+ORACLE_SQL = {"op2_ngram_jaccard": ngram_jaccard(), "op4_quality_rules": quality_rules(),
+              "op11_vector_search": vector_search(), "op13_lexical_search": lexical_search()}
