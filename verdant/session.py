@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at any scale: AQE re-plans joins from runtime sizes
@@ -84,3 +87,22 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
         **SCALE_CONF,
     }
+
+
+_OWN_DIRS: dict[str, str] = {}
+
+
+def work_dir(spark: SparkSession) -> str:
+    """A new folder for tables that a query keeps between its runs: under
+    ``spark.checkpoint.dir``; on a ``local`` master without that setting (tests)
+    under a private folder of the application; on a cluster without it, an error."""
+    master = spark.sparkContext.master
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or not (
+            master == "local" or master.startswith("local[")):
+        base = checkpoint_dir(spark)
+    else:
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_DIRS:
+            _OWN_DIRS[app] = tempfile.mkdtemp(prefix="verdant-")
+        base = _OWN_DIRS[app]
+    return f"{base.rstrip('/')}/verdant-{uuid.uuid4().hex[:12]}"
