@@ -10,10 +10,16 @@ leaves the previous version live.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+KEY = "canonical_taxon_id"
 
 
 def new_version() -> str:
@@ -42,12 +48,17 @@ def write_version(df: DataFrame, base: str, name: str, fmt: str = "parquet",
     w.save(path)
     if not repoint:
         return path
-    spark = df.sparkSession
-    spark.createDataFrame([(f"{time.time_ns():020d}\t{path}",)], "pointer string").coalesce(1) \
-         .write.mode("errorifexists").text(f"{_pointers(base, name)}/v={v}")
+    point(df.sparkSession, base, name, path, v)
     return path
 
 
+def point(spark: SparkSession, base: str, name: str, target: str, version: str | None = None) -> None:
+    """Make ``target`` the live version of ``name``: one small pointer file of its own."""
+    v = version or f"{new_version()}-{uuid.uuid4().hex[:6]}"
+    spark.createDataFrame([(f"{time.time_ns():020d}\t{target}",)], "pointer string").coalesce(1) \
+         .write.mode("errorifexists").text(f"{_pointers(base, name)}/v={v}")
+
+
 def current_path(spark: SparkSession, base: str, name: str) -> str:
     """Path of the latest version whose pointer was written (one small file a version)."""
     latest = spark.read.text(f"{_pointers(base, name)}/*").agg(F.max("value")).first()[0]
@@ -66,6 +77,52 @@ def read_current(spark: SparkSession, base: str, name: str, fmt: str = "parquet"
     return r.load(current_path(spark, base, name))
 
 
+def write_bucketed(df: DataFrame, base: str, name: str, buckets: int, key: str = KEY,
+                   repoint: bool = True) -> str:
+    """SNK4/SNK7 co-partitioned: a new version bucketed and sorted by ``key``.
+
+    Tables of one bucket count join on ``key`` without a shuffle, and a look-up of
+    one key reads one bucket.  Rows are dealt before writing as the buckets are, so
+    a bucket is one file; a table with hot keys (provenance) is written by
+    :func:`write_bucketed_as_is`.
+    """
+    return _write_buckets(df.repartition(buckets, key), base, name, buckets, key, repoint)
+
+
+def write_bucketed_as_is(df: DataFrame, base: str, name: str, buckets: int, key: str = KEY,
+                         repoint: bool = True) -> str:
+    """As :func:`write_bucketed`, but each task writes its own file of a bucket: no
+    shuffle, and no task writes all rows of a hot key."""
+    return _write_buckets(df, base, name, buckets, key, repoint)
+
+
+def _write_buckets(df: DataFrame, base: str, name: str, buckets: int, key: str, repoint: bool) -> str:
+    path = f"{base.rstrip('/')}/{name}/v={new_version()}-{uuid.uuid4().hex[:6]}"
+    (df.write.mode("errorifexists").format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path)
+     .saveAsTable(_table_of(path)))
+    if repoint:
+        point(df.sparkSession, base, name, f"{path}\t{buckets}\t{key}\t{df.schema.json()}")
+    return path
+
+
+def _table_of(path: str) -> str:
+    """The session catalogue's name of a bucketed version (a function of its path)."""
+    return f"verdant_{hashlib.sha1(path.encode()).hexdigest()[:20]}"
+
+
+def read_bucketed(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """The live version with its buckets.  The session catalogue that Spark keeps bucket
+    counts in may be new (another application): the version is registered again
+    from its pointer."""
+    path, buckets, key, schema = current_path(spark, base, name).split("\t")
+    table = _table_of(path)
+    if not spark.catalog.tableExists(table):
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in StructType.fromJson(json.loads(schema)).fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+                  f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+    return spark.table(table)
+
+
 def write_eav(eav: DataFrame, base: str) -> str:
     """SNK1: EAV partitioned by source and snapshot date."""
     return write_version(eav, base, "eav", partition_by=["source", "scraped_at"])
