@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 KEY = "canonical_taxon_id"
+# quotes are doubled, blanks at the ends of a value are part of it, texts may hold line ends
+CSV = dict(header=True, escape='"', multiLine=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def new_version() -> str:
@@ -132,7 +134,12 @@ def write_csv(df: DataFrame, base: str, name: str, order_by: list[str] | None =
     """SNK2/SNK3/SNK6: CSV with header (optionally globally ordered)."""
     if order_by:
         df = df.orderBy(*order_by)
-    return write_version(df, base, name, fmt="csv", header=True)
+    return write_version(df, base, name, fmt="csv", **CSV)
+
+
+def read_csv(spark: SparkSession, base: str, name: str, schema: str) -> DataFrame:
+    """A CSV sink read back."""
+    return read_current(spark, base, name, fmt="csv", schema=schema, **CSV)
 
 
 def write_json(df: DataFrame, base: str, name: str, partition_by=None) -> str:

@@ -99,21 +99,21 @@ def coverage(out: Published) -> DataFrame:
 
 def unmatched_of(out: Published) -> DataFrame:
     """SNK6 read back."""
-    return P.read_current(out.spark, out.base, "unmatched", fmt="csv", header=True,
-                          schema="source_id string, name_he string, category string, price double, url string")
+    return P.read_csv(out.spark, out.base, "unmatched",
+                      "source_id string, name_he string, category string, price double, url string")
 
 
 def review_of(out: Published) -> DataFrame:
     """SNK3 read back."""
-    return P.read_current(out.spark, out.base, "review", fmt="csv", header=True,
-                          schema="source_id string, name_he string, name_lat string, reason string, "
+    return P.read_csv(out.spark, out.base, "review",
+                      "source_id string, name_he string, name_lat string, reason string, "
                                  "confidence int, matchType string")
 
 
 def crosswalk_of(out: Published) -> DataFrame:
     """SNK2 read back."""
-    return P.read_current(out.spark, out.base, "crosswalk", fmt="csv", header=True,
-                          schema="name_he string, name_lat string, source string, source_id string")
+    return P.read_csv(out.spark, out.base, "crosswalk",
+                      "name_he string, name_lat string, source string, source_id string")
 
 
 def tally_of(out: Published, names=("spine", "offers", "media", "provenance", "catalogue")) -> DataFrame:

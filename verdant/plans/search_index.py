@@ -47,11 +47,11 @@ def trigrams_of(pattern: str) -> list[str]:
 
 
 def trigrams(col: Column) -> Column:
-    """Distinct trigrams of a lower-cased text.  Characters are cut once: a
-    ``substr`` a trigram would walk the text from its start each time."""
-    c = F.split(F.lower(col), "")
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(c) - 3),
-                                        lambda i: F.concat(F.get(c, i), F.get(c, i + 1), F.get(c, i + 2))))
+    """Distinct trigrams of a lower-cased text.  The characters are cut once and bound
+    to a name: an expression inside the inner function would be evaluated for each place."""
+    cut = F.transform(F.array(F.split(F.lower(col), "")), lambda c: F.array_distinct(F.transform(
+        F.sequence(F.lit(0), F.size(c) - 3), lambda i: F.concat(F.get(c, i), F.get(c, i + 1), F.get(c, i + 2)))))
+    return F.get(cut, 0)
 
 
 def matches(columns, pattern: str) -> Column:

@@ -12,8 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verdant.functions.text import bare_name
 from verdant.operators.staging import eav_from_records
-from verdant.plans.demo_inputs import match_table, part_records, table
+from verdant.operators.status import potential_keys, status_frame
+from verdant.plans.demo_inputs import SELLER, match_table, media_inputs, offers, part_records, table
+from verdant.plans.published import Inputs
 
 # FIXED VALUES of the demo: the name tokens and types of ``part``
 ADJECTIVES = ["small", "large", "red", "blue", "old", "new", "hot", "cold"]
@@ -85,3 +88,18 @@ def known_names(spark, sf) -> DataFrame:
 def typo(name: Column) -> Column:
     """A name without its third character."""
     return F.concat(F.substring(name, 1, 2), F.substring(name, 4, 1000))
+
+
+def build_inputs(spark, sf, occurrence_limit: int) -> Inputs:
+    """The whole build's inputs: documents are the records, line items their offers,
+    labels the status lists, events the occurrences; an image stands for all names
+    that share its first two tokens."""
+    parts = doc_parts(table(spark, sf, "documents"))
+    labels = table(spark, sf, "labels")
+    key = F.col("doc_id").alias("canonical_taxon_id")
+    listed = labels.where("toxic = 1").select(key)
+    status = status_frame(listed, potential_keys(labels.where("quality = 0").select(key), listed))
+    shop = offers(table(spark, sf, "lineitem"), parts).withColumn("name_he", F.col("part_name"))
+    _, pairs, files, occ = media_inputs(parts, table(spark, sf, "events"))
+    return Inputs(eav_of(parts), match_table(parts), status, shop, SELLER, pairs.withColumn("n", bare_name("n")),
+                  files, occ, occurrence_limit)

@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from verdant.lookups import OCCURRENCE_LIMIT
+from verdant.plans import published
 from verdant.plans.answers import KeptAnswers
 from verdant.plans.demo_inputs import PARTS_PROFILE, match_table, table
 from verdant.plans.demo_queries import _lists_as_text
 from verdant.plans.gates import second_run_gate
 from verdant.plans.incremental import CatalogStore
-from verdant.plans.store_inputs import changes, doc_parts, eav_of, known_names, record_ids, typo
+from verdant.plans.store_inputs import build_inputs, changes, doc_parts, eav_of, known_names, record_ids, typo
 from verdant.session import work_dir
 
 
@@ -68,9 +70,32 @@ def incremental_review(spark, sf):
     return _catalog_store(spark, sf).review()
 
 
+def _published(spark, sf):
+    """The whole build over published tables (a bucket count for small tables)."""
+    return published.build(spark, work_dir(spark), build_inputs(spark, sf, OCCURRENCE_LIMIT), PARTS_PROFILE, buckets=16)
+
+
+def full_build(spark, sf):
+    """Phases 1 to 3 through every sink: the published catalogue (MED4, SNK4, SNK7)."""
+    return _lists_as_text(_published(spark, sf).table("catalogue"))
+
+
+def full_build_provenance(spark, sf):
+    """The published provenance: spine, offers and images (OFR5, MED5, SNK5)."""
+    return _published(spark, sf).table("provenance")
+
+
+def full_build_review(spark, sf):
+    """The review queue read back from its file (SNK3)."""
+    return published.review_of(_published(spark, sf))
+
+
 QUERIES = {
     "kept_answers": kept_answers,
     "second_run": second_run,
     "incremental_rebuild": incremental_rebuild,
     "incremental_review": incremental_review,
+    "full_build": full_build,
+    "full_build_provenance": full_build_provenance,
+    "full_build_review": full_build_review,
 }

@@ -3,7 +3,8 @@ tables must hold at the end, computed from scratch."""
 
 from __future__ import annotations
 
-from verdant.plans.demo_sql import (CANON_OUT, LATIN, MATCH, NORM, RECONCILE, TOKS)
+from verdant.plans.demo_sql import (CANON_OUT, CATALOG, LATIN, MATCH, MEDIA, NORM, OFFER_PROV, PROVENANCE, RECONCILE,
+                                    TOKS)
 from verdant.plans.store_inputs import ADJECTIVES, NOUNS, PAGE_IDS, TYPES
 
 
@@ -76,3 +77,34 @@ WITH {REBUILT}
 SELECT source_id, name_he, name_lat, reason, CAST(CASE WHEN _looked THEN coalesce(rr.confidence, 0) END AS INTEGER) AS confidence,
        CASE WHEN _looked THEN coalesce(rr.matchType, 'NONE') END AS matchType
 FROM res WHERE reason IS NOT NULL"""
+
+# the whole build: documents as records, media for the spine's names
+BUILT = f"part AS ({DOCS()}),\n{CATALOG},\n" + MEDIA.replace(
+    "SELECT p_name AS scientific_name, min(p_partkey) AS canonical_taxon_id FROM part GROUP BY p_name",
+    "SELECT scientific_name, canonical_taxon_id FROM canon").replace(
+    "pf AS (SELECT p_name AS n,",
+    f"pf AS (SELECT CASE WHEN len({TOKS('p_name')}) >= 2 THEN array_to_string(list_slice({TOKS('p_name')}, 1, 2), ' ') ELSE p_name END AS n,") + """,
+flag AS (SELECT doc_id, CASE WHEN bool_or(toxic = 1) THEN 'listed' ELSE 'potential' END AS st
+         FROM labels WHERE toxic = 1 OR quality = 0 GROUP BY doc_id),
+canon2 AS (SELECT canon.* REPLACE (coalesce(st, 'not_listed') AS invasive_status,
+                  CASE st WHEN 'listed' THEN 'curated-il-invasive' WHEN 'potential' THEN 'griis-israel' ELSE 'default' END AS _status_source)
+           FROM canon LEFT JOIN flag ON doc_id = canonical_taxon_id)"""
+
+ORACLE_SQL["full_build"] = f"""
+WITH {BUILT}
+SELECT c.*, array_to_string(cby.sold_by, '|') AS sold_by, array_to_string(cby.pot_sizes, '|') AS pot_sizes, cby.price_ils,
+       cby.price_band, cby.availability, array_to_string(cby.source_urls, '|') AS source_urls,
+       media.thumb AS image_thumb, media.source AS image_source, media.license AS image_license,
+       media.credit AS image_credit, media.page AS image_page
+FROM (SELECT {CANON_OUT} FROM canon2) c LEFT JOIN cby USING (canonical_taxon_id) LEFT JOIN media USING (canonical_taxon_id)"""
+
+ORACLE_SQL["full_build_provenance"] = f"""
+WITH {BUILT}, {PROVENANCE.replace("FROM canon", "FROM canon2")}, {OFFER_PROV('cmatched', 'shop', 'op')}
+SELECT * FROM prov UNION ALL SELECT * FROM op
+UNION ALL SELECT canonical_taxon_id, 'image', thumb, source, 100 FROM media"""
+
+ORACLE_SQL["full_build_review"] = f"""
+WITH part AS ({DOCS()}), {RECONCILE}
+SELECT source_id, name_he, name_lat, reason, CAST(CASE WHEN _looked THEN coalesce(rr.confidence, 0) END AS INTEGER) AS confidence,
+       CASE WHEN _looked THEN coalesce(rr.matchType, 'NONE') END AS matchType
+FROM res WHERE reason IS NOT NULL"""
