@@ -136,6 +136,43 @@ def test_language_id_held_out_accuracy(spark):
     assert [(r.lang_pred, r.score) for r in nothing] == [("und", 0.0)]
 
 
+def test_language_id_against_a_plain_scorer(spark):
+    """Every word on its own, by the tables of the model, without any memory."""
+    rng = random.Random(17)
+    rows = [(i, prose(rng, lang := rng.choice(list(LANGS)), rng.randint(1, 40)), lang) for i in range(150)]
+    rows += [(500 + i, " ".join("".join(rng.choice("abcdeéßאо") for _ in range(rng.randint(1, 9))) for _ in range(30)), "aa")
+             for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = LI.fit(docs, max_words=120, max_grams=400)
+    got = {r.doc_id: r for r in LI.predict(docs, model).collect()}
+    assert len(model.words) == 120 and model.grams
+
+    def logs(word):
+        if word in model.words:
+            return model.word_logs[model.words[word]].astype(float)
+        marked = f" {word} "
+        for n in LI.GRAM_SIZES:
+            grams = [marked[i:i + n] for i in range(len(marked) - n + 1)]
+            known = [model.gram_logs[model.grams[g]] for g in grams if g in model.grams]
+            if known and 2 * len(known) >= len(grams):
+                return np.mean(known, axis=0)
+        return np.zeros(len(model.languages))
+
+    for i, text, _ in rows:
+        words = [w for w in (t.lower().strip(LI._OUTER) for t in text.split()) if any(c.isalpha() for c in w)]
+        total = sum(map(logs, words))
+        soft = np.exp((total - total.max()) * LI.EVIDENCE / max(len(words), LI.EVIDENCE))
+        assert got[i].lang_pred == model.languages[int(np.argmax(total))], text
+        assert abs(got[i].score - soft.max() / soft.sum()) < 1e-4
+
+
+def test_language_id_learns_from_words_seen_once(spark):
+    docs = spark.createDataFrame([(0, "alpha beta gamma", "aa"), (1, "delta epsilon zeta", "bb"), (7, "gamma", None), (8, "zeta", None)],
+                                 "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in LI.identify(docs).collect()}
+    assert got[7] == "aa" and got[8] == "bb"
+
+
 def test_language_id_ignores_the_label_of_predicted_rows(spark):
     rng = random.Random(5)
     rows = [(i, prose(rng, l, 30), l) for i, l in enumerate(list(LANGS) * 30)]

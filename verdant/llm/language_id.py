@@ -29,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import held_out
+from verdant.llm.common import held_out, mix64, staged
 
 SAMPLE_DOCS, MAX_WORDS, MAX_GRAMS = 2_000, 40_000, 60_000
 GRAM_SIZES = (4, 3, 2, 1)
 EVIDENCE = 10.0                       # words that a score's confidence stands for
-_MEMO_ROWS = 1 << 17
+_MEMO_ROWS = 1 << 18                  # words a task remembers
+_CHUNK_CHARS = 1 << 21                # text whose new words are scored together
 _OUTER = "".join(chr(c) for c in range(33, 127) if not chr(c).isalpha()) + "‘’“”«»…–—·¿¡"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -75,12 +76,13 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WO
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_docs / sizes[lang]))).otherwise(share)
     sample = train.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < share * (1 << 20))
     words = (sample.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+", -1)).alias("item"))
-             .where("item != ''").groupBy("lang", "item").count().cache())
+             .where("item != ''").groupBy("lang", "item").count())
+    words = staged(words, "language-words")
     per_lang = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("count"))), F.lit(0)) for x in langs]
 
     def top(table: DataFrame, keys: list[str], most: int) -> list:
         return (table.groupBy(*keys).agg(F.array(*per_lang).alias("counts"), F.sum("count").alias("n"))
-                .where("n >= 3").orderBy(F.desc("n"), *keys).limit(most).collect())
+                .orderBy(F.desc("n"), *keys).limit(most).collect())
 
     got = top(words.withColumn("kind", F.lit(0)), ["kind", "item"], max_words)
     marked = F.concat(F.lit(" "), F.col("item"), F.lit(" "))
@@ -90,72 +92,134 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WO
         cut = cut.where(F.char_length("w") >= n).select("lang", "count", "kind", F.explode(F.expr(
             f"transform(sequence(1, char_length(w) - {n - 1}), i -> substring(w, i, {n}))")).alias("item"))
         grams += top(cut.where("trim(item) != ''"), ["kind", "item"], max_grams // len(GRAM_SIZES))
-    words.unpersist()
     word_index, word_logs = _logs(got, len(langs))
     gram_index, gram_logs = _logs(grams, len(langs))
     return Model(langs, word_index, word_logs, gram_index, gram_logs)
 
 
-class _Scores(dict):
-    """Raw token -> row of ``matrix``; words outside the tables back off once."""
+def gram_codes(marked: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit codes of all n-grams of the strings, one after the other, and their
+    number in each string."""
+    length = np.array([len(x) for x in marked], dtype=np.int64)
+    code = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    n = np.maximum(length - size + 1, 0)
+    if not n.sum():
+        return np.zeros(0, dtype=np.uint64), n
+    h = np.full(len(code) - size + 1, size, dtype=np.uint64)
+    for k in range(size):
+        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + code[k:len(code) - size + 1 + k])
+    first = np.concatenate([[0], np.cumsum(length)[:-1]])
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+    return h[at], n
+
+
+class Scorer:
+    """Log frequencies of raw tokens, kept while they recur.
+
+    Tokens a batch brings for the first time are scored together: known words by
+    their row; of the others all n-grams of one length are looked up at once, and
+    only words with too few known ones go on to the next shorter length."""
 
     def __init__(self, model: Model):
-        super().__init__()
         self.model = model
+        codes = {n: [(int(gram_codes([g], n)[0][0]), r) for g, r in model.grams.items() if len(g) == n] for n in GRAM_SIZES}
+        self.grams = {}
+        for n, pairs in codes.items():
+            pairs.sort()
+            self.grams[n] = (np.array([c for c, _ in pairs], dtype=np.uint64), np.array([r for _, r in pairs], dtype=np.int64))
         self.reset()
 
     def reset(self) -> None:
-        self.clear()
-        self.matrix = np.zeros((1024, len(self.model.languages)), dtype=np.float32)
-        self.used = 1                                            # row 0: not a word
-
-    def __missing__(self, raw: str) -> int:
-        word = raw.lower().strip(_OUTER)
-        row = 0
-        if word and _LETTER.search(word):
-            if self.used == len(self.matrix):
-                self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
-            row = self.used
-            self.used += 1
-            self.matrix[row] = self.score(word)
-        self[raw] = row
-        return row
-
-    def score(self, word: str) -> np.ndarray:
-        m = self.model
-        known = m.words.get(word)
-        if known is not None:
-            return m.word_logs[known]
-        marked = f" {word} "
-        for n in GRAM_SIZES:
-            grams = [marked[i:i + n] for i in range(len(marked) - n + 1)]
-            rows = [r for r in map(m.grams.get, grams) if r is not None]
-            if rows and 2 * len(rows) >= len(grams):
-                return m.gram_logs[rows].mean(axis=0)
-        return np.zeros(len(m.languages), dtype=np.float32)
+        self.row: dict[str, int] = {}
+        self.logs = np.zeros((1, len(self.model.languages)), dtype=np.float32)    # row 0: not a word
+        self.more: list[np.ndarray] = []
+        self.used = 1
+
+    def learn(self, tokens) -> None:
+        """Score the tokens that are not known yet."""
+        fresh, unseen = [], []
+        for raw in tokens:
+            word = raw.lower().strip(_OUTER)
+            if word and _LETTER.search(word):
+                self.row[raw] = self.used + len(fresh)
+                known = self.model.words.get(word)
+                fresh.append(-1 if known is None else known)
+                if known is None:
+                    unseen.append(word)
+            else:
+                self.row[raw] = 0
+        if not fresh:
+            return
+        known = np.array(fresh, dtype=np.int64)
+        logs = np.zeros((len(fresh), len(self.model.languages)), dtype=np.float32)
+        logs[known >= 0] = self.model.word_logs[known[known >= 0]]
+        logs[known < 0] = self.back_off(unseen)
+        self.more.append(logs)
+        self.used += len(fresh)
+
+    def back_off(self, words: list[str]) -> np.ndarray:
+        """Means over each word's longest n-grams of which half are known."""
+        out = np.zeros((len(words), len(self.model.languages)), dtype=np.float32)
+        left = np.arange(len(words))
+        for size in GRAM_SIZES:
+            table, rows = self.grams[size]
+            if not len(left) or not len(table):
+                continue
+            codes, n = gram_codes([f" {words[i]} " for i in left], size)
+            at = np.minimum(np.searchsorted(table, codes), len(table) - 1)
+            hit = table[at] == codes
+            word = np.repeat(np.arange(len(left)), n)[hit]
+            known = np.bincount(word, minlength=len(left))
+            done = (known > 0) & (2 * known >= n)
+            logs = self.model.gram_logs[rows[at[hit]]]
+            total = np.stack([np.bincount(word, logs[:, k], len(left)) for k in range(logs.shape[1])], axis=1)
+            out[left[done]] = total[done] / known[done][:, None]
+            left = left[~done]
+        return out
+
+    def matrix(self) -> np.ndarray:
+        if self.more:
+            self.logs, self.more = np.concatenate([self.logs, *self.more]), []
+        return self.logs
+
+
+def _chunks(texts: list, chars: int) -> Iterator[list]:
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text or "")
+        if size > chars:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        scores = _Scores(model)
+        scorer = Scorer(model)
         for batch in batches:
             langs, best = [], []
-            for text in batch.column("text").to_pylist():
-                if not text or not model.languages or not _LETTER.search(text):
-                    langs.append("und")
-                    best.append(0.0)
-                    continue
-                if scores.used > _MEMO_ROWS:
-                    scores.reset()
-                rows = np.fromiter(map(scores.__getitem__, text.split()), dtype=np.int64)
-                n = int((rows > 0).sum())
-                total = scores.matrix[rows].sum(axis=0, dtype=np.float64)
-                soft = total * (EVIDENCE / max(n, EVIDENCE))
-                soft = np.exp(soft - soft.max())
-                k = int(np.argmax(total))
-                langs.append(model.languages[k])
-                best.append(float(soft[k] / soft.sum()))
+            for texts in _chunks(batch.column("text").to_pylist(), _CHUNK_CHARS):
+                cut = [text.split() if text and model.languages and _LETTER.search(text) else None for text in texts]
+                if scorer.used > _MEMO_ROWS:
+                    scorer.reset()
+                scorer.learn(set().union(*(c for c in cut if c)).difference(scorer.row))
+                matrix, row = scorer.matrix(), scorer.row
+                for words in cut:
+                    if words is None:
+                        langs.append("und")
+                        best.append(0.0)
+                        continue
+                    rows = np.fromiter(map(row.__getitem__, words), dtype=np.int64, count=len(words))
+                    n = int((rows > 0).sum())
+                    total = matrix[rows].sum(axis=0, dtype=np.float64)
+                    soft = total * (EVIDENCE / max(n, EVIDENCE))
+                    soft = np.exp(soft - soft.max())
+                    k = int(np.argmax(total))
+                    langs.append(model.languages[k])
+                    best.append(float(soft[k] / soft.sum()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(langs, pa.string()),
                  pa.array(best, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
