@@ -47,6 +47,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, *by: str) -> DataFrame:
+    """``(doc, key)``: each row of ``docs`` as a struct, so that no column of a verdict can
+    clash with its columns, and a 64-bit hash of its ``by`` columns (those it has).
+
+    Verdicts that depend on these columns alone are joined back by the key, whatever
+    the ids: rows without an id have one, rows that share an id have their own, and
+    rows that are equal in all of them share a verdict."""
+    cols = [F.col(f"`{c}`") for c in by if c in docs.columns]
+    key = F.xxhash64(*[x for c in cols for x in (c.isNull(), c)])
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key.alias("key"))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import id_filter, in_filter, mix64, staged
+from verdant.llm.common import id_filter, in_filter, mix64, packed, staged
 from verdant.llm.setjoin import SETS, resolve
 
 NUM, DEN, WORDS = 85, 100, 4
@@ -142,11 +142,8 @@ def _heads(sketch, bits: int, words: int, num: int, den: int):
                 s = shingles(text, words)
                 n = len(s)
                 k = core(n, num, den) + extra(n, num, den) if n else 0
-                if k < n:
-                    rank = counts[(s >> np.uint64(64 - bits)).astype(np.int64)]
-                    first = s[np.lexsort((s, rank))[:k]]
-                else:
-                    first = s
+                rank = counts[(s >> np.uint64(64 - bits)).astype(np.int64)]
+                first = s[np.lexsort((s, rank))[:k]]           # also a whole set: its first places are the rarest
                 ids.append(doc_id)
                 ns.append(n)
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()))
@@ -195,22 +192,25 @@ def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN, words: i
                   .select("doc_id", "n", "digest", F.coalesce("set_id", "doc_id").alias("set_id")), "sets")
 
     own = base.where("n > 0 and doc_id = set_id").select("doc_id", "digest")
-    posts = (heads.join(own, ["doc_id", "digest"], "left_semi")
-             .select("doc_id", "n", F.posexplode("prefix").alias("place", "element")))
-    ends = posts.groupBy("element").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    met = staged(posts.join(ends.select("element"), "element"), "met")
     # the bounds of core() and needed() as expressions, in whole numbers
     up = "((({num}) * {n} + {den} - 1) div {den})"
     least = up.format(num=num, den=den, n="n")
     least2 = up.format(num=num, den=den, n=least)
     need = f"least((({least} - {least2} + 1) + 1) div 2 + 1, {least2})"
-    open_docs = met.groupBy("doc_id", "n").agg(F.count("*").alias("c")).where(f"c >= {need}").select("doc_id")
-    met = met.where(f"place < n - {least} + 1").join(open_docs, "doc_id")
     # sizes of a linked pair differ by the threshold at most: same or neighbouring band
     # (a thousandth wider, so that rounding cannot part a pair at the very threshold)
     band = F.floor(F.log("n") / float(np.log(den / num) * 1.001))
-    members = met.select("element", F.col("doc_id").alias("id"),
-                         F.explode(F.array(band, band - 1)).alias("band")).select(
+    docs_of = heads.join(own, ["doc_id", "digest"], "left_semi")
+    # what is shuffled by element is no more than element, document and whether it is in the core
+    posts = docs_of.select("doc_id", F.posexplode("prefix").alias("place", "element"), F.expr(f"n - {least} + 1").alias("core"))
+    posts = posts.select("doc_id", "element", F.expr("place < core").alias("core"))
+    twice = posts.groupBy("element").agg(F.count("*").alias("c")).where("c > 1").select("element")
+    met = staged(posts.join(twice, "element"), "met")
+    sizes = base.where("n > 0 and doc_id = set_id").select("doc_id", band.alias("band"), F.expr(need).alias("need"))
+    open_docs = (met.groupBy("doc_id").agg(F.count("*").alias("c")).join(sizes, "doc_id").where("c >= need")
+                 .select("doc_id", "band"))
+    members = met.where("core").select("doc_id", "element").join(open_docs, "doc_id").select(
+        "element", F.col("doc_id").alias("id"), F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band")).select(
         F.xxhash64("element", "band").alias("key"), "id")
 
     def fetch(ids: DataFrame) -> DataFrame:
@@ -227,9 +227,13 @@ def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN, words: i
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each component: its smallest id.
-
-    Rows that repeat a kept ``doc_id`` stay; rows without an id stay too, as
-    nothing is known to equal them."""
-    gone = jaccard_components(docs, **options).where("component_id != doc_id").select(F.col("doc_id").alias("__id"))
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("__id"), "left_anti")
+    """``docs`` with one document of each component: its smallest id (null ids last).
+
+    Each row is compared by its own text, whatever its id; rows equal in id and
+    text are one document and stay or go together."""
+    rows = packed(docs, "doc_id", "text")
+    comps = jaccard_components(rows.select(F.col("key").alias("doc_id"), F.col("doc.text").alias("text")), **options)
+    ids = rows.select("key", F.coalesce(F.col("doc.doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("rank")).distinct()
+    ranked = staged(comps.select(F.col("doc_id").alias("key"), F.col("component_id").alias("comp")).join(ids, "key"), "ranked")
+    least = ranked.groupBy("comp").agg(F.min(F.struct("rank", "key")).alias("one")).select(F.col("one.key").alias("key"))
+    return rows.join(least, "key", "left_semi").select("doc.*")

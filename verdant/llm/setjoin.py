@@ -12,11 +12,17 @@ share at least one key.  Pairs are never expanded within a key.
    blocks of residents (all members) against blocks of visitors (members
    outside the list's largest component).  Size bounds and hashed bitmaps
    (``|A ^ B| >= popcount(bits A ^ bits B)``) discard pairs inside the tile,
-   and only pairs of different components leave it.
+   and only pairs of different components leave it.  In a first round a visitor
+   sends the :data:`BEST` partners of a tile whose bound is highest, so that a
+   tile sends no more than a few rows a member; lists where that left pairs out
+   are compared again, in full, once those links have joined components.
 4. Survivors are verified by intersecting the sorted arrays that the sets'
    payloads decode to (the elements themselves, or a text to cut up again:
    whatever is smaller to move).
 
+Of lists with the same members one is kept: a passage that some sets share gives
+as many equal lists as it has elements.
+
 A pair left unverified is one whose ends are connected already, so the
 components are those of the full join over all pairs that share a key.
 """
@@ -34,6 +40,7 @@ from verdant.llm.common import bitmap_of, staged
 from verdant.llm.graph import components
 
 TILE = 512          # members of a tile's block
+BEST = 4            # partners that a visitor sends from a tile in the first round
 SETS = "id long, payload binary"
 
 
@@ -52,8 +59,9 @@ def _by_width(bitmaps: list[bytes]) -> dict[int, np.ndarray]:
     return {w: np.array(ix) for w, ix in groups.items()}
 
 
-def _tile_pairs(ids, comps, sizes, bitmaps, resident, visitor, num: int, den: int):
-    """Pairs of a tile that the size and bitmap bounds cannot exclude."""
+def _tile_pairs(ids, comps, sizes, bitmaps, resident, visitor, num: int, den: int, best: int | None):
+    """Pairs of a tile that the size and bitmap bounds cannot exclude: all, or each
+    visitor's ``best`` and one ``(id, None)`` where that left some out."""
     width = _by_width(bitmaps)
     mats = {w: np.frombuffer(b"".join(bitmaps[i] for i in ix), dtype=np.uint8).reshape(-1, w)
             for w, ix in width.items()}
@@ -61,6 +69,7 @@ def _tile_pairs(ids, comps, sizes, bitmaps, resident, visitor, num: int, den: in
     for v in np.flatnonzero(visitor):
         wv, kv = at[int(v)]
         own = mats[wv][kv:kv + 1]
+        partners, bounds = [], []
         for w, ix in width.items():
             total = sizes[ix] + sizes[v]
             small, large = np.minimum(sizes[ix], sizes[v]), np.maximum(sizes[ix], sizes[v])
@@ -75,14 +84,24 @@ def _tile_pairs(ids, comps, sizes, bitmaps, resident, visitor, num: int, den: in
             apart = np.bitwise_count(x).sum(axis=1, dtype=np.int64)
             common = (total[sel] - apart) // 2
             keep = den * common >= num * (total[sel] - common)
-            for j in ix[sel[keep]]:
-                yield min(ids[j], ids[v]), max(ids[j], ids[v])
+            partners.append(ids[ix[sel[keep]]])
+            bounds.append(common[keep] / np.maximum(total[sel[keep]] - common[keep], 1))
+        if not partners:
+            continue
+        found = np.concatenate(partners)
+        if best is not None and len(found) > best:
+            found = found[np.lexsort((found, -np.concatenate(bounds)))[:best]]
+            yield ids[v], None
+        for j in found:
+            yield min(j, ids[v]), max(j, ids[v])
 
 
-_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("open", pa.int64())])
+_CAND = "a long, b long, open long"
 
 
-def _tiles(num: int, den: int):
+def _tiles(num: int, den: int, best: int | None):
+    """Rows ``(a, b, null)`` are pairs, ``(null, null, key)`` lists with pairs left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
 
@@ -93,16 +112,15 @@ def _tiles(num: int, den: int):
             ids, comps, sizes = (t.column(c).to_numpy() for c in ("id", "comp", "n"))
             bitmaps = t.column("bits").to_pylist()
             res, vis = (t.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("resident", "visitor"))
-            out: set[tuple[int, int]] = set()
+            out: set[tuple] = set()
             for lo, hi in zip(bounds[:-1], bounds[1:]):
                 if hi - lo < 2:
                     continue
                 s = slice(lo, hi)
-                out.update((int(x), int(y)) for x, y in
-                           _tile_pairs(ids[s], comps[s], sizes[s], bitmaps[lo:hi], res[s], vis[s], num, den))
+                out.update((int(x), int(y), None) if y is not None else (None, None, int(keys[lo, 0])) for x, y in
+                           _tile_pairs(ids[s], comps[s], sizes[s], bitmaps[lo:hi], res[s], vis[s], num, den, best))
             if out:
-                a, b = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_PAIR)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=_PAIR)
 
         for batch in batches:
             t = pa.Table.from_batches([batch])
@@ -171,7 +189,12 @@ def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: in
     turns a payload into the sorted, distinct elements.  Ids without a link
     are absent from the result.
     """
-    ends = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    ends = (members.groupBy("key")
+            .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("c"),
+                 F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+            .where("lo < hi"))
+    # lists of the same members are one list (count, both ends and two hashes of all ids agree)
+    ends = ends.groupBy("lo", "hi", "c", "x", "y").agg(F.min("key").alias("key"))
     shared = staged(members.join(ends.select("key"), "key").distinct(), "shared")
     sets = staged(fetch(shared.select("id").distinct()), "sets")
 
@@ -183,9 +206,23 @@ def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: in
                 .groupBy("id", "hub").agg(F.count("*").alias("lists")))
     pivot = together.groupBy("id").agg(F.max_by("hub", F.struct(F.col("lists"), -F.col("hub"))).alias("b"))
     first = staged(verify(pivot.select(F.col("id").alias("a"), "b"), sets, num, den, decode), "first")
-    comps = staged(components(first), "comps")
-
-    marked = staged(shared.join(comps, "id", "left")
+    links, lists = first, shared
+    for best in (BEST, None):
+        cand = staged(_candidates(lists, links, sets, num, den, decode, best), "cand")
+        more = staged(verify(cand.where("a is not null").select("a", "b").distinct(), sets, num, den, decode), "links")
+        links = links.unionByName(more)
+        left_out = cand.where("open is not null").select(F.col("open").alias("key")).distinct()
+        if best is None or not left_out.take(1):
+            break
+        lists = lists.join(left_out, "key", "left_semi")
+    return components(links)
+
+
+def _candidates(lists: DataFrame, links: DataFrame, sets: DataFrame, num: int, den: int,
+                decode: Callable[[bytes], np.ndarray], best: int | None) -> DataFrame:
+    """The rows of :func:`_tiles` for the lists that hold several components of ``links``."""
+    comps = staged(components(links), "comps")
+    marked = staged(lists.join(comps, "id", "left")
                     .select("key", "id", F.coalesce("component", "id").alias("comp")), "marked")
     # the candidates of a list are its members outside the largest component
     by_comp = marked.groupBy("key", "comp").agg(F.count("*").alias("c"))
@@ -212,6 +249,4 @@ def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: in
              .join(signs, "id")
              .select("key", "p", "q", "id", "comp", "n", "bits", "resident", "visitor")
              .repartition("key", "p", "q").sortWithinPartitions("key", "p", "q"))
-    cand = staged(tiles.mapInArrow(_tiles(num, den), "a long, b long").distinct(), "cand")
-    second = verify(cand, sets, num, den, decode)
-    return components(first.unionByName(second))
+    return tiles.mapInArrow(_tiles(num, den, best), _CAND)
