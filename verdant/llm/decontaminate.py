@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import mix64
+from verdant.llm.common import mix64, packed
 
 EDITS, MIN_WORDS = 0.2, 5
 WALKS, KEYS, PLACES = 8, 32, 3
@@ -255,6 +255,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, min_
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold a leaked passage."""
-    leaks = find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(leaks, docs["doc_id"].cast("long") == F.col("__id"), "left_anti")
+    """``docs`` without the documents that hold a leaked passage, each judged by its own
+    text, whatever its id; in their own columns, whatever their names."""
+    rows = packed(docs, "doc_id", "text")
+    leaks = find_leaks(rows.select(F.col("key").alias("doc_id"), F.col("doc.text").alias("text")), benchmark, **options)
+    return rows.join(leaks.select(F.col("doc_id").alias("key")).distinct(), "key", "left_anti").select("doc.*")

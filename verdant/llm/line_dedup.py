@@ -20,15 +20,17 @@ first by (doc_id, line number).
   text, combined map-side, and only that row is signed and enters the same
   components as the longer lines.
 
-Guard: lines of fewer than ``min_chars`` code points (trimmed) are never
-removed; with ``min_chars=0``, as op9 and the pipeline call it, that is no
-line that holds a word.  Blank lines always stay.  Lines are split at ``\\n``.
-
-Edge cases: null text has no lines and stays null; rows with a null
-``doc_id`` are never changed; rows that repeat a ``doc_id`` count as one
-document, so a line number dropped for it is dropped in each of its rows.
-Lines repeated within a document count as copies.  Ties go to the smaller
-(doc_id, line).  Further columns pass through, whatever their names.
+Guard: ``min_chars`` (0 by default, which guards no line that holds a word) keeps
+shorter lines (code points, trimmed).  Blank lines always stay.  Lines are split
+at ``\\n``.
+
+Edge cases: null text has no lines and stays null.  :func:`dedup_lines` treats each
+row by its own text: rows without an id (they come last in ties) and rows that
+share an id are documents like others; rows equal in id and text count as one.
+:func:`duplicate_lines` names lines by ``doc_id``: rows without one are left out,
+and a line number is reported once for rows that share an id.  Lines repeated
+within a document count as copies.  Ties go to the smaller (doc_id, line).
+Further columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -43,11 +45,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import id_filter, in_filter, mix64, staged
+from verdant.llm.common import id_filter, in_filter, mix64, packed, staged
 from verdant.llm.setjoin import SETS, resolve
 
 NUM, DEN = 80, 100
-GRAM, BANDS, ROWS, MIN_CHARS = 6, 12, 5, 32
+GRAM, BANDS, ROWS = 6, 12, 5
 SHORT = 32                          # code points under which equal lines fold by their text
 _STEP = 1 << 16                     # characters hashed at once
 _SEEN = 1 << 20                     # line ids a task remembers
@@ -95,14 +97,14 @@ def band_keys(lines: list[str]) -> np.ndarray:
 
 
 def _lines(batch: pa.RecordBatch, min_chars: int):
-    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+    for doc_id, rank, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "rank", "text"))):
         if text:
             for no, line in enumerate(text.split("\n")):
                 if len(line) >= min_chars and len(line.strip()) >= max(min_chars, 1):
-                    yield doc_id, no, line
+                    yield doc_id, rank, no, line
 
 
-_HEADS = "unit long, doc_id long, line_no int, keys array<long>, short binary"
+_HEADS = "unit long, doc_id long, rank long, line_no int, keys array<long>, short binary"
 
 
 def _heads(min_chars: int):
@@ -112,7 +114,7 @@ def _heads(min_chars: int):
         seen: dict[bytes, int] = {}
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            units, docs, nos, keys, shorts, fresh, fresh_at, size = [], [], [], [], [], [], [], 0
+            units, docs, ranks, nos, keys, shorts, fresh, fresh_at, size = [], [], [], [], [], [], [], [], 0
 
             def sign():
                 for row, key in zip(fresh_at, band_keys(fresh) if fresh else ()):
@@ -120,9 +122,10 @@ def _heads(min_chars: int):
                 fresh.clear()
                 fresh_at.clear()
 
-            for doc_id, no, line in _lines(batch, min_chars):
+            for doc_id, rank, no, line in _lines(batch, min_chars):
                 digest = xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
                 docs.append(doc_id)
+                ranks.append(rank)
                 nos.append(no)
                 keys.append(None)
                 shorts.append(None)
@@ -147,9 +150,9 @@ def _heads(min_chars: int):
                     size = 0
             sign()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(units, pa.int64()), pa.array(docs, pa.int64()), pa.array(nos, pa.int32()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(shorts, pa.binary())],
-                names=["unit", "doc_id", "line_no", "keys", "short"])
+                [pa.array(units, pa.int64()), pa.array(docs, pa.int64()), pa.array(ranks, pa.int64()),
+                 pa.array(nos, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(shorts, pa.binary())],
+                names=["unit", "doc_id", "rank", "line_no", "keys", "short"])
     return run
 
 
@@ -179,20 +182,28 @@ def _sets(wanted, min_chars: int):
         bitmap = wanted.value
         for batch in batches:
             todo = list(_lines(batch, min_chars))
-            spots = np.array([_spot(d, n) for d, n, _ in todo], dtype=np.int64)
+            spots = np.array([_spot(d, n) for d, _, n, _ in todo], dtype=np.int64)
             hit = np.flatnonzero(in_filter(bitmap, spots))
-            payloads = [normal(todo[i][2]).encode("utf-8", "surrogatepass") for i in hit]
+            payloads = [normal(todo[i][3]).encode("utf-8", "surrogatepass") for i in hit]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([todo[i][0] for i in hit], pa.int64()), pa.array([todo[i][1] for i in hit], pa.int32()),
+                [pa.array([todo[i][0] for i in hit], pa.int64()), pa.array([todo[i][2] for i in hit], pa.int32()),
                  pa.array(payloads, pa.binary())], names=["doc_id", "line_no", "payload"])
     return run
 
 
-def duplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS, num: int = NUM, den: int = DEN) -> DataFrame:
+def duplicate_lines(docs: DataFrame, min_chars: int = 0, num: int = NUM, den: int = DEN) -> DataFrame:
     """One row per removed line: ``doc_id, line_no, kept_doc_id, kept_line_no``."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    return (_duplicates(docs.withColumn("rank", F.col("doc_id")), min_chars, num, den)
+            .select("doc_id", "line_no", F.col("kept.doc_id").alias("kept_doc_id"),
+                    F.col("kept.line_no").alias("kept_line_no")).distinct())
+
+
+def _duplicates(docs: DataFrame, min_chars: int, num: int, den: int) -> DataFrame:
+    """``doc_id, rank, line_no, kept`` of every removed line of ``docs`` (doc_id, rank, text);
+    the first line of a component, by (rank, doc_id, line number), is kept."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
-        "doc_id is not null and text is not null")
+    docs = docs.select("doc_id", "rank", "text").where("text is not null")
     heads = staged(docs.mapInArrow(_heads(min_chars), _HEADS), "lines")
     signed = heads.where("keys is not null")
     # equal short lines of all tasks: one row a text, signed after the fold
@@ -216,32 +227,35 @@ def duplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS, num: int = NUM,
                 .select("unit", F.coalesce("component", "rep").alias("component")))
     comps = comps.join(folded.select(F.col("rep").alias("unit")), "unit", "left_anti").unionByName(of_short)
     # the place of each line among the copies it stands for
-    lines = (heads.select("unit", "doc_id", "line_no").join(comps, "unit", "left")
-             .select("doc_id", "line_no", F.coalesce("component", "unit").alias("component")))
-    groups = (lines.groupBy("component")
-              .agg(F.min(F.struct("doc_id", "line_no")).alias("kept"), F.max(F.struct("doc_id", "line_no")).alias("last"))
+    lines = (heads.select("unit", "doc_id", "rank", "line_no").join(comps, "unit", "left")
+             .select("doc_id", "rank", "line_no", F.coalesce("component", "unit").alias("component")))
+    place = F.struct("rank", "doc_id", "line_no")
+    groups = (lines.groupBy("component").agg(F.min(place).alias("kept"), F.max(place).alias("last"))
               .where("kept < last").select("component", "kept"))
-    return (lines.join(groups, "component")
-            .where("struct(doc_id, line_no) != kept")
-            .select("doc_id", "line_no", F.col("kept.doc_id").alias("kept_doc_id"),
-                    F.col("kept.line_no").alias("kept_line_no")).distinct())
+    return (lines.join(groups, "component").where("struct(rank, doc_id, line_no) != kept")
+            .select("doc_id", "rank", "line_no", "kept"))
 
 
-def dedup_lines(docs: DataFrame, drop_emptied: bool = False, **options) -> DataFrame:
+def dedup_lines(docs: DataFrame, drop_emptied: bool = False, min_chars: int = 0, num: int = NUM, den: int = DEN) -> DataFrame:
     """``docs`` without its removed lines, in its own columns.
 
     ``n_chars``, where present, follows the text.  With ``drop_emptied``
     documents left without any word by the removal go; documents that had
     no line removed always stay.
     """
-    gone = (duplicate_lines(docs, **options).groupBy(F.col("doc_id").alias("__id"))
-            .agg(F.collect_set("line_no").alias("__gone")))
-    left = F.expr("array_join(filter(split(text, '\\n', -1), (x, i) -> not array_contains(__gone, i)), '\\n')")
-    out = (docs.join(gone, docs["doc_id"].cast("long") == F.col("__id"), "left")
-           .withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(left)))
+    rows = packed(docs, "doc_id", "text")
+    rank = F.coalesce(F.col("doc.doc_id").cast("long"), F.lit((1 << 63) - 1))
+    gone = (_duplicates(rows.select(F.col("key").alias("doc_id"), rank.alias("rank"), F.col("doc.text").alias("text")),
+                        min_chars, num, den)
+            .groupBy(F.col("doc_id").alias("key")).agg(F.collect_set("line_no").alias("gone")))
+    out = rows.join(gone, "key", "left")
+    cut = F.expr("array_join(filter(split(doc.text, '\\n', -1), (x, i) -> not array_contains(gone, i)), '\\n')")
+    out = out.withColumn("left", F.when(F.col("gone").isNull(), F.col("doc.text")).otherwise(cut))
     if drop_emptied:
-        out = out.where(F.col("__gone").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+        out = out.where(F.col("gone").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
+    n_chars = None
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars"))
-                             .otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        n_chars = F.when(F.col("gone").isNull(), F.col("doc.n_chars")).otherwise(
+            F.char_length("left").cast(docs.schema["n_chars"].dataType))
+    return out.select(*[F.col("left").alias("text") if c == "text" else n_chars.alias(c) if c == "n_chars"
+                        else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

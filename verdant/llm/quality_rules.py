@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import staged
+from verdant.llm.common import packed, staged
 
 # Frequent function words of the languages the corpus may hold.
 COMMON_WORDS = {
@@ -170,9 +170,10 @@ def judge(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat: int = MAX_REP
 
 
 def filter_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that :func:`judge` keeps, in their own columns.
-
-    A repeated ``doc_id`` goes if any of its rows is rejected; rows without an
-    id cannot be addressed by a verdict and go."""
-    bad = judge(docs, **options).groupBy(F.col("doc_id").alias("__id")).agg(F.min("kept").alias("__kept")).where("__kept")
-    return docs.join(bad.select("__id"), docs["doc_id"] == F.col("__id"), "left_semi")
+    """The rows of ``docs`` that :func:`judge` keeps, in their own columns, whatever their
+    names; each row is judged on its own text and language, whatever its id."""
+    rows = packed(docs, "doc_id", "text", "lang")
+    lang = F.col("doc.lang") if "lang" in docs.columns else F.lit(None)
+    verdicts = judge(rows.select(F.col("key").alias("doc_id"), F.col("doc.text").alias("text"), lang.alias("lang")), **options)
+    kept = verdicts.where("kept").select(F.col("doc_id").alias("key")).distinct()
+    return rows.join(kept, "key", "left_semi").select("doc.*")
