@@ -42,3 +42,13 @@ def test_csv_and_json_sinks(spark):
                                       "source string, source_id string, attribute string, value string, "
                                       "scraped_at date"), base)
     assert P.read_current(spark, base, "eav").count() == 1
+
+
+def test_offers_are_scanned_once(spark):
+    """The final plans of the offer queries read the line items once: names and index are made before."""
+    if not os.path.isdir(SF):
+        return
+    for name in ("offers_by_key", "precedence", "conflicts", "match_exact", "unmatched_offers"):
+        plan = E.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("l_returnflag") > 0 and sum("Scan parquet" in x and "l_returnflag" in x for x in plan.split("\n")) == 1, name
+    assert "tok" not in E.QUERIES["match_exact"](spark, SF)._jdf.queryExecution().executedPlan().toString()

@@ -15,7 +15,9 @@ Matching works on distinct normalised seller names:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdant.functions.enums import price_band
@@ -59,18 +61,29 @@ def containment_keys(q: DataFrame, idx: DataFrame) -> DataFrame:
     return single.unionByName(several)
 
 
-def match_names(names: DataFrame, spine: DataFrame, name_col: str = "name_he") -> DataFrame:
-    """JON5 on distinct seller names: (name, n, key, how)."""
-    idx = spine_index(spine, name_col)
-    q = names.select("name").distinct().withColumn("n", norm_local_name(F.col("name")))
+def match_names(names: DataFrame, spine: DataFrame, name_col: str = "name_he", containment: bool = True,
+                keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """JON5 on distinct seller names: (name, n, key, how).
+
+    The normalised names of both sides are read by several branches; ``keep`` (a
+    reliable checkpoint, or a written table) makes them once.  ``containment=False``
+    stops after the exact matches (JON3)."""
+    keep = keep or (lambda df: df)
+    idx = keep(spine_index(spine, name_col))
+    q = keep(names.select("name").distinct().withColumn("n", norm_local_name(F.col("name"))))
     t = F.array_distinct(tokens(F.col("n")))
     first = F.get(t, 0)
     # empty names meet nothing: they are kept out of the joins' keys
     asked = (q.where(F.col("n") != "").select("n").distinct()
              .join(exact_index(idx), "n", "left"))
-    left = asked.where(F.col("_exact_key").isNull()).select(
-        "n", first.alias("first"), F.array_sort(F.array_remove(t, first)).alias("rest"))
-    answers = asked.join(containment_keys(left, idx), "n", "left").withColumnRenamed("n", "_n")
+    if containment:
+        left = asked.where(F.col("_exact_key").isNull()).select(
+            "n", first.alias("first"), F.array_sort(F.array_remove(t, first)).alias("rest"))
+        answers = asked.join(containment_keys(left, idx), "n", "left")
+    else:
+        none = F.lit(None).cast(spine.schema[KEY].dataType)
+        answers = asked.select("*", none.alias("_cmin"), none.alias("_cmax"))
+    answers = answers.withColumnRenamed("n", "_n")
     q = q.join(answers, F.nullif(F.col("n"), F.lit("")) == F.col("_n"), "left")
     cmin, cmax = F.col("_cmin"), F.col("_cmax")
     unique = cmin.isNotNull() & (cmin == cmax)
@@ -84,10 +97,11 @@ def match_names(names: DataFrame, spine: DataFrame, name_col: str = "name_he") -
 
 
 def match_offers(offers: DataFrame, spine: DataFrame, name_col: str = "name_he",
-                 spine_name_col: str = "name_he") -> DataFrame:
+                 spine_name_col: str = "name_he", containment: bool = True,
+                 keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Every offer with its matched key and method (null when unmatched)."""
     m = match_names(offers.select(F.coalesce(F.col(name_col), F.lit("")).alias("name")),
-                    spine, spine_name_col)
+                    spine, spine_name_col, containment, keep)
     o = offers.withColumn("_mname", F.coalesce(F.col(name_col), F.lit("")))
     return o.join(m.select(F.col("name").alias("_mname"), KEY, "how"), "_mname", "left").drop("_mname")
 
@@ -137,10 +151,11 @@ def offers_by_key(matched: DataFrame, seller: str) -> DataFrame:
         ((F.col("n_prices") > 1) | (F.col("listings") > 1)).alias("conflict"))
 
 
-def offer_provenance(matched: DataFrame, seller: str) -> DataFrame:
-    """OFR4: one row per seller value (not deduplicated)."""
+def offer_provenance(matched: DataFrame, seller: str | Column) -> DataFrame:
+    """OFR4: one row per seller value (not deduplicated); ``seller`` is a name, or a
+    column where one table holds the offers of several."""
     m = matched.where(F.col(KEY).isNotNull())
-    s = F.lit(seller)
+    s = F.lit(seller) if isinstance(seller, str) else seller
 
     def row(field, value, keep=F.lit(True)):
         return F.struct(F.lit(field).alias("field"), value.cast("string").alias("value"),
@@ -153,6 +168,6 @@ def offer_provenance(matched: DataFrame, seller: str) -> DataFrame:
                     sizes,
                     F.array(row("availability", F.col("availability")),
                             row("match_method", F.col("how"))))
-    ex = m.select(KEY, F.explode(rows).alias("p")).where(F.col("p._keep"))
+    ex = m.select(KEY, s.alias("source"), F.explode(rows).alias("p")).where(F.col("p._keep"))
     return ex.select(KEY, F.col("p.field").alias("field"), F.col("p.value").alias("value"),
-                     s.alias("source"), F.lit(100).alias("confidence"))
+                     "source", F.lit(100).alias("confidence"))

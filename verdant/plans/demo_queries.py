@@ -29,6 +29,7 @@ from verdant.plans import surface as Q
 from verdant.plans.demo_inputs import (PARTS_PROFILE, SELLER, checklist_pages, media_inputs,
                                        offer_spine, offers, part_eav, part_match, part_records,
                                        part_records_of, table)
+from verdant.session import written
 from verdant.sources.sitemap import products_from_urls
 
 KEY = "canonical_taxon_id"
@@ -269,21 +270,22 @@ def checklist(spark, sf):
 
 # ------------------------------------------------------------------- offers
 
-def _matched(spark, sf):
-    """Line-item offers matched onto the (name, brand) spine."""
+def _matched(spark, sf, containment=True):
+    """Line-item offers matched onto the (name, brand) spine; both sides' names are made once."""
     part = table(spark, sf, "part")
-    return O.match_offers(offers(table(spark, sf, "lineitem"), part), offer_spine(part)), part
+    return O.match_offers(offers(table(spark, sf, "lineitem"), part), offer_spine(part),
+                          containment=containment, keep=written), part
 
 
 def match_exact(spark, sf):
-    m, _ = _matched(spark, sf)
+    m, _ = _matched(spark, sf, containment=False)
     return m.where(F.col("how") == "exact").select("l_orderkey", "l_linenumber", KEY)
 
 
 def match_containment(spark, sf):
     part = table(spark, sf, "part")
     o = offers(table(spark, sf, "lineitem"), part)
-    res = O.match_names(o.select(F.col("name_he").alias("name")), offer_spine(part))
+    res = O.match_names(o.select(F.col("name_he").alias("name")), offer_spine(part), keep=written)
     return res.select("name", KEY, "how")
 
 
@@ -299,6 +301,7 @@ def offers_by_key(spark, sf):
 
 def offer_provenance(spark, sf):
     m, _ = _matched(spark, sf)
+    m = written(m.select(KEY, "price", "pot_sizes", "availability", "how"), "matched")
     new = O.offer_provenance(m, SELLER)
     # the table before: an older run of the seller and the same rows of a market;
     # re-running the layer replaces the seller's rows and leaves the market's
@@ -315,6 +318,7 @@ def attach_layer_q(spark, sf):
 
 def offer_gate(spark, sf):
     m, part = _matched(spark, sf)
+    m = written(m.select(KEY, "price", "pot_sizes", "availability", "url"), "matched")
     spine = offer_spine(part)
     by_key = O.offers_by_key(m, SELLER)
     return G.phase3_gate(m, spine, attach_layer(spine, by_key, OFFER_COLUMNS), by_key)
@@ -336,11 +340,11 @@ def media_coverage(spark, sf):
 
 def _catalog(spark, sf):
     """Reconciled part spine with its offers attached."""
-    rec = R.canonical_table(_reconciled(spark, sf))
+    rec = written(R.canonical_table(_reconciled(spark, sf)), "spine")
     part = table(spark, sf, "part")
     o = offers(table(spark, sf, "lineitem"), part)
     spine_names = rec.select(KEY, F.col("name_he"))
-    m = O.match_offers(o.withColumn("name_he", F.col("part_name")), spine_names)
+    m = O.match_offers(o.withColumn("name_he", F.col("part_name")), spine_names, keep=written)
     return attach_layer(rec, O.offers_by_key(m, SELLER), OFFER_COLUMNS)
 
 
@@ -418,9 +422,12 @@ def conflicts(spark, sf):
 
 def precedence(spark, sf):
     m, _ = _matched(spark, sf)
-    prov = O.offer_provenance(m, SELLER).unionByName(
-        O.offer_provenance(m.withColumn("availability", F.lit("in_stock")), "market"))
-    return R.precedence(prov, {"market": 0, SELLER: 1})
+    # the shop's offers, and the same ones in a market's hands: one pass
+    sold = F.array(F.struct(F.lit(SELLER).alias("seller"), F.col("availability")),
+                   F.struct(F.lit("market").alias("seller"), F.lit("in_stock").alias("availability")))
+    both = m.select(KEY, "price", "pot_sizes", "how", F.explode(sold).alias("s")).select(
+        KEY, "price", "pot_sizes", "how", "s.seller", "s.availability")
+    return R.precedence(O.offer_provenance(both, F.col("seller")), {"market": 0, SELLER: 1})
 
 
 def gates(spark, sf):

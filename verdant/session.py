@@ -106,3 +106,11 @@ def work_dir(spark: SparkSession) -> str:
             _OWN_DIRS[app] = tempfile.mkdtemp(prefix="verdant-")
         base = _OWN_DIRS[app]
     return f"{base.rstrip('/')}/verdant-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str = "kept") -> DataFrame:
+    """A written table in place of a plan that several branches read: made once, and
+    read back after the loss of an executor."""
+    path = f"{work_dir(df.sparkSession)}/{name}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
