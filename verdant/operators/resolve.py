@@ -126,24 +126,24 @@ def split_review(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok, review
 
 
+def asked_keys(names: DataFrame, profile: L.Profile = L.REFERENCE_PROFILE) -> DataFrame:
+    """The distinct look-up keys that names ask for (first and retry keys)."""
+    keys = lookup_keys(names, profile)
+    return (keys.select(F.col("_k1").alias("name_key"))
+                .union(keys.select(F.col("_k2").alias("name_key")))
+                .where(F.col("name_key").isNotNull()).distinct())
+
+
 def unseen_keys(names: DataFrame, match: DataFrame,
                 profile: L.Profile = L.REFERENCE_PROFILE) -> DataFrame:
     """RES7: look-up keys the match table does not hold yet (the misses)."""
-    keys = lookup_keys(names, profile)
-    wanted = (keys.select(F.col("_k1").alias("name_key"))
-                  .union(keys.select(F.col("_k2").alias("name_key")))
-                  .where(F.col("name_key").isNotNull()).distinct())
-    return wanted.join(match.select("name_key"), "name_key", "left_anti")
+    return asked_keys(names, profile).join(match.select("name_key"), "name_key", "left_anti")
 
 
 def cache_stats(names: DataFrame, match: DataFrame,
                 profile: L.Profile = L.REFERENCE_PROFILE) -> DataFrame:
     """RES7/GAT5 counters: distinct keys asked, hits and misses (one row)."""
-    keys = lookup_keys(names, profile)
-    wanted = (keys.select(F.col("_k1").alias("name_key"))
-                  .union(keys.select(F.col("_k2").alias("name_key")))
-                  .where(F.col("name_key").isNotNull()).distinct())
-    marked = wanted.join(match.select("name_key").distinct().withColumn("_hit", F.lit(True)),
+    marked = asked_keys(names, profile).join(match.select("name_key").distinct().withColumn("_hit", F.lit(True)),
                          "name_key", "left")
     return marked.agg(F.count(F.lit(1)).alias("keys"),
                       F.count_if(F.col("_hit").isNotNull()).alias("hits"),

@@ -27,10 +27,15 @@ def tally(**frames: DataFrame) -> DataFrame:
 
 
 def phase1_gate(records: DataFrame, resolved: DataFrame, canonical: DataFrame,
-                review: DataFrame, prov: DataFrame) -> DataFrame:
-    """GAT1: staged, resolved %, rows, review %, provenance rows."""
+                review: DataFrame, prov: DataFrame, asked: DataFrame | None = None,
+                missed: DataFrame | None = None) -> DataFrame:
+    """GAT1: staged, resolved %, rows, review %, provenance rows; with the look-up keys
+    ``asked`` and ``missed``, also the hits and misses of the kept answers."""
+    extra = {} if asked is None else {"keys_asked": asked, "cache_misses": missed}
     r = tally(staged=records, resolved=resolved, canonical_rows=canonical,
-              review=review, provenance_rows=prov)
+              review=review, provenance_rows=prov, **extra)
+    if extra:
+        r = r.withColumn("cache_hits", F.col("keys_asked") - F.col("cache_misses"))
     return (r.withColumn("resolved_pct", _pct(F.col("resolved"), F.col("staged")))
              .withColumn("review_pct", _pct(F.col("review"), F.col("staged"))))
 
@@ -50,11 +55,13 @@ def phase2_gate(canonical: DataFrame, flags=L.STATUS_FLAGS) -> DataFrame:
 
 
 def phase3_gate(matched: DataFrame, before: DataFrame, after: DataFrame,
-                by_key: DataFrame) -> DataFrame:
-    """GAT3: match rate, no orphan rows (before == after), multi-listings."""
+                by_key: DataFrame, added: DataFrame | None = None) -> DataFrame:
+    """GAT3: match rate, no orphan rows (before == after), multi-listings and, with the
+    layer's provenance ``added``, its rows."""
+    extra = {} if added is None else {"provenance_rows_added": added}
     r = tally(seller_products=matched, matched=matched.where(F.col(KEY).isNotNull()),
               rows_before=before, rows_after=after, taxa_with_seller=by_key,
-              multi_listing_taxa=by_key.where(F.col("conflict")))
+              multi_listing_taxa=by_key.where(F.col("conflict")), **extra)
     return (r.withColumn("unmatched", F.col("seller_products") - F.col("matched"))
              .withColumn("match_pct", _pct(F.col("matched"), F.col("seller_products")))
              .withColumn("no_orphans", F.col("rows_before") == F.col("rows_after")))

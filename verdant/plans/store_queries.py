@@ -8,14 +8,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from verdant.lookups import OCCURRENCE_LIMIT
+from verdant.operators import resolve as RS
+from verdant.operators import staging as S
+from verdant.operators import status as ST
+from verdant.operators.offers import offer_provenance
+from verdant.plans import gates as G
+from verdant.plans import publish as P
 from verdant.plans import published
 from verdant.plans.answers import KeptAnswers
-from verdant.plans.demo_inputs import PARTS_PROFILE, match_table, table
+from verdant.plans.demo_inputs import PARTS_PROFILE, SELLER, match_table, offers, part_records, table
 from verdant.plans.demo_queries import _lists_as_text
 from verdant.plans.gates import second_run_gate
 from verdant.plans.incremental import CatalogStore
 from verdant.plans.store_inputs import build_inputs, changes, doc_parts, eav_of, known_names, record_ids, typo
+from verdant.plans.surface import lookup, provenance_of
 from verdant.session import work_dir
+from verdant.sources import snapshots as SN
 
 
 def _answered(spark, sf):
@@ -90,6 +98,92 @@ def full_build_review(spark, sf):
     return published.review_of(_published(spark, sf))
 
 
+def full_build_gates(spark, sf):
+    """GAT1 and GAT3 over the published tables, with the look-up and provenance counters."""
+    given = build_inputs(spark, sf, OCCURRENCE_LIMIT)
+    out = published.build(spark, work_dir(spark), given, PARTS_PROFILE, buckets=16)
+    records = S.pivot_records(P.read_current(spark, out.base, "eav"), PARTS_PROFILE.labels)
+    names = records.select(F.col("name_lat").alias("input_name"), F.lit("lat").alias("input_lang"))
+    res = RS.resolve_records(records, given.match, "name_lat", "lat", PARTS_PROFILE)
+    one = G.phase1_gate(records, res.where(F.col("status") == "resolved"), out.table("spine"), published.review_of(out),
+                        out.table("provenance_spine"), RS.asked_keys(names, PARTS_PROFILE),
+                        RS.unseen_keys(names, given.match, PARTS_PROFILE))
+    matched = out.table("matched")
+    three = G.phase3_gate(matched, out.table("spine"), out.table("catalogue"), out.table("offers"),
+                          offer_provenance(matched, given.seller))
+    counts = []
+    for gate, df in (("GAT1", one), ("GAT3", three)):
+        cols = [c for c, t in df.dtypes if t == "bigint"]
+        counts.append(df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("counter"), F.col(c).alias("value"))
+                                                    for c in cols])).alias("x")).select(F.lit(gate).alias("gate"), "x.*"))
+    return counts[0].unionByName(counts[1])
+
+
+def lookup_entity(spark, sf):
+    """QRY16 over the published spine: one entity by its key, one bucket read."""
+    spine = _published(spark, sf).table("spine")
+    return _lists_as_text(lookup(spine, spine.agg(F.max(P.KEY)).first()[0]))
+
+
+def lookup_provenance(spark, sf):
+    """QRY17 over the published provenance: all rows of one key."""
+    out = _published(spark, sf)
+    return provenance_of(out.table("provenance"), out.table("spine").agg(F.max(P.KEY)).first()[0])
+
+
+def snapshots_staged(spark, sf):
+    """SNK8 -> SRC1 -> STG1 -> SNK1/STG4: records as dated JSON files, read back, staged, and
+    staged again by a second run, whose version replaces the first."""
+    records = part_records(doc_parts(table(spark, sf, "documents")))
+    dated = records.withColumn("scraped_at", F.date_add(F.lit("2026-06-01").cast("date"), (F.col("source_id").cast("long") % 3).cast("int")))
+    base = work_dir(spark)
+    path = P.write_json(dated.withColumn("day", F.col("scraped_at")), base, "raw", partition_by=["day"])
+    read = SN.read_records(spark, f"{path}/day=*/*.json", lines=True)
+    P.write_eav(S.eav_from_records(read.where("source_id < '5'")), base)
+    P.write_eav(S.eav_from_records(read), base)
+    eav = P.read_current(spark, base, "eav")
+    return eav.select("source_id", "raw_name_he", "raw_name_lat", "attribute", "value", F.col("scraped_at").cast("string").alias("scraped_at"))
+
+
+def seller_snapshots(spark, sf):
+    """SNK8 -> SRC2: a seller's records as JSON files, read back."""
+    shop = offers(table(spark, sf, "lineitem"), table(spark, sf, "part"))
+    given = shop.select(F.lit(SELLER).alias("source"), "source_id", "url", "category", "name_he", "price", "pot_sizes", "availability")
+    path = P.write_json(given, work_dir(spark), "seller", partition_by=["category"])
+    read = SN.read_seller_records(spark, f"{path}/*/*.json", lines=True)
+    return read.select("source", "source_id", "url", "name_he", "price", F.array_join("pot_sizes", "|").alias("pot_sizes"), "availability")
+
+
+def listed_names(spark, sf):
+    """SRC3 -> RES9: a list file's names through the resolver: keys, and names left for review."""
+    docs = table(spark, sf, "documents")
+    lines = doc_parts(docs).select(F.concat(F.lit(" "), F.col("p_name"), F.lit(" ,"), F.col("p_type")).alias("name_lat"))
+    path = f"{work_dir(spark)}/list"
+    lines.coalesce(1).write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(path)
+    names = ST.curated_names(SN.read_list_lines(spark, path))
+    listed, unresolved = ST.listed_keys(names, match_table(doc_parts(docs)), PARTS_PROFILE)
+    none = F.lit(None)
+    return listed.select(P.KEY, "name", none.cast("string").alias("reason")).unionByName(
+        unresolved.select(none.cast("bigint").alias(P.KEY), "name", "reason"))
+
+
+def labelled_gate(spark, sf):
+    """SRC11 -> GAT4: labels from a file of their own, not made from the match table: the
+    names of a document's label rows are expected to resolve, misspelt ones to go to review."""
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    parts = doc_parts(docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi"))
+    good = parts.select(F.col("p_name").alias("input_name"), F.lit("resolve").alias("expected_bucket"))
+    bad = parts.select(typo(F.col("p_name")).alias("input_name"), F.lit("review").alias("expected_bucket"))
+    rows = good.unionByName(bad).distinct().select(
+        F.lit(None).cast("int").alias("id"), "input_name", F.lit("lat").alias("input_lang"), F.lit("").alias("category"),
+        "expected_bucket", F.lit("").alias("note"))
+    path = f"{work_dir(spark)}/labelled"
+    rows.write.option("header", True).csv(path)
+    lab = SN.read_labelled(spark, path)
+    res = RS.resolve_names(lab.select("input_name", "input_lang"), match_table(doc_parts(docs)), PARTS_PROFILE)
+    return G.resolver_gate(lab, res)
+
+
 QUERIES = {
     "kept_answers": kept_answers,
     "second_run": second_run,
@@ -98,4 +192,11 @@ QUERIES = {
     "full_build": full_build,
     "full_build_provenance": full_build_provenance,
     "full_build_review": full_build_review,
+    "full_build_gates": full_build_gates,
+    "lookup_entity": lookup_entity,
+    "lookup_provenance": lookup_provenance,
+    "snapshots_staged": snapshots_staged,
+    "seller_snapshots": seller_snapshots,
+    "listed_names": listed_names,
+    "labelled_gate": labelled_gate,
 }

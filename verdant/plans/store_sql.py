@@ -3,8 +3,8 @@ tables must hold at the end, computed from scratch."""
 
 from __future__ import annotations
 
-from verdant.plans.demo_sql import (CANON_OUT, CATALOG, LATIN, MATCH, MEDIA, NORM, OFFER_PROV, PROVENANCE, RECONCILE,
-                                    TOKS)
+from verdant.plans.demo_sql import (CANON_OUT, CATALOG, LATIN, MATCH, MEDIA, NORM, OFFER_PROV, OFFERS, PART_REC, PROVENANCE,
+                                    RECONCILE, RES_COLS, RESOLVE, TOKS)
 from verdant.plans.store_inputs import ADJECTIVES, NOUNS, PAGE_IDS, TYPES
 
 
@@ -108,3 +108,62 @@ WITH part AS ({DOCS()}), {RECONCILE}
 SELECT source_id, name_he, name_lat, reason, CAST(CASE WHEN _looked THEN coalesce(rr.confidence, 0) END AS INTEGER) AS confidence,
        CASE WHEN _looked THEN coalesce(rr.matchType, 'NONE') END AS matchType
 FROM res WHERE reason IS NOT NULL"""
+
+ORACLE_SQL["full_build_gates"] = f"""
+WITH {BUILT}, {PROVENANCE.replace("FROM canon", "FROM canon2")}, {OFFER_PROV('cmatched', 'shop', 'op')},
+keys AS (SELECT _k1 AS k FROM res WHERE _k1 IS NOT NULL UNION SELECT _k2 FROM res WHERE _k2 IS NOT NULL),
+c AS (SELECT 'GAT1' AS gate, 'staged' AS counter, count(*) AS value FROM part_rec
+      UNION ALL SELECT 'GAT1', 'resolved', count(*) FROM res WHERE reason IS NULL
+      UNION ALL SELECT 'GAT1', 'review', count(*) FROM res WHERE reason IS NOT NULL
+      UNION ALL SELECT 'GAT1', 'canonical_rows', count(*) FROM canon
+      UNION ALL SELECT 'GAT1', 'provenance_rows', count(*) FROM prov
+      UNION ALL SELECT 'GAT1', 'keys_asked', count(*) FROM keys
+      UNION ALL SELECT 'GAT1', 'cache_hits', count(*) FROM keys WHERE k IN (SELECT name_key FROM m)
+      UNION ALL SELECT 'GAT1', 'cache_misses', count(*) FROM keys WHERE k NOT IN (SELECT name_key FROM m)
+      UNION ALL SELECT 'GAT3', 'seller_products', count(*) FROM cmatched
+      UNION ALL SELECT 'GAT3', 'matched', count(*) FROM cmatched WHERE canonical_taxon_id IS NOT NULL
+      UNION ALL SELECT 'GAT3', 'unmatched', count(*) FROM cmatched WHERE canonical_taxon_id IS NULL
+      UNION ALL SELECT 'GAT3', 'rows_before', count(*) FROM canon
+      UNION ALL SELECT 'GAT3', 'rows_after', count(*) FROM catalog
+      UNION ALL SELECT 'GAT3', 'taxa_with_seller', count(*) FROM cby
+      UNION ALL SELECT 'GAT3', 'multi_listing_taxa', count(*) FROM cby WHERE conflict
+      UNION ALL SELECT 'GAT3', 'provenance_rows_added', count(*) FROM op)
+SELECT * FROM c"""
+
+LAST = "canonical_taxon_id = (SELECT max(canonical_taxon_id) FROM canon)"
+ORACLE_SQL["lookup_entity"] = f"WITH {BUILT}\nSELECT {CANON_OUT} FROM canon2 WHERE {LAST}"
+ORACLE_SQL["lookup_provenance"] = f"SELECT * FROM ({ORACLE_SQL['full_build_provenance']}) WHERE canonical_taxon_id = " \
+    f"(SELECT max(canonical_taxon_id) FROM ({ORACLE_SQL['full_build']}))"
+
+ORACLE_SQL["snapshots_staged"] = f"""
+WITH part AS ({DOCS()}), {PART_REC}
+SELECT source_id, name_he AS raw_name_he, name_lat AS raw_name_lat, a.attribute,
+       CASE a.attribute WHEN 'name' THEN p_name WHEN 'brand' THEN p_brand WHEN 'type' THEN p_type WHEN 'size' THEN CAST(p_size AS VARCHAR)
+            WHEN 'price' THEN CAST(p_retailprice AS VARCHAR) ELSE regions_txt END AS value,
+       CAST(CAST(DATE '2026-06-01' + CAST(p_partkey % 3 AS INTEGER) AS DATE) AS VARCHAR) AS scraped_at
+FROM part_rec, (VALUES ('name'), ('brand'), ('type'), ('size'), ('price'), ('regions')) a(attribute)"""
+
+ORACLE_SQL["seller_snapshots"] = f"""
+WITH {OFFERS}
+SELECT 'shop' AS source, source_id, url, name_he, price, array_to_string(pot_sizes, '|') AS pot_sizes, availability FROM offer_src"""
+
+ORACLE_SQL["listed_names"] = f"""
+WITH part AS ({DOCS()}), {MATCH},
+nin AS (SELECT DISTINCT trim(p_name) AS name FROM part),
+{RESOLVE('nin', 'name', "'lat'", 'res')},
+r AS (SELECT name, {RES_COLS} FROM res)
+SELECT canonical_taxon_id, min(scientific_name) AS name, NULL AS reason FROM r WHERE status = 'resolved' GROUP BY 1
+UNION ALL SELECT NULL, name, reason FROM r WHERE status <> 'resolved'"""
+
+ORACLE_SQL["labelled_gate"] = f"""
+WITH part AS ({DOCS()}), {MATCH},
+own AS ({DOCS(1, "doc_id IN (SELECT doc_id FROM labels)")}),
+lab AS (SELECT DISTINCT p_name AS input_name, 'lat' AS input_lang, 'resolve' AS expected_bucket FROM own
+        UNION SELECT DISTINCT substr(p_name, 1, 2) || substr(p_name, 4, 1000), 'lat', 'review' FROM own),
+{RESOLVE('lab', 'input_name', 'input_lang', 'res')},
+g AS (SELECT count(*) FILTER (WHERE expected_bucket = 'resolve') AS resolve_total,
+             count(*) FILTER (WHERE expected_bucket = 'resolve' AND reason IS NULL) AS resolve_ok,
+             count(*) FILTER (WHERE expected_bucket = 'review') AS review_total,
+             count(*) FILTER (WHERE expected_bucket = 'review' AND reason IS NOT NULL) AS review_ok FROM res)
+SELECT *, round(resolve_ok * 100.0 / resolve_total, 0) AS resolve_pct, round(review_ok * 100.0 / review_total, 0) AS review_pct,
+       (resolve_ok * 100.0 >= 90.0 * resolve_total AND review_ok = review_total) AS pass FROM g"""

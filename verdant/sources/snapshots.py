@@ -29,15 +29,16 @@ LABELLED_SCHEMA = StructType([
 ])
 
 
-def read_records(spark: SparkSession, glob: str) -> DataFrame:
-    """SRC1: every dated snapshot (one JSON document per file) with its path."""
-    return (spark.read.schema(RECORD_SCHEMA).option("multiLine", True).json(glob)
+def read_records(spark: SparkSession, glob: str, lines: bool = False) -> DataFrame:
+    """SRC1: every dated snapshot with its path: one JSON document a file, or (``lines``)
+    one a line, as :func:`verdant.plans.publish.write_json` writes many records."""
+    return (spark.read.schema(RECORD_SCHEMA).option("multiLine", not lines).json(glob)
                  .withColumn("path", F.col("_metadata.file_path")))
 
 
-def read_seller_records(spark: SparkSession, glob: str) -> DataFrame:
+def read_seller_records(spark: SparkSession, glob: str, lines: bool = False) -> DataFrame:
     """SRC2."""
-    return spark.read.schema(SELLER_SCHEMA).option("multiLine", True).json(glob)
+    return spark.read.schema(SELLER_SCHEMA).option("multiLine", not lines).json(glob)
 
 
 def read_list_lines(spark: SparkSession, path: str) -> DataFrame:
