@@ -11,6 +11,7 @@ from verdant.lookups import OCCURRENCE_LIMIT
 from verdant.operators import resolve as RS
 from verdant.operators import staging as S
 from verdant.operators import status as ST
+from verdant.operators.homonyms import choose, match_near
 from verdant.operators.offers import offer_provenance
 from verdant.plans import gates as G
 from verdant.plans import publish as P
@@ -184,6 +185,25 @@ def labelled_gate(spark, sf):
     return G.resolver_gate(lab, res)
 
 
+def resolve_swapped(spark, sf):
+    """RES8 with swapped letters: names whose second and third letters changed places."""
+    parts = doc_parts(table(spark, sf, "documents"))
+    n = F.col("p_name")
+    swapped = F.concat(F.substring(n, 1, 1), F.substring(n, 3, 1), F.substring(n, 2, 1), F.substring(n, 4, 1000))
+    return match_near(parts.select(swapped.alias("input_name")), parts.select(n.alias("name")), 1)
+
+
+def resolve_homonyms(spark, sf):
+    """RES4 among several rows of a name: a name's brands are its families."""
+    parts = doc_parts(table(spark, sf, "documents"))
+    rows = parts.groupBy(F.col("p_name").alias("name"), F.col("p_brand").alias("family"), F.col("p_type").alias("kingdom")).agg(
+        F.min("p_partkey").alias("key")).withColumn("status", F.when(F.col("key") % 2 == 0, "ACCEPTED").otherwise("SYNONYM"))
+    asked = parts.select(F.col("p_name").alias("input_name"), F.col("p_name").alias("name"),
+                         F.when(F.col("p_size") < 40, F.col("p_type")).alias("kingdom"),
+                         F.when(F.col("p_size") > 10, F.col("p_brand")).alias("family"))
+    return choose(asked, rows)
+
+
 QUERIES = {
     "kept_answers": kept_answers,
     "second_run": second_run,
@@ -199,4 +219,6 @@ QUERIES = {
     "seller_snapshots": seller_snapshots,
     "listed_names": listed_names,
     "labelled_gate": labelled_gate,
+    "resolve_swapped": resolve_swapped,
+    "resolve_homonyms": resolve_homonyms,
 }

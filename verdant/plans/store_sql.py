@@ -167,3 +167,24 @@ g AS (SELECT count(*) FILTER (WHERE expected_bucket = 'resolve') AS resolve_tota
              count(*) FILTER (WHERE expected_bucket = 'review' AND reason IS NOT NULL) AS review_ok FROM res)
 SELECT *, round(resolve_ok * 100.0 / resolve_total, 0) AS resolve_pct, round(review_ok * 100.0 / review_total, 0) AS review_pct,
        (resolve_ok * 100.0 >= 90.0 * resolve_total AND review_ok = review_total) AS pass FROM g"""
+
+ORACLE_SQL["resolve_swapped"] = f"""
+WITH part AS ({DOCS()}),
+q AS (SELECT DISTINCT substr(p_name, 1, 1) || substr(p_name, 3, 1) || substr(p_name, 2, 1) || substr(p_name, 4, 1000) AS input_name FROM part),
+qn AS (SELECT input_name, lower({NORM('input_name')}) AS q FROM q),
+b AS (SELECT DISTINCT p_name AS name, lower(p_name) AS b FROM part),
+p AS (SELECT input_name, name, damerau_levenshtein(q, b) AS d FROM qn, b
+      WHERE abs(length(q) - length(b)) <= 1 AND damerau_levenshtein(q, b) <= 1),
+l AS (SELECT input_name, min(d) AS d FROM p GROUP BY 1)
+SELECT input_name, name, CAST(d AS INTEGER) AS distance FROM p JOIN l USING (input_name, d)"""
+
+ORACLE_SQL["resolve_homonyms"] = f"""
+WITH part AS ({DOCS()}),
+r AS (SELECT p_name AS name, p_brand AS rf, p_type AS rk, min(p_partkey) AS key FROM part GROUP BY ALL),
+a AS (SELECT DISTINCT p_name AS name, CASE WHEN p_size < 40 THEN p_type END AS kingdom, CASE WHEN p_size > 10 THEN p_brand END AS family FROM part),
+j AS (SELECT *, CASE WHEN family IS NULL OR family = rf THEN 0 ELSE 2 END + CASE WHEN kingdom IS NULL OR kingdom = rk THEN 0 ELSE 1 END AS fit
+      FROM a JOIN r USING (name)),
+k AS (SELECT *, min(fit) OVER w AS least FROM j WINDOW w AS (PARTITION BY name, kingdom, family))
+SELECT name AS input_name, name, kingdom, family, first(key ORDER BY key % 2, key) AS key,
+       first(rk ORDER BY key % 2, key) AS row_kingdom, first(rf ORDER BY key % 2, key) AS row_family, count(*) AS n_best
+FROM k WHERE fit = least GROUP BY name, kingdom, family"""
