@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,6 +98,13 @@ def cut(values: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
     return np.split(values, ends[:-1]) if len(ends) else []
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in pieces: what a task decodes and sends at once stays small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (uint64 in, uint64 out)."""
     x = x ^ (x >> np.uint64(33))

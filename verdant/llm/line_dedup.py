@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import id_filter, in_filter, mix64, packed, staged
+from verdant.llm.common import id_filter, in_filter, mix64, packed, pieces, staged
 from verdant.llm.setjoin import SETS, resolve
 
 NUM, DEN = 80, 100
@@ -180,7 +180,7 @@ _FOUND = "doc_id long, line_no int, payload binary"
 def _sets(wanted, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = wanted.value
-        for batch in batches:
+        for batch in pieces(batches):
             todo = list(_lines(batch, min_chars))
             spots = np.array([_spot(d, n) for d, _, n, _ in todo], dtype=np.int64)
             hit = np.flatnonzero(in_filter(bitmap, spots))

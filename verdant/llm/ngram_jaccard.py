@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import id_filter, in_filter, mix64, packed, staged
+from verdant.llm.common import id_filter, in_filter, mix64, packed, pieces, staged
 from verdant.llm.setjoin import SETS, resolve
 
 NUM, DEN, WORDS = 85, 100, 4
@@ -136,7 +136,7 @@ def needed(n: int, num: int, den: int) -> int:
 def _heads(sketch, bits: int, words: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
-        for batch in batches:
+        for batch in pieces(batches):
             ids, ns, digests, prefixes = [], [], [], []
             for doc_id, text in _texts(batch):
                 s = shingles(text, words)
@@ -157,7 +157,7 @@ def _heads(sketch, bits: int, words: int, num: int, den: int):
 def _sets(wanted, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = wanted.value
-        for batch in batches:
+        for batch in pieces(batches):
             batch = batch.filter(pa.array(in_filter(bitmap, batch.column("doc_id").to_numpy())))
             ids, payloads, digests = [], [], []
             for doc_id, text in _texts(batch):

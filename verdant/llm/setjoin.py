@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import bitmap_of, staged
+from verdant.llm.common import bitmap_of, pieces, staged
 from verdant.llm.graph import components
 
 TILE = 512          # members of a tile's block
@@ -144,7 +144,7 @@ def stored(payload: bytes) -> np.ndarray:
 
 def _verifier(num: int, den: int, decode: Callable[[bytes], np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             keep = []
             for a, b in zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist()):
                 if a == b:
@@ -173,7 +173,7 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int,
 
 def _signer(decode: Callable[[bytes], np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             got = [decode(p) for p in batch.column("payload").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([len(x) for x in got], pa.int64()),
@@ -206,22 +206,34 @@ def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: in
                 .groupBy("id", "hub").agg(F.count("*").alias("lists")))
     pivot = together.groupBy("id").agg(F.max_by("hub", F.struct(F.col("lists"), -F.col("hub"))).alias("b"))
     first = staged(verify(pivot.select(F.col("id").alias("a"), "b"), sets, num, den, decode), "first")
-    links, lists = first, shared
+    comps, lists = staged(components(first), "comps"), shared
     for best in (BEST, None):
-        cand = staged(_candidates(lists, links, sets, num, den, decode, best), "cand")
+        cand = staged(_candidates(lists, comps, sets, num, den, decode, best), "cand")
         more = staged(verify(cand.where("a is not null").select("a", "b").distinct(), sets, num, den, decode), "links")
-        links = links.unionByName(more)
+        comps = staged(_joined(comps, more), "comps")
         left_out = cand.where("open is not null").select(F.col("open").alias("key")).distinct()
         if best is None or not left_out.take(1):
-            break
+            return comps
         lists = lists.join(left_out, "key", "left_semi")
-    return components(links)
+    return comps
+
+
+def _joined(comps: DataFrame, more: DataFrame) -> DataFrame:
+    """Components after further links: the components known so far are the nodes of the
+    graph that is left, so only the new links are walked again."""
+    ends = (more.select(F.col("a").alias("id")).union(more.select("b")).distinct().join(comps, "id", "left")
+            .select("id", F.coalesce("component", "id").alias("component"), F.col("component").isNull().alias("fresh")))
+    ends = staged(ends, "ends")
+    nodes = [ends.select(F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in "ab"]
+    up = components(more.join(nodes[0], "a").join(nodes[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    every = comps.select("id", "component").unionByName(ends.where("fresh").select("id", "component"))
+    return (every.join(up.select(F.col("id").alias("component"), F.col("component").alias("up")), "component", "left")
+            .select("id", F.coalesce("up", "component").alias("component")))
 
 
-def _candidates(lists: DataFrame, links: DataFrame, sets: DataFrame, num: int, den: int,
+def _candidates(lists: DataFrame, comps: DataFrame, sets: DataFrame, num: int, den: int,
                 decode: Callable[[bytes], np.ndarray], best: int | None) -> DataFrame:
-    """The rows of :func:`_tiles` for the lists that hold several components of ``links``."""
-    comps = staged(components(links), "comps")
+    """The rows of :func:`_tiles` for the lists that hold several components."""
     marked = staged(lists.join(comps, "id", "left")
                     .select("key", "id", F.coalesce("component", "id").alias("comp")), "marked")
     # the candidates of a list are its members outside the largest component
