@@ -17,6 +17,7 @@ from verdant.plans import gates as G
 from verdant.plans import publish as P
 from verdant.plans import published
 from verdant.plans.answers import KeptAnswers
+from verdant.plans.compaction import compact
 from verdant.plans.demo_inputs import PARTS_PROFILE, SELLER, match_table, offers, part_records, table
 from verdant.plans.demo_queries import _lists_as_text
 from verdant.plans.gates import second_run_gate
@@ -146,6 +147,15 @@ def snapshots_staged(spark, sf):
     return eav.select("source_id", "raw_name_he", "raw_name_lat", "attribute", "value", F.col("scraped_at").cast("string").alias("scraped_at"))
 
 
+def compacted_eav(spark, sf):
+    """SNK1 after compaction: staged in many small files, rewritten in few, read back."""
+    base = work_dir(spark)
+    eav = eav_of(doc_parts(table(spark, sf, "documents"))).withColumn("scraped_at", F.lit("2026-06-01").cast("date"))
+    P.write_eav(eav.repartition(40), base)
+    compact(spark, base, "eav", ["source", "scraped_at"])
+    return P.read_current(spark, base, "eav").select("source_id", "raw_name_he", "raw_name_lat", "attribute", "value")
+
+
 def seller_snapshots(spark, sf):
     """SNK8 -> SRC2: a seller's records as JSON files, read back."""
     shop = offers(table(spark, sf, "lineitem"), table(spark, sf, "part"))
@@ -216,6 +226,7 @@ QUERIES = {
     "lookup_entity": lookup_entity,
     "lookup_provenance": lookup_provenance,
     "snapshots_staged": snapshots_staged,
+    "compacted_eav": compacted_eav,
     "seller_snapshots": seller_snapshots,
     "listed_names": listed_names,
     "labelled_gate": labelled_gate,

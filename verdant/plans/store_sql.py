@@ -188,3 +188,5 @@ k AS (SELECT *, min(fit) OVER w AS least FROM j WINDOW w AS (PARTITION BY name,
 SELECT name AS input_name, name, kingdom, family, first(key ORDER BY key % 2, key) AS key,
        first(rk ORDER BY key % 2, key) AS row_kingdom, first(rf ORDER BY key % 2, key) AS row_family, count(*) AS n_best
 FROM k WHERE fit = least GROUP BY name, kingdom, family"""
+
+ORACLE_SQL["compacted_eav"] = f"SELECT * EXCLUDE (scraped_at) FROM ({ORACLE_SQL['snapshots_staged']})"
