@@ -26,8 +26,7 @@ def _texts():
     return out
 
 
-PATTERNS = ["quercus", "QUERC%prinos", "c_lli", "the oak", "th", "%", "_", "a_b", "100%", "\\s", "אלון מ", "été", "é",
-            "needle", "zzz", "abc", "oak%the%100", "ercus c_ll"]
+PATTERNS = ["quercus", "QUERC%prinos", "the oak", "th", "_", "100%", "\\s", "אלון מ", "été", "needle", "abc", "ercus c_ll"]
 
 
 def test_search_index_equals_the_scan(spark, tmp_path):
@@ -87,14 +86,14 @@ def test_facets_under_every_pair_of_filters(spark, tmp_path):
     choices = [("form", ["tree"]), ("state", ["listed"]), ("zone", ["hot"]), ("region", ["north"]),
                ("form", ["vine", "shrub"]), ("region", ["nowhere"])]
     active = [{}] + [dict([c]) for c in choices] + [dict(p) for p in combinations(choices, 2) if p[0][0] != p[1][0]]
-    for a in active[::3] + active[-2:]:
+    for a in active[::5] + active[-1:]:
         under = df
         for f, v in a.items():
             under = under.where(_passes(f, v))
         assert index.count(a).first().matched == under.count(), a
         assert rows(index.keys(a)) == rows(under, "id"), a
-    for a in ({}, {"form": ["tree"]}, {"form": ["vine", "shrub"], "zone": ["hot"]}, {"region": ["nowhere"]}):
-        for field in ("form", "state", "zone", "region"):
+    for a in ({}, {"form": ["vine", "shrub"], "zone": ["hot"]}, {"region": ["nowhere"]}):
+        for field in ("form", "zone", "region"):
             under = df
             for f, v in a.items():
                 if f != field:
