@@ -2,14 +2,16 @@
 
 Files are ``doc_id, path, text``.  Every line of a text is compared with the
 templates (short headers and the opening passages of licence files) as sparse
-TF-IDF vectors; so is the text's head as a whole, for licence files.  Document
+TF-IDF vectors.  So is, for templates of :data:`PASSAGE` terms and more, every
+passage of the template's length, across lines, anywhere in the text: a window
+slides over the terms and its products and norm are kept up to date.  Document
 frequencies of the templates' terms are counted over all lines of all files;
 terms outside the templates weigh like unseen ones and only lengthen a line.
 
 A line can reach the cosine threshold with a template only if it shares one of
 the template's *leading* terms: the rest of its terms, by weight, has a norm
-below the threshold.  Lines without any leading term are skipped; this is
-exact.
+below the threshold.  Lines without any leading term are skipped, and windows
+slide only over the places within reach of one; this is exact.
 
 A file takes the licence of its best line.  A file without one inherits from
 the nearest ancestor directory that holds a licence file (LICENSE, COPYING,
@@ -28,8 +30,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +43,7 @@ from pyspark.sql import functions as F
 from verdant.llm.common import staged
 
 THRESHOLD = 0.55
-HEAD_CHARS = 4000                     # of a licence file, compared as one passage as well
+PASSAGE = 12                          # terms from which a template is a passage, met across lines as well
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice|unlicen[cs]e|copyright)([._-].*)?$"
 
 # Short headers and opening passages of common licences.
@@ -109,10 +113,14 @@ class Matcher:
         self.names: list[str] = []
         self.postings: dict[str, list[tuple[int, float]]] = {}
         self.leading: set[str] = set()
+        # by template length: leading terms, and term -> (template, weight)
+        self.passages: dict[int, tuple[set[str], dict[str, list[tuple[int, float]]]]] = {}
         for name in sorted(templates):
             for text in templates[name]:
-                vector = self.weights(Counter(terms(text)))
+                found = terms(text)
+                vector = self.weights(Counter(found))
                 norm = math.sqrt(sum(w * w for w in vector.values())) or 1.0
+                long = self.passages.setdefault(len(found), (set(), {})) if len(found) >= PASSAGE else None
                 n = len(self.names)
                 self.names.append(name)
                 rest = 0.0
@@ -121,13 +129,16 @@ class Matcher:
                     rest += (w / norm) ** 2
                     if math.sqrt(rest) >= threshold:      # this and heavier terms: no match without one
                         self.leading.add(t)
+                        if long:
+                            long[0].add(t)
+                    if long:
+                        long[1].setdefault(t, []).append((n, w / norm))
 
     def weights(self, counts: Counter) -> dict[str, float]:
         return {t: (1 + math.log(c)) * self.idf.get(t, self.top) for t, c in counts.items()}
 
-    def best(self, passage: str) -> tuple[float, str] | None:
-        """(cosine, licence) of the best template at or over the threshold."""
-        found = terms(passage)
+    def best(self, found: list[str]) -> tuple[float, str] | None:
+        """(cosine, licence) of the template nearest to a passage's terms, at or over the threshold."""
         if self.leading.isdisjoint(found):
             return None
         vector = self.weights(Counter(found))
@@ -140,6 +151,60 @@ class Matcher:
         score = round(dot / norm, 6)
         return (score, self.names[n]) if score >= self.threshold else None
 
+    def best_passage(self, found: list[str]) -> tuple[float, str, int] | None:
+        """(cosine, licence, first term) of the best window of a long template's length in
+        a text's terms; of equal ones the first."""
+        best = None
+        places = [i for i, t in enumerate(found) if t in self.leading]
+        if not places:
+            return None
+        for size in sorted(self.passages):
+            leading, postings = self.passages[size]
+            last = max(len(found) - size, 0)
+            # runs of window starts that hold a leading term
+            runs: list[list[int]] = []
+            for i in places:
+                if found[i] in leading:
+                    lo, hi = min(max(i - size + 1, 0), last), min(i, last)
+                    if runs and lo <= runs[-1][1] + 1:
+                        runs[-1][1] = hi
+                    else:
+                        runs.append([lo, hi])
+            for lo, hi in runs:
+                for score, n, start in self._slide(found, size, lo, hi, postings):
+                    got = (-score, self.names[n], start)
+                    if best is None or got < best:
+                        best = got
+        return (-best[0], best[1], best[2]) if best else None
+
+    def _slide(self, found: list[str], size: int, lo: int, hi: int, postings: dict[str, list[tuple[int, float]]]):
+        """``(cosine, template, start)`` at or over the threshold of the windows that start in ``lo..hi``."""
+        counts: Counter[str] = Counter()
+        dots: dict[int, float] = {n: 0.0 for meets in postings.values() for n, _ in meets}
+        square = 0.0
+
+        def change(t: str, by: int) -> None:
+            nonlocal square
+            idf, c = self.idf.get(t, self.top), counts[t]
+            counts[t] = c + by
+            was, now = ((1 + math.log(k)) * idf if k else 0.0 for k in (c, c + by))
+            square += now * now - was * was
+            for n, w in postings.get(t, ()):
+                dots[n] += (now - was) * w
+
+        for t in found[lo:lo + size]:
+            change(t, 1)
+        for start in range(lo, hi + 1):
+            norm = math.sqrt(square)
+            for n, dot in dots.items():
+                if dot >= (self.threshold - 1e-6) * norm:
+                    score = round(dot / norm, 6)
+                    if score >= self.threshold:
+                        yield score, n, start
+            if start < hi:
+                change(found[start], -1)
+                change(found[start + size], 1)
+
 
 def line_frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[dict[str, int], int]:
     """Lines of all files that hold each template term, and the number of lines."""
@@ -161,24 +226,22 @@ def line_frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[dict[str,
     return {t: int(sums.get(i, 0)) for t, i in position.items()}, int(sums.get(len(vocabulary), 0))
 
 
-def _scan(shared, head: int):
+def _scan(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher: Matcher = shared.value
         for batch in batches:
             names, scores, line_nos = [], [], []
-            files = batch.column("is_file").to_pylist()
-            for text, is_file in zip(batch.column("text").to_pylist(), files):
+            for text in batch.column("text").to_pylist():
                 found = None
-                if text:
-                    low = text.lower()
-                    for no, line in enumerate(low.split("\n")):
-                        got = matcher.best(line)
-                        if got and (found is None or (-got[0], got[1]) < (-found[0], found[1])):
-                            found = (*got, no)
-                    if is_file:
-                        got = matcher.best(low[:head])
-                        if got and (found is None or got[0] > found[0]):
-                            found = (*got, 0)
+                lines = [terms(line) for line in text.lower().split("\n")] if text else []
+                for no, line in enumerate(lines):
+                    got = matcher.best(line)
+                    if got and (found is None or (-got[0], got[1]) < (-found[0], found[1])):
+                        found = (*got, no)
+                got = matcher.best_passage([t for line in lines for t in line])
+                if got and (found is None or got[0] > found[0]):
+                    ends = list(accumulate(map(len, lines)))
+                    found = (got[0], got[1], bisect_right(ends, got[2]))
                 names.append(found[1] if found else None)
                 scores.append(found[0] if found else None)
                 line_nos.append(found[2] if found else None)
@@ -192,7 +255,7 @@ def _scan(shared, head: int):
 def scan(files: DataFrame, templates: dict[str, list[str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """Per file: ``doc_id, path, license, score, via, origin``.
 
-    ``via`` is ``file`` (a licence file's own), ``header`` (found in a line),
+    ``via`` is ``file`` (a licence file's own), ``header`` (found in another's text),
     ``inherited`` (from ``origin``, the directory of a licence file) or ``none``.
     """
     spark = files.sparkSession
@@ -204,7 +267,7 @@ def scan(files: DataFrame, templates: dict[str, list[str]] | None = None, thresh
     name = F.element_at(F.split("path", "/"), -1)
     found = staged(
         files.withColumn("is_file", F.coalesce(name.rlike(FILE_NAME), F.lit(False)))
-        .mapInArrow(_scan(matcher, HEAD_CHARS),
+        .mapInArrow(_scan(matcher),
                     "doc_id long, path string, is_file boolean, license string, score double, line_no int"), "found")
     found = found.withColumn("dir", F.expr("CASE WHEN path LIKE '%/%' THEN substring_index(path, '/', "
                                            "size(split(path, '/')) - 1) WHEN path IS NOT NULL THEN '' END"))
