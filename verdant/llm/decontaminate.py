@@ -20,8 +20,9 @@ punctuation stripped).
 Items are the stated query set, broadcast in blocks of at most
 ``block_chars`` characters; each block is one scan of the documents.
 
-Edge cases: null texts and items have no words; items under ``min_words``
-words are not searched (they would meet ordinary prose).  Items with equal
+Edge cases: null texts and items have no words and meet nothing; items under five
+words allow no edit, so only their very words count (a caller whose items are so
+short that they meet ordinary prose may set ``min_words``).  Items with equal
 text are reported each; rows with a null id are left out; repeated rows give
 repeated spans once.  Empty tables give an empty result.  Texts are read
 whole and further columns are ignored.
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 from verdant.llm.common import mix64, packed
 
-EDITS, MIN_WORDS = 0.2, 5
+EDITS, MIN_WORDS = 0.2, 1
 WALKS, KEYS, PLACES = 8, 32, 3
 BLOCK_CHARS = 1 << 24
 _MEMO = 1 << 18
