@@ -8,14 +8,18 @@ are recognised by element, role, class or id.  Of a class or id only whole
 tokens count: a hint word, alone or with words of place and form
 (``site-footer``, ``cookie-notice``, ``sidebar-1``), not any compound
 (``has-sidebar``, ``legal-news``); an ``article`` or ``main`` inside a plain
-element with such a token is not part of it.  Formulas (``math``) are text.
+element with such a token is not part of it.  A form that holds an article, the
+page's title, header, menu or footer wraps the page and is no container; an
+``aside`` with a quote's class inside an article is the article's own.  Formulas
+(``math``) are text.
 
 Pass one decides a block from itself: boilerplate containers, many link
 characters or a copyright line are bad; long blocks with few link characters, and
 middle-sized ones with enough stop words, are good; other short ones stay
-open.  Pass two labels each open block like its nearest decided neighbours; if they
+open, and so do linked headings of an article and its paragraphs that are not all
+link.  Pass two labels each open block like its nearest decided neighbours; if they
 differ, the nearer one, then the one in the same container, then the one before
-decides.  The bounds of an article (``article``, ``main``) count as good
+(of a heading: the one after) decides.  The bounds of an article (``article``, ``main``) count as good
 neighbours, so a page of short lines keeps them.
 
 Edge cases: a null or empty page, or one without good blocks, gives the empty
@@ -30,6 +34,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -43,6 +48,7 @@ from verdant.llm.quality_rules import ALL_WORDS
 STOP_WORDS = frozenset(ALL_WORDS)
 LONG, MIDDLE = 200, 70                # characters
 MAX_LINKS, MIN_STOP = 0.25, 0.15      # shares of characters / words
+MOST_LINKS = 0.9                      # of an article's own paragraph
 
 # fixed values: elements of HTML
 _SKIP = frozenset("script style head title noscript template svg annotation annotation-xml iframe object embed audio "
@@ -53,7 +59,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol "
                    "optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
-_BAD = frozenset("nav footer aside form menu dialog".split())
+_BAD = frozenset("nav footer aside menu dialog".split())     # forms: see _WRAPPED
 _MAIN = frozenset("article main".split())
 _PLAIN = frozenset("div span center font table tbody tr td".split())     # hold an article as well as anything else
 _HINT = re.compile(
@@ -73,9 +79,18 @@ _TOPIC = frozenset("search legal social related share sharing notice notices cop
                    "subscribe promo banner".split())
 _OWN = frozenset("page main body content contents text title".split())
 _ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
-_TAG = re.compile(r"""<!--.*?(?:-->|$)|<(?:(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|[!?][^>]*>)""", re.S)
+# a quote opens a value only right behind "="; elsewhere it is a character like others
+_TAG = re.compile(r"""<!--.*?(?:-->|$)|<(?:(/?)([A-Za-z][A-Za-z0-9:-]*+)"""
+                  r"""((?:[^<>=]|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+(?=>)|[^<>]*+)>|[!?][^>]*>)""", re.S)
 _ATTR = re.compile(r"""([A-Za-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _CUT = re.compile(r"<(?:[A-Za-z/!?][^>]*)?$")
+_RAW = frozenset("script style textarea".split())
+_WRAPPED = frozenset("article main h1 header nav footer".split())      # in a form: it wraps the page
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+_PROSE = _HEADING | frozenset("p blockquote figcaption dd".split())
+_QUOTE = re.compile(r"(?:^|[-_])(?:pull[-_]?)?quotes?(?:$|[-_])", re.I)
+_OWNED = re.compile(r"[^\w©]*(?:[Cc]opyright\s*)?©\s*(?:[Cc]opyright\s*)?(?:\d{4}|[A-Z])")
+_DATED = re.compile(r"©\D{0,40}(?:19|20)\d\d|(?:19|20)\d\d\s*©")
 
 
 @dataclass
@@ -86,6 +101,8 @@ class Block:
     inside: bool                      # within an article or main element
     bad: bool                         # within a boilerplate container
     label: str = ""
+    tag: str = ""                     # innermost block element
+    form: int = 0                     # number of the enclosing form
 
 
 @lru_cache(1 << 14)
@@ -113,6 +130,9 @@ def _named(attrs: str) -> bool:
 def _boilerplate(tag: str, attrs: str, in_main: bool) -> str:
     """``hard`` for a boilerplate element or role, ``hint`` for a plain element
     with a hint token, else the empty string."""
+    if tag == "aside" and in_main and any(name.lower() == "class" and any(map(_QUOTE.search, (a or b or c).split()))
+                                          for name, a, b, c in _ATTR.findall(attrs)):
+        return ""                                 # a pull quote is the article's own text
     if tag in _BAD or (tag == "header" and not in_main):
         return "hard"
     if "=" not in attrs or tag in ("html", "body", "article", "main"):
@@ -134,6 +154,11 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, str, bool, int]] = []
     hard = hints = main = links = skipping = 0
     container = containers = 0
+    form = forms = 0
+    wrappers: set[int] = set()        # forms around the page itself
+    opened: Counter[str] = Counter()  # open elements by name
+    shapes: list[str] = []            # open block elements
+    ends: dict[str, int] = {}         # next end tag of an element without text, len(page): none
     held: list[str] = []
     linked: list[str] = []
     at = 0
@@ -143,10 +168,18 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(_html.unescape("".join(held)).split())
             if text:
                 inside = " ".join(_html.unescape("".join(linked)).split()) if linked else ""
-                out.append(Block(text, len(inside), container, main > 0, hard + hints > 0))
+                out.append(Block(text, len(inside), container, main > 0, hard + hints > 0,
+                                 tag=shapes[-1] if shapes else "", form=form))
             held.clear()
             linked.clear()
 
+    def ended(name: str) -> bool:
+        """Whether an end tag of the name follows."""
+        if ends.get(name, -1) < pos:
+            m = re.compile(rf"</{name}\b", re.I).search(page, pos)
+            ends[name] = m.start() if m else len(page)
+        return ends[name] < len(page)
+
     def text_to(end: int) -> None:
         if skipping and stack[-1][0] == "head" and page[at:end].strip():
             leave(len(stack) - 1)                 # text ends an open head
@@ -157,9 +190,14 @@ def blocks(page: str) -> list[Block]:
                 linked.append(part)
 
     def leave(k: int) -> None:
-        nonlocal hard, hints, main, links, skipping, container
+        nonlocal hard, hints, main, links, skipping, container, form
         while len(stack) > k:
             name, was_bad, was_main, aside = stack.pop()
+            opened[name] -= 1
+            if name in _BLOCK:
+                shapes.pop()
+            if name == "form":
+                form = 0
             hard -= was_bad == "hard"
             hints += aside - (was_bad == "hint")
             main -= was_main
@@ -174,7 +212,7 @@ def blocks(page: str) -> list[Block]:
         m = _TAG.search(page, pos)
         if m is None:
             break
-        if skipping and stack and stack[-1][0] in ("script", "style", "textarea"):
+        if skipping and stack and stack[-1][0] in _RAW:
             # raw text: only its own end tag counts
             end = re.compile(rf"</{stack[-1][0]}\b[^>]*>", re.I).search(page, pos)
             if end is None:
@@ -196,10 +234,13 @@ def blocks(page: str) -> list[Block]:
         elif name == "br" and not skipping:
             held.append(" ")
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    leave(k)
-                    break
+            if opened[name]:
+                k = len(stack) - 1
+                while stack[k][0] != name:
+                    k -= 1
+                leave(k)
+        elif name in _SKIP and name not in _HEAD and name not in _RAW and not ended(name):
+            pass                                  # never closed: it hides nothing
         elif name not in _VOID and not m[3].endswith("/"):
             if name in ("p", "li", "option", "dt", "dd", "tr", "td", "th") and stack and stack[-1][0] == name:
                 leave(len(stack) - 1)             # implied end
@@ -207,6 +248,14 @@ def blocks(page: str) -> list[Block]:
             is_bad = _boilerplate(name, m[3], main > 0)
             aside = hints if is_main and not _named(m[3]) else 0
             stack.append((name, is_bad, is_main, aside))
+            opened[name] += 1
+            if name in _BLOCK:
+                shapes.append(name)
+            if name == "form" and not form:
+                forms += 1
+                form = forms
+            elif name in _WRAPPED and form:
+                wrappers.add(form)
             hard += is_bad == "hard"
             hints += (is_bad == "hint") - aside
             main += is_main
@@ -217,13 +266,20 @@ def blocks(page: str) -> list[Block]:
                 container = containers
     text_to(len(page))
     close()
+    for b in out:
+        b.bad = b.bad or (b.form > 0 and b.form not in wrappers)
     return out
 
 
 def _first_pass(b: Block, stop_words: frozenset) -> str:
     n = len(b.text)
-    if b.bad or b.links > MAX_LINKS * n or (n < LONG and "©" in b.text):
+    if b.bad or (n < LONG and (_OWNED.match(b.text) or (not b.inside and _DATED.search(b.text)))):
         return "bad"
+    if b.links > MAX_LINKS * n:
+        # the article's headings and prose may hold links, a paragraph that is one link may not
+        own = (b.tag == "h1" or (b.inside and b.tag in _HEADING)
+               or (b.inside and b.tag in _PROSE and b.links <= MOST_LINKS * n))
+        return "" if own else "bad"
     if n >= LONG:
         return "good"
     if n >= MIDDLE:
@@ -238,39 +294,29 @@ def classify(found: list[Block], stop_words: frozenset = STOP_WORDS) -> list[Blo
     for b in found:
         b.label = _first_pass(b, stop_words)
     n = len(found)
-    near_before: list[int] = [-1] * n
-    near_after: list[int] = [-1] * n
-    last = -1
-    for i, b in enumerate(found):
-        near_before[i] = last
-        if b.label:
-            last = i
-    last = -1
-    for i in range(n - 1, -1, -1):
-        near_after[i] = last
-        if found[i].label:
-            last = i
     first_pass = [b.label for b in found]
+    # nearest decided block and nearest block outside an article, before and after each
+    near = ([-1] * n, [n] * n)
+    bound = ([-1] * n, [n] * n)
+    for side, order, none in ((0, range(n), -1), (1, range(n - 1, -1, -1), n)):
+        decided = outside = none
+        for i in order:
+            near[side][i], bound[side][i] = decided, outside
+            decided = i if first_pass[i] else decided
+            outside = outside if found[i].inside else i
     for i, b in enumerate(found):
         if b.label:
             continue
         sides = []
-        for j, step in ((near_before[i], -1), (near_after[i], 1)):
-            edge = i
-            if b.inside:                          # the article's bound on this side, if nearer
-                while 0 <= edge + step < n and found[edge + step].inside and edge + step != j:
-                    edge += step
-                bound = edge + step
-                if j < 0 or bound != j:
-                    sides.append((abs(bound - i), 0, "good"))
-                    continue
-                if not found[j].inside:
-                    sides.append((abs(j - i), 0, "good"))
-                    continue
-            if j >= 0:
-                sides.append((abs(j - i), int(found[j].container != b.container), first_pass[j]))
-        labels = {s[2] for s in sides}
-        b.label = min(sides)[2] if len(labels) > 1 else (labels.pop() if labels else "good")
+        for side, pick in ((0, max), (1, min)):
+            j, edge = near[side][i], bound[side][i]
+            # a heading belongs to what follows, other blocks to what went before
+            rank = side if b.tag not in _HEADING else 1 - side
+            if b.inside and pick(j, edge) == edge:          # the article's bound is nearer
+                sides.append((abs(edge - i), 0, rank, "good"))
+            elif 0 <= j < n:
+                sides.append((abs(j - i), int(found[j].container != b.container), rank, first_pass[j]))
+        b.label = min(sides)[3] if sides else "good"
     return found
 
 
