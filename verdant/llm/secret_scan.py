@@ -2,8 +2,8 @@
 
 Every rule's regular expression is turned into a Boolean query of the
 (lower-cased) trigrams that any match must hold.  Each Arrow block of
-documents gets an inverted index of the trigrams asked for: postings are
-built once a trigram, conjunctions intersect them, alternatives unite them.
+documents gets an inverted index of the trigrams asked for: one pass over its
+characters makes all postings, conjunctions intersect them, alternatives unite them.
 Only the documents that remain are scanned with the rule itself.  Rules
 without mandatory trigrams scan every document.  The index never leaves its
 block, so nothing is shuffled and no list of a frequent trigram can grow
@@ -29,15 +29,18 @@ from pyspark.sql import functions as F
 
 ALWAYS = [frozenset()]                # the query that every text satisfies
 _MOST = 64                            # exact strings or alternatives kept while deriving
+_CHUNK = 1 << 21                      # characters indexed at once
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``kind``, its pattern, and the least length of group ``group`` of a match."""
+    """``kind``, its pattern, the least length of group ``group`` of a match, and the
+    group whose span is reported."""
     kind: str
     pattern: str
     least: int = 0
     group: int = 0
+    span: int = 0
 
 
 # fixed values: the base kinds, in the order of the digest
@@ -48,13 +51,14 @@ BASE = [
 ]
 # the method's own kinds
 MORE = [
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("maps_key", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("pay_key", r"[sr]k_live_[0-9A-Za-z]{16,}"),
-    Rule("url_login", r"[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s/:@]{1,80}:[^\s/@]{1,80}@"),
+    # entered only where a scheme may start: one pass whatever the lengths
+    Rule("url_login", r"(?<![A-Za-z0-9+.-])[0-9+.-]*+([A-Za-z][A-Za-z0-9+.-]++://[^\s/:@]++:[^\s/@]++@)", span=1),
 ]
 
 
@@ -161,20 +165,55 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
 
 
 class BlockIndex:
-    """Inverted index of a block of documents over the trigrams asked for."""
-
-    def __init__(self, texts: list[str]):
-        self.texts = [t.lower() for t in texts]
-        self.postings: dict[str, np.ndarray] = {}
+    """Inverted index of a block of texts over the trigrams asked for: one pass over the
+    characters finds the places of all of them."""
+
+    def __init__(self, texts: list[str], grams: list[str]):
+        self.n = len(texts)
+        alphabet = sorted({ord(c) for g in grams for c in g})
+        number = np.zeros((alphabet[-1] if alphabet else 0) + 2, dtype=np.int32)   # 0: in no trigram
+        number[alphabet] = np.arange(1, len(alphabet) + 1)
+        base = len(alphabet) + 1
+        wanted = np.full(base ** 3, -1, dtype=np.int32)
+        for i, (a, b, c) in enumerate(number[[ord(x) for x in g]] for g in grams):
+            wanted[(a * base + b) * base + c] = i
+        found = [np.empty(0, dtype=np.int64)]
+        for docs, text in self._chunks(texts):
+            code = number[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4"), len(number) - 1)]
+            starts = np.array([s for _, s in docs], dtype=np.int64)
+            code[starts[1:] - 1] = 0                                   # between two texts
+            hit = wanted[(code[:-2] * base + code[1:-1]) * base + code[2:]]
+            at = np.flatnonzero(hit >= 0)
+            rows = np.array([d for d, _ in docs], dtype=np.int64)[np.searchsorted(starts, at, "right") - 1]
+            found.append(np.unique(hit[at].astype(np.int64) * self.n + rows))
+        pairs = np.unique(np.concatenate(found))
+        cuts = np.searchsorted(pairs, np.arange(len(grams) + 1) * self.n)
+        self.postings = {g: pairs[cuts[i]:cuts[i + 1]] - i * self.n for i, g in enumerate(grams)}
+
+    @staticmethod
+    def _chunks(texts: list[str]):
+        """The lower-cased texts in strings of a bounded size, with ``(text, start)`` of each
+        part; parts of one text overlap by two characters, so that no trigram is cut."""
+        docs, parts, size = [], [], 0
+        for i, text in enumerate(texts):
+            low = text.lower()
+            for lo in range(0, max(len(low) - 2, 0), _CHUNK):
+                part = low[lo:lo + _CHUNK + 2]
+                docs.append((i, size))
+                parts.append(part)
+                size += len(part) + 1
+                if size > _CHUNK:
+                    yield docs, "\n".join(parts)
+                    docs, parts, size = [], [], 0
+        if parts:
+            yield docs, "\n".join(parts)
 
     def rows(self, gram: str) -> np.ndarray:
-        if gram not in self.postings:
-            self.postings[gram] = np.array([i for i, t in enumerate(self.texts) if gram in t], dtype=np.int64)
         return self.postings[gram]
 
     def matches(self, query: list[frozenset[str]]) -> np.ndarray:
         if query == ALWAYS:
-            return np.arange(len(self.texts))
+            return np.arange(self.n)
         found = []
         for grams in query:
             rows = None
@@ -188,17 +227,18 @@ class BlockIndex:
 
 def _scan(rules: list[Rule], n_base: int):
     plans = [(k, re.compile(r.pattern), r, trigram_query(r.pattern)) for k, r in enumerate(rules)]
+    grams = sorted({g for _, _, _, query in plans for conjunction in query for g in conjunction})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            index = BlockIndex(texts)
+            index = BlockIndex(texts, grams)
             spans: list[list] = [[] for _ in texts]
             for k, rx, rule, query in plans:
                 for i in index.matches(query):
                     for m in rx.finditer(texts[i]):
                         if m.end(rule.group) - m.start(rule.group) >= rule.least:
-                            spans[i].append((m.start(), k, m.end()))
+                            spans[i].append((m.start(rule.span), k, m.end(rule.span)))
             counts = [[0] * len(texts) for _ in range(n_base)]
             digests, alls = [], []
             for i, found in enumerate(spans):
@@ -240,7 +280,8 @@ def redact(docs: DataFrame, mask: str = "*") -> DataFrame:
                         for m in rx.finditer(text):
                             if m.end(rule.group) - m.start(rule.group) >= rule.least:
                                 chars = list(text) if chars is None else chars
-                                chars[m.start():m.end()] = mask * (m.end() - m.start())
+                                a, b = m.span(rule.span)
+                                chars[a:b] = mask * (b - a)
                     text = "".join(chars) if chars is not None else text
                 out.append(text)
             cols = [pa.array(out, batch.schema.field(i).type) if i == at else batch.column(i)
