@@ -1,4 +1,6 @@
 """Operators 1, 5, 7, 8 and 10: round trips, brute force and held-out accuracy."""
+import math
+import time
 import os
 import random
 import zlib
@@ -358,7 +360,82 @@ def test_leading_terms_lose_no_match():
     hits = 0
     for _ in range(2000):
         w = rng.sample(vocabulary, rng.randint(1, 12)) + LS.terms(rng.choice(rng.choice(list(LS.TEMPLATES.values()))))[:rng.randint(0, 9)]
-        a, b = m.best(" ".join(w)), full.best(" ".join(w))
+        a, b = m.best(w), full.best(w)
         assert a == b
         hits += a is not None
     assert hits > 50
+
+
+def _cosine(matcher, found, template):
+    """Plain cosine of two term lists."""
+    a, b = matcher.weights(Counter(found)), matcher.weights(Counter(template))
+    return sum(w * b.get(t, 0) for t, w in a.items()) / math.sqrt(sum(w * w for w in a.values()) * sum(w * w for w in b.values()))
+
+
+def test_passages_against_brute_force():
+    """Every window of a long template's length, wherever it stands in the text."""
+    rng = random.Random(31)
+    vocabulary = sorted({t for v in LS.TEMPLATES.values() for x in v for t in LS.terms(x)})
+    m = LS.Matcher(LS.TEMPLATES, {t: rng.randint(0, 900) for t in vocabulary}, 1000, .55)
+    long = [(name, t) for name, v in LS.TEMPLATES.items() for t in map(LS.terms, v) if len(t) >= LS.PASSAGE]
+    hits = 0
+    for _ in range(25):
+        found = [rng.choice(vocabulary + ["filler"] * 300) for _ in range(rng.randint(0, 80))]
+        for name, t in rng.sample(long, rng.randint(0, 2)):
+            found += [x for x in t if rng.random() > .2] + [rng.choice(["filler", "x"]) for _ in range(30)]
+        want = [(-round(_cosine(m, found[i:i + len(t)], t), 6), name, i) for name, t in long
+                for i in range(max(len(found) - len(t), 0) + 1) if found]
+        want = [w for w in want if -w[0] >= .55]
+        got = m.best_passage(found)
+        assert (got is None) == (not want)
+        if want:
+            assert abs(got[0] + min(want)[0]) < 2e-6
+            hits += 1
+    assert hits > 10
+
+
+def test_licence_passage_far_into_a_text(spark):
+    """A wrapped licence behind a long preamble, and in the head of an ordinary file."""
+    rng = random.Random(32)
+    words = LS.TEMPLATES["MIT"][3].split()
+    wrapped = "\n".join(" * " + " ".join(words[i:i + 3]) for i in range(0, len(words), 3))
+    rows = [(1, "a/LICENSE", prose(rng, "bb", 3000) + "\n" + wrapped + "\n" + prose(rng, "bb", 500)),
+            (2, "b/x.c", wrapped + "\n" + prose(rng, "bb", 300)), (3, "a/y.txt", prose(rng, "bb", 40)), (4, "c/z", "\n\n")]
+    got = {r.doc_id: (r.license, r.via) for r in LS.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert got == {1: ("MIT", "file"), 2: ("MIT", "header"), 3: ("MIT", "inherited"), 4: (None, "none")}
+
+
+# --- 5: pages as they are found
+
+_LONG = ("This is a long enough paragraph of the article and it has many stop words in it, so that the first pass of the "
+         "rules is able to decide that it is good text and not a part of the menu. It goes on for a while after that.")
+
+
+@pytest.mark.parametrize("page, text", [
+    # a form around the page is no container, a form in it is
+    ('<form id="aspnetForm"><nav><a href=x>Home</a></nav><main><article><p>%s</p></article></main></form>', "%s"),
+    ('<article><p>%s</p></article><form class="login"><label>Your name</label><input name=x></form>', "%s"),
+    # linked headings and prose of an article; a paragraph that is one link goes
+    ('<article><h1><a href=x>Title</a></h1><p>%s</p><p>See <a href=x>the long linked words</a> now</p><p><a href=x>More</a></p></article>',
+     "Title\n\n%s\n\nSee the long linked words now"),
+    ('<nav><a href=x>Home</a></nav><h1><a href=x>Title</a></h1><p>%s</p>', "Title\n\n%s"),
+    ('<article><p>%s</p><aside class="pull-quote">A quote</aside><aside>Beside it</aside></article>', "%s\n\nA quote"),
+    ('<article><p>%s</p><p>The symbol © was first used in 1802</p><p>© 2020 Site</p></article>',
+     "%s\n\nThe symbol © was first used in 1802"),
+    # markup: an open video hides nothing, a closed one does; a stray quote in a value is no text
+    ("<article><video src=x><p>%s</p></article>", "%s"),
+    ("<article><video src=x>no video</video><p>%s</p></article>", "%s"),
+    ("<article><p title=don't>%s</p><p>it's</p></article>", "%s\n\nit's"),
+    ('<article><p title="a > b">%s</p></article>', "%s"),
+])
+def test_pages_as_they_are_found(page, text):
+    assert H.main_text(page % _LONG) == text.replace("%s", _LONG)
+
+
+def test_very_long_pages_take_one_pass():
+    n = 60_000
+    start = time.process_time()
+    assert H.main_text("<article>" + "<p>x</p>" * n + "</article>").count("x") == n
+    H.main_text("<div>" * n + "</x>" * n + "<video>" * n)
+    H.main_text('<a b="x>" c=' * n + "y")
+    assert time.process_time() - start < 30

@@ -292,6 +292,15 @@ def test_exact_leaks_are_all_found(spark):
     assert {(i, i, 0) for i, _ in items} <= got
 
 
+def test_short_items_are_searched(spark):
+    """Items that allow no edit are met by their very words."""
+    bench = spark.createDataFrame([(1, "Zyx wvu, tsr qpo!"), (2, "lonely"), (3, "..."), (4, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a b zyx wvu tsr qpo c"), (2, "a zyx wvu tsr c"), (3, "so Lonely."), (4, None), (5, "... a")],
+                                 "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in D.find_leaks(docs, bench).collect()) == [(1, 1, 0), (3, 2, 0)]
+    assert sorted(r.doc_id for r in D.decontaminate(docs, bench, min_words=2).collect()) == [2, 3, 4, 5]
+
+
 # --- 6: secret scan
 
 def base_spans(t):
@@ -329,6 +338,27 @@ def test_secret_scan(spark):
     assert masked.columns == docs.columns and {r.doc_id: r.text for r in masked.collect()}[None] == "*" * 14
 
 
+def test_block_index_against_plain_search(monkeypatch):
+    rng = random.Random(61)
+    monkeypatch.setattr(S, "_CHUNK", 50)
+    for _ in range(40):
+        texts = ["".join(rng.choice("abcA𝄞é\n") for _ in range(rng.choice([0, 1, 2, 3, 30, 200]))) for _ in range(rng.randint(0, 8))]
+        grams = sorted({"".join(rng.choice("abc") for _ in range(3)) for _ in range(rng.randint(0, 9))} | {"é\na"})
+        index = S.BlockIndex(texts, grams)
+        for g in grams:
+            assert list(index.rows(g)) == [i for i, t in enumerate(texts) if g in t.lower()]
+
+
+def test_logins_of_any_length(spark):
+    user, word = "u" * 300, "p" * 500
+    texts = [f"see https://{user}:{word}@host/ and", "9ab+c://u:p@h", "x://u:p@h", "a" * 300_000, "a1" * 100_000 + "://u:p@",
+             "-----BEGIN " + "VERY " * 20 + "PRIVATE KEY-----"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in S.scan(docs, base=[]).collect()}
+    assert got == {0: f"url_login:4:{4 + 8 + 300 + 1 + 500 + 1}", 1: "url_login:1:12", 2: "", 3: "",
+                   4: f"url_login:0:{200_000 + 7}", 5: f"private_key:0:{len(texts[5])}"}
+
+
 def test_trigram_queries():
     assert S.trigram_query("[0-9a-f]{24,}") == S.ALWAYS
     assert S.trigram_query("AKIA[A-Z0-9]+") == [frozenset({"aki", "kia"})]
