@@ -96,6 +96,21 @@ def test_fuzzy_matcher_equals_brute_force(spark):
             assert r.matchType == "NONE" and r.confidence == 0
 
 
+def test_names_of_a_large_genus_meet_by_two_segments(spark):
+    import random
+    from pyspark.sql import functions as F
+    from verdant.operators.matcher import probes, segments
+    rnd = random.Random(5)
+    back = sorted({"rhododendron " + "".join(rnd.choice("abcdefghijklmnop") for _ in range(12)) for _ in range(300)})
+    qs = sorted({b[:14] + "zz" + b[16:] for b in back[::3]} | {b[:13] + b[14:] + "q" for b in back[1::3]})
+    b = spark.createDataFrame([(x,) for x in back], "b string").select("b", F.explode(segments("b", 2)).alias("p"))
+    q = spark.createDataFrame([(x,) for x in qs], "q string").select("q", F.explode(probes("q", 2)).alias("p"))
+    assert q.groupBy("q").count().agg(F.max("count")).first()[0] <= 150
+    met = {(r.q, r.b) for r in q.select("q", "p.*").join(b.select("b", "p.*"), ["len", "i", "j", "s", "t"]).select("q", "b").distinct().collect()}
+    near = {(x, y) for x in qs for y in back if _lev(x, y) <= 2}
+    assert near and near <= met
+
+
 def test_fuzzy_distance_argument_is_honoured(spark):
     import random
     rnd = random.Random(3)

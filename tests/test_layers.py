@@ -57,6 +57,21 @@ def test_containment_equals_brute_force_at_every_length(spark, vocabulary, longe
         assert (key, how) == ((next(iter(hits)), "genus_containment") if len(hits) == 1 else (None, None))
 
 
+def test_frequent_tokens_meet_in_pairs(spark):
+    """Long posting lists are split by a second token; the answers are the same."""
+    rnd = random.Random(17)
+    vocab = [f"t{i}" for i in range(9)]
+    sp = spine(spark, [(i, "g " + " ".join(rnd.sample(vocab, rnd.randint(0, 8)))) for i in range(120)])
+    idx = O.spine_index(sp)
+    asked = {("g",), *(("g", *sorted(rnd.sample(vocab, rnd.randint(1, 7)))) for _ in range(150)), ("g", "t1", "zz"), ("h", "t1")}
+    q = spark.createDataFrame([(" ".join(t), t[0], list(t[1:])) for t in asked], "n string, first string, rest array<string>")
+    names = {r[KEY]: {r.first, *r.rest} for r in idx.collect()}
+    want = sorted((" ".join(t), min(hits), max(hits)) for t in asked
+                  if (hits := [k for k, have in names.items() if set(t) <= have]))
+    for hot in (0, 20, 1 << 40):
+        assert sorted(rows(O.containment_keys(q, idx, hot), "n", "_cmin", "_cmax")) == want
+
+
 def test_offers_layer_no_orphans_idempotent(spark):
     sp = spine(spark, [(1, "הדס מצוי"), (2, "אלון מצוי")])
     offers = spark.createDataFrame([

@@ -10,12 +10,14 @@ service whose formula is not published):
 * NONE        nothing                                      confidence 0
 
 Equal names are found by an equi-join.  The names left are found by segments:
-a backbone name is cut into ``max_distance + 1`` even segments, and a string
-within that many edits keeps at least one of them whole, shifted by at most
-``max_distance`` places.  A query name therefore probes (length, segment, text)
-for every length and shift in reach: at most ``(2k + 1)^2 (k + 1)`` keys a name,
-whatever its length.  ``levenshtein`` verifies the pairs that meet.  This is exact
-for every distance and needs no block that a common genus could overload.
+a backbone name is cut into ``max_distance + 2`` even segments, and a string
+within that many edits keeps at least *two* of them whole.  Both together are the
+key, so the names of a large genus, whose first segment is the same, meet only
+where another segment agrees as well.  The shifts of the two and the difference in
+length come from the edits before, between and behind them, so they sum to at most
+``max_distance``: 25 shifts for two edits and 6 pairs of segments, at most 150 keys
+a query name, whatever its length.  ``levenshtein`` verifies the pairs that meet.
+This is exact for every distance.
 """
 
 from __future__ import annotations
@@ -29,30 +31,36 @@ from verdant.functions.text import normalize_name, tokens
 CARRIED = ["acceptedUsageKey", "accepted", "rank", "status", "kingdom", "family", "genus"]
 
 
-def _segment(n: str, i: str, k: int) -> tuple[str, str]:
-    """(start, length) of segment ``i`` of ``k + 1`` in a string of length ``n``;
-    the last ``n % (k + 1)`` segments are one longer."""
-    longer = f"greatest(0, {i} - ({k + 1} - {n} % {k + 1}))"
-    return f"({i} * ({n} div {k + 1}) + {longer})", f"({n} div {k + 1} + IF({i} >= {k + 1} - {n} % {k + 1}, 1, 0))"
+def _pairs(col: str, k: int, m: str, p: str, q: str, checks: str) -> str:
+    """Keys (len, i, j, s, t) of all pairs of the ``k + 2`` segments of a string of length
+    ``m``, read from ``col`` shifted by ``p`` and ``q``; null where ``checks`` fails."""
+    def cut(x: str) -> tuple[str, str]:
+        return f"({x} * {m} div {k + 2})", f"(({x} + 1) * {m} div {k + 2} - {x} * {m} div {k + 2})"
+
+    (at_i, size_i), (at_j, size_j) = cut("i"), cut("j")
+    inside = checks.format(i=f"{at_i} + {p}", j=f"{at_j} + {q}", end=f"{at_j} + {q} + {size_j}", gap=f"{at_i} + {p} + {size_i}")
+
+    def part(at: str, shift: str, size: str) -> str:
+        return f"substr({col}, cast({at} + {shift} + 1 AS int), cast({size} AS int))"
+
+    return (f"flatten(transform(sequence(0, {k}), i -> transform(sequence(i + 1, {k + 1}), j -> IF({inside}, "
+            f"named_struct('len', {m}, 'i', i, 'j', j, 's', {part(at_i, p, size_i)}, 't', {part(at_j, q, size_j)}), NULL))))")
 
 
 def segments(col: str, k: int) -> Column:
-    """The ``k + 1`` segments of a backbone name: array<struct<len, i, sub>>."""
-    n = f"length({col})"
-    start, size = _segment(n, "i", k)
-    return F.expr(f"transform(sequence(0, {k}), i -> named_struct('len', {n}, 'i', i, "
-                  f"'sub', substr({col}, cast({start} + 1 AS int), cast({size} AS int))))")
+    """Every two of the ``k + 2`` segments of a backbone name."""
+    return F.expr(_pairs(col, k, f"length({col})", "0", "0", "true"))
 
 
 def probes(col: str, k: int) -> Column:
-    """The segments that a backbone name within ``k`` edits may share with a name."""
+    """The pairs of segments that a backbone name within ``k`` edits may share with a name."""
+    reach = range(-k, k + 1)
+    shifts = [(a, a + b, a + b + c) for a in reach for b in reach for c in reach if abs(a) + abs(b) + abs(c) <= k]
+    rows = ", ".join(f"named_struct('p', {p}, 'q', {q}, 'm', {m})" for p, q, m in shifts)
     n = f"length({col})"
-    start, size = _segment("m", "i", k)
-    inner = (f"transform(sequence(-{k}, {k}), d -> named_struct('len', m, 'i', i, 'sub', "
-             f"IF({start} + d >= 0 AND {start} + d + {size} <= {n}, "
-             f"substr({col}, cast({start} + d + 1 AS int), cast({size} AS int)), NULL)))")
-    return F.expr(f"array_distinct(filter(flatten(flatten(transform(sequence(greatest(0, {n} - {k}), {n} + {k}), "
-                  f"m -> transform(sequence(0, {k}), i -> {inner})))), x -> x.sub IS NOT NULL))")
+    keys = _pairs(col, k, f"({n} - x.m)", "x.p", "x.q",
+                  f"{n} >= x.m AND {{i}} >= 0 AND {{j}} >= {{gap}} AND {{end}} <= {n}")
+    return F.expr(f"array_distinct(filter(flatten(transform(array({rows}), x -> {keys})), y -> y IS NOT NULL))")
 
 
 def match_names_fuzzy(queries: DataFrame, backbone: DataFrame, max_distance: int = 2) -> DataFrame:
@@ -71,7 +79,7 @@ def match_names_fuzzy(queries: DataFrame, backbone: DataFrame, max_distance: int
         left = asked.join(known, F.col("q") == F.col("b"), "left_anti")
         qs = left.select("q", F.explode(probes("q", max_distance)).alias("p")).select("q", "p.*")
         bs = known.select("b", F.explode(segments("b", max_distance)).alias("p")).select("b", "p.*")
-        near = qs.join(bs, ["len", "i", "sub"]).select("q", "b").distinct()
+        near = qs.join(bs, ["len", "i", "j", "s", "t"]).select("q", "b").distinct()
         pairs = same.unionByName(
             near.withColumn("d", F.levenshtein("q", "b", max_distance)).where(F.col("d") >= 0))
     cand = pairs.join(b, "b")

@@ -5,12 +5,12 @@ Matching works on distinct normalised seller names:
 * exact: normalised spine name -> lowest key (JON3);
 * containment (JON4), for the names left: same first token and every seller
   token present in the spine name, accepted only if exactly one distinct key
-  qualifies.  A name of one token takes the (min key, max key) of its first
-  token.  Any other name probes one posting list: the spine names that hold
-  its first token and the *rarest* of its other tokens beside it.  The tokens
-  of a candidate are then compared.  The lists are as short as the data
-  allows, every length of name takes the same path, and the answers of a name
-  are folded to (min key, max key) map-side.
+  qualifies.  Names of one or two tokens take the (min key, max key) of their
+  postings.  Any other name probes one posting list: the spine names that hold
+  its first token and the *rarest* of its other tokens beside it, or, where that
+  list is long (:data:`HOT`), its two rarest tokens together.  The tokens
+  of a candidate are then compared.  Every length of name gets the same answers,
+  and they are folded to (min key, max key) map-side.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from verdant.functions.enums import price_band
 from verdant.functions.text import norm_local_name, tokens
 
 KEY = "canonical_taxon_id"
+HOT = 1024      # spine names under one (first, other) token pair, beyond which two other tokens are the key
 
 
 def spine_index(spine: DataFrame, name_col: str = "name_he") -> DataFrame:
@@ -41,24 +42,40 @@ def exact_index(idx: DataFrame) -> DataFrame:
     return idx.groupBy("n").agg(F.min(KEY).alias("_exact_key"))
 
 
-def containment_keys(q: DataFrame, idx: DataFrame) -> DataFrame:
+def containment_keys(q: DataFrame, idx: DataFrame, hot: int = HOT) -> DataFrame:
     """JON4: ``q`` (n, first, rest) -> (n, _cmin, _cmax), the least and greatest
-    key of the spine names that contain all tokens of ``n``."""
-    single = (q.where(F.size("rest") == 0)
-              .join(idx.groupBy("first").agg(F.min(KEY).alias("_cmin"), F.max(KEY).alias("_cmax")), "first")
+    key of the spine names that contain all tokens of ``n``.
+
+    Names of one or two tokens are answered by aggregates of the postings.  Longer ones
+    probe the postings of their rarest token beside the first; where more than ``hot``
+    spine names hold even that one, the postings of their two rarest tokens together."""
+    ends = [F.min(KEY).alias("_cmin"), F.max(KEY).alias("_cmax")]
+    single = (q.where(F.size("rest") == 0).join(idx.groupBy("first").agg(*ends), "first")
               .select("n", "_cmin", "_cmax"))
     posts = idx.select(KEY, "first", "rest", F.explode("rest").alias("tok"))
-    count = posts.groupBy("first", "tok").agg(F.count(F.lit(1)).alias("c"))
+    count = posts.groupBy("first", "tok").agg(F.count(F.lit(1)).alias("c"), *ends)
     probe = (q.select("n", "first", F.col("rest").alias("_want"), F.explode("rest").alias("tok"))
              .join(count, ["first", "tok"])
              .groupBy("n", "first", "_want")
-             .agg(F.min(F.struct("c", "tok")).alias("rarest"), F.count(F.lit(1)).alias("known"))
-             .where(F.col("known") == F.size("_want"))            # every token occurs beside the first
-             .select("n", "first", "_want", F.col("rarest.tok").alias("tok")))
-    several = (probe.join(posts, ["first", "tok"])
-               .where(F.size(F.array_except("_want", "rest")) == 0)
-               .groupBy("n").agg(F.min(KEY).alias("_cmin"), F.max(KEY).alias("_cmax")))
-    return single.unionByName(several)
+             .agg(F.array_sort(F.collect_list(F.struct("c", "tok"))).alias("by"),     # the name's own tokens
+                  F.min("_cmin").alias("_cmin"), F.max("_cmax").alias("_cmax"))
+             .where(F.size("by") == F.size("_want")))             # every token occurs beside the first
+    two = probe.where(F.size("_want") == 1).select("n", "_cmin", "_cmax")
+    longer = probe.where(F.size("_want") > 1).select("n", "first", "_want", F.col("by")[0]["c"].alias("c"),
+                                                     F.col("by")[0]["tok"].alias("tok"), F.col("by")[1]["tok"].alias("tok2"))
+    rare = longer.where(F.col("c") <= hot).join(posts, ["first", "tok"])
+    # tokens that many names hold: two of them are the key
+    often = count.where(F.col("c") > hot).select("first", "tok")
+    pairs = (posts.join(often, ["first", "tok"]).groupBy(KEY, "first", "rest")
+             .agg(F.array_sort(F.collect_set("tok")).alias("toks"))                   # of one spine name
+             .select(KEY, "first", "rest", F.posexplode("toks").alias("i", "tok"), "toks")
+             .select(KEY, "first", "rest", "tok", F.explode(F.expr("slice(toks, i + 2, size(toks))")).alias("tok2")))
+    wide = (longer.where(F.col("c") > hot)
+            .select("n", "first", "_want", F.least("tok", "tok2").alias("tok"), F.greatest("tok", "tok2").alias("tok2"))
+            .join(pairs, ["first", "tok", "tok2"]))
+    several = (rare.select("n", "_want", KEY, "rest").unionByName(wide.select("n", "_want", KEY, "rest"))
+               .where(F.size(F.array_except("_want", "rest")) == 0).groupBy("n").agg(*ends))
+    return single.unionByName(two).unionByName(several)
 
 
 def match_names(names: DataFrame, spine: DataFrame, name_col: str = "name_he", containment: bool = True,
