@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from verdant.operators import media as M
-from verdant.operators import offers as O
+from verdant.operators import offers as O, reconcile as R
 from verdant.operators.layers import OFFER_COLUMNS, attach_layer, replace_provenance
 
 from helpers import rows
@@ -72,6 +72,20 @@ def test_frequent_tokens_meet_in_pairs(spark):
         assert sorted(rows(O.containment_keys(q, idx, hot), "n", "_cmin", "_cmax")) == want
 
 
+def test_long_forms_of_offers_and_conflicts(spark):
+    m = spark.createDataFrame(
+        [(1, 5.0, ["a", "a", "b"], None, "u"), (1, None, ["a"], "in_stock", "u"), (1, 3.0, None, "x", None), (None, 1.0, ["a"], "x", "w")],
+        f"{KEY} long, price double, pot_sizes array<string>, availability string, url string")
+    assert rows(O.offer_values(m), KEY, "kind", "value", "listings", "price_ils", "in_stock") == [
+        (1, "size", "a", 2, 5.0, True), (1, "size", "b", 1, 5.0, False), (1, "url", "u", 2, 5.0, True)]
+    prov = spark.createDataFrame([(1, "f", "x", "s2"), (1, "f", "x", "s1"), (1, "f", "y", "s3"), (1, "g", "x", "s1"),
+                                  (2, "f", None, "s1"), (2, "f", "z", "s1"), (2, "f", "z", "s2")],
+                                 f"{KEY} long, field string, value string, source string")
+    got = rows(R.conflict_values(prov), KEY, "field", "value", "n_rows", "first_source")
+    assert got == [(1, "f", "x", 2, "s1"), (1, "f", "y", 1, "s3")]
+    assert {(r[KEY], r.field): r["values"] for r in R.conflicts(prov).collect()} == {(1, "f"): ["x", "y"]}
+
+
 def test_offers_layer_no_orphans_idempotent(spark):
     sp = spine(spark, [(1, "הדס מצוי"), (2, "אלון מצוי")])
     offers = spark.createDataFrame([

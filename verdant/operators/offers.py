@@ -168,6 +168,20 @@ def offers_by_key(matched: DataFrame, seller: str) -> DataFrame:
         ((F.col("n_prices") > 1) | (F.col("listings") > 1)).alias("conflict"))
 
 
+def offer_values(matched: DataFrame) -> DataFrame:
+    """OFR1-OFR3 in long form: one row per (key, kind, value), ``kind`` being ``url`` or
+    ``size``, with the listings that state it, their lowest price and whether one is in stock."""
+    m = matched.where(F.col(KEY).isNotNull())
+    tag = lambda kind, v: F.struct(F.lit(kind).alias("kind"), v.cast("string").alias("value"))
+    sizes = F.transform(F.array_distinct(F.coalesce(F.col("pot_sizes"), F.array().cast("array<string>"))),
+                        lambda x: tag("size", x))
+    ex = m.select(KEY, "price", "availability", F.explode(F.concat(F.array(tag("url", F.col("url"))), sizes)).alias("t"))
+    return (ex.where(F.col("t.value").isNotNull())
+            .groupBy(KEY, F.col("t.kind").alias("kind"), F.col("t.value").alias("value"))
+            .agg(F.count(F.lit(1)).alias("listings"), F.min("price").alias("price_ils"),
+                 F.coalesce(F.max(F.col("availability") == "in_stock"), F.lit(False)).alias("in_stock")))
+
+
 def offer_provenance(matched: DataFrame, seller: str | Column) -> DataFrame:
     """OFR4: one row per seller value (not deduplicated); ``seller`` is a name, or a
     column where one table holds the offers of several."""

@@ -259,6 +259,17 @@ def conflicts(prov: DataFrame) -> DataFrame:
                     .where(F.col("n_values") > 1))
 
 
+def conflict_values(prov: DataFrame) -> DataFrame:
+    """REC10 in long form: each value of a (key, field) that has several, with its rows
+    and its first source.  No row holds a key's values; both aggregates combine map-side."""
+    known = prov.where(F.col("value").isNotNull())
+    several = (known.groupBy(KEY, "field").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+               .where("lo < hi").select(KEY, "field"))
+    return (known.groupBy(KEY, "field", "value")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.min("source").alias("first_source"))
+            .join(several, [KEY, "field"], "left_semi"))
+
+
 def metrics(df: DataFrame, **named: Column) -> DataFrame:
     """One aggregate pass over ``df`` -> long rows (metric, value)."""
     row = df.agg(*[c.cast("bigint").alias(n) for n, c in named.items()])

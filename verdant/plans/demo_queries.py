@@ -299,6 +299,11 @@ def offers_by_key(spark, sf):
     return _lists_as_text(O.offers_by_key(m, SELLER))
 
 
+def offer_values(spark, sf):
+    m, _ = _matched(spark, sf)
+    return O.offer_values(m)
+
+
 def offer_provenance(spark, sf):
     m, _ = _matched(spark, sf)
     m = written(m.select(KEY, "price", "pot_sizes", "availability", "how"), "matched")
@@ -420,6 +425,11 @@ def conflicts(spark, sf):
     return _lists_as_text(R.conflicts(O.offer_provenance(m, SELLER)))
 
 
+def conflict_values(spark, sf):
+    m, _ = _matched(spark, sf)
+    return R.conflict_values(O.offer_provenance(m, SELLER))
+
+
 def precedence(spark, sf):
     m, _ = _matched(spark, sf)
     # the shop's offers, and the same ones in a market's hands: one pass
@@ -487,6 +497,7 @@ QUERIES = {
     "match_containment": match_containment,
     "unmatched_offers": unmatched_offers,
     "offers_by_key": offers_by_key,
+    "offer_values": offer_values,
     "offer_provenance": offer_provenance,
     "attach_layer": attach_layer_q,
     "offer_gate": offer_gate,
@@ -503,6 +514,7 @@ QUERIES = {
     "stats": stats,
     "lookup_one": lookup_one,
     "conflicts": conflicts,
+    "conflict_values": conflict_values,
     "precedence": precedence,
     "gates": gates,
     "resolver_gate": resolver_gate,

@@ -531,6 +531,15 @@ SELECT canonical_taxon_id, array_to_string(sold_by, '|') AS sold_by, array_to_st
        price_ils, price_band, availability, array_to_string(source_urls, '|') AS source_urls, listings,
        n_prices, conflict FROM bk"""
 
+ORACLE_SQL["offer_values"] = f"""
+WITH {MATCHED},
+s AS (SELECT canonical_taxon_id, price, availability, unnest(list_distinct(pot_sizes)) AS value FROM matched),
+v AS (SELECT canonical_taxon_id, 'url' AS kind, url AS value, price, availability FROM matched
+      UNION ALL SELECT canonical_taxon_id, 'size', value, price, availability FROM s)
+SELECT canonical_taxon_id, kind, value, count(*) AS listings, min(price) AS price_ils,
+       coalesce(bool_or(availability = 'in_stock'), false) AS in_stock
+FROM v WHERE canonical_taxon_id IS NOT NULL AND value IS NOT NULL GROUP BY 1, 2, 3"""
+
 ORACLE_SQL["offer_provenance"] = f"""
 WITH {MATCHED}, {OFFER_PROV('matched', 'shop', 'op')}, {OFFER_PROV('matched', 'market', 'mp')}
 SELECT * FROM op UNION ALL SELECT * FROM mp WHERE field = 'match_method'"""
@@ -689,6 +698,13 @@ SELECT canonical_taxon_id, field, count(DISTINCT value) AS n_values,
        array_to_string(list_sort(list_distinct(list(value))), '|') AS "values"
 FROM op WHERE value IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT value) > 1"""
 
+ORACLE_SQL["conflict_values"] = f"""
+WITH {MATCHED}, {OFFER_PROV('matched', 'shop', 'op')},
+c AS (SELECT canonical_taxon_id, field, value, count(*) AS n_rows, min(source) AS first_source,
+             count(*) OVER (PARTITION BY canonical_taxon_id, field) AS n
+      FROM op WHERE value IS NOT NULL GROUP BY 1, 2, 3)
+SELECT canonical_taxon_id, field, value, n_rows, first_source FROM c WHERE n > 1"""
+
 ORACLE_SQL["precedence"] = f"""
 WITH {MATCHED},
 m2 AS (SELECT * REPLACE ('in_stock' AS availability) FROM matched),
