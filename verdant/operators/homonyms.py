@@ -1,11 +1,13 @@
 """Homonyms and transposed letters (RES8, RES4).
 
 * :func:`match_near` finds backbone names within ``max_distance`` edits, where a
-  swapped pair of letters is *one* edit (Damerau-Levenshtein).  An edit touches at
-  most two neighbouring segments of a name cut into ``2 k + 1`` even segments, so
-  one segment stays whole, shifted by at most ``k`` places: a query probes
-  ``(2 k + 1)^3`` keys, whatever its length.  Pairs that meet are bounded by
-  ``levenshtein`` (a swap is two of its edits) and decided by the exact distance.
+  swapped pair of letters is *one* edit (Damerau-Levenshtein).  Names meet by what
+  is left after deletions (:mod:`verdant.operators.near`); long names, and names more
+  than two edits away, by segments: an edit touches at most two neighbouring segments
+  of a name cut into ``2 k + 1`` even segments, so one segment stays whole, shifted by
+  at most ``k`` places, and a query probes ``(2 k + 1)^3`` keys, whatever its length.
+  Pairs that meet are bounded by ``levenshtein`` (a swap is two of its edits) and
+  decided by the exact distance.
 * :func:`choose` picks among several backbone rows of one name by context: family
   first, then kingdom, then accepted before synonym, then the lowest key; the
   number of rows that fit the context equally well is reported.
@@ -13,12 +15,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from verdant.functions.text import normalize_name
+from verdant.operators.near import nearest
 
 
 def damerau(a: str, b: str) -> int:
@@ -67,22 +72,27 @@ def probes(col: str, k: int) -> Column:
                   f"m -> transform(sequence(0, {parts - 1}), i -> {inner})))), x -> x.sub IS NOT NULL))")
 
 
-def match_near(queries: DataFrame, backbone: DataFrame, max_distance: int = 2) -> DataFrame:
+def _by_segments(asked: DataFrame, known: DataFrame, k: int) -> DataFrame:
+    """Distinct ``(q, b)`` that share a segment."""
+    qs = asked.select("q", F.explode(probes("q", k)).alias("p")).select("q", "p.*")
+    bs = known.select("b", F.explode(segments("b", k)).alias("p")).select("b", "p.*")
+    return qs.join(bs, ["len", "i", "sub"]).select("q", "b").distinct()
+
+
+def _within(pairs: DataFrame, k: int) -> DataFrame:
+    return (pairs.where(F.levenshtein("q", "b", 2 * k) >= 0)
+            .withColumn("d", damerau_distance("q", "b")).where(F.col("d") <= k))
+
+
+def match_near(queries: DataFrame, backbone: DataFrame, max_distance: int = 2,
+               keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``(input_name, name, distance)``: of each distinct input name the nearest backbone
-    names (all that are equally near), compared lower-cased."""
+    names (all that are equally near), compared lower-cased.  ``keep`` as in
+    :func:`~verdant.operators.near.nearest`."""
     q = queries.select("input_name").distinct().withColumn("q", F.lower(normalize_name(F.col("input_name"))))
     b = backbone.select("name", F.lower("name").alias("b")).distinct()
-    asked, known = q.select("q").distinct(), b.select("b").distinct()
-    same = asked.join(known, F.col("q") == F.col("b")).select("q", "b", F.lit(0).alias("d"))
-    left = asked.join(known, F.col("q") == F.col("b"), "left_anti")
-    qs = left.select("q", F.explode(probes("q", max_distance)).alias("p")).select("q", "p.*")
-    bs = known.select("b", F.explode(segments("b", max_distance)).alias("p")).select("b", "p.*")
-    near = (qs.join(bs, ["len", "i", "sub"]).select("q", "b").distinct()
-            .where(F.levenshtein("q", "b", 2 * max_distance) >= 0)
-            .withColumn("d", damerau_distance("q", "b")).where(F.col("d") <= max_distance))
-    pairs = same.unionByName(near)
-    least = pairs.groupBy("q").agg(F.min("d").alias("d"))
-    return (pairs.join(least, ["q", "d"]).join(b, "b").join(q, "q")
+    pairs = nearest(q.select("q").distinct(), b.select("b").distinct(), max_distance, _within, _by_segments, keep)
+    return (pairs.join(b, "b").join(q, "q")
             .select("input_name", "name", F.col("d").alias("distance")))
 
 

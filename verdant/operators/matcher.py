@@ -9,8 +9,10 @@ service whose formula is not published):
 * HIGHERRANK  only the first token (genus) is known        confidence 90
 * NONE        nothing                                      confidence 0
 
-Equal names are found by an equi-join.  The names left are found by segments:
-a backbone name is cut into ``max_distance + 2`` even segments, and a string
+Equal names are found by an equi-join.  The names left meet by what is left of them
+after one deletion, then, where nothing is that near, after two
+(:mod:`verdant.operators.near`).  Long names, and names more than two edits away, are
+found by segments: a backbone name is cut into ``max_distance + 2`` even segments, and a string
 within that many edits keeps at least *two* of them whole.  Both together are the
 key, so the names of a large genus, whose first segment is the same, meet only
 where another segment agrees as well.  The shifts of the two and the difference in
@@ -22,10 +24,13 @@ This is exact for every distance.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdant.functions.text import normalize_name, tokens
+from verdant.operators.near import nearest
 
 # the columns of a backbone that answers carry through, where it has them
 CARRIED = ["acceptedUsageKey", "accepted", "rank", "status", "kingdom", "family", "genus"]
@@ -63,25 +68,28 @@ def probes(col: str, k: int) -> Column:
     return F.expr(f"array_distinct(filter(flatten(transform(array({rows}), x -> {keys})), y -> y IS NOT NULL))")
 
 
-def match_names_fuzzy(queries: DataFrame, backbone: DataFrame, max_distance: int = 2) -> DataFrame:
+def _by_segments(asked: DataFrame, known: DataFrame, k: int) -> DataFrame:
+    """Distinct ``(q, b)`` that share two segments."""
+    qs = asked.select("q", F.explode(probes("q", k)).alias("p")).select("q", "p.*")
+    bs = known.select("b", F.explode(segments("b", k)).alias("p")).select("b", "p.*")
+    return qs.join(bs, ["len", "i", "j", "s", "t"]).select("q", "b").distinct()
+
+
+def _within(pairs: DataFrame, k: int) -> DataFrame:
+    return pairs.withColumn("d", F.levenshtein("q", "b", k)).where(F.col("d") >= 0)
+
+
+def match_names_fuzzy(queries: DataFrame, backbone: DataFrame, max_distance: int = 2,
+                      keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Distinct ``input_name`` -> (input_name, matched_name, key, distance,
     matchType, confidence) and the :data:`CARRIED` columns that ``backbone``
-    (name, key, ...) has."""
+    (name, key, ...) has.  ``keep`` as in :func:`~verdant.operators.near.nearest`."""
     carried = [c for c in CARRIED if c in backbone.columns]
     q = (queries.select("input_name").distinct()
                 .withColumn("q", F.lower(normalize_name(F.col("input_name")))))
     b = backbone.select(F.col("name").alias("matched_name"), "key", *carried,
                         F.lower(F.col("name")).alias("b"))
-    asked, known = q.select("q").distinct(), b.select("b").distinct()
-    same = asked.join(known, F.col("q") == F.col("b")).select("q", "b", F.lit(0).alias("d"))
-    pairs = same
-    if max_distance > 0:
-        left = asked.join(known, F.col("q") == F.col("b"), "left_anti")
-        qs = left.select("q", F.explode(probes("q", max_distance)).alias("p")).select("q", "p.*")
-        bs = known.select("b", F.explode(segments("b", max_distance)).alias("p")).select("b", "p.*")
-        near = qs.join(bs, ["len", "i", "j", "s", "t"]).select("q", "b").distinct()
-        pairs = same.unionByName(
-            near.withColumn("d", F.levenshtein("q", "b", max_distance)).where(F.col("d") >= 0))
+    pairs = nearest(q.select("q").distinct(), b.select("b").distinct(), max_distance, _within, _by_segments, keep)
     cand = pairs.join(b, "b")
     best = (cand.groupBy("q").agg(F.min_by(F.struct("matched_name", "key", "d", *carried),
                                            F.struct("d", "b", "key")).alias("m")))
@@ -102,13 +110,14 @@ def match_names_fuzzy(queries: DataFrame, backbone: DataFrame, max_distance: int
         conf.cast("int").alias("confidence"), *[F.col(f"m.{c}").alias(c) for c in carried])
 
 
-def responses_for(misses: DataFrame, backbone: DataFrame) -> DataFrame:
+def responses_for(misses: DataFrame, backbone: DataFrame,
+                  keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Match-table rows for unseen keys (RES7 + RES8): ``misses``: (name_key).
 
     Rank, status, kingdom, family, genus and the accepted name are those of the
     backbone row that answered; a backbone without these columns counts as
     accepted species of unstated kingdom."""
-    m = match_names_fuzzy(misses.select(F.col("name_key").alias("input_name")), backbone)
+    m = match_names_fuzzy(misses.select(F.col("name_key").alias("input_name")), backbone, keep=keep)
     has = set(backbone.columns)
     hit = F.col("matchType").isin("EXACT", "FUZZY")
 

@@ -26,6 +26,7 @@ from verdant.operators.matcher import responses_for
 from verdant.operators.resolve import MATCH_FIELDS, cache_stats, unseen_keys
 from verdant.plans.append_table import AppendTable
 from verdant.plans.gates import second_run_gate
+from verdant.session import written
 from verdant.sources.services import MATCH_SCHEMA
 
 
@@ -52,7 +53,9 @@ class KeptAnswers:
         """Answer and keep what ``names`` (input_name, input_lang) ask and nobody has answered."""
         known = self.known(match)
         stats = cache_stats(names, known, profile)
-        answers = responses_for(unseen_keys(names, known, profile), backbone)
+        if any(c.batch == batch for c in self.table.commits()):     # a replay: nothing is matched
+            return Run(stats, False)
+        answers = responses_for(unseen_keys(names, known, profile), backbone, written)
         cast = {f.name: f.dataType for f in MATCH_SCHEMA.fields}
         answers = answers.select(*[F.col(c).cast(t).alias(c) for c, t in cast.items()])
         return Run(stats, self.table.commit(answers, batch, order))
