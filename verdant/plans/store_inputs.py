@@ -27,8 +27,10 @@ H1 = r"(?s)<h1>(.*?)</h1>"
 
 
 def word(text: Column, i: int) -> Column:
-    """The ASCII letters of the ``i``-th blank-separated piece of a text."""
-    return F.lower(F.regexp_replace(F.split_part(F.coalesce(text, F.lit("")), F.lit(" "), F.lit(i)), "[^A-Za-z]", ""))
+    """The ASCII letters of the ``i``-th blank-separated piece of a text; only the text up
+    to that piece is looked at."""
+    piece = F.regexp_extract(F.coalesce(text, F.lit("")), rf"^(?:[^ ]*+ ){{{i - 1}}}([^ ]*+)", 1)
+    return F.lower(F.regexp_replace(piece, "[^A-Za-z]", ""))
 
 
 def _pick(values: list[str], n: Column) -> Column:
@@ -45,8 +47,12 @@ def part_like(key: Column, text: Column, n: Column, brand: Column, first: int =
             _pick(TYPES, n).alias("p_type"), (n % 50 + 1).alias("p_size"), n.alias("p_retailprice")]
 
 
+def part_of_doc(first: int = 1) -> list[Column]:
+    return part_like(F.col("doc_id"), F.col("text"), F.col("n_chars"), F.col("lang"), first)
+
+
 def doc_parts(docs: DataFrame, first: int = 1) -> DataFrame:
-    return docs.select(*part_like(F.col("doc_id"), F.col("text"), F.col("n_chars"), F.col("lang"), first))
+    return docs.select(*part_of_doc(first))
 
 
 def page_parts(pages: DataFrame) -> DataFrame:

@@ -24,27 +24,31 @@ from verdant.plans.gates import second_run_gate
 from verdant.plans.incremental import CatalogStore
 from verdant.plans.store_inputs import build_inputs, changes, doc_parts, eav_of, known_names, record_ids, typo
 from verdant.plans.surface import lookup, provenance_of
-from verdant.session import work_dir
+from verdant.session import work_dir, written
 from verdant.sources import snapshots as SN
 
 
+def _parts(spark, sf):
+    """The documents' part-like rows, made once from their texts."""
+    return written(doc_parts(table(spark, sf, "documents")), "parts")
+
+
 def _answered(spark, sf):
     """Two runs over misspelt names: the English documents', then (after a replay
     of the first run) all documents'."""
-    docs = table(spark, sf, "documents")
-    parts = doc_parts(docs)
+    parts = _parts(spark, sf)
     match = match_table(parts)
     backbone = parts.groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("key"))
 
     def asked(of):
-        return doc_parts(of).select(typo(F.col("p_name")).alias("input_name"), F.lit("lat").alias("input_lang"))
+        return of.select(typo(F.col("p_name")).alias("input_name"), F.lit("lat").alias("input_lang"))
 
     store = KeptAnswers(spark, work_dir(spark))
-    first = store.run(asked(docs.where("lang = 'en'")), match, backbone, "a", PARTS_PROFILE)
-    if store.run(asked(docs), match, backbone, "a", PARTS_PROFILE).committed:
+    first = store.run(asked(parts.where("p_brand = 'Brand#en'")), match, backbone, "a", PARTS_PROFILE)
+    if store.run(asked(parts), match, backbone, "a", PARTS_PROFILE).committed:
         raise RuntimeError("a replayed batch was committed")
-    second = store.run(asked(docs), match, backbone, "b", PARTS_PROFILE)
-    return store, first, second, asked(docs), match
+    second = store.run(asked(parts), match, backbone, "b", PARTS_PROFILE)
+    return store, first, second, asked(parts), match
 
 
 def kept_answers(spark, sf):
@@ -167,12 +171,12 @@ def seller_snapshots(spark, sf):
 
 def listed_names(spark, sf):
     """SRC3 -> RES9: a list file's names through the resolver: keys, and names left for review."""
-    docs = table(spark, sf, "documents")
-    lines = doc_parts(docs).select(F.concat(F.lit(" "), F.col("p_name"), F.lit(" ,"), F.col("p_type")).alias("name_lat"))
+    parts = _parts(spark, sf)
+    lines = parts.select(F.concat(F.lit(" "), F.col("p_name"), F.lit(" ,"), F.col("p_type")).alias("name_lat"))
     path = f"{work_dir(spark)}/list"
-    lines.coalesce(1).write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(path)
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(path)
     names = ST.curated_names(SN.read_list_lines(spark, path))
-    listed, unresolved = ST.listed_keys(names, match_table(doc_parts(docs)), PARTS_PROFILE)
+    listed, unresolved = ST.listed_keys(names, match_table(parts), PARTS_PROFILE)
     none = F.lit(None)
     return listed.select(P.KEY, "name", none.cast("string").alias("reason")).unionByName(
         unresolved.select(none.cast("bigint").alias(P.KEY), "name", "reason"))
@@ -197,10 +201,10 @@ def labelled_gate(spark, sf):
 
 def resolve_swapped(spark, sf):
     """RES8 with swapped letters: names whose second and third letters changed places."""
-    parts = doc_parts(table(spark, sf, "documents"))
+    parts = _parts(spark, sf)
     n = F.col("p_name")
     swapped = F.concat(F.substring(n, 1, 1), F.substring(n, 3, 1), F.substring(n, 2, 1), F.substring(n, 4, 1000))
-    return match_near(parts.select(swapped.alias("input_name")), parts.select(n.alias("name")), 1)
+    return match_near(parts.select(swapped.alias("input_name")), parts.select(n.alias("name")), 1, written)
 
 
 def resolve_homonyms(spark, sf):
