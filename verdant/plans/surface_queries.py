@@ -16,9 +16,9 @@ from verdant.plans.demo_inputs import table
 from verdant.plans.facets import FacetIndex, Field, scalar
 from verdant.plans.paging import Ordered, Sort, after, last_of
 from verdant.plans.search_index import SearchIndex
-from verdant.plans.store_inputs import doc_parts
+from verdant.plans.store_inputs import part_of_doc
 from verdant.plans.surface import facet
-from verdant.session import work_dir
+from verdant.session import work_dir, written
 
 # FIXED VALUES of the demo: patterns with trigrams, with wildcards and without a trigram
 PATTERNS = ("the and", "th_t ", "erhe%on", "on", "%", "été", "no such text", "a_b%c")
@@ -103,15 +103,16 @@ def table_changes(spark, sf):
     documents of quality 0 have another name, toxic ones are gone and German ones
     stand a second time."""
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
-
-    def those(cond: str) -> DataFrame:
-        return docs.join(labels.where(cond).select("doc_id"), "doc_id", "left_semi")
-
-    left = doc_parts(docs)
-    moved, gone = those("quality = 0"), those("toxic = 1")
-    same = docs.join(moved.unionByName(gone).select("doc_id").distinct(), "doc_id", "left_anti")
-    right = doc_parts(same).unionByName(doc_parts(moved.join(gone.select("doc_id"), "doc_id", "left_anti"), 3))
-    right = right.unionByName(doc_parts(docs.where("lang = 'de'")))
+    # narrow rows, made once from the texts: the document's own and those under another name
+    both = written(docs.select("lang", F.struct(*part_of_doc()).alias("own"), F.struct(*part_of_doc(3)).alias("other")), "parts")
+    marks = labels.groupBy(F.col("doc_id").alias("p_partkey")).agg(
+        F.max(F.coalesce(F.col("quality") == 0, F.lit(False))).alias("moved"),
+        F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("gone"))
+    marked = both.withColumn("p_partkey", F.col("own.p_partkey")).join(marks, "p_partkey", "left")
+    kept = marked.where(~F.coalesce("gone", F.lit(False)))
+    right = kept.select(F.when(F.coalesce("moved", F.lit(False)), F.col("other")).otherwise(F.col("own")).alias("p"))
+    right = right.unionByName(both.where("lang = 'de'").select(F.col("own").alias("p")))
+    left, right = both.select("own.*"), written(right.select("p.*"), "copy")
     return C.differences(left, right)
 
 
