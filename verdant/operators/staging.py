@@ -70,7 +70,9 @@ def pivot_records(eav: DataFrame, labels: list[str]) -> DataFrame:
     First value per attribute by snapshot date, ties by value (a null last);
     the names come from the record's first row by (date, attribute, value, names).  The explicit label list turns the pivot into
     conditional aggregates in one pass (partial aggregation keeps hot records
-    map-side).
+    map-side).  Rows are dealt by record first: the aggregates hold texts, so each
+    task sorts its rows, and a task of a scan may make any number of them from a
+    small file.  The hint bounds a task's rows by size and splits a hot record's.
     """
     ordk = F.struct("scraped_at", "attribute", F.col("value").isNull().alias("none"), "value",
                     "raw_name_lat", "raw_name_he")
@@ -81,6 +83,7 @@ def pivot_records(eav: DataFrame, labels: list[str]) -> DataFrame:
         aggs.append(F.min_by(F.col("value"),
                              F.when(F.col("attribute") == lab, F.struct(
                                  "scraped_at", F.col("value").isNull().alias("none"), "value"))).alias(lab))
-    out = eav.groupBy("source", "source_id").agg(*aggs)
+    dealt = eav.withColumn("_at", F.xxhash64("source", "source_id")).hint("rebalance", "_at")
+    out = dealt.groupBy("source", "source_id").agg(*aggs)
     return out.select("source", "source_id", "scraped_at", "_names.name_he", "_names.name_lat",
                       *[F.col(f"`{lab}`") for lab in labels])
