@@ -37,9 +37,14 @@ def clean_credit(c, max_chars: int = L.ARTIST_MAX_CHARS) -> Column:
     return F.nullif(F.substring(s, 1, max_chars), F.lit(""))
 
 
+def nfkc_text(c) -> Column:
+    """NFKC; ASCII texts are their own normal form and stay out of Python."""
+    return F.coalesce(nfkc(F.when(_c(c).rlike(r"[^\x00-\x7F]"), _c(c))), _c(c))
+
+
 def normalize_name(c) -> Column:
     """NRM1: NFKC, strip, collapse whitespace; null -> ''."""
-    return F.coalesce(collapse_ws(nfkc(_c(c))), F.lit(""))
+    return F.coalesce(collapse_ws(nfkc_text(c)), F.lit(""))
 
 
 def is_latin(c) -> Column:
@@ -72,7 +77,7 @@ def bare_name(c) -> Column:
 
 def norm_local_name(c) -> Column:
     """NRM6: NFKC, drop marks, pot tokens and punctuation to blanks, collapse."""
-    s = nfkc(_c(c))
+    s = nfkc_text(c)
     s = F.regexp_replace(s, L.MARKS_PATTERN, "")
     s = F.regexp_replace(s, L.POT_TOKENS_PATTERN, " ")
     s = F.regexp_replace(s, L.PUNCT_PATTERN, " ")

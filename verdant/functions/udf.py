@@ -1,23 +1,41 @@
-"""The two Python helpers Spark has no built-in for, as Arrow pandas UDFs.
+"""The two Python helpers Spark has no built-in for, as Arrow UDFs.
 
 Both are element-wise string maps over an Arrow batch; they run inside the
 executor that holds the partition.  Callers apply them to distinct values or
 short extracted fields, never to whole pages where a built-in would do.
+:func:`nfkc` also meets whole texts: it walks a batch in slices, so that what it
+holds beside the batch does not depend on the rows of a batch.
 """
 
 from __future__ import annotations
 
 import html
+import unicodedata
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 
-@F.pandas_udf(StringType())
-def nfkc(s: pd.Series) -> pd.Series:
+SLICE_BYTES = 1 << 20      # text that is turned into Python strings at a time
+
+
+def nfkc_slices(s: pa.Array, slice_bytes: int = SLICE_BYTES) -> pa.Array:
+    """NFKC of a string array, slice by slice of about ``slice_bytes``."""
+    done, at = [], 0
+    step = max(1, len(s) * slice_bytes // max(s.nbytes, 1))
+    while at < len(s):
+        part = s.slice(at, step).to_pylist()
+        done.append(pa.array([x if x is None else unicodedata.normalize("NFKC", x) for x in part], s.type))
+        at += step
+    return pa.concat_arrays(done) if done else s
+
+
+@F.arrow_udf(StringType())
+def nfkc(s: pa.Array) -> pa.Array:
     """Unicode NFKC normal form (nulls stay null)."""
-    return s.str.normalize("NFKC")
+    return nfkc_slices(s)
 
 
 @F.pandas_udf(StringType())
