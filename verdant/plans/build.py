@@ -13,6 +13,7 @@ lost executor does not force a re-run from the raw pages.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -38,18 +39,19 @@ class CatalogBuild:
 
 def build_catalog(eav: DataFrame, match: DataFrame, status: DataFrame | None = None,
                   profile: L.Profile = L.REFERENCE_PROFILE,
-                  materialize: bool = True) -> CatalogBuild:
-    """STG3 -> RES -> REC (+STA3): the spine, its provenance and review queue."""
-    records = pivot_records(eav, profile.labels)
-    if materialize:
-        # the pivot is the largest aggregate of the build and resolve reads
-        # its output twice (distinct names, then the join back): keep it once
-        records = cut_lineage(records)
-    res = resolve_records(records, match, "name_lat", "lat", profile)
-    if materialize:
-        res = cut_lineage(res)
+                  materialize: bool = True, keep: Callable[[DataFrame], DataFrame] | None = None) -> CatalogBuild:
+    """STG3 -> RES -> REC (+STA3): the spine, its provenance and review queue.
+
+    ``keep`` (a written table) takes the place of the checkpoint and also keeps the
+    reconciled rows, which the spine and its provenance read."""
+    # the pivot is the largest aggregate of the build and resolve reads
+    # its output twice (distinct names, then the join back): keep it once
+    cut = keep or (cut_lineage if materialize else lambda df: df)
+    records = cut(pivot_records(eav, profile.labels))
+    res = cut(resolve_records(records, match, "name_lat", "lat", profile))
     ok, review = split_review(res)
     rec = reconcile(ok, status, profile)
+    rec = keep(rec) if keep else rec
     return CatalogBuild(canonical=canonical_table(rec), provenance=provenance(rec, profile),
                         review=review, resolved=ok, records=records)
 

@@ -21,6 +21,7 @@ from verdant.operators.layers import MEDIA_COLUMNS, OFFER_COLUMNS, attach_layer,
 from verdant.operators.staging import crosswalk
 from verdant.plans import publish as P
 from verdant.plans.build import build_catalog
+from verdant.session import written
 
 BUCKETS = 64
 
@@ -68,13 +69,13 @@ def build(spark: SparkSession, base: str, given: Inputs, profile: L.Profile = L.
     P.write_eav(given.eav, base)                                                        # SNK1
     eav = P.read_current(spark, base, "eav")
     P.write_csv(crosswalk(eav), base, "crosswalk", order_by=["name_he", "name_lat", "source_id"])   # SNK2
-    made = build_catalog(eav, given.match, given.status, profile, materialize=False)
+    made = build_catalog(eav, given.match, given.status, profile, keep=written)
     out.put("spine", made.canonical)                                                    # SNK4
     P.write_csv(made.review, base, "review", order_by=["source_id"])                    # SNK3
     out.put_as_is("provenance_spine", made.provenance)                                  # SNK5
 
     spine = out.table("spine")
-    out.put_as_is("matched", O.match_offers(given.offers, spine, name_col))
+    out.put_as_is("matched", O.match_offers(given.offers, spine, name_col, keep=written))
     matched = out.table("matched")
     out.put("offers", O.offers_by_key(matched, given.seller))
     P.write_csv(O.unmatched(matched), base, "unmatched", order_by=["source_id"])        # SNK6

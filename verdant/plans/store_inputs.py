@@ -17,6 +17,7 @@ from verdant.operators.staging import eav_from_records
 from verdant.operators.status import potential_keys, status_frame
 from verdant.plans.demo_inputs import SELLER, match_table, media_inputs, offers, part_records, table
 from verdant.plans.published import Inputs
+from verdant.session import written
 
 # FIXED VALUES of the demo: the name tokens and types of ``part``
 ADJECTIVES = ["small", "large", "red", "blue", "old", "new", "hot", "cold"]
@@ -88,7 +89,7 @@ def known_names(spark, sf) -> DataFrame:
     """The match table over the names of every batch."""
     docs = table(spark, sf, "documents")
     parts = doc_parts(docs).unionByName(doc_parts(docs, 3)).unionByName(page_parts(table(spark, sf, "pages")))
-    return match_table(parts)
+    return written(match_table(parts), "match")
 
 
 def typo(name: Column) -> Column:
@@ -100,7 +101,7 @@ def build_inputs(spark, sf, occurrence_limit: int) -> Inputs:
     """The whole build's inputs: documents are the records, line items their offers,
     labels the status lists, events the occurrences; an image stands for all names
     that share its first two tokens."""
-    parts = doc_parts(table(spark, sf, "documents"))
+    parts = written(doc_parts(table(spark, sf, "documents")), "parts")
     labels = table(spark, sf, "labels")
     key = F.col("doc_id").alias("canonical_taxon_id")
     listed = labels.where("toxic = 1").select(key)
