@@ -140,3 +140,15 @@ def test_table_changes_reads_texts_once(spark, tmp_path):
     assert set(rows(got, *cols, "n_left", "n_right")) == want and want
     files = " ".join(got.inputFiles())
     assert "documents.parquet" not in files
+
+
+def test_build_keeps_what_several_sinks_read(spark):
+    from verdant.plans.build import build_catalog
+    from verdant.plans.demo_inputs import PARTS_PROFILE, match_table
+    from verdant.plans.store_inputs import eav_of
+    docs = spark.createDataFrame([(1, "en", "One", 3)], "doc_id long, lang string, text string, n_chars long")
+    seen = []
+    made = build_catalog(eav_of(doc_parts(docs)), match_table(doc_parts(docs)), None, PARTS_PROFILE,
+                         keep=lambda df: (seen.append(df.columns), df)[1])
+    assert len(seen) == 3 and "reason" in seen[1] and "scientific_name" in seen[2]      # pivoted, resolved, reconciled
+    assert made.resolved.columns == seen[1]
