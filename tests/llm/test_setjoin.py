@@ -215,3 +215,34 @@ def test_best_partners_first(spark):
     some = list(_tile_pairs(ids, comps, sizes, bits, all_, all_, 80, 100, 2))
     pairs = {p for p in some if p[1] is not None}
     assert pairs < full and len(pairs) <= 2 * 20 and any(b is None for _, b in some)
+
+
+def test_a_list_sends_rows_by_its_members(spark, monkeypatch):
+    """Near copies in one list: neither round sends rows by pairs, or by members times blocks."""
+    import numpy as np
+    from verdant.llm import setjoin
+    monkeypatch.setattr(setjoin, "TILE", 32)
+    rng = random.Random(5)
+    base = [rng.getrandbits(50) for _ in range(60)]
+    sets = {i: sorted({*rng.sample(base, 58), rng.getrandbits(50)}) for i in range(200)}
+    rows = spark.createDataFrame([(i, bytearray(np.array(x, dtype="<i8").tobytes())) for i, x in sets.items()], setjoin.SETS)
+    lists = spark.createDataFrame([(7, i) for i in sets], "key long, id long")
+    comps = spark.createDataFrame([], "id long, component long")
+    first = setjoin._candidates(lists, comps, rows, 80, 100, setjoin.stored, setjoin.BEST).collect()
+    assert len(first) <= (setjoin.BEST + 1) * len(sets) and any(r.open == 7 for r in first)
+    links = setjoin._candidates(lists, comps, rows, 80, 100, setjoin.stored, None).collect()
+    blocks = -(-len(sets) // 32)
+    assert 0 < len(links) < 64 * blocks * blocks
+    for r in links:
+        a, b = set(sets[r.a]), set(sets[r.b])
+        assert r.open is None and 100 * len(a & b) >= 80 * len(a | b)
+    # the links of the tiles join all that are linked
+    up = {i: i for i in sets}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for r in links:
+        up[max(root(r.a), root(r.b))] = min(root(r.a), root(r.b))
+    assert {root(i) for i in sets} == {0}

@@ -8,17 +8,19 @@ share at least one key.  Pairs are never expanded within a key.
    edits, the text they come from).  Every id is compared with one hub: the one
    it shares most lists with.  That is one pair an id, and it joins dense groups
    of copies.
-3. Lists that still hold several components are compared exactly in tiles:
-   blocks of residents (all members) against blocks of visitors (members
-   outside the list's largest component).  Size bounds and hashed bitmaps
-   (``|A ^ B| >= popcount(bits A ^ bits B)``) discard pairs inside the tile,
-   and only pairs of different components leave it.  In a first round a visitor
-   sends the :data:`BEST` partners of a tile whose bound is highest, so that a
-   tile sends no more than a few rows a member; lists where that left pairs out
-   are compared again, in full, once those links have joined components.
-4. Survivors are verified by intersecting the sorted arrays that the sets'
-   payloads decode to (the elements themselves, or a text to cut up again:
-   whatever is smaller to move).
+3. Lists that still hold several components are first compared block by block:
+   each member stands in one block of a list, and one outside the list's largest
+   component sends the :data:`BEST` partners of its block that bounds on sizes and
+   hashed bitmaps (``|A ^ B| >= popcount(bits A ^ bits B)``) rank highest: a few
+   rows a member, whatever the length of the list.
+4. Lists where that left pairs out are then compared in full, in tiles: blocks of
+   residents (all members) against blocks of visitors (members outside the largest
+   component).  The sets come with them, so the pairs that the bounds let pass are
+   verified in the tile, and only links that join two components leave it: fewer
+   than it has members, however many pairs fail.
+5. Pairs are verified by intersecting the sorted arrays that the sets' payloads
+   decode to (the elements themselves, or a text to cut up again: whatever is
+   smaller to move).
 
 Of lists with the same members one is kept: a passage that some sets share gives
 as many equal lists as it has elements.
@@ -40,7 +42,8 @@ from verdant.llm.common import bitmap_of, pieces, staged
 from verdant.llm.graph import components
 
 TILE = 512          # members of a tile's block
-BEST = 4            # partners that a visitor sends from a tile in the first round
+TILE_BYTES = 1 << 24    # bytes of payloads of a tile's block, about
+BEST = 4            # partners that a visitor sends from its block in the first round
 SETS = "id long, payload binary"
 
 
@@ -96,12 +99,38 @@ def _tile_pairs(ids, comps, sizes, bitmaps, resident, visitor, num: int, den: in
             yield min(j, ids[v]), max(j, ids[v])
 
 
+def _tile_links(ids, comps, sizes, bitmaps, resident, visitor, payloads, num: int, den: int, decode):
+    """Links of a tile that join its components: its pairs are verified as they come,
+    and those whose ends are joined already are passed over."""
+    at = {int(x): i for i, x in enumerate(ids)}
+    up: dict[int, int] = {}
+    sets: dict[int, np.ndarray] = {}
+
+    def root(c: int) -> int:
+        while c in up:
+            up[c] = c = up.get(up[c], up[c])
+        return c
+
+    def elements(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = decode(payloads[i].as_py())
+        return sets[i]
+
+    for a, b in _tile_pairs(ids, comps, sizes, bitmaps, resident, visitor, num, den, None):
+        i, j = at[int(a)], at[int(b)]
+        ra, rb = root(int(comps[i])), root(int(comps[j]))
+        if ra != rb and _similar(elements(i), elements(j), num, den):
+            up[max(ra, rb)] = min(ra, rb)
+            yield a, b
+
+
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("open", pa.int64())])
 _CAND = "a long, b long, open long"
 
 
-def _tiles(num: int, den: int, best: int | None):
-    """Rows ``(a, b, null)`` are pairs, ``(null, null, key)`` lists with pairs left out."""
+def _tiles(num: int, den: int, best: int | None, decode: Callable[[bytes], np.ndarray] | None = None):
+    """Rows ``(a, b, null)`` are pairs, ``(null, null, key)`` lists with pairs left out.
+    Without ``best`` the pairs are links, verified by the tile's ``payload`` column."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
 
@@ -117,8 +146,11 @@ def _tiles(num: int, den: int, best: int | None):
                 if hi - lo < 2:
                     continue
                 s = slice(lo, hi)
-                out.update((int(x), int(y), None) if y is not None else (None, None, int(keys[lo, 0])) for x, y in
-                           _tile_pairs(ids[s], comps[s], sizes[s], bitmaps[lo:hi], res[s], vis[s], num, den, best))
+                tile = ids[s], comps[s], sizes[s], bitmaps[lo:hi], res[s], vis[s]
+                found = (_tile_links(*tile, t.column("payload").slice(lo, hi - lo), num, den, decode) if best is None
+                         else _tile_pairs(*tile, num, den, best))
+                out.update((int(x), int(y), None) if y is not None else (None, None, int(keys[lo, 0]))
+                           for x, y in found)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=_PAIR)
 
@@ -142,22 +174,21 @@ def stored(payload: bytes) -> np.ndarray:
     return np.frombuffer(payload, dtype="<i8")
 
 
+def _similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    """``den * |x & y| >= num * |x | y|`` of two sorted sets."""
+    if den * min(len(x), len(y)) < num * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")               # two sorted runs: one merge
+    common = int((both[1:] == both[:-1]).sum())
+    return den * common >= num * (len(both) - common)
+
+
 def _verifier(num: int, den: int, decode: Callable[[bytes], np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            keep = []
-            for a, b in zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist()):
-                if a == b:
-                    keep.append(True)
-                    continue
-                x, y = decode(a), decode(b)
-                if den * min(len(x), len(y)) < num * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")               # two sorted runs: one merge
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(den * common >= num * (len(both) - common))
+            keep = [a == b or _similar(decode(a), decode(b), num, den) for a, b in
+                    zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
@@ -171,13 +202,14 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int,
         _verifier(num, den, decode), "a long, b long")
 
 
-def _signer(decode: Callable[[bytes], np.ndarray]):
+def _signer(decode: Callable[[bytes], np.ndarray], with_payload: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             got = [decode(p) for p in batch.column("payload").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([len(x) for x in got], pa.int64()),
-                 pa.array([bitmap_of(x) for x in got], pa.binary())], names=["id", "n", "bits"])
+            cols = [batch.column("id"), pa.array([len(x) for x in got], pa.int64()),
+                    pa.array([bitmap_of(x) for x in got], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols + [batch.column("payload")] * with_payload,
+                                             names=["id", "n", "bits"] + ["payload"] * with_payload)
     return run
 
 
@@ -189,6 +221,8 @@ def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: in
     turns a payload into the sorted, distinct elements.  Ids without a link
     are absent from the result.
     """
+    # dealt by key once: the ends of the lists and their members are taken from the same rows
+    members = members.repartition("key")
     ends = (members.groupBy("key")
             .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("c"),
                  F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
@@ -207,15 +241,15 @@ def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: in
     pivot = together.groupBy("id").agg(F.max_by("hub", F.struct(F.col("lists"), -F.col("hub"))).alias("b"))
     first = staged(verify(pivot.select(F.col("id").alias("a"), "b"), sets, num, den, decode), "first")
     comps, lists = staged(components(first), "comps"), shared
-    for best in (BEST, None):
-        cand = staged(_candidates(lists, comps, sets, num, den, decode, best), "cand")
-        more = staged(verify(cand.where("a is not null").select("a", "b").distinct(), sets, num, den, decode), "links")
-        comps = staged(_joined(comps, more), "comps")
-        left_out = cand.where("open is not null").select(F.col("open").alias("key")).distinct()
-        if best is None or not left_out.take(1):
-            return comps
-        lists = lists.join(left_out, "key", "left_semi")
-    return comps
+    cand = staged(_candidates(lists, comps, sets, num, den, decode, BEST), "cand")
+    more = staged(verify(cand.where("a is not null").select("a", "b").distinct(), sets, num, den, decode), "links")
+    comps = staged(_joined(comps, more), "comps")
+    left_out = cand.where("open is not null").select(F.col("open").alias("key")).distinct()
+    if not left_out.take(1):
+        return comps
+    lists = lists.join(left_out, "key", "left_semi")
+    more = staged(_candidates(lists, comps, sets, num, den, decode, None).select("a", "b").distinct(), "links")
+    return staged(_joined(comps, more), "comps")
 
 
 def _joined(comps: DataFrame, more: DataFrame) -> DataFrame:
@@ -233,32 +267,48 @@ def _joined(comps: DataFrame, more: DataFrame) -> DataFrame:
 
 def _candidates(lists: DataFrame, comps: DataFrame, sets: DataFrame, num: int, den: int,
                 decode: Callable[[bytes], np.ndarray], best: int | None) -> DataFrame:
-    """The rows of :func:`_tiles` for the lists that hold several components."""
+    """The rows of :func:`_tiles` for the lists that hold several components.  With
+    ``best`` the blocks of a list are compared each for itself, and a list of more
+    than one block has pairs left out."""
     marked = staged(lists.join(comps, "id", "left")
-                    .select("key", "id", F.coalesce("component", "id").alias("comp")), "marked")
+                    .join(sets.select("id", F.octet_length("payload").alias("size")), "id")
+                    .select("key", "id", F.coalesce("component", "id").alias("comp"), "size"), "marked")
     # the candidates of a list are its members outside the largest component
-    by_comp = marked.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    by_comp = marked.groupBy("key", "comp").agg(F.count("*").alias("c"), F.sum("size").alias("size"))
+
+    def blocks(rows, size):
+        return F.ceil(F.greatest(rows / TILE, size / TILE_BYTES)).cast("int")
+
+    largest = F.max_by(F.struct("comp", "c", "size"), F.struct("c", "comp"))
     mixed = (by_comp.groupBy("key")
-             .agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.max("c").alias("most"),
-                  F.sum("c").alias("all"), F.count("*").alias("comps"))
+             .agg(largest.alias("main"), F.sum("c").alias("all"), F.sum("size").alias("size"), F.count("*").alias("comps"))
              .where("comps > 1")
-             .select("key", "main", F.ceil(F.col("all") / TILE).cast("int").alias("np"),
-                     F.ceil((F.col("all") - F.col("most")) / TILE).cast("int").alias("nq")))
-    rows = (marked.join(mixed, "key")
+             .select("key", F.col("main.comp").alias("main"), blocks(F.col("all"), F.col("size")).alias("np"),
+                     blocks(F.col("all") - F.col("main.c"), F.col("size") - F.col("main.size")).alias("nq")))
+    rows = (marked.drop("size").join(mixed, "key")
             .withColumn("p", F.pmod(F.xxhash64("id"), F.col("np")).cast("int"))
             .withColumn("q", F.when(F.col("comp") != F.col("main"),
                                     F.pmod(F.xxhash64("id", F.lit(1)), F.col("nq")).cast("int"))))
-    signs = sets.join(rows.select("id").distinct(), "id", "left_semi").mapInArrow(
-        _signer(decode), "id long, n long, bits binary")
-    # a resident meets every block of visitors, a visitor every block of residents
-    res = rows.select("key", "id", "comp", "p", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("q"),
-                      F.lit(True).alias("resident"), F.lit(False).alias("visitor"))
-    vis = rows.where("q is not null").select(
-        "key", "id", "comp", F.explode(F.sequence(F.lit(0), F.col("np") - 1)).alias("p"), "q",
-        F.lit(False).alias("resident"), F.lit(True).alias("visitor"))
-    tiles = (res.unionByName(vis).groupBy("key", "p", "q", "id", "comp")
-             .agg(F.max("resident").alias("resident"), F.max("visitor").alias("visitor"))
-             .join(signs, "id")
-             .select("key", "p", "q", "id", "comp", "n", "bits", "resident", "visitor")
+    signs = sets.join(rows.select("id").distinct(), "id", "left_semi")
+    if best is None:
+        # a resident meets every block of visitors, a visitor every block of residents
+        res = rows.select("key", "id", "comp", "p", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("q"),
+                          F.lit(True).alias("resident"), F.lit(False).alias("visitor"))
+        vis = rows.where("q is not null").select(
+            "key", "id", "comp", F.explode(F.sequence(F.lit(0), F.col("np") - 1)).alias("p"), "q",
+            F.lit(False).alias("resident"), F.lit(True).alias("visitor"))
+        met = (res.unionByName(vis).groupBy("key", "p", "q", "id", "comp")
+               .agg(F.max("resident").alias("resident"), F.max("visitor").alias("visitor")))
+        signs = signs.mapInArrow(_signer(decode, True), "id long, n long, bits binary, payload binary")
+    else:
+        met = rows.select("key", "p", F.lit(0).alias("q"), "id", "comp", F.lit(True).alias("resident"),
+                          F.col("q").isNotNull().alias("visitor"))
+        signs = signs.mapInArrow(_signer(decode), "id long, n long, bits binary")
+    tiles = (met.join(signs, "id")
+             .select("key", "p", "q", "id", "comp", *signs.columns[1:], "resident", "visitor")
              .repartition("key", "p", "q").sortWithinPartitions("key", "p", "q"))
-    return tiles.mapInArrow(_tiles(num, den, best), _CAND)
+    found = tiles.mapInArrow(_tiles(num, den, best, decode), _CAND)
+    if best is None:
+        return found
+    none = F.lit(None).cast("long")
+    return found.unionByName(mixed.where("np > 1").select(none.alias("a"), none.alias("b"), F.col("key").alias("open")))
