@@ -139,3 +139,25 @@ def test_a_page_reads_only_its_place(spark, tmp_path):
     assert "Sort" not in plan and "Exchange" not in plan and "_part" in plan.split("PushedFilters:")[1].split("]")[0]
     seek = PG.after(_sortable(spark), order, {"name": "b", "id": 7})._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in seek
+
+
+def test_trigrams_leave_a_task_as_lists(spark, tmp_path):
+    """The lists that are dealt and sorted are made per task: rows by trigrams and blocks, not by texts."""
+    df = spark.createDataFrame([(i, "the same text again", f"n{i % 3} é🌿🌿é") for i in range(3000)] + [(None, "lost", None)], TEXTS)
+    index = SearchIndex(spark, str(tmp_path), "id", ("a", "b")).build(df.coalesce(2), block_rows=500, files=4)
+    made = spark.read.parquet(f"{tmp_path}/search_lists/*")
+    per_block = made.where("col = 0").groupBy("block", "gram").count()
+    assert per_block.agg(F.max("count")).first()[0] <= 4 and made.agg(F.max(F.size("keys"))).first()[0] > 100
+    assert made.where("col = 0").agg(F.sum(F.size("keys"))).first()[0] == 3000 * len(trigrams_of("the same text again"))
+    for p in ("same text", "N2 É🌿", "🌿🌿é", "text_again", "lost"):
+        assert rows(index.search(p)) == rows(df.where(matches(("a", "b"), p) & F.col("id").isNotNull()), "id"), p
+
+
+def test_long_texts_are_cut_into_trigrams_by_slices(monkeypatch):
+    from verdant.plans import search_index
+    text = "".join(random.Random(2).choices("abé🌿ן ", k=500))
+    want = {text[i:i + 3] for i in range(len(text) - 2)}
+    for at_once in (1, 7, 1000):
+        monkeypatch.setattr(search_index, "_AT_ONCE", at_once)
+        assert set(search_index.spelled(search_index.trigrams(text))) == want
+    assert not len(search_index.trigrams("ab"))
