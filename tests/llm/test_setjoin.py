@@ -246,3 +246,80 @@ def test_a_list_sends_rows_by_its_members(spark, monkeypatch):
     for r in links:
         up[max(root(r.a), root(r.b))] = min(root(r.a), root(r.b))
     assert {root(i) for i in sets} == {0}
+
+
+def test_tables_of_a_step_go_with_it(spark):
+    import glob
+    import os
+    from verdant.llm import line_dedup
+    from verdant.llm.common import scratch_dir
+
+    def tables():
+        return set(glob.glob(os.path.join(scratch_dir(spark).removeprefix("file://"), "llm-*")))
+
+    before = tables()
+    line = "the same long line of words stands in more than one of these documents"
+    docs = spark.createDataFrame([(i, f"{line} {i // 2}\nheading") for i in range(8)], "doc_id long, text string").repartition(4)
+    gone = line_dedup.duplicate_lines(docs)
+    left = {os.path.basename(x).rsplit("-", 1)[0] for x in tables() - before}
+    assert left == {"llm-removed"}              # only what the result reads
+    # one line near-equal to all others stays, and one heading
+    assert {(r.doc_id, r.line_no) for r in gone.collect()} == {(i, n) for i in range(1, 8) for n in (0, 1)}
+    assert J.keep_one(docs).count() > 0
+    left = {os.path.basename(x).rsplit("-", 1)[0] for x in tables() - before}
+    assert left == {"llm-removed", "llm-least"}
+
+
+def test_equal_sets_are_fetched_once(spark):
+    sets = {i: set(range(20 * (i % 3), 20 * (i % 3) + 20)) for i in range(30)} | {40: set(range(19)), 41: set(range(90, 99))}
+    members = spark.createDataFrame([(i % 3, i) for i in range(30)] + [(0, 40), (0, 41)], "key long, id long").repartition(6)
+    table = _payloads(spark, sets)
+    asked = []
+
+    def fetch(ids):
+        asked.extend(r.id for r in ids.collect())
+        return table.join(ids, "id", "left_semi")
+
+    def copies(ids):
+        one = spark.createDataFrame([(i, i % 3, 10) for i in range(30)] + [(40, 40, 1), (41, 41, 1)],
+                                    "id long, one long, copies long")
+        return one.join(ids, "id", "left_semi")
+
+    got = {r.id: r.component for r in resolve(members, fetch, 80, 100, copies=copies).collect()}
+    assert sorted(asked) == [0, 40, 41]         # a list of copies alone needs no set
+    assert got == {i: i % 3 for i in range(30)} | {40: 0}
+
+
+def test_keys_that_come_once_end_in_their_bucket(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    from verdant.llm import line_dedup as L
+    rng = np.random.RandomState(3)
+    keys = rng.randint(0, 4000, (300, L.BANDS))
+    keys[:40, 0] = 7                            # one key of many lines
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(300)), "keys": [k.tobytes() for k in keys]})
+    flat = [(int(k), i) for i, row in enumerate(keys) for k in row]
+    count = {}
+    for k, _ in flat:
+        count[k] = count.get(k, 0) + 1
+    want = sorted(x for x in flat if count[x[0]] > 1)
+
+    def met():
+        lists = pa.Table.from_batches(L._deal(5)(iter(batch.slice(i, 70) for i in range(0, 300, 70)))).sort_by("bucket")
+        return sorted(x for b in L._met(iter(lists.to_batches(max_chunksize=2)))
+                      for x in zip(b.column("key").to_pylist(), b.column("id").to_pylist()))
+
+    assert met() == want
+    monkeypatch.setattr(L, "_DEALT", 500)       # several lists a bucket
+    assert met() == want
+    monkeypatch.setattr(L, "_MOST", 100)        # what is too much for a bucket goes on whole
+    assert set(want) <= set(met()) <= set(flat)
+
+
+def test_stars_end_the_walk(spark, monkeypatch):
+    made = []
+    staged = graph.staged
+    monkeypatch.setattr(graph, "staged", lambda df, name, **kw: made.append(name) or staged(df, name, **kw))
+    got = graph.components(spark.createDataFrame([(1, 2), (3, 1), (5, 9)], "a long, b long"))
+    assert {(r.id, r.component) for r in got.collect()} == {(1, 1), (2, 1), (3, 1), (5, 5), (9, 5)}
+    assert made == ["edges", "components"]

@@ -2,7 +2,8 @@
 
 * :func:`staged` writes an intermediate table to the shared folder named by
   ``spark.checkpoint.dir`` and reads it back: lineage is cut and a lost
-  executor costs one re-read.
+  executor costs one re-read.  :func:`scratch` deletes the tables of a step
+  that has its result.
 * :func:`id_filter` turns a set of ids of any size into a fixed-size bitmap
   that prunes a scan before an exact join (never a replacement for it).
 """
@@ -12,6 +13,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
+_BLOCKS: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=())      # paths staged in the open blocks
 # bits of an id filter: 8 Mi bits, 1 MiB as a bitmap, at most 131,072 words collected
 FILTER_BITS = 1 << 23
 
@@ -41,14 +45,33 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and read it back."""
+def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back.  Within a
+    :func:`scratch` block the table goes with the block, with ``keep`` with the block around it."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
+    blocks = _BLOCKS.get()[:-1] if keep else _BLOCKS.get()
+    if blocks:
+        blocks[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged within the block are deleted at its end.  What leaves the block may
+    read kept tables only."""
+    paths: list[str] = []
+    outer = _BLOCKS.set(_BLOCKS.get() + (paths,))
+    try:
+        yield
+    finally:
+        _BLOCKS.reset(outer)
+        for p in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def packed(docs: DataFrame, *by: str) -> DataFrame:
     """``(doc, key)``: each row of ``docs`` as a struct, so that no column of a verdict can
     clash with its columns, and a 64-bit hash of its ``by`` columns (those it has).
@@ -82,8 +105,8 @@ def id_filter(ids: DataFrame, col: str, bits: int = FILTER_BITS) -> np.ndarray:
              .groupBy(F.shiftright("bit", 6).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("set")))
     out = np.zeros(bits // 64, dtype=np.int64)
-    for r in words.collect():
-        out[r.word] = r.set
+    found = words.toArrow()                        # two arrays, not a Python row for each word
+    out[found.column("word").to_numpy()] = found.column("set").to_numpy()
     return out
 
 
@@ -108,10 +131,11 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (uint64 in, uint64 out)."""
     x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xC4CEB9FE1A85EC53)
+    x ^= x >> np.uint64(33)
+    return x
 
 
 def bitmap_of(elements: np.ndarray, floor_bits: int = 64) -> bytes:

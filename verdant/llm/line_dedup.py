@@ -10,6 +10,10 @@ first by (doc_id, line number).
   0.9998.
 * A task sends a line's bands once; further copies point at that first row.
   Rows are numbered densely, so the shuffled lists are small.
+* Band keys are dealt in lists, one a bucket and task, not row by row; those that
+  come once in their bucket end there.
+* Equal lines of several tasks meet by their bands; one of them, by a 128-bit
+  digest of the normalised line, is then fetched and compared for all.
 * What the join moves and verifies is the line itself; its shingles are cut
   where two lines meet.
 * :mod:`verdant.llm.setjoin` verifies candidates by the exact Jaccard of the
@@ -36,7 +40,7 @@ Further columns pass through, whatever their names.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import id_filter, in_filter, mix64, packed, pieces, staged
+from verdant.llm.common import id_filter, in_filter, mix64, packed, pieces, scratch, staged
 from verdant.llm.setjoin import SETS, resolve
 
 NUM, DEN = 80, 100
@@ -53,6 +57,12 @@ GRAM, BANDS, ROWS = 6, 12, 5
 SHORT = 32                          # code points under which equal lines fold by their text
 _STEP = 1 << 16                     # characters hashed at once
 _SEEN = 1 << 20                     # line ids a task remembers
+_DEALT = 1 << 19                    # band keys that a task deals out at once, and of a partition's buckets, about
+_BUCKETS = 4                        # buckets of a partition
+_MOST = 1 << 22                     # band keys of a bucket that are sorted at once
+
+_C = np.uint64(0x9E3779B97F4A7C15)
+_C2 = np.uint64(0x9E3779B97F4A7C15 ** 2 & (1 << 64) - 1)
 
 _rng = np.random.RandomState(20240229)
 _MUL = (_rng.randint(0, 1 << 31, BANDS * ROWS).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -65,14 +75,17 @@ def normal(line: str) -> str:
 def gram_hashes(lines: list[str], gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """uint64 hashes of all character n-grams of normalised lines, and where
     each line's hashes start; a line shorter than ``gram`` counts as padded to
-    one gram with line feeds, which no line holds."""
+    one gram with line feeds, which no line holds (``gram`` is even)."""
     padded = [x if len(x) >= gram else x + "\n" * (gram - len(x)) for x in lines]
     size = np.array([len(x) for x in padded], dtype=np.int64)
     code = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-    h = code[:len(code) - gram + 1].copy()
-    for k in range(1, gram):
-        h *= np.uint64(0x9E3779B97F4A7C15)
-        h += code[k:len(code) - gram + 1 + k]
+    # the polynomial of a gram in Horner's form, two characters at a time
+    two = code[:-1] * _C
+    two += code[1:]
+    h = two[:len(code) - gram + 1].copy()
+    for k in range(2, gram, 2):
+        h *= _C2
+        h += two[k:len(code) - gram + 1 + k]
     inside = np.ones(len(code), dtype=bool)
     ends = np.cumsum(size)
     for k in range(1, gram):
@@ -85,15 +98,16 @@ def band_keys(lines: list[str]) -> np.ndarray:
     """``len(lines) x BANDS`` int64 band keys of the lines' MinHash signatures."""
     full, starts = gram_hashes(lines)
     h = (full >> np.uint64(32)).astype(np.uint32)
-    keys = np.empty((len(lines), BANDS), dtype=np.uint64)
+    least = np.empty((BANDS * ROWS, len(lines)), dtype=np.uint32)
     x = np.empty_like(h)
-    for band in range(BANDS):
-        key = np.full(len(lines), band + 1, dtype=np.uint64)
-        for k in range(band * ROWS, band * ROWS + ROWS):
-            np.multiply(h, _MUL[k], out=x)
-            key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(x, starts))
-        keys[:, band] = key
-    return keys.view(np.int64)
+    for k in range(BANDS * ROWS):
+        np.multiply(h, _MUL[k], out=x)
+        np.minimum.reduceat(x, starts, out=least[k])
+    least = least.reshape(BANDS, ROWS, len(lines))
+    keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], len(lines), axis=1)
+    for k in range(ROWS):
+        keys = mix64(keys * _C + least[:, k])
+    return np.ascontiguousarray(keys.T).view(np.int64)
 
 
 def _lines(batch: pa.RecordBatch, min_chars: int):
@@ -104,21 +118,21 @@ def _lines(batch: pa.RecordBatch, min_chars: int):
                     yield doc_id, rank, no, line
 
 
-_HEADS = "unit long, doc_id long, rank long, line_no int, keys array<long>, short binary"
+_HEADS = "unit long, doc_id long, rank long, line_no int, keys binary, digest binary, short binary"
 
 
 def _heads(min_chars: int):
     """One row a line: its unit (the first row of the same line in this task)
-    and, in that first row, its band keys or, of a short line, itself."""
+    and, in that first row, its band keys and digest or, of a short line, itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            units, docs, ranks, nos, keys, shorts, fresh, fresh_at, size = [], [], [], [], [], [], [], [], 0
+            units, docs, ranks, nos, keys, digests, shorts, fresh, fresh_at, size = [], [], [], [], [], [], [], [], [], 0
 
             def sign():
                 for row, key in zip(fresh_at, band_keys(fresh) if fresh else ()):
-                    keys[row] = key
+                    keys[row] = key.tobytes()
                 fresh.clear()
                 fresh_at.clear()
 
@@ -128,6 +142,7 @@ def _heads(min_chars: int):
                 ranks.append(rank)
                 nos.append(no)
                 keys.append(None)
+                digests.append(None)
                 shorts.append(None)
                 unit = seen.get(digest)
                 if unit is not None:
@@ -142,6 +157,7 @@ def _heads(min_chars: int):
                 if len(x) < SHORT:
                     shorts[-1] = x.encode("utf-8", "surrogatepass")
                     continue
+                digests[-1] = xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass"))
                 fresh.append(x)
                 fresh_at.append(len(units) - 1)
                 size += len(x)
@@ -151,22 +167,95 @@ def _heads(min_chars: int):
             sign()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(units, pa.int64()), pa.array(docs, pa.int64()), pa.array(ranks, pa.int64()),
-                 pa.array(nos, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(shorts, pa.binary())],
-                names=["unit", "doc_id", "rank", "line_no", "keys", "short"])
+                 pa.array(nos, pa.int32()), pa.array(keys, pa.binary()), pa.array(digests, pa.binary()),
+                 pa.array(shorts, pa.binary())],
+                names=["unit", "doc_id", "rank", "line_no", "keys", "digest", "short"])
     return run
 
 
 def _sign_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lines = [x.decode("utf-8", "surrogatepass") for x in batch.column("short").to_pylist()]
-        keys = list(band_keys(lines)) if lines else []
-        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(keys, pa.list_(pa.int64()))],
-                                         names=["id", "keys"])
+        keys = [key.tobytes() for key in band_keys(lines)] if lines else []
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(keys, pa.binary())], names=["id", "keys"])
+
+
+_LISTS = "bucket int, keys binary, ids binary"
+
 
+def _deal(buckets: int):
+    """The rows ``(id, keys)`` of a task as lists: the keys of a bucket and their ids."""
+    def lists(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        bucket = (keys.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        keys, ids, bucket = keys[order], ids[order], bucket[order]
+        cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1), len(bucket)]
+        rows = [(bucket[lo], keys[lo:hi].tobytes(), ids[lo:hi].tobytes()) for lo, hi in zip(cuts, cuts[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))],
+                                          names=["bucket", "keys", "ids"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            keys = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.int64)
+            held.append((keys, np.repeat(batch.column("id").to_numpy(), BANDS)))
+            size += len(keys)
+            if size > _DEALT:
+                yield lists(*map(np.concatenate, zip(*held)))
+                held, size = [], 0
+        if size:
+            yield lists(*map(np.concatenate, zip(*held)))
+    return run
 
-def grams(payload: bytes) -> np.ndarray:
-    """Sorted distinct gram hashes of a normalised line."""
-    return np.unique(gram_hashes([payload.decode("utf-8", "surrogatepass")])[0].view(np.int64))
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(key, id)`` of the keys that come twice or more in their bucket (rows come by
+    bucket); what is beyond :data:`_MOST` keys of a bucket, and these, go on as they are."""
+    def rows(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], names=["key", "id"])
+
+    def twice(held: list) -> pa.RecordBatch:
+        keys, ids = map(np.concatenate, zip(*held))
+        order = np.argsort(keys)
+        keys = keys[order]
+        same = np.concatenate([[False], keys[1:] == keys[:-1], [False]])
+        mark = same[1:] | same[:-1]
+        return rows(keys[mark], ids[order[mark]])
+
+    now, held, size = None, [], 0
+    for batch in batches:
+        for bucket, keys, ids in zip(*(batch.column(c).to_pylist() for c in ("bucket", "keys", "ids"))):
+            if bucket != now:
+                if held:
+                    yield twice(held)
+                now, held, size = bucket, [], 0
+            held.append((np.frombuffer(keys, np.int64), np.frombuffer(ids, np.int64)))
+            size += len(held[-1][0])
+            if size > _MOST:
+                for part in held:
+                    yield rows(*part)
+                held = []
+    if held:
+        yield twice(held)
+
+
+def grams(payloads: Iterable[bytes]) -> Iterator[np.ndarray]:
+    """Sorted distinct gram hashes of each normalised line; lines are cut some at a time."""
+    def cut(lines: list[str]) -> Iterator[np.ndarray]:
+        h, starts = gram_hashes(lines)
+        for x in np.split(h.view(np.int64), starts[1:]):
+            x.sort()
+            yield x[np.concatenate([[True], x[1:] != x[:-1]])]
+
+    lines, size = [], 0
+    for p in payloads:
+        lines.append(p.decode("utf-8", "surrogatepass"))
+        size += len(lines[-1])
+        if size > _STEP:
+            yield from cut(lines)
+            lines, size = [], 0
+    if lines:
+        yield from cut(lines)
 
 
 def _spot(doc_id: int, line_no: int) -> int:
@@ -202,33 +291,55 @@ def duplicate_lines(docs: DataFrame, min_chars: int = 0, num: int = NUM, den: in
 def _duplicates(docs: DataFrame, min_chars: int, num: int, den: int) -> DataFrame:
     """``doc_id, rank, line_no, kept`` of every removed line of ``docs`` (doc_id, rank, text);
     the first line of a component, by (rank, doc_id, line number), is kept."""
-    spark = docs.sparkSession
     docs = docs.select("doc_id", "rank", "text").where("text is not null")
+    with scratch(docs.sparkSession):
+        return staged(_removed(docs, min_chars, num, den), "removed", keep=True)
+
+
+def _removed(docs: DataFrame, min_chars: int, num: int, den: int) -> DataFrame:
+    spark = docs.sparkSession
     heads = staged(docs.mapInArrow(_heads(min_chars), _HEADS), "lines")
     signed = heads.where("keys is not null")
     # equal short lines of all tasks: one row a text, signed after the fold
     firsts = heads.where("short is not null").select("unit", "short")
     folded = staged(firsts.groupBy("short").agg(F.min("unit").alias("rep")), "short")
-    members = signed.select(F.explode("keys").alias("key"), F.col("unit").alias("id")).unionByName(
-        folded.mapInArrow(_sign_short, "id long, keys array<long>").select(F.explode("keys").alias("key"), "id"))
+    keys = signed.select(F.col("unit").alias("id"), "keys").unionByName(
+        folded.mapInArrow(_sign_short, "id long, keys binary"))
+    parts = -(-BANDS * (signed.count() + folded.count()) // _DEALT) or 1
+    members = (keys.mapInArrow(_deal(_BUCKETS * parts), _LISTS).repartition(parts, "bucket")
+               .sortWithinPartitions("bucket").mapInArrow(_met, "key long, id long"))
+    places = None
+
+    def copies(ids: DataFrame) -> DataFrame:
+        nonlocal places
+        places = staged(signed.select(F.col("unit").alias("id"), "doc_id", "line_no", "digest")
+                        .join(ids.hint("shuffle_hash"), "id", "left_semi"), "places")
+        dealt = places.repartition("digest")
+        ones = dealt.groupBy("digest").agg(F.min("id").alias("one"), F.count("*").alias("copies"))
+        short = folded.select(F.col("rep").alias("id"), F.col("rep").alias("one"), F.lit(1).cast("long").alias("copies"))
+        return (dealt.join(ones, "digest").select("id", "one", "copies")
+                .unionByName(short.join(ids, "id", "left_semi")))
 
     def fetch(ids: DataFrame) -> DataFrame:
-        places = staged(signed.select(F.col("unit").alias("id"), "doc_id", "line_no").join(ids, "id", "left_semi"), "places")
-        spots = places.select(F.crc32(F.concat_ws(":", "doc_id", "line_no").cast("binary")).alias("spot"))
+        wanted_places = staged(places.select("id", "doc_id", "line_no").join(ids, "id", "left_semi"), "wanted")
+        spots = wanted_places.select(F.crc32(F.concat_ws(":", "doc_id", "line_no").cast("binary")).alias("spot"))
         wanted = spark.sparkContext.broadcast(id_filter(spots, "spot"))
         rows = docs.mapInArrow(_sets(wanted, min_chars), _FOUND)
         short = folded.select(F.col("rep").alias("id"), F.col("short").alias("payload")).join(ids, "id", "left_semi")
-        return rows.join(places, ["doc_id", "line_no"]).select("id", "payload").unionByName(short)
+        return rows.join(wanted_places, ["doc_id", "line_no"]).select("id", "payload").unionByName(short)
 
-    comps = resolve(members, fetch, num, den, grams).withColumnRenamed("id", "unit")
+    comps = resolve(members, fetch, num, den, grams, copies).withColumnRenamed("id", "unit")
     # a short line's unit has the component of the text it folds to
     of_short = (firsts.join(folded, "short").select("unit", "rep")
                 .join(comps.withColumnRenamed("unit", "rep"), "rep", "left")
                 .select("unit", F.coalesce("component", "rep").alias("component")))
     comps = comps.join(folded.select(F.col("rep").alias("unit")), "unit", "left_anti").unionByName(of_short)
+    # lines of one row alone have no copy: linked units and those that came again (their component is the smaller)
+    again = heads.where("keys is null and short is null").select("unit", F.col("unit").alias("component"))
+    comps = comps.unionByName(again).groupBy("unit").agg(F.min("component").alias("component"))
     # the place of each line among the copies it stands for
-    lines = (heads.select("unit", "doc_id", "rank", "line_no").join(comps, "unit", "left")
-             .select("doc_id", "rank", "line_no", F.coalesce("component", "unit").alias("component")))
+    lines = staged(heads.select("unit", "doc_id", "rank", "line_no").join(comps.hint("shuffle_hash"), "unit")
+                   .select("doc_id", "rank", "line_no", "component"), "copied")
     place = F.struct("rank", "doc_id", "line_no")
     groups = (lines.groupBy("component").agg(F.min(place).alias("kept"), F.max(place).alias("last"))
               .where("kept < last").select("component", "kept"))

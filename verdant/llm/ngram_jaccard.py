@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import id_filter, in_filter, mix64, packed, pieces, staged
+from verdant.llm.common import id_filter, in_filter, mix64, packed, pieces, scratch, staged
 from verdant.llm.setjoin import SETS, resolve
 
 NUM, DEN, WORDS = 85, 100, 4
@@ -179,6 +179,11 @@ def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN, words: i
     ``component_id`` the smallest document reachable by links, itself
     included.  Documents with the empty set stand alone.
     """
+    with scratch(docs.sparkSession):
+        return staged(_classes(docs, num, den, words, sketch_bits), "classes", keep=True)
+
+
+def _classes(docs: DataFrame, num: int, den: int, words: int, sketch_bits: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     sketch = spark.sparkContext.broadcast(order_sketch(docs, sketch_bits, words))
@@ -232,8 +237,10 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     Each row is compared by its own text, whatever its id; rows equal in id and
     text are one document and stay or go together."""
     rows = packed(docs, "doc_id", "text")
-    comps = jaccard_components(rows.select(F.col("key").alias("doc_id"), F.col("doc.text").alias("text")), **options)
-    ids = rows.select("key", F.coalesce(F.col("doc.doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("rank")).distinct()
-    ranked = staged(comps.select(F.col("doc_id").alias("key"), F.col("component_id").alias("comp")).join(ids, "key"), "ranked")
-    least = ranked.groupBy("comp").agg(F.min(F.struct("rank", "key")).alias("one")).select(F.col("one.key").alias("key"))
+    with scratch(docs.sparkSession):
+        comps = jaccard_components(rows.select(F.col("key").alias("doc_id"), F.col("doc.text").alias("text")), **options)
+        ids = rows.select("key", F.coalesce(F.col("doc.doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("rank")).distinct()
+        ranked = staged(comps.select(F.col("doc_id").alias("key"), F.col("component_id").alias("comp")).join(ids, "key"), "ranked")
+        least = staged(ranked.groupBy("comp").agg(F.min(F.struct("rank", "key")).alias("one")).select(F.col("one.key").alias("key")),
+                       "least", keep=True)
     return rows.join(least, "key", "left_semi").select("doc.*")

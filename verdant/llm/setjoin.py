@@ -31,20 +31,21 @@ components are those of the full join over all pairs that share a key.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import bitmap_of, pieces, staged
+from verdant.llm.common import bitmap_of, pieces, scratch, staged
 from verdant.llm.graph import components
 
 TILE = 512          # members of a tile's block
 TILE_BYTES = 1 << 24    # bytes of payloads of a tile's block, about
 BEST = 4            # partners that a visitor sends from its block in the first round
 SETS = "id long, payload binary"
+Decode = Callable[[Iterable[bytes]], Iterator[np.ndarray]]     # payloads to sorted, distinct elements, in their order
 
 
 def _fold(bits: np.ndarray, width: int) -> np.ndarray:
@@ -113,7 +114,7 @@ def _tile_links(ids, comps, sizes, bitmaps, resident, visitor, payloads, num: in
 
     def elements(i: int) -> np.ndarray:
         if i not in sets:
-            sets[i] = decode(payloads[i].as_py())
+            sets[i] = next(iter(decode([payloads[i].as_py()])))
         return sets[i]
 
     for a, b in _tile_pairs(ids, comps, sizes, bitmaps, resident, visitor, num, den, None):
@@ -128,7 +129,7 @@ _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("open", pa.int64())])
 _CAND = "a long, b long, open long"
 
 
-def _tiles(num: int, den: int, best: int | None, decode: Callable[[bytes], np.ndarray] | None = None):
+def _tiles(num: int, den: int, best: int | None, decode: Decode | None = None):
     """Rows ``(a, b, null)`` are pairs, ``(null, null, key)`` lists with pairs left out.
     Without ``best`` the pairs are links, verified by the tile's ``payload`` column."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,9 +170,9 @@ def _tiles(num: int, den: int, best: int | None, decode: Callable[[bytes], np.nd
     return run
 
 
-def stored(payload: bytes) -> np.ndarray:
-    """Payload of the sorted elements themselves."""
-    return np.frombuffer(payload, dtype="<i8")
+def stored(payloads: Iterable[bytes]) -> Iterator[np.ndarray]:
+    """Payloads of the sorted elements themselves."""
+    return (np.frombuffer(p, dtype="<i8") for p in payloads)
 
 
 def _similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
@@ -184,17 +185,17 @@ def _similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
     return den * common >= num * (len(both) - common)
 
 
-def _verifier(num: int, den: int, decode: Callable[[bytes], np.ndarray]):
+def _verifier(num: int, den: int, decode: Decode):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            keep = [a == b or _similar(decode(a), decode(b), num, den) for a, b in
-                    zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist())]
+            pairs = zip(*(decode(batch.column(c).to_pylist()) for c in ("pa", "pb")))
+            keep = [_similar(x, y, num, den) for x, y in pairs]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
 def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int,
-           decode: Callable[[bytes], np.ndarray] = stored) -> DataFrame:
+           decode: Decode = stored) -> DataFrame:
     """The pairs ``(a, b)`` with ``den * |A & B| >= num * |A | B|``."""
     sa = sets.select(F.col("id").alias("a"), F.col("payload").alias("pa"))
     sb = sets.select(F.col("id").alias("b"), F.col("payload").alias("pb"))
@@ -202,10 +203,10 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int,
         _verifier(num, den, decode), "a long, b long")
 
 
-def _signer(decode: Callable[[bytes], np.ndarray], with_payload: bool = False):
+def _signer(decode: Decode, with_payload: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            got = [decode(p) for p in batch.column("payload").to_pylist()]
+            got = list(decode(batch.column("payload").to_pylist()))
             cols = [batch.column("id"), pa.array([len(x) for x in got], pa.int64()),
                     pa.array([bitmap_of(x) for x in got], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols + [batch.column("payload")] * with_payload,
@@ -213,25 +214,45 @@ def _signer(decode: Callable[[bytes], np.ndarray], with_payload: bool = False):
     return run
 
 
-def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, den: int,
-            decode: Callable[[bytes], np.ndarray] = stored) -> DataFrame:
-    """``(id, component)`` of every id linked with another one.
-
-    ``fetch(ids)`` returns the :data:`SETS` rows of the given ids; ``decode``
-    turns a payload into the sorted, distinct elements.  Ids without a link
-    are absent from the result.
-    """
+def _lists(members: DataFrame) -> DataFrame:
+    """The lists of several members, of those with the same members one."""
     # dealt by key once: the ends of the lists and their members are taken from the same rows
-    members = members.repartition("key")
+    # (no key is null; said here, because the join says so and would deal its own rows else)
+    members = members.where("key is not null").repartition("key")
     ends = (members.groupBy("key")
             .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("c"),
                  F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
             .where("lo < hi"))
     # lists of the same members are one list (count, both ends and two hashes of all ids agree)
     ends = ends.groupBy("lo", "hi", "c", "x", "y").agg(F.min("key").alias("key"))
-    shared = staged(members.join(ends.select("key"), "key").distinct(), "shared")
-    sets = staged(fetch(shared.select("id").distinct()), "sets")
+    return members.join(ends.select("key").hint("shuffle_hash"), "key").distinct()
+
 
+def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, den: int,
+            decode: Decode = stored, copies: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``(id, component)`` of every id linked with another one.
+
+    ``fetch(ids)`` returns the :data:`SETS` rows of the given ids; ``decode``
+    turns payloads into the sorted, distinct elements.  ``copies(ids)``, where sets
+    may be equal, returns ``(id, one, copies)``: the smallest of the ids that have the
+    same set, and how many these are; that one stands for them all.  Ids without a
+    link are absent from the result.
+    """
+    with scratch(members.sparkSession):
+        shared = staged(_lists(members), "shared")
+        if copies is None:
+            return staged(_resolved(shared, fetch, num, den, decode), "comps", keep=True)
+        same = staged(copies(shared.select("id").distinct()), "copies")
+        met = staged(shared.join(same, "id").select("key", F.col("one").alias("id")).distinct(), "met")
+        shared = staged(_lists(met), "shared")
+        comps = _resolved(shared, fetch, num, den, decode).withColumnRenamed("id", "one")
+        return staged(same.join(comps, "one", "left").where("component is not null or copies > 1")
+                      .select("id", F.coalesce("component", "one").alias("component")), "comps", keep=True)
+
+
+def _resolved(shared: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, den: int,
+              decode: Decode) -> DataFrame:
+    sets = staged(fetch(shared.select("id").distinct()), "sets")
     length = shared.groupBy("key").agg(F.count("*").alias("c"))
     weight = shared.join(length, "key").groupBy("id").agg(F.sum("c").alias("w"))
     hubs = (shared.join(weight, "id").groupBy("key")
@@ -240,33 +261,35 @@ def resolve(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: in
                 .groupBy("id", "hub").agg(F.count("*").alias("lists")))
     pivot = together.groupBy("id").agg(F.max_by("hub", F.struct(F.col("lists"), -F.col("hub"))).alias("b"))
     first = staged(verify(pivot.select(F.col("id").alias("a"), "b"), sets, num, den, decode), "first")
-    comps, lists = staged(components(first), "comps"), shared
+    comps, lists = components(first), shared
     cand = staged(_candidates(lists, comps, sets, num, den, decode, BEST), "cand")
     more = staged(verify(cand.where("a is not null").select("a", "b").distinct(), sets, num, den, decode), "links")
-    comps = staged(_joined(comps, more), "comps")
+    comps = _joined(comps, more)
     left_out = cand.where("open is not null").select(F.col("open").alias("key")).distinct()
-    if not left_out.take(1):
+    if left_out.isEmpty():
         return comps
     lists = lists.join(left_out, "key", "left_semi")
     more = staged(_candidates(lists, comps, sets, num, den, decode, None).select("a", "b").distinct(), "links")
-    return staged(_joined(comps, more), "comps")
+    return _joined(comps, more)
 
 
 def _joined(comps: DataFrame, more: DataFrame) -> DataFrame:
     """Components after further links: the components known so far are the nodes of the
     graph that is left, so only the new links are walked again."""
+    if more.isEmpty():
+        return comps
     ends = (more.select(F.col("a").alias("id")).union(more.select("b")).distinct().join(comps, "id", "left")
             .select("id", F.coalesce("component", "id").alias("component"), F.col("component").isNull().alias("fresh")))
     ends = staged(ends, "ends")
     nodes = [ends.select(F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in "ab"]
     up = components(more.join(nodes[0], "a").join(nodes[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     every = comps.select("id", "component").unionByName(ends.where("fresh").select("id", "component"))
-    return (every.join(up.select(F.col("id").alias("component"), F.col("component").alias("up")), "component", "left")
-            .select("id", F.coalesce("up", "component").alias("component")))
+    return staged(every.join(up.select(F.col("id").alias("component"), F.col("component").alias("up")), "component", "left")
+                  .select("id", F.coalesce("up", "component").alias("component")), "comps")
 
 
 def _candidates(lists: DataFrame, comps: DataFrame, sets: DataFrame, num: int, den: int,
-                decode: Callable[[bytes], np.ndarray], best: int | None) -> DataFrame:
+                decode: Decode, best: int | None) -> DataFrame:
     """The rows of :func:`_tiles` for the lists that hold several components.  With
     ``best`` the blocks of a list are compared each for itself, and a list of more
     than one block has pairs left out."""
