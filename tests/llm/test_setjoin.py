@@ -323,3 +323,34 @@ def test_stars_end_the_walk(spark, monkeypatch):
     got = graph.components(spark.createDataFrame([(1, 2), (3, 1), (5, 9)], "a long, b long"))
     assert {(r.id, r.component) for r in got.collect()} == {(1, 1), (2, 1), (3, 1), (5, 5), (9, 5)}
     assert made == ["edges", "components"]
+
+
+def test_copies_send_no_lists(spark, monkeypatch):
+    from verdant.llm import line_dedup as L
+    sent = []
+    join = L.resolve
+
+    def seen(members, *rest):
+        sent.extend(r.id for r in members.collect())
+        return join(members, *rest)
+
+    monkeypatch.setattr(L, "resolve", seen)
+    line = "a long line of words that every one of these documents holds as it is"
+    docs = spark.createDataFrame([(i, f"  {line.upper()}" if i % 2 else line) for i in range(8)],
+                                 "doc_id long, text string").repartition(4)
+    assert {tuple(r) for r in L.duplicate_lines(docs).collect()} == {(i, 0, 0, 0) for i in range(1, 8)}
+    assert not sent                             # equal lines of several tasks are one member
+    near = docs.union(spark.createDataFrame([(9, f"{line} and more"[:-4])], docs.schema))
+    assert {tuple(r) for r in L.duplicate_lines(near).collect()} == {(i, 0, 0, 0) for i in (*range(1, 8), 9)}
+    assert len(set(sent)) == 2                  # the text of eight lines, and the other one
+
+
+def test_sets_of_no_open_list_are_not_signed(spark):
+    import pyarrow as pa
+    from verdant.llm import setjoin as S
+    wanted = S._marks(spark.createDataFrame([(3,), (-5,)], "id long"))
+    batch = pa.RecordBatch.from_pydict({"id": pa.array([1, 3, -5, 8]), "payload": pa.array([b"\1" + b"\0" * 7] * 4)})
+    (signed,) = S._signer(S.stored, wanted)(iter([batch]))
+    assert signed.column("id").to_pylist() == [3, -5] and signed.column("n").to_pylist() == [1, 1]
+    (left,) = S._among(wanted)(iter([batch]))
+    assert left.column("id").to_pylist() == [3, -5]

@@ -8,21 +8,21 @@ first by (doc_id, line number).
 * MinHash: 60 values a line, 12 bands of 5.  A pair at similarity 0.8 meets
   in a band with probability ``1 - (1 - 0.8**5)**12`` = 0.9916, at 0.9 with
   0.9998.
-* A task sends a line's bands once; further copies point at that first row.
-  Rows are numbered densely, so the shuffled lists are small.
+* A line goes by a 63-bit hash of its normalised text, so equal lines of all tasks are
+  one member of the join from the start; a task sends a line's bands once.  A further
+  32-bit mark is compared where a row takes its line's component, so a row is only
+  removed for a text equal in 95 bits.
 * Band keys are dealt in lists, one a bucket and task, not row by row; those that
-  come once in their bucket end there.
-* Equal lines of several tasks meet by their bands; one of them, by a 128-bit
-  digest of the normalised line, is then fetched and compared for all.
+  come under one line only in their bucket end there.  A list has 32 bits of each key,
+  its bucket comes from the others: keys of a bucket that agree in them give candidates
+  more, never links.
+* Of equal lines one, at its place in a document, is fetched and compared for all.
 * What the join moves and verifies is the line itself; its shingles are cut
   where two lines meet.
 * :mod:`verdant.llm.setjoin` verifies candidates by the exact Jaccard of the
   shingle sets and :mod:`verdant.llm.graph` joins them to components.
 
-* Short lines (normalised, under 32 code points: footers, menus, headings)
-  repeat most.  They travel as themselves: equal ones fold to one row by their
-  text, combined map-side, and only that row is signed and enters the same
-  components as the longer lines.
+* Short lines (footers, menus, headings), which repeat most, are lines like others.
 
 Guard: ``min_chars`` (0 by default, which guards no line that holds a word) keeps
 shorter lines (code points, trimmed).  Blank lines always stay.  Lines are split
@@ -39,24 +39,24 @@ Further columns pass through, whatever their names.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdant.llm.common import id_filter, in_filter, mix64, packed, pieces, scratch, staged
-from verdant.llm.setjoin import SETS, resolve
+from verdant.llm.setjoin import resolve
 
 NUM, DEN = 80, 100
 GRAM, BANDS, ROWS = 6, 12, 5
-SHORT = 32                          # code points under which equal lines fold by their text
 _STEP = 1 << 16                     # characters hashed at once
-_SEEN = 1 << 20                     # line ids a task remembers
+_SEEN = 1 << 20                     # lines a task remembers
 _DEALT = 1 << 19                    # band keys that a task deals out at once, and of a partition's buckets, about
 _BUCKETS = 4                        # buckets of a partition
 _MOST = 1 << 22                     # band keys of a bucket that are sorted at once
@@ -118,17 +118,22 @@ def _lines(batch: pa.RecordBatch, min_chars: int):
                     yield doc_id, rank, no, line
 
 
-_HEADS = "unit long, doc_id long, rank long, line_no int, keys binary, digest binary, short binary"
+def _name(payload: bytes) -> tuple[int, int]:
+    """The id (63 bits, not negative) and the mark (32 bits) of a normalised line."""
+    name, mark = struct.unpack("<qi", xxhash.xxh3_128_digest(payload)[:12])
+    return name & (1 << 63) - 1, mark
+
+
+_HEADS = "id long, mark int, doc_id long, rank long, line_no int, keys binary"
 
 
 def _heads(min_chars: int):
-    """One row a line: its unit (the first row of the same line in this task)
-    and, in that first row, its band keys and digest or, of a short line, itself."""
+    """One row a line: its id and mark and, in the first row of the same line in this
+    task, its band keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
-        number = TaskContext.get().partitionId() << 33
+        seen: dict[bytes, tuple[int, int]] = {}
         for batch in batches:
-            units, docs, ranks, nos, keys, digests, shorts, fresh, fresh_at, size = [], [], [], [], [], [], [], [], [], 0
+            names, marks, docs, ranks, nos, keys, fresh, fresh_at, size = [], [], [], [], [], [], [], [], 0
 
             def sign():
                 for row, key in zip(fresh_at, band_keys(fresh) if fresh else ()):
@@ -138,57 +143,41 @@ def _heads(min_chars: int):
 
             for doc_id, rank, no, line in _lines(batch, min_chars):
                 digest = xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
+                found = seen.get(digest)
+                if found is None:
+                    if len(seen) >= _SEEN:
+                        seen.clear()
+                    x = normal(line)
+                    found = seen[digest] = _name(x.encode("utf-8", "surrogatepass"))
+                    fresh.append(x)
+                    fresh_at.append(len(names))
+                    size += len(x)
+                names.append(found[0])
+                marks.append(found[1])
                 docs.append(doc_id)
                 ranks.append(rank)
                 nos.append(no)
                 keys.append(None)
-                digests.append(None)
-                shorts.append(None)
-                unit = seen.get(digest)
-                if unit is not None:
-                    units.append(unit)
-                    continue
-                if len(seen) >= _SEEN:
-                    seen.clear()
-                seen[digest] = number
-                units.append(number)
-                number += 1
-                x = normal(line)
-                if len(x) < SHORT:
-                    shorts[-1] = x.encode("utf-8", "surrogatepass")
-                    continue
-                digests[-1] = xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass"))
-                fresh.append(x)
-                fresh_at.append(len(units) - 1)
-                size += len(x)
                 if size > _STEP:
                     sign()
                     size = 0
             sign()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(units, pa.int64()), pa.array(docs, pa.int64()), pa.array(ranks, pa.int64()),
-                 pa.array(nos, pa.int32()), pa.array(keys, pa.binary()), pa.array(digests, pa.binary()),
-                 pa.array(shorts, pa.binary())],
-                names=["unit", "doc_id", "rank", "line_no", "keys", "digest", "short"])
+                [pa.array(names, pa.int64()), pa.array(marks, pa.int32()), pa.array(docs, pa.int64()),
+                 pa.array(ranks, pa.int64()), pa.array(nos, pa.int32()), pa.array(keys, pa.binary())],
+                names=["id", "mark", "doc_id", "rank", "line_no", "keys"])
     return run
 
 
-def _sign_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lines = [x.decode("utf-8", "surrogatepass") for x in batch.column("short").to_pylist()]
-        keys = [key.tobytes() for key in band_keys(lines)] if lines else []
-        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(keys, pa.binary())], names=["id", "keys"])
-
-
 _LISTS = "bucket int, keys binary, ids binary"
 
 
 def _deal(buckets: int):
     """The rows ``(id, keys)`` of a task as lists: the keys of a bucket and their ids."""
     def lists(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-        bucket = (keys.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+        bucket = ((keys.view(np.uint64) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
-        keys, ids, bucket = keys[order], ids[order], bucket[order]
+        keys, ids, bucket = keys[order].astype(np.uint32), ids[order], bucket[order]
         cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1), len(bucket)]
         rows = [(bucket[lo], keys[lo:hi].tobytes(), ids[lo:hi].tobytes()) for lo, hi in zip(cuts, cuts[1:])]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))],
@@ -208,15 +197,23 @@ def _deal(buckets: int):
     return run
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _met(batches: Iterator[pa.RecordBatch], distinct: bool = False) -> Iterator[pa.RecordBatch]:
     """Rows ``(key, id)`` of the keys that come twice or more in their bucket (rows come by
-    bucket); what is beyond :data:`_MOST` keys of a bucket, and these, go on as they are."""
+    bucket), with ``distinct`` under several ids and each once; what is beyond :data:`_MOST`
+    keys of a bucket, and these, go on as they are."""
     def rows(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], names=["key", "id"])
 
     def twice(held: list) -> pa.RecordBatch:
         keys, ids = map(np.concatenate, zip(*held))
         order = np.argsort(keys)
+        if distinct:                        # of the keys that come again only: few of them all
+            near = keys[order]
+            near = np.concatenate([[False], near[1:] == near[:-1], [False]])
+            order = order[near[1:] | near[:-1]]
+            order = order[np.lexsort((ids[order], keys[order]))]
+            again = (keys[order][1:] == keys[order][:-1]) & (ids[order][1:] == ids[order][:-1])
+            order = order[np.concatenate([[True], ~again])] if len(order) else order
         keys = keys[order]
         same = np.concatenate([[False], keys[1:] == keys[:-1], [False]])
         mark = same[1:] | same[:-1]
@@ -229,7 +226,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if held:
                     yield twice(held)
                 now, held, size = bucket, [], 0
-            held.append((np.frombuffer(keys, np.int64), np.frombuffer(ids, np.int64)))
+            held.append((np.frombuffer(keys, np.uint32).astype(np.int64) | bucket << 32, np.frombuffer(ids, np.int64)))
             size += len(held[-1][0])
             if size > _MOST:
                 for part in held:
@@ -263,7 +260,7 @@ def _spot(doc_id: int, line_no: int) -> int:
     return zlib.crc32(b"%d:%d" % (doc_id, line_no))
 
 
-_FOUND = "doc_id long, line_no int, payload binary"
+_FOUND = "id long, mark int, doc_id long, line_no int, payload binary"
 
 
 def _sets(wanted, min_chars: int):
@@ -274,9 +271,11 @@ def _sets(wanted, min_chars: int):
             spots = np.array([_spot(d, n) for d, _, n, _ in todo], dtype=np.int64)
             hit = np.flatnonzero(in_filter(bitmap, spots))
             payloads = [normal(todo[i][3]).encode("utf-8", "surrogatepass") for i in hit]
+            names = [_name(x) for x in payloads]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([todo[i][0] for i in hit], pa.int64()), pa.array([todo[i][2] for i in hit], pa.int32()),
-                 pa.array(payloads, pa.binary())], names=["doc_id", "line_no", "payload"])
+                [pa.array([x for x, _ in names], pa.int64()), pa.array([x for _, x in names], pa.int32()),
+                 pa.array([todo[i][0] for i in hit], pa.int64()), pa.array([todo[i][2] for i in hit], pa.int32()),
+                 pa.array(payloads, pa.binary())], names=["id", "mark", "doc_id", "line_no", "payload"])
     return run
 
 
@@ -299,46 +298,28 @@ def _duplicates(docs: DataFrame, min_chars: int, num: int, den: int) -> DataFram
 def _removed(docs: DataFrame, min_chars: int, num: int, den: int) -> DataFrame:
     spark = docs.sparkSession
     heads = staged(docs.mapInArrow(_heads(min_chars), _HEADS), "lines")
-    signed = heads.where("keys is not null")
-    # equal short lines of all tasks: one row a text, signed after the fold
-    firsts = heads.where("short is not null").select("unit", "short")
-    folded = staged(firsts.groupBy("short").agg(F.min("unit").alias("rep")), "short")
-    keys = signed.select(F.col("unit").alias("id"), "keys").unionByName(
-        folded.mapInArrow(_sign_short, "id long, keys binary"))
-    parts = -(-BANDS * (signed.count() + folded.count()) // _DEALT) or 1
-    members = (keys.mapInArrow(_deal(_BUCKETS * parts), _LISTS).repartition(parts, "bucket")
-               .sortWithinPartitions("bucket").mapInArrow(_met, "key long, id long"))
-    places = None
-
-    def copies(ids: DataFrame) -> DataFrame:
-        nonlocal places
-        places = staged(signed.select(F.col("unit").alias("id"), "doc_id", "line_no", "digest")
-                        .join(ids.hint("shuffle_hash"), "id", "left_semi"), "places")
-        dealt = places.repartition("digest")
-        ones = dealt.groupBy("digest").agg(F.min("id").alias("one"), F.count("*").alias("copies"))
-        short = folded.select(F.col("rep").alias("id"), F.col("rep").alias("one"), F.lit(1).cast("long").alias("copies"))
-        return (dealt.join(ones, "digest").select("id", "one", "copies")
-                .unionByName(short.join(ids, "id", "left_semi")))
+    signed = heads.where("keys is not null").select("id", "keys")
+    # equal lines of all tasks: one place and how many they are (all of one row: `first` takes them from the same)
+    ones = staged(heads.groupBy("id").agg(*[F.first(c).alias(c) for c in ("mark", "doc_id", "line_no")],
+                                          F.count("*").alias("copies")), "ones")
+    parts = -(-BANDS * signed.count() // _DEALT) or 1
+    members = (signed.mapInArrow(_deal(_BUCKETS * parts), _LISTS).repartition(parts, "bucket")
+               .sortWithinPartitions("bucket").mapInArrow(partial(_met, distinct=True), "key long, id long"))
 
     def fetch(ids: DataFrame) -> DataFrame:
-        wanted_places = staged(places.select("id", "doc_id", "line_no").join(ids, "id", "left_semi"), "wanted")
-        spots = wanted_places.select(F.crc32(F.concat_ws(":", "doc_id", "line_no").cast("binary")).alias("spot"))
+        places = staged(ones.drop("copies").join(ids.hint("shuffle_hash"), "id", "left_semi"), "places")
+        spots = places.select(F.crc32(F.concat_ws(":", "doc_id", "line_no").cast("binary")).alias("spot"))
         wanted = spark.sparkContext.broadcast(id_filter(spots, "spot"))
-        rows = docs.mapInArrow(_sets(wanted, min_chars), _FOUND)
-        short = folded.select(F.col("rep").alias("id"), F.col("short").alias("payload")).join(ids, "id", "left_semi")
-        return rows.join(wanted_places, ["doc_id", "line_no"]).select("id", "payload").unionByName(short)
-
-    comps = resolve(members, fetch, num, den, grams, copies).withColumnRenamed("id", "unit")
-    # a short line's unit has the component of the text it folds to
-    of_short = (firsts.join(folded, "short").select("unit", "rep")
-                .join(comps.withColumnRenamed("unit", "rep"), "rep", "left")
-                .select("unit", F.coalesce("component", "rep").alias("component")))
-    comps = comps.join(folded.select(F.col("rep").alias("unit")), "unit", "left_anti").unionByName(of_short)
-    # lines of one row alone have no copy: linked units and those that came again (their component is the smaller)
-    again = heads.where("keys is null and short is null").select("unit", F.col("unit").alias("component"))
-    comps = comps.unionByName(again).groupBy("unit").agg(F.min("component").alias("component"))
+        # rows may share an id, so the text itself has to be the one that is wanted
+        return docs.mapInArrow(_sets(wanted, min_chars), _FOUND).join(places, places.columns).select("id", "payload")
+
+    comps = resolve(members, fetch, num, den, grams)
+    # lines of one row alone have no copy: linked ones and those that come again
+    known = (ones.select("id", "mark", "copies").join(comps.hint("shuffle_hash"), "id", "left")
+             .where("component is not null or copies > 1")
+             .select("id", "mark", F.coalesce("component", "id").alias("component")))
     # the place of each line among the copies it stands for
-    lines = staged(heads.select("unit", "doc_id", "rank", "line_no").join(comps.hint("shuffle_hash"), "unit")
+    lines = staged(heads.drop("keys").join(known.hint("shuffle_hash"), ["id", "mark"])
                    .select("doc_id", "rank", "line_no", "component"), "copied")
     place = F.struct("rank", "doc_id", "line_no")
     groups = (lines.groupBy("component").agg(F.min(place).alias("kept"), F.max(place).alias("last"))

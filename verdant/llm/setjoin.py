@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import bitmap_of, pieces, scratch, staged
+from verdant.llm.common import bitmap_of, id_filter, in_filter, pieces, scratch, staged
 from verdant.llm.graph import components
 
 TILE = 512          # members of a tile's block
@@ -203,9 +203,22 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int,
         _verifier(num, den, decode), "a long, b long")
 
 
-def _signer(decode: Decode, with_payload: bool = False):
+def _marks(ids: DataFrame):
+    """A bitmap of the ids, of a fixed size, that prunes the scan of the sets before a join."""
+    return ids.sparkSession.sparkContext.broadcast(id_filter(ids, "id"))
+
+
+def _among(wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = wanted.value
         for batch in pieces(batches):
+            yield batch.filter(pa.array(in_filter(bitmap, batch.column("id").to_numpy())))
+    return run
+
+
+def _signer(decode: Decode, wanted, with_payload: bool = False):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _among(wanted)(batches):
             got = list(decode(batch.column("payload").to_pylist()))
             cols = [batch.column("id"), pa.array([len(x) for x in got], pa.int64()),
                     pa.array([bitmap_of(x) for x in got], pa.binary())]
@@ -263,7 +276,9 @@ def _resolved(shared: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: i
     first = staged(verify(pivot.select(F.col("id").alias("a"), "b"), sets, num, den, decode), "first")
     comps, lists = components(first), shared
     cand = staged(_candidates(lists, comps, sets, num, den, decode, BEST), "cand")
-    more = staged(verify(cand.where("a is not null").select("a", "b").distinct(), sets, num, den, decode), "links")
+    pairs = cand.where("a is not null").select("a", "b")
+    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    more = staged(verify(pairs.distinct(), sets.mapInArrow(_among(_marks(ends)), sets.schema), num, den, decode), "links")
     comps = _joined(comps, more)
     left_out = cand.where("open is not null").select(F.col("open").alias("key")).distinct()
     if left_out.isEmpty():
@@ -308,11 +323,13 @@ def _candidates(lists: DataFrame, comps: DataFrame, sets: DataFrame, num: int, d
              .where("comps > 1")
              .select("key", F.col("main.comp").alias("main"), blocks(F.col("all"), F.col("size")).alias("np"),
                      blocks(F.col("all") - F.col("main.c"), F.col("size") - F.col("main.size")).alias("nq")))
+    mixed = staged(mixed, "mixed")
     rows = (marked.drop("size").join(mixed, "key")
             .withColumn("p", F.pmod(F.xxhash64("id"), F.col("np")).cast("int"))
             .withColumn("q", F.when(F.col("comp") != F.col("main"),
                                     F.pmod(F.xxhash64("id", F.lit(1)), F.col("nq")).cast("int"))))
-    signs = sets.join(rows.select("id").distinct(), "id", "left_semi")
+    rows = staged(rows, "rows")
+    wanted = _marks(rows.select("id"))      # the sets of other ids are met by no row
     if best is None:
         # a resident meets every block of visitors, a visitor every block of residents
         res = rows.select("key", "id", "comp", "p", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("q"),
@@ -322,11 +339,11 @@ def _candidates(lists: DataFrame, comps: DataFrame, sets: DataFrame, num: int, d
             F.lit(False).alias("resident"), F.lit(True).alias("visitor"))
         met = (res.unionByName(vis).groupBy("key", "p", "q", "id", "comp")
                .agg(F.max("resident").alias("resident"), F.max("visitor").alias("visitor")))
-        signs = signs.mapInArrow(_signer(decode, True), "id long, n long, bits binary, payload binary")
+        signs = sets.mapInArrow(_signer(decode, wanted, True), "id long, n long, bits binary, payload binary")
     else:
         met = rows.select("key", "p", F.lit(0).alias("q"), "id", "comp", F.lit(True).alias("resident"),
                           F.col("q").isNotNull().alias("visitor"))
-        signs = signs.mapInArrow(_signer(decode), "id long, n long, bits binary")
+        signs = sets.mapInArrow(_signer(decode, wanted), "id long, n long, bits binary")
     tiles = (met.join(signs, "id")
              .select("key", "p", "q", "id", "comp", *signs.columns[1:], "resident", "visitor")
              .repartition("key", "p", "q").sortWithinPartitions("key", "p", "q"))
